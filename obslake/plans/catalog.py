@@ -8,9 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from obslake import fixtures
-from obslake.operators import history, rollup
+from obslake.operators import history, rollup, windows
 from obslake.plans import oracle as O
-from obslake.schemas import TREND_MEASURES
+from obslake.schemas import INTERVALS, TREND_MEASURES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +57,32 @@ def q_yearly_trend(spark, sf):
     return history.trends(_season(spark, sf))
 
 
+# --- speed layer (E) ------------------------------------------------------------------------
+
+def _obs(spark: SparkSession, sf: str) -> DataFrame:
+    return fixtures.observations(spark, sf)
+
+
+def _window_ends_query(w: int) -> Query:
+    def q(spark, sf):
+        return windows.flat_ends(windows.window_ends(_obs(spark, sf), (w,)))
+    q.__name__ = f"q_window_ends_{w}"
+    q.__doc__ = f"T3/T4, G4, G5: first and last record per location over {w} s windows sliding by 60 s."
+    return q
+
+
+def q_interval_trends(spark, sf):
+    return windows.interval_trends(windows.window_ends(_obs(spark, sf)))
+
+
+def q_interval_trends_join(spark, sf):
+    return windows.interval_trends(windows.window_ends_join(_obs(spark, sf)))
+
+
+def q_interval_trends_panes(spark, sf):
+    return windows.interval_trends(windows.window_ends_panes(_obs(spark, sf)))
+
+
 QUERIES: dict[str, Query] = {
     "daily_rollup": q_daily_rollup,
     "season_rollup": q_season_rollup,
@@ -66,6 +92,10 @@ QUERIES: dict[str, Query] = {
     "records_reference_order": q_records_reference_order,
     "latest_years": q_latest_years,
     "yearly_trend": q_yearly_trend,
+    **{f"window_ends_{w}": _window_ends_query(w) for w in INTERVALS},
+    "interval_trends": q_interval_trends,
+    "interval_trends_join": q_interval_trends_join,
+    "interval_trends_panes": q_interval_trends_panes,
 }
 
 ORACLE: dict[str, str] = {
@@ -77,4 +107,8 @@ ORACLE: dict[str, str] = {
     "records_reference_order": O.q_records("reference"),
     "latest_years": O.q_latest_years(),
     "yearly_trend": O.q_yearly_trend(),
+    **{f"window_ends_{w}": O.q_window_ends(w) for w in INTERVALS},
+    "interval_trends": O.q_interval_trends(),
+    "interval_trends_join": O.q_interval_trends(),
+    "interval_trends_panes": O.q_interval_trends(),
 }

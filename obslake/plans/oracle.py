@@ -125,3 +125,49 @@ SELECT season, year, measure, value,
        COALESCE({r2(pct('value', 'prev', signed=False))}, 0.0::DOUBLE) AS trend,
        prev IS NOT NULL AS has_prev
 FROM t"""
+
+
+# --- E: observations from events ----------------------------------------------------------
+
+E_OBS = """
+e AS (
+  SELECT 'station-' || CAST(user_id % 5 AS VARCHAR) AS location, ts, event_id AS seq,
+         value AS temperature, CAST(user_id % 20 AS DOUBLE) AS wind,
+         TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS humidity, event_type AS weather
+  FROM events)"""
+
+REC = "{'ts': ts, 'seq': seq, 'temperature': temperature, 'wind': wind, 'humidity': humidity, 'weather': weather}"
+
+
+def ends_cte(intervals=INTERVALS) -> str:
+    arr = ", ".join(str(int(w)) for w in intervals)
+    return E_OBS + f""",
+e_iv AS (SELECT *, unnest([{arr}]) AS interval_s FROM e),
+e_x AS (
+  SELECT *, unnest(generate_series(date_trunc('minute', ts) + INTERVAL 1 MINUTE,
+                                   date_trunc('minute', ts) + to_seconds(interval_s),
+                                   INTERVAL 1 MINUTE)) AS window_end
+  FROM e_iv),
+ends AS (
+  SELECT location, interval_s, window_end,
+         arg_min({REC}, (ts, seq)) AS f, arg_max({REC}, (ts, seq)) AS l
+  FROM e_x GROUP BY location, interval_s, window_end)"""
+
+
+def q_window_ends(w: int) -> str:
+    return f"""WITH {ends_cte((w,))}
+SELECT location, interval_s, window_end, f.seq AS first_seq, f.ts AS first_ts,
+       l.seq AS last_seq, l.ts AS last_ts FROM ends"""
+
+
+TREND_SELECT = f"""SELECT location, interval_s, window_end,
+       l.temperature AS actual_temperature,
+       {pct('l.temperature', 'f.temperature', signed=True)} AS temperature_trend,
+       l.wind AS actual_wind, {pct('l.wind', 'f.wind', signed=True)} AS wind_trend,
+       l.humidity AS actual_humidity, l.humidity - f.humidity AS humidity_delta,
+       l.weather AS weather
+FROM ends"""
+
+
+def q_interval_trends(intervals=INTERVALS) -> str:
+    return f"WITH {ends_cte(intervals)}\n{TREND_SELECT}"

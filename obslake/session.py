@@ -29,7 +29,7 @@ def build_session(master: str | None = None, app: str = "obslake",
     if master:
         b = b.master(master)
         # local runs: no web UI, driver memory is the only memory knob
-        b = b.config("spark.ui.enabled", "false")
+        b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in DEFAULTS.items():
         b = b.config(k, v)
     if shuffle_partitions:
