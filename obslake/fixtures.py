@@ -85,9 +85,12 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nested_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M in OBS_NESTED shape: a current-weather record per observation, as JSON text."""
     e = observations(spark, sf_dir)
+    item = F.struct(F.lit(800).cast("long").alias("id"), F.col("weather").alias("main"),
+                    F.col("weather").alias("description"), F.lit("01d").alias("icon"))
+    # 'view' observations carry an empty weather list (covers P15 on empty arrays)
+    arr = F.when(F.col("weather") == "view", F.array_remove(F.array(item), item)).otherwise(F.array(item))
     rec = F.struct(
-        F.array(F.struct(F.lit(800).cast("long").alias("id"), F.col("weather").alias("main"),
-                         F.col("weather").alias("description"), F.lit("01d").alias("icon"))).alias("weather"),
+        arr.alias("weather"),
         F.struct(F.col("temperature").alias("temp"),
                  (F.col("temperature") - F.lit(1.0)).alias("temp_min"),
                  (F.col("temperature") + F.lit(1.0)).alias("temp_max"),

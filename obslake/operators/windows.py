@@ -78,10 +78,10 @@ def _bucket_for(intervals) -> int:
     return max(DAY_S, ((longest + SLIDE_S - 1) // SLIDE_S) * SLIDE_S)
 
 
-def _sides(obs: DataFrame, intervals, slide_s: int, flat: bool = False):
+def _sides(obs: DataFrame, intervals, slide_s: int, flat: bool = False, pn: DataFrame | None = None):
     """The two emissions. With flat=True the records leave as l_*/f_* columns (used by the join
-    form: nested fields are then never extracted above the explode)."""
-    nb = pane_neighbours(panes(obs, slide_s), _bucket_for(intervals))
+    form: nested fields are then never extracted above the explode). `pn` passes ready panes."""
+    nb = pane_neighbours(panes(obs, slide_s) if pn is None else pn, _bucket_for(intervals))
     if flat:
         nb = nb.select("location", "pane", "prev_pane", "next_pane",
                        *[F.col("last_rec")[f].alias(f"l_{f}") for f in REC_FIELDS],
@@ -108,10 +108,12 @@ def _finish(df: DataFrame) -> DataFrame:
                      "first_rec", "last_rec")
 
 
-def window_ends(obs: DataFrame, intervals=INTERVALS, slide_s: int = SLIDE_S) -> DataFrame:
+def window_ends(obs: DataFrame | None, intervals=INTERVALS, slide_s: int = SLIDE_S,
+                pn: DataFrame | None = None) -> DataFrame:
     """(location, interval_s, window_end, first_rec, last_rec) for every non-empty window;
-    default form (gap-bounded emission, one aggregate pairs the two sides, no join)."""
-    last, first = _sides(obs, intervals, slide_s)
+    default form (gap-bounded emission, one aggregate pairs the two sides, no join).
+    Pass `pn` (location, pane, first_rec, last_rec) to start from stored panes."""
+    last, first = _sides(obs, intervals, slide_s, pn=pn)
     both = (last.withColumn("first_rec", F.lit(None).cast(first.schema["first_rec"].dataType))
             .unionByName(first.withColumn("last_rec", F.lit(None).cast(last.schema["last_rec"].dataType))))
     paired = both.groupBy("location", "interval_s", "end_s").agg(

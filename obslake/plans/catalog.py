@@ -112,3 +112,254 @@ ORACLE: dict[str, str] = {
     "interval_trends_join": O.q_interval_trends(),
     "interval_trends_panes": O.q_interval_trends(),
 }
+
+
+
+# --- codecs, sources, keyed tables, serving -----------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from obslake.functions.columns import epoch_seconds, midnight_epoch, season_year  # noqa: E402
+from obslake.plans import serve  # noqa: E402
+from obslake.session import work_path  # noqa: E402
+from obslake.sources import codecs, tables  # noqa: E402
+
+AS_OF = "2024-01-31 00:00:00"              # fixed clock for TTL and current-season products
+UPSERT_OLD_BEFORE = "2024-01-21 00:00:00"  # first load: observations before this time
+UPSERT_NEW_FROM = "2024-01-11 00:00:00"    # re-delivered batch: observations from this time on
+
+
+def _decoded_nested(spark, sf):
+    m = fixtures.nested_messages(spark, sf)
+    return m.select("seq", codecs.decode("value").alias("r"))
+
+
+def q_nested_flatten(spark, sf):
+    """Nested JSON messages -> flat raw-observation rows."""
+    return codecs.flatten_record(_decoded_nested(spark, sf), "r", keep=("seq",))
+
+
+def q_first_weather(spark, sf):
+    """Main text of the first weather item; null for an empty list."""
+    r = _decoded_nested(spark, sf)
+    return r.select("seq", codecs.first_weather("r.weather").alias("weather_main"))
+
+
+def q_double_json_decode(spark, sf):
+    """The same messages single- and double-encoded decode to the same rows."""
+    m = fixtures.messages(spark, sf)
+    twice = F.to_json(F.array(F.col("value")))
+    twice = F.substring(twice, F.lit(2), F.length(twice) - F.lit(2))
+    both = (m.select("seq", F.lit("single").alias("encoding"), "value")
+            .unionByName(m.select("seq", F.lit("double").alias("encoding"), twice.alias("value"))))
+    from obslake.schemas import MESSAGE
+    return both.select("seq", "encoding", codecs.decode("value", MESSAGE).alias("m")).select(
+        "seq", "encoding", "m.*")
+
+
+def _planted(spark, sf):
+    """Messages whose 'error' observations are cut to half their text (malformed JSON)."""
+    e = fixtures.observations(spark, sf)
+    value = F.to_json(F.struct("location", epoch_seconds("ts").alias("datetime"),
+                               F.col("temperature").alias("temp"), "wind", "humidity", "weather"))
+    half = F.substring(value, F.lit(1), (F.length(value) / 2).cast("int"))
+    return e.select("seq", F.when(F.col("weather") == "error", half).otherwise(value).alias("value"))
+
+
+def q_corrupt_split(spark, sf):
+    """Good rows decoded, malformed ones routed to rejects; both in one result with status."""
+    good, rejects = codecs.split_rejects(_planted(spark, sf))
+    good = good.withColumn("status", F.lit("ok"))
+    rej = rejects.select("seq", F.lit("rejected").alias("status"))
+    return good.unionByName(rej, allowMissingColumns=True)
+
+
+def _lines(spark, sf):
+    e = fixtures.observations(spark, sf)
+    return e.select("seq", codecs.format_line("location", epoch_seconds("ts"), "temperature", "wind",
+                                              "humidity", "weather").alias("value"))
+
+
+def q_line_format(spark, sf):
+    """Observation -> tuple text line."""
+    return _lines(spark, sf)
+
+
+def q_line_parse(spark, sf):
+    """Tuple text line -> typed columns (round trip of line_format)."""
+    return _lines(spark, sf).select("seq", codecs.parse_line("value").alias("p")).select("seq", "p.*")
+
+
+def q_kafka_payload(spark, sf):
+    """Observation rows -> (key, value) JSON payload."""
+    e = fixtures.observations(spark, sf)
+    msg = e.select("location", epoch_seconds("ts").alias("datetime"), F.col("temperature").alias("temp"),
+                   "wind", "humidity", "weather")
+    return codecs.to_payload(msg, key="location")
+
+
+def q_midnight_epoch(spark, sf):
+    """epoch seconds -> midnight UTC."""
+    e = fixtures.observations(spark, sf)
+    ep = epoch_seconds("ts")
+    return e.select("seq", ep.alias("epoch"), midnight_epoch(ep).alias("midnight"))
+
+
+def q_daily_rollup_flat(spark, sf):
+    """V9 core, G2: raw observation rows (decoded messages) -> daily table."""
+    flat = codecs.flatten_record(_decoded_nested(spark, sf), "r")
+    return rollup.observations_daily(flat)
+
+
+def q_season_classify(spark, sf):
+    """Calendar columns and season of each daily row."""
+    cal = rollup.with_calendar(_daily(spark, sf))
+    return cal.select("unix_date", "year", "month", "season",
+                      season_year("date").alias("season_year"))
+
+
+def q_union_widening(spark, sf):
+    """Union by position of a double and a long measure widens to double."""
+    h = fixtures.history_records(spark, sf)
+    d = h.select(F.col("dt").alias("k"), F.col("main.temp_max").alias("v"))
+    d = d.groupBy("k").agg(F.max("v").alias("value")).select("k", F.lit("Max Temperature").alias("measure"), "value")
+    hum = h.groupBy(F.col("dt").alias("k")).agg(F.max("main.humidity").alias("value"))
+    hum = hum.select("k", F.lit("Max Humidity").alias("measure"), "value")
+    return d.union(hum).withColumnRenamed("k", "dt")
+
+
+def q_csv_round_trip(spark, sf):
+    """S7 + S8: yearly trends written as one CSV file with header and read back by name."""
+    path = work_path(spark, "csv")
+    res = history.trends(_season(spark, sf)).drop("has_prev")
+    tables.write_csv_single(res, path)
+    return tables.read_result_csv(spark, path, trends=True)
+
+
+def q_table_ddl_cycle(spark, sf):
+    """create+load the daily table, register it, read it back, drop it."""
+    path = work_path(spark, "daily")
+    daily = rollup.with_calendar(_daily(spark, sf)).drop("date", "month", "season")
+    tables.create_table(daily, path, key="unix_date", partition_by="year")
+    cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in daily.schema.fields)
+    tables.ensure_table(spark, "climate", "daily_climate", cols, path, partitioned_by="year")
+    tables.ensure_table(spark, "climate", "daily_climate", cols, path, partitioned_by="year")
+    spark.read.parquet(path).createOrReplaceTempView("daily_view")
+    tables.preview(spark.table("daily_view"), 5).collect()
+    tables.drop_table(spark, "climate", "daily_climate")
+    tables.drop_table(spark, "climate", "daily_climate")
+    return spark.read.parquet(path)
+
+
+def _location_data(spark, sf):
+    e = fixtures.observations(spark, sf)
+    return e.select("location", epoch_seconds("ts").alias("timestamp"), "temperature", "wind",
+                    "humidity", "weather", "seq", F.col("ts").alias("written_at"),
+                    F.to_date("ts").alias("day"))
+
+
+def _upsert(spark, sf, replay: int):
+    ld = _location_data(spark, sf)
+    old = ld.filter(F.col("written_at") < F.lit(UPSERT_OLD_BEFORE).cast("timestamp")) \
+        .withColumn("batch", F.lit(1))
+    new = ld.filter(F.col("written_at") >= F.lit(UPSERT_NEW_FROM).cast("timestamp")) \
+        .withColumn("temperature", F.col("temperature") + F.lit(1.0)).withColumn("batch", F.lit(2))
+    path = work_path(spark, "location_data")
+    keys, order = ["location", "timestamp"], ["batch", "seq"]
+    tables.merge_upsert(spark, path, old, keys, order, "day", exists=False)
+    for _ in range(replay):
+        tables.merge_upsert(spark, path, new, keys, order, "day")
+    return spark.read.parquet(path).select("location", "timestamp", "temperature", "wind", "humidity",
+                                           "weather", "seq", "batch")
+
+
+def q_upsert_latest(spark, sf):
+    """Upsert a re-delivered batch into the keyed table (latest version wins)."""
+    return _upsert(spark, sf, replay=1)
+
+
+def q_upsert_idempotent(spark, sf):
+    """Replaying the same batch leaves the table unchanged."""
+    return _upsert(spark, sf, replay=2)
+
+
+def q_ttl_filter(spark, sf):
+    """Rows still alive one day after being written, at a fixed clock."""
+    ld = _location_data(spark, sf)
+    return tables.expire(ld, AS_OF).select("location", "timestamp", "temperature", "wind", "humidity",
+                                           "weather", "seq")
+
+
+def q_latest_trends_view(spark, sf):
+    """V1 (F10, F18, F19, L3, T9): latest live trends per location and interval at a fixed clock."""
+    res = serve.live_results_as_of(fixtures.observations(spark, sf), AS_OF)
+    return serve.latest_trends_view(res)
+
+
+def q_trends_view_json(spark, sf):
+    """V2: the trends view as JSON."""
+    return serve.trends_view_json(q_latest_trends_view(spark, sf).drop("window_end"))
+
+
+def q_observations_json(spark, sf):
+    """Raw observations as JSON, by column name."""
+    return serve.observations_json(_location_data(spark, sf))
+
+
+def q_history_records_for_season(spark, sf):
+    """Records of the season a fixed date falls in."""
+    return serve.for_season(history.records(_season(spark, sf)), AS_OF)
+
+
+def q_history_trends_for_season(spark, sf):
+    """V5: trends of the season a fixed date falls in."""
+    return serve.for_season(history.trends(_season(spark, sf)), AS_OF)
+
+
+QUERIES.update({
+    "nested_flatten": q_nested_flatten,
+    "first_weather": q_first_weather,
+    "double_json_decode": q_double_json_decode,
+    "corrupt_split": q_corrupt_split,
+    "line_format": q_line_format,
+    "line_parse": q_line_parse,
+    "kafka_payload": q_kafka_payload,
+    "midnight_epoch": q_midnight_epoch,
+    "daily_rollup_flat": q_daily_rollup_flat,
+    "season_classify": q_season_classify,
+    "union_widening": q_union_widening,
+    "csv_round_trip": q_csv_round_trip,
+    "table_ddl_cycle": q_table_ddl_cycle,
+    "upsert_latest": q_upsert_latest,
+    "upsert_idempotent": q_upsert_idempotent,
+    "ttl_filter": q_ttl_filter,
+    "latest_trends_view": q_latest_trends_view,
+    "trends_view_json": q_trends_view_json,
+    "observations_json": q_observations_json,
+    "history_records_for_season": q_history_records_for_season,
+    "history_trends_for_season": q_history_trends_for_season,
+})
+
+ORACLE.update({
+    "nested_flatten": O.q_nested_flatten(),
+    "first_weather": O.q_first_weather(),
+    "double_json_decode": O.q_double_json_decode(),
+    "corrupt_split": O.q_corrupt_split(),
+    "line_format": O.q_line_format(),
+    "line_parse": O.q_line_parse(),
+    "kafka_payload": O.q_kafka_payload(),
+    "midnight_epoch": O.q_midnight_epoch(),
+    "daily_rollup_flat": O.q_daily_rollup_flat(),
+    "season_classify": O.q_season_classify(),
+    "union_widening": O.q_union_widening(),
+    "csv_round_trip": O.q_yearly_trend(with_has_prev=False),
+    "table_ddl_cycle": O.q_table_ddl_cycle(),
+    "upsert_latest": O.q_upsert(UPSERT_OLD_BEFORE, UPSERT_NEW_FROM),
+    "upsert_idempotent": O.q_upsert(UPSERT_OLD_BEFORE, UPSERT_NEW_FROM),
+    "ttl_filter": O.q_ttl_filter(AS_OF),
+    "latest_trends_view": O.q_latest_trends_view(AS_OF),
+    "trends_view_json": O.q_trends_view_json(AS_OF),
+    "observations_json": O.q_observations_json(),
+    "history_records_for_season": O.q_records("extreme", season="summer"),
+    "history_trends_for_season": O.q_yearly_trend(season="summer"),
+})

@@ -98,7 +98,7 @@ def q_measures_long() -> str:
     return f"WITH {season_cte()}, lng AS ({long_union(TREND_MEASURES)}) SELECT * FROM lng"
 
 
-def q_records(order: str) -> str:
+def q_records(order: str, season: str | None = None) -> str:
     if order == "extreme":
         key = "CASE WHEN starts_with(measure, 'Max') THEN -value ELSE value END"
     else:
@@ -106,7 +106,8 @@ def q_records(order: str) -> str:
     return f"""WITH {season_cte()}, lng AS ({long_union(RECORD_MEASURES)}),
 r AS (SELECT *, row_number() OVER (PARTITION BY season, measure ORDER BY {key} ASC NULLS LAST, year ASC) AS rn
       FROM lng)
-SELECT season, year, measure, value FROM r WHERE rn = 1"""
+SELECT season, year, measure, value FROM r WHERE rn = 1""" + (
+        "" if season is None else f" AND season = '{season}'")
 
 
 def q_latest_years(n: int = LATEST_YEARS) -> str:
@@ -115,15 +116,15 @@ r AS (SELECT *, row_number() OVER (PARTITION BY season, measure ORDER BY year DE
 SELECT season, year, measure, value FROM r WHERE rn <= {n}"""
 
 
-def q_yearly_trend(n: int = LATEST_YEARS, season: str | None = None) -> str:
+def q_yearly_trend(n: int = LATEST_YEARS, season: str | None = None, with_has_prev: bool = True) -> str:
     where = "" if season is None else f" AND season = '{season}'"
     return f"""WITH {season_cte()}, lng AS ({long_union(TREND_MEASURES)}),
 r AS (SELECT *, row_number() OVER (PARTITION BY season, measure ORDER BY year DESC) AS rn FROM lng),
 l AS (SELECT season, year, measure, value FROM r WHERE rn <= {n}{where}),
 t AS (SELECT *, lag(value) OVER (PARTITION BY season, measure ORDER BY year) AS prev FROM l)
 SELECT season, year, measure, value,
-       COALESCE({r2(pct('value', 'prev', signed=False))}, 0.0::DOUBLE) AS trend,
-       prev IS NOT NULL AS has_prev
+       COALESCE({r2(pct('value', 'prev', signed=False))}, 0.0::DOUBLE) AS trend
+       {", prev IS NOT NULL AS has_prev" if with_has_prev else ""}
 FROM t"""
 
 
@@ -171,3 +172,147 @@ FROM ends"""
 
 def q_interval_trends(intervals=INTERVALS) -> str:
     return f"WITH {ends_cte(intervals)}\n{TREND_SELECT}"
+
+
+EP = "(epoch_us(ts) // 1000000)"
+
+
+def _q(x: str) -> str:
+    sq = "''''"  # a single-quote character as a SQL literal
+    return f"""(CASE WHEN instr({x}, {sq}) > 0 THEN '"' || {x} || '"' ELSE {sq} || {x} || {sq} END)"""
+
+
+NESTED_FLAT = f"""SELECT seq, temperature AS temp, temperature - 1.0 AS temp_min, temperature + 1.0 AS temp_max,
+       CAST(1000 + seq % 50 AS DOUBLE) AS pressure, CAST(CAST(humidity AS BIGINT) AS DOUBLE) AS humidity,
+       wind AS speed, CAST(seq % 360 AS DOUBLE) AS deg, CAST(seq % 101 AS DOUBLE) AS clouds,
+       {EP} AS unix_date
+FROM e"""
+
+
+def q_nested_flatten() -> str:
+    return f"WITH {E_OBS} {NESTED_FLAT}"
+
+
+def q_first_weather() -> str:
+    return f"WITH {E_OBS} SELECT seq, CASE WHEN weather = 'view' THEN NULL ELSE weather END AS weather_main FROM e"
+
+
+MSG_COLS = f"location, {EP} AS datetime, temperature AS temp, wind, humidity, weather"
+
+
+def q_double_json_decode() -> str:
+    return f"""WITH {E_OBS}
+SELECT seq, 'single' AS encoding, {MSG_COLS} FROM e
+UNION ALL SELECT seq, 'double' AS encoding, {MSG_COLS} FROM e"""
+
+
+def q_corrupt_split() -> str:
+    return f"""WITH {E_OBS}
+SELECT seq, {MSG_COLS}, 'ok' AS status FROM e WHERE weather <> 'error'
+UNION ALL
+SELECT seq, NULL, NULL, NULL, NULL, NULL, NULL, 'rejected' FROM e WHERE weather = 'error'"""
+
+
+LINE = (f"'(' || {_q('location')} || ', ' || {EP} || ', ' || hour(ts) || ', ' || minute(ts) || ', ' || "
+        f"CAST(temperature AS VARCHAR) || ', ' || CAST(wind AS VARCHAR) || ', ' || "
+        f"CAST(humidity AS VARCHAR) || ', ' || {_q('weather')} || ')'")
+
+
+def q_line_format() -> str:
+    return f"WITH {E_OBS} SELECT seq, {LINE} AS value FROM e"
+
+
+def q_line_parse() -> str:
+    return f"""WITH {E_OBS}
+SELECT seq, location, {EP} AS timestamp, CAST(hour(ts) AS INTEGER) AS hour,
+       CAST(minute(ts) AS INTEGER) AS minute, temperature, wind, humidity, weather FROM e"""
+
+
+def q_kafka_payload() -> str:
+    return f"""WITH {E_OBS}
+SELECT location AS key,
+       CAST(to_json({{'location': location, 'datetime': {EP}, 'temp': temperature, 'wind': wind,
+                     'humidity': humidity, 'weather': weather}}) AS VARCHAR) AS value
+FROM e"""
+
+
+def q_midnight_epoch() -> str:
+    return f"WITH {E_OBS} SELECT seq, {EP} AS epoch, {EP} - ({EP} % 86400) AS midnight FROM e"
+
+
+def q_daily_rollup_flat() -> str:
+    return f"""WITH {E_OBS}, nf AS ({NESTED_FLAT}),
+nd AS (SELECT * REPLACE (unix_date - unix_date % 86400 AS unix_date) FROM nf)
+{daily_select('nd')}"""
+
+
+def q_season_classify() -> str:
+    return f"""WITH {season_cte()}
+SELECT unix_date, year, month, season,
+       CAST(CASE WHEN month >= 10 THEN year + 1 ELSE year END AS INTEGER) AS season_year FROM h_cal"""
+
+
+def q_union_widening() -> str:
+    return f"""WITH {H_FLAT}
+SELECT dt, 'Max Temperature' AS measure, MAX(temp_max) AS value FROM h_flat GROUP BY dt
+UNION ALL
+SELECT dt, 'Max Humidity' AS measure, CAST(MAX(humidity) AS DOUBLE) AS value FROM h_flat GROUP BY dt"""
+
+
+def q_table_ddl_cycle() -> str:
+    return f"""WITH {season_cte()}
+SELECT * EXCLUDE (d, month, season) FROM h_cal"""
+
+
+LD = f"""ld AS (SELECT location, {EP} AS timestamp, temperature, wind, humidity, weather, seq, ts FROM e)"""
+
+
+def q_upsert(old_before: str, new_from: str) -> str:
+    return f"""WITH {E_OBS}, {LD},
+u AS (SELECT * EXCLUDE (ts), 1 AS batch FROM ld WHERE ts < TIMESTAMP '{old_before}'
+      UNION ALL
+      SELECT * EXCLUDE (ts) REPLACE (temperature + 1.0 AS temperature), 2 AS batch
+      FROM ld WHERE ts >= TIMESTAMP '{new_from}'),
+r AS (SELECT *, row_number() OVER (PARTITION BY location, timestamp ORDER BY batch DESC, seq DESC) AS rn FROM u)
+SELECT * EXCLUDE (rn) FROM r WHERE rn = 1"""
+
+
+def q_ttl_filter(as_of: str) -> str:
+    return f"""WITH {E_OBS}, {LD}
+SELECT * EXCLUDE (ts) FROM ld WHERE ts > TIMESTAMP '{as_of}' - INTERVAL 1 DAY"""
+
+
+def _label(x: str) -> str:
+    whens = " ".join(f"WHEN {k} THEN '{v}'" for k, v in INTERVAL_LABELS.items())
+    return f"(CASE {x} {whens} ELSE 'Invalid interval' END)"
+
+
+def _view(as_of: str) -> str:
+    strip = "'().' || chr(39)"
+    return f"""WITH {ends_cte()},
+res AS ({TREND_SELECT} WHERE window_end <= TIMESTAMP '{as_of}'
+        AND window_end > TIMESTAMP '{as_of}' - INTERVAL 1 DAY),
+lt AS (SELECT *, row_number() OVER (PARTITION BY location, interval_s ORDER BY window_end DESC) AS rn FROM res)
+SELECT translate(location, {strip}, '') AS location, {_label('interval_s')} AS interval, interval_s,
+       window_end, actual_temperature, {r2('temperature_trend')} AS temperature_trend,
+       {r2('actual_wind')} AS actual_wind, {r2('wind_trend')} AS wind_trend, actual_humidity,
+       {r2('humidity_delta')} AS humidity_delta, weather
+FROM lt WHERE rn = 1"""
+
+
+def q_latest_trends_view(as_of: str) -> str:
+    return _view(as_of)
+
+
+def q_trends_view_json(as_of: str) -> str:
+    return f"""WITH v AS ({_view(as_of)})
+SELECT CAST(to_json({{'location': location, 'interval': interval, 'interval_s': interval_s,
+        'actual_temperature': actual_temperature, 'temperature_trend': temperature_trend,
+        'actual_wind': actual_wind, 'wind_trend': wind_trend, 'actual_humidity': actual_humidity,
+        'humidity_delta': humidity_delta, 'weather': weather}}) AS VARCHAR) AS json FROM v"""
+
+
+def q_observations_json() -> str:
+    return f"""WITH {E_OBS}
+SELECT CAST(to_json({{'location': location, 'time': {EP}, 'temperature': temperature, 'wind': wind,
+        'humidity': humidity, 'weather': weather}}) AS VARCHAR) AS json FROM e"""
