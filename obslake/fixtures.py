@@ -101,4 +101,4 @@ def nested_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         epoch_seconds("ts").alias("dt"),
         F.col("location").alias("name"),
     )
-    return e.select(F.col("seq"), F.to_json(rec).alias("value"))
+    return e.select(F.col("seq"), F.col("ts"), F.to_json(rec).alias("value"))

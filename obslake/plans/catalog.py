@@ -363,3 +363,67 @@ ORACLE.update({
     "history_records_for_season": O.q_records("extreme", season="summer"),
     "history_trends_for_season": O.q_yearly_trend(season="summer"),
 })
+
+
+# --- streaming (file streams stand in for the broker) -------------------------------------------
+
+from obslake.schemas import OBSERVATION  # noqa: E402
+from obslake.streaming import live  # noqa: E402
+
+STREAM_DELAY = "1 day"   # watermark delay; input arrives in one-day files, so nothing is late
+
+
+def _stage_by_day(df: DataFrame, path: str) -> None:
+    """Write a stream's input as files that arrive day after day (one job per day, in time order),
+    the way a landing folder fills up."""
+    span = df.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    day = F.to_date("ts")
+    d = span["lo"].date()
+    last = span["hi"].date()
+    import datetime as _dt
+    while d <= last:
+        df.filter(day == F.lit(d)).write.mode("append").parquet(path)
+        d += _dt.timedelta(days=1)
+
+
+def _closed(df: DataFrame, obs: DataFrame) -> DataFrame:
+    hi = obs.agg(F.max("ts").alias("hi")).first()["hi"]
+    limit = F.lit(hi).cast("timestamp") - F.expr(f"INTERVAL {STREAM_DELAY}")
+    return df.filter(F.col("window_end").cast("timestamp") <= limit)
+
+
+def q_stream_interval_trends(spark, sf):
+    """Live multi-interval trends from a file stream (watermark, closed panes,
+    foreachBatch recompute + upsert); windows closed by the final watermark."""
+    root = work_path(spark, "live_trends")
+    obs = fixtures.observations(spark, sf)
+    src = f"{root}/input"
+    _stage_by_day(obs, src)
+    lt = live.LiveTrends(root, watermark=STREAM_DELAY)
+    q = lt.start(live.observation_stream(spark, src, OBSERVATION, max_files=3), trigger=None)
+    q.awaitTermination()
+    return _closed(lt.results(spark), obs)
+
+
+def q_stream_daily_rollup(spark, sf):
+    """Message stream -> raw table upsert -> daily table for touched days."""
+    root = work_path(spark, "live_ingest")
+    msgs = fixtures.nested_messages(spark, sf)
+    src = f"{root}/input"
+    _stage_by_day(msgs, src)
+    ing = live.LiveIngest(root)
+    stream = spark.readStream.schema("seq long, ts timestamp, value string").option(
+        "maxFilesPerTrigger", 3).parquet(src)
+    q = ing.start(stream.select("seq", "value"), trigger=None)
+    q.awaitTermination()
+    return ing.daily(spark)
+
+
+QUERIES.update({
+    "stream_interval_trends": q_stream_interval_trends,
+    "stream_daily_rollup": q_stream_daily_rollup,
+})
+ORACLE.update({
+    "stream_interval_trends": O.q_stream_interval_trends(STREAM_DELAY),
+    "stream_daily_rollup": O.q_stream_daily_rollup(),
+})

@@ -316,3 +316,16 @@ def q_observations_json() -> str:
     return f"""WITH {E_OBS}
 SELECT CAST(to_json({{'location': location, 'time': {EP}, 'temperature': temperature, 'wind': wind,
         'humidity': humidity, 'weather': weather}}) AS VARCHAR) AS json FROM e"""
+
+
+def q_stream_interval_trends(delay: str) -> str:
+    return f"""WITH {ends_cte()}
+{TREND_SELECT}
+WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL {delay}"""
+
+
+def q_stream_daily_rollup() -> str:
+    return f"""WITH {E_OBS}, nf AS ({NESTED_FLAT}),
+dd AS (SELECT * FROM nf QUALIFY row_number() OVER (PARTITION BY unix_date ORDER BY seq DESC) = 1),
+nd AS (SELECT * REPLACE (unix_date - unix_date % 86400 AS unix_date) FROM dd)
+{daily_select('nd')}"""
