@@ -108,16 +108,53 @@ def _finish(df: DataFrame) -> DataFrame:
                      "first_rec", "last_rec")
 
 
+def bucketed_panes(pn: DataFrame, intervals=INTERVALS, slide_s: int = SLIDE_S) -> DataFrame:
+    """Panes laid out by the bucket of the window ends they can reach.
+
+    A pane p reaches ends in (p, p + W]; with bucket length B >= W these fall in bucket(p) and,
+    for panes within W of the bucket's end, in bucket(p) + 1. Each pane is copied to those one
+    or two end buckets (extra volume W/B, 25 % for 6 h windows in day buckets) and gets its
+    previous / next pane inside the end bucket. Everything an end needs is then in its own
+    (location, end bucket) partition, however hot the location."""
+    B = _bucket_for(intervals)
+    wmax = max(intervals)
+    b0 = F.floor(F.col("pane") / F.lit(B)).cast("long")
+    copies = F.when(F.col("pane") >= (b0 + 1) * B - wmax, F.array(b0, b0 + 1)).otherwise(F.array(b0))
+    x = pn.withColumn("ebucket", F.explode(copies))
+    w = Window.partitionBy("location", "ebucket").orderBy("pane")
+    return (x.withColumn("prev_pane", F.lag("pane").over(w))
+            .withColumn("next_pane", F.lead("pane").over(w)))
+
+
 def window_ends(obs: DataFrame | None, intervals=INTERVALS, slide_s: int = SLIDE_S,
                 pn: DataFrame | None = None) -> DataFrame:
     """(location, interval_s, window_end, first_rec, last_rec) for every non-empty window;
-    default form (gap-bounded emission, one aggregate pairs the two sides, no join).
+    default form. Panes are shuffled once to their (location, end bucket); both emissions come
+    out of one explode and are paired by an aggregate inside that same partitioning, so after
+    the pane stage there is exactly one exchange and no result-sized shuffle.
     Pass `pn` (location, pane, first_rec, last_rec) to start from stored panes."""
-    last, first = _sides(obs, intervals, slide_s, pn=pn)
-    both = (last.withColumn("first_rec", F.lit(None).cast(first.schema["first_rec"].dataType))
-            .unionByName(first.withColumn("last_rec", F.lit(None).cast(last.schema["last_rec"].dataType))))
-    paired = both.groupBy("location", "interval_s", "end_s").agg(
-        F.min("first_rec").alias("first_rec"), F.max("last_rec").alias("last_rec"))
+    B = _bucket_for(intervals)
+    bp = bucketed_panes(panes(obs, slide_s) if pn is None else pn, intervals, slide_s)
+    base = bp.withColumn("interval_s", F.explode(F.array(*[F.lit(int(w)) for w in intervals])))
+    p, w = F.col("pane"), F.col("interval_s").cast("long")
+    step = F.lit(slide_s).cast("long")
+    b_lo = F.col("ebucket") * B          # ends of this bucket: (b_lo, b_hi]
+    b_hi = b_lo + B
+
+    def seq(lo, hi):  # ends in (lo, hi], stepping by the slide; empty when lo >= hi
+        return F.when(lo < hi, F.sequence(lo + step, hi, step)).otherwise(F.array().cast("array<long>"))
+
+    last_hi = F.least(p + w, F.coalesce(F.col("next_pane"), p + w), b_hi)
+    first_lo = F.greatest(F.coalesce(F.col("prev_pane") + w, p), p, b_lo)
+    tagged = F.concat(
+        F.transform(seq(F.greatest(p, b_lo), last_hi),
+                    lambda e: F.struct(e.alias("end_s"), F.lit(True).alias("is_last"))),
+        F.transform(seq(first_lo, F.least(p + w, b_hi)),
+                    lambda e: F.struct(e.alias("end_s"), F.lit(False).alias("is_last"))))
+    em = base.select("location", "ebucket", "interval_s", F.inline(tagged), "first_rec", "last_rec")
+    paired = em.groupBy("location", "ebucket", "interval_s", "end_s").agg(
+        F.min(F.when(~F.col("is_last"), F.col("first_rec"))).alias("first_rec"),
+        F.max(F.when(F.col("is_last"), F.col("last_rec"))).alias("last_rec"))
     return _finish(paired)
 
 
