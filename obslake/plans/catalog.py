@@ -427,3 +427,65 @@ ORACLE.update({
     "stream_interval_trends": O.q_stream_interval_trends(STREAM_DELAY),
     "stream_daily_rollup": O.q_stream_daily_rollup(),
 })
+
+
+# --- end-to-end batch jobs (V6-V9) -------------------------------------------------------------
+
+from obslake.plans import jobs  # noqa: E402
+
+
+def q_history_json_scan(spark, sf):
+    """History written as nested JSON lines, scanned with the declared schema, rolled up
+    and loaded into a new daily table (S4), read back."""
+    root = work_path(spark, "history")
+    fixtures.history_records(spark, sf).write.mode("errorifexists").json(f"{root}/json")
+    jobs.history_bootstrap(spark, f"{root}/json", f"{root}/daily")
+    return spark.read.parquet(f"{root}/daily").drop("year")
+
+
+def _bootstrapped_daily(spark, sf) -> str:
+    path = work_path(spark, "daily")
+    tables.create_table(rollup.with_calendar(_daily(spark, sf)).drop("date", "month", "season"), path)
+    return path
+
+
+def q_records_job(spark, sf):
+    """V6: daily table -> records CSV per season folder -> read back."""
+    out = work_path(spark, "records")
+    jobs.records_job(spark, _bootstrapped_daily(spark, sf), out)
+    return jobs.read_products(spark, out, trends=False)
+
+
+def q_trends_job(spark, sf):
+    """V7: daily table -> latest-years trends CSV per season folder -> read back."""
+    out = work_path(spark, "trends")
+    jobs.trends_job(spark, _bootstrapped_daily(spark, sf), out)
+    return jobs.read_products(spark, out, trends=True)
+
+
+def q_daily_incremental(spark, sf):
+    """Decoded messages upserted into the raw table by unix_date, then the daily
+    job rolls the raw table up and upserts the daily table."""
+    root = work_path(spark, "incremental")
+    rec = fixtures.nested_messages(spark, sf).select("seq", codecs.decode("value").alias("r"))
+    raw = (codecs.flatten_record(rec, "r", keep=("seq",))
+           .withColumn("batch", F.lit(1).cast("long"))
+           .withColumn("day", F.to_date(F.timestamp_seconds("unix_date"))))
+    tables.merge_upsert(spark, f"{root}/raw", raw, ["unix_date"], ["batch", "seq"], "day", exists=False)
+    jobs.daily_incremental(spark, f"{root}/raw", f"{root}/daily", batch=1, daily_exists=False)
+    jobs.daily_incremental(spark, f"{root}/raw", f"{root}/daily", batch=2)  # re-run: unchanged
+    return spark.read.parquet(f"{root}/daily").drop("year", "_b")
+
+
+QUERIES.update({
+    "history_json_scan": q_history_json_scan,
+    "records_job": q_records_job,
+    "trends_job": q_trends_job,
+    "daily_incremental": q_daily_incremental,
+})
+ORACLE.update({
+    "history_json_scan": O.q_daily_rollup(),
+    "records_job": O.q_records("extreme"),
+    "trends_job": O.q_yearly_trend(with_has_prev=False),
+    "daily_incremental": O.q_stream_daily_rollup(),
+})
