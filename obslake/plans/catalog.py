@@ -373,16 +373,20 @@ from obslake.streaming import live  # noqa: E402
 STREAM_DELAY = "1 day"   # watermark delay; input arrives in one-day files, so nothing is late
 
 
-def _stage_by_day(df: DataFrame, path: str) -> None:
+def _stage_by_day(df: DataFrame, path: str, text_col: str | None = None) -> None:
     """Write a stream's input as files that arrive day after day (one job per day, in time order),
-    the way a landing folder fills up."""
+    the way a landing folder fills up. With text_col, plain text lines of that column."""
     span = df.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
     day = F.to_date("ts")
     d = span["lo"].date()
     last = span["hi"].date()
     import datetime as _dt
     while d <= last:
-        df.filter(day == F.lit(d)).write.mode("append").parquet(path)
+        part = df.filter(day == F.lit(d))
+        if text_col:
+            part.select(text_col).write.mode("append").text(path)
+        else:
+            part.write.mode("append").parquet(path)
         d += _dt.timedelta(days=1)
 
 
@@ -489,3 +493,41 @@ ORACLE.update({
     "trends_job": O.q_yearly_trend(with_has_prev=False),
     "daily_incremental": O.q_stream_daily_rollup(),
 })
+
+
+def _staged_lines(spark, sf, root):
+    src = f"{root}/lines"
+    obs = fixtures.observations(spark, sf)
+    lines = obs.select("ts", codecs.format_line("location", epoch_seconds("ts"), "temperature", "wind",
+                                                "humidity", "weather").alias("value"))
+    _stage_by_day(lines, src, text_col="value")
+    return obs, spark.readStream.option("maxFilesPerTrigger", 3).text(src)
+
+
+def q_stream_location_data(spark, sf):
+    """V11 raw path, S12, P16, T7, S13: tuple-line stream parsed and upserted into location_data
+    keyed by (location, timestamp)."""
+    root = work_path(spark, "live_lines")
+    _, stream = _staged_lines(spark, sf, root)
+    job = live.LiveLocationData(root)
+    job.start(stream, trigger=None).awaitTermination()
+    return job.table(spark)
+
+
+def q_stream_line_trends(spark, sf):
+    """V11 trend path: tuple-line stream -> typed observations -> live interval trends."""
+    root = work_path(spark, "line_trends")
+    obs, stream = _staged_lines(spark, sf, root)
+    lt = live.LiveTrends(root, watermark=STREAM_DELAY)
+    lt.start(live.parse_observations(stream), trigger=None).awaitTermination()
+    return _closed(lt.results(spark), obs)
+
+
+QUERIES.update({
+    "stream_location_data": q_stream_location_data,
+    "stream_line_trends": q_stream_line_trends,
+})
+ORACLE.update({
+    "stream_location_data": O.q_stream_location_data(),
+    "stream_line_trends": O.q_stream_line_trends(STREAM_DELAY),
+})

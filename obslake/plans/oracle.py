@@ -329,3 +329,29 @@ def q_stream_daily_rollup() -> str:
 dd AS (SELECT * FROM nf QUALIFY row_number() OVER (PARTITION BY unix_date ORDER BY seq DESC) = 1),
 nd AS (SELECT * REPLACE (unix_date - unix_date % 86400 AS unix_date) FROM dd)
 {daily_select('nd')}"""
+
+
+E_LINE = f"""
+e AS (
+  SELECT 'station-' || CAST(user_id % 5 AS VARCHAR) AS location, make_timestamp(epoch_us(ts) // 1000000 * 1000000) AS ts,
+         CAST(0 AS BIGINT) AS seq, value AS temperature, CAST(user_id % 20 AS DOUBLE) AS wind,
+         TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS humidity, event_type AS weather
+  FROM events)"""
+
+
+def q_stream_location_data() -> str:
+    return f"""WITH {E_LINE},
+r AS (SELECT location, {EP} AS timestamp, temperature, wind, humidity, weather,
+             row_number() OVER (PARTITION BY location, {EP}
+                                ORDER BY temperature DESC, wind DESC, humidity DESC, weather DESC) AS rn
+      FROM e)
+SELECT location, timestamp, temperature, wind, humidity, weather FROM r WHERE rn = 1"""
+
+
+def q_stream_line_trends(delay: str) -> str:
+    cte = ends_cte().replace(E_OBS, E_LINE).replace(
+        "(ts, seq)) AS f", "(ts, seq, temperature, wind, humidity, weather)) AS f").replace(
+        "(ts, seq)) AS l", "(ts, seq, temperature, wind, humidity, weather)) AS l")
+    return f"""WITH {cte}
+{TREND_SELECT}
+WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL {delay}"""
