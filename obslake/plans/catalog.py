@@ -531,3 +531,19 @@ ORACLE.update({
     "stream_location_data": O.q_stream_location_data(),
     "stream_line_trends": O.q_stream_line_trends(STREAM_DELAY),
 })
+
+
+def q_stream_live_trends(spark, sf):
+    """T3-T6 live form: direct sliding windows in update mode with an upsert sink; equals the
+    batch result in every window, open ones included."""
+    root = work_path(spark, "live_update")
+    obs = fixtures.observations(spark, sf)
+    src = f"{root}/input"
+    _stage_by_day(obs, src)
+    job = live.LiveTrendsUpdate(root, watermark=STREAM_DELAY)
+    job.start(live.observation_stream(spark, src, OBSERVATION, max_files=3), trigger=None).awaitTermination()
+    return job.results(spark)
+
+
+QUERIES["stream_live_trends"] = q_stream_live_trends
+ORACLE["stream_live_trends"] = O.q_interval_trends()
