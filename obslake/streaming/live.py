@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from obslake.functions.columns import epoch_to_date, midnight_epoch
 from obslake.operators import rollup, windows
-from obslake.schemas import INTERVALS, SLIDE_S
+from obslake.schemas import DAY_S, INTERVALS, SLIDE_S
 from obslake.sources import codecs, tables
 
 
@@ -67,14 +67,19 @@ class LiveTrends:
         spark = batch.sparkSession
         # the batch frame is evaluated once (by this write); everything else reads the written
         # panes, so the stateful aggregation is not re-run per action
-        out = f"{self.panes_path}/batch={batch_id}"
-        batch.write.mode("overwrite").parquet(out)
-        span = (spark.read.schema(batch.schema).parquet(out)
-                .agg(F.min("pane").alias("lo"), F.max("pane").alias("hi")).first())
+        # layout day=<pane day>/batch=<id>: the range read below prunes to a few day folders,
+        # and a replayed batch overwrites exactly its own (day, batch) folders (dynamic overwrite)
+        day = F.floor(F.col("pane") / F.lit(DAY_S)).cast("long")
+        (batch.withColumn("day", day).withColumn("batch", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").partitionBy("day", "batch").parquet(self.panes_path))
+        schema = batch.schema.add("day", "long").add("batch", "long")
+        mine = spark.read.schema(schema).parquet(self.panes_path).filter(F.col("batch") == batch_id)
+        span = mine.agg(F.min("pane").alias("lo"), F.max("pane").alias("hi")).first()
         if span["lo"] is None:  # S23: nothing closed in this batch
             return
         lo, hi, wmax = int(span["lo"]), int(span["hi"]), max(self.intervals)
-        pn = (spark.read.parquet(self.panes_path)
+        pn = (spark.read.schema(schema).parquet(self.panes_path)
+              .filter((F.col("day") >= (lo - wmax) // DAY_S) & (F.col("day") <= (hi + wmax) // DAY_S))
               .filter((F.col("pane") >= lo - wmax) & (F.col("pane") < hi + wmax))
               .select("location", "pane", "first_rec", "last_rec"))
         ends = windows.window_ends(None, self.intervals, self.slide_s, pn=pn)
