@@ -157,3 +157,12 @@ def interval_label(interval_s: ColOrName) -> Column:
 def clean_location(s: ColOrName) -> Column:
     """delete ( ) . and ' from a location name."""
     return F.translate(_c(s), "().'", "")
+
+
+def to_celsius(temp: ColOrName, unit: ColOrName) -> Column:
+    """Q13: live messages carry Kelvin, history Celsius; a `unit` column travels with the value
+    and this converts on request ('K', 'F' or 'C'; unknown units give null)."""
+    t, u = _c(temp), F.upper(_c(unit))
+    return (F.when(u == "C", t)
+            .when(u == "K", t - F.lit(273.15))
+            .when(u == "F", (t - F.lit(32.0)) * F.lit(5.0) / F.lit(9.0)))

@@ -547,3 +547,16 @@ def q_stream_live_trends(spark, sf):
 
 QUERIES["stream_live_trends"] = q_stream_live_trends
 ORACLE["stream_live_trends"] = O.q_interval_trends()
+
+
+def q_ttl_compaction(spark, sf):
+    """T9 compaction: location_data partitioned by day, expired rows dropped physically."""
+    path = work_path(spark, "location_data_ttl")
+    _location_data(spark, sf).write.partitionBy("day").parquet(path)
+    tables.compact_expired(spark, path, AS_OF)
+    return spark.read.parquet(path).select("location", "timestamp", "temperature", "wind", "humidity",
+                                           "weather", "seq")
+
+
+QUERIES["ttl_compaction"] = q_ttl_compaction
+ORACLE["ttl_compaction"] = O.q_ttl_filter(AS_OF)

@@ -110,6 +110,30 @@ def expire(df: DataFrame, as_of, ttl_s: int = DAY_S, written_at: str = "written_
     return df.filter(F.col(written_at).cast("timestamp") > a - F.make_dt_interval(secs=F.lit(ttl_s)))
 
 
+def compact_expired(spark: SparkSession, path: str, as_of, ttl_s: int = DAY_S,
+                    written_at: str = "written_at", partition_by: str = "day") -> None:
+    """T9 compaction: physically drop expired rows of a table partitioned by `partition_by`.
+
+    Per-partition min/max of written_at (one row per partition) sorts partitions into untouched,
+    mixed and dead. Mixed partitions are rewritten with their surviving rows (dynamic overwrite,
+    from a checkpoint); dead partitions are removed as folders. Only partition values (one per
+    day) reach the driver."""
+    df = spark.read.parquet(path)
+    a = F.lit(as_of).cast("timestamp")
+    cutoff = a - F.make_dt_interval(secs=F.lit(ttl_s))
+    w = F.col(written_at).cast("timestamp")
+    stats = df.groupBy(partition_by).agg(F.min(w).alias("lo"), F.max(w).alias("hi"))
+    dead = [r[0] for r in stats.filter(F.col("hi") <= cutoff).select(partition_by).collect()]
+    mixed = stats.filter((F.col("lo") <= cutoff) & (F.col("hi") > cutoff)).select(partition_by)
+    keep = expire(df.join(mixed, partition_by, "left_semi"), a, ttl_s, written_at).checkpoint(eager=True)
+    keep.write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for v in dead:
+        p = jvm.org.apache.hadoop.fs.Path(f"{path}/{partition_by}={v}")
+        p.getFileSystem(conf).delete(p, True)
+
+
 # --- catalog DDL (S19-S21) --------------------------------------------------------------------
 
 def ensure_table(spark: SparkSession, db: str, table: str, ddl_columns: str, path: str,

@@ -88,3 +88,18 @@ def test_csv_round_trip(spark):
     back = tables.read_result_csv(spark, path, trends=True).collect()
     assert [tuple(r) for r in back] == [("summer", 2014, "Max Humidity", 81.0, 0.0)]
     assert F is not None
+
+
+def test_to_celsius(spark):
+    from obslake.functions.columns import to_celsius
+    df = spark.createDataFrame([(273.15, "K"), (212.0, "f"), (-23.56, "C"), (1.0, "X")], "t double, u string")
+    assert [r.c for r in df.select(to_celsius("t", "u").alias("c")).collect()] == [0.0, 100.0, -23.56, None]
+
+
+def test_compaction_keeps_only_live_rows(spark):
+    path = work_path(spark, "t_compact")
+    rows = [(dt.datetime(2024, 1, d, h), dt.date(2024, 1, d)) for d in (28, 29, 30) for h in (1, 23)]
+    spark.createDataFrame(rows, "written_at timestamp, day date").write.partitionBy("day").parquet(path)
+    tables.compact_expired(spark, path, "2024-01-30 12:00:00")
+    left = sorted(r.written_at for r in spark.read.parquet(path).collect())
+    assert left == [dt.datetime(2024, 1, 29, 23), dt.datetime(2024, 1, 30, 1), dt.datetime(2024, 1, 30, 23)]
