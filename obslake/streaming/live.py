@@ -188,6 +188,12 @@ class LiveLocationData:
                                                     "humidity", "weather")
 
 
+def late_rows(query) -> int:
+    """Rows the last micro-batch dropped because they were behind the watermark."""
+    prog = query.lastProgress or {}
+    return int(sum(op.get("numRowsDroppedByWatermark", 0) for op in prog.get("stateOperators", [])))
+
+
 def observation_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
     """S12 analogue for files: a folder of Parquet observation files as a stream."""
     r = spark.readStream.schema(schema)
