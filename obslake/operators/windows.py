@@ -10,15 +10,16 @@ input by 360 for the 6 h window (466 over all six). Instead:
 
 1. panes: one row per (location, minute) with min(struct) and max(struct) of its rows
    (partial aggregation before the shuffle);
-2. neighbours: previous and next non-empty pane of the same location, computed with a window
-   partitioned by (location, day bucket). The last pane of the previous bucket and the first
-   pane of the next one are fed in as ghost rows, so no partition holds more than one bucket of
-   one location, however hot the location is;
+2. end buckets: each pane is copied to the day bucket(s) whose window ends it can reach (one,
+   or two for panes within W of midnight) and gets its previous and next pane there, with a
+   window partitioned by (location, end bucket). No partition holds more than one bucket of
+   one location (<= 1,440 + 360 panes), however hot the location is;
 3. every window end is emitted exactly twice: once by its last pane p (ends in
    (p, min(p + W, next_p)]) and once by its first pane q (ends in (max(prev_q + W, q), q + W]);
-4. one shuffle on (location, interval, end) pairs the two.
+4. an aggregate inside the same (location, end bucket) partitioning pairs the two: no further
+   exchange.
 
-Work and shuffle volume are proportional to the number of result rows, not rows x W/60.
+Work is proportional to the number of result rows, not rows x W/60, and only panes are shuffled.
 The pane-explode form (`window_ends_panes`) and the plain window() form (`window_ends_direct`)
 are kept: they give the same rows and are what a streaming aggregation can run.
 """
@@ -52,56 +53,11 @@ def panes(obs: DataFrame, slide_s: int = SLIDE_S, fields: tuple[str, ...] = REC_
             .agg(F.min(rec).alias("first_rec"), F.max(rec).alias("last_rec")))
 
 
-def pane_neighbours(pn: DataFrame, bucket_s: int) -> DataFrame:
-    """Add prev_pane / next_pane (null when more than one bucket away, which is then farther
-    than any window length and irrelevant). bucket_s must be >= the longest window."""
-    b = F.floor(F.col("pane") / F.lit(bucket_s)).cast("long")
-    real = pn.select("location", b.alias("bucket"), "pane", F.lit(False).alias("ghost"),
-                     "first_rec", "last_rec")
-    edges = (pn.groupBy("location", b.alias("bucket"))
-             .agg(F.min("pane").alias("lo"), F.max("pane").alias("hi")))
-    nul = [F.lit(None).cast(pn.schema[c].dataType).alias(c) for c in ("first_rec", "last_rec")]
-    ghosts = (edges.select("location", (F.col("bucket") + 1).alias("bucket"), F.col("hi").alias("pane"),
-                           F.lit(True).alias("ghost"), *nul)
-              .unionByName(edges.select("location", (F.col("bucket") - 1).alias("bucket"),
-                                        F.col("lo").alias("pane"), F.lit(True).alias("ghost"), *nul)))
-    w = Window.partitionBy("location", "bucket").orderBy("pane")
-    return (real.unionByName(ghosts)
-            .withColumn("prev_pane", F.lag("pane").over(w))
-            .withColumn("next_pane", F.lead("pane").over(w))
-            .filter(~F.col("ghost"))
-            .drop("ghost", "bucket"))
-
-
 def _bucket_for(intervals) -> int:
     longest = max(intervals)
     return max(DAY_S, ((longest + SLIDE_S - 1) // SLIDE_S) * SLIDE_S)
 
 
-def _sides(obs: DataFrame, intervals, slide_s: int, flat: bool = False, pn: DataFrame | None = None):
-    """The two emissions. With flat=True the records leave as l_*/f_* columns (used by the join
-    form: nested fields are then never extracted above the explode). `pn` passes ready panes."""
-    nb = pane_neighbours(panes(obs, slide_s) if pn is None else pn, _bucket_for(intervals))
-    if flat:
-        nb = nb.select("location", "pane", "prev_pane", "next_pane",
-                       *[F.col("last_rec")[f].alias(f"l_{f}") for f in REC_FIELDS],
-                       *[F.col("first_rec")[f].alias(f"f_{f}") for f in REC_FIELDS])
-        lcols = [f"l_{f}" for f in REC_FIELDS]
-        fcols = [f"f_{f}" for f in REC_FIELDS]
-    else:
-        lcols, fcols = ["last_rec"], ["first_rec"]
-    base = nb.withColumn("interval_s", F.explode(F.array(*[F.lit(int(w)) for w in intervals])))
-    p, w = F.col("pane"), F.col("interval_s").cast("long")
-    step = F.lit(slide_s).cast("long")
-    last_hi = F.least(p + w, F.coalesce(F.col("next_pane"), p + w))
-    first_lo = F.greatest(F.coalesce(F.col("prev_pane") + w, p), p)
-    last = base.select("location", "interval_s",
-                       F.explode(F.sequence(p + step, last_hi, step)).alias("end_s"), *lcols)
-    first = base.select("location", "interval_s",
-                        F.explode(F.sequence(first_lo + step, p + w, step)).alias("end_s"), *fcols)
-    return last, first
-
-
 def _finish(df: DataFrame) -> DataFrame:
     return df.select("location", "interval_s",
                      F.timestamp_seconds("end_s").cast("timestamp_ntz").alias("window_end"),
@@ -126,15 +82,11 @@ def bucketed_panes(pn: DataFrame, intervals=INTERVALS, slide_s: int = SLIDE_S) -
             .withColumn("next_pane", F.lead("pane").over(w)))
 
 
-def window_ends(obs: DataFrame | None, intervals=INTERVALS, slide_s: int = SLIDE_S,
-                pn: DataFrame | None = None) -> DataFrame:
-    """(location, interval_s, window_end, first_rec, last_rec) for every non-empty window;
-    default form. Panes are shuffled once to their (location, end bucket); both emissions come
-    out of one explode and are paired by an aggregate inside that same partitioning, so after
-    the pane stage there is exactly one exchange and no result-sized shuffle.
-    Pass `pn` (location, pane, first_rec, last_rec) to start from stored panes."""
+def _emissions(pn: DataFrame, intervals, slide_s: int) -> DataFrame:
+    """Both emissions of every pane for every interval, tagged is_last, in (location, end bucket)
+    partitions: (location, ebucket, interval_s, end_s, is_last, first_rec, last_rec)."""
     B = _bucket_for(intervals)
-    bp = bucketed_panes(panes(obs, slide_s) if pn is None else pn, intervals, slide_s)
+    bp = bucketed_panes(pn, intervals, slide_s)
     base = bp.withColumn("interval_s", F.explode(F.array(*[F.lit(int(w)) for w in intervals])))
     p, w = F.col("pane"), F.col("interval_s").cast("long")
     step = F.lit(slide_s).cast("long")
@@ -151,7 +103,17 @@ def window_ends(obs: DataFrame | None, intervals=INTERVALS, slide_s: int = SLIDE
                     lambda e: F.struct(e.alias("end_s"), F.lit(True).alias("is_last"))),
         F.transform(seq(first_lo, F.least(p + w, b_hi)),
                     lambda e: F.struct(e.alias("end_s"), F.lit(False).alias("is_last"))))
-    em = base.select("location", "ebucket", "interval_s", F.inline(tagged), "first_rec", "last_rec")
+    return base.select("location", "ebucket", "interval_s", F.inline(tagged), "first_rec", "last_rec")
+
+
+def window_ends(obs: DataFrame | None, intervals=INTERVALS, slide_s: int = SLIDE_S,
+                pn: DataFrame | None = None) -> DataFrame:
+    """(location, interval_s, window_end, first_rec, last_rec) for every non-empty window;
+    default form. Panes are shuffled once to their (location, end bucket); both emissions come
+    out of one explode and are paired by an aggregate inside that same partitioning, so after
+    the pane stage there is exactly one exchange and no result-sized shuffle.
+    Pass `pn` (location, pane, first_rec, last_rec) to start from stored panes."""
+    em = _emissions(panes(obs, slide_s) if pn is None else pn, intervals, slide_s)
     paired = em.groupBy("location", "ebucket", "interval_s", "end_s").agg(
         F.min(F.when(~F.col("is_last"), F.col("first_rec"))).alias("first_rec"),
         F.max(F.when(F.col("is_last"), F.col("last_rec"))).alias("last_rec"))
@@ -160,11 +122,15 @@ def window_ends(obs: DataFrame | None, intervals=INTERVALS, slide_s: int = SLIDE
 
 def window_ends_join(obs: DataFrame, intervals=INTERVALS, slide_s: int = SLIDE_S) -> DataFrame:
     """The same pairs as an inner equi-join window-last |x| window-first on
-    (location, interval, end). Both sides are result-sized; a sort-merge join on a key with
-    one row per side and value, so no key can be hot."""
-    # the records travel flat through explode and join and are re-packed after it
-    last, first = _sides(obs, intervals, slide_s, flat=True)
-    keys = ["location", "interval_s", "end_s"]
+    (location, end bucket, interval, end). Both sides are result-sized with one row per key, so
+    no key can be hot; the records travel as flat columns through explode and join."""
+    em = _emissions(panes(obs, slide_s), intervals, slide_s)
+    keys = ["location", "ebucket", "interval_s", "end_s"]
+    flat = em.select(*keys, "is_last",
+                     *[F.col("last_rec")[f].alias(f"l_{f}") for f in REC_FIELDS],
+                     *[F.col("first_rec")[f].alias(f"f_{f}") for f in REC_FIELDS])
+    last = flat.filter(F.col("is_last")).select(*keys, *[f"l_{f}" for f in REC_FIELDS])
+    first = flat.filter(~F.col("is_last")).select(*keys, *[f"f_{f}" for f in REC_FIELDS])
     j = last.join(first, keys, "inner")
     return _finish(j.select(*keys,
                             F.struct(*[F.col(f"f_{f}").alias(f) for f in REC_FIELDS]).alias("first_rec"),

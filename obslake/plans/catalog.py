@@ -3,14 +3,21 @@ and its DuckDB oracle SQL. `__spark_entry__.py` exposes both."""
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from obslake import fixtures
+from obslake.functions.columns import epoch_seconds, midnight_epoch, season_year
 from obslake.operators import history, rollup, windows
+from obslake.plans import jobs, serve
 from obslake.plans import oracle as O
-from obslake.schemas import INTERVALS, TREND_MEASURES
+from obslake.schemas import INTERVALS, MESSAGE, OBSERVATION, TREND_MEASURES
+from obslake.session import work_path
+from obslake.sources import codecs, tables
+from obslake.streaming import live
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -117,12 +124,7 @@ ORACLE: dict[str, str] = {
 
 # --- codecs, sources, keyed tables, serving -----------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
 
-from obslake.functions.columns import epoch_seconds, midnight_epoch, season_year  # noqa: E402
-from obslake.plans import serve  # noqa: E402
-from obslake.session import work_path  # noqa: E402
-from obslake.sources import codecs, tables  # noqa: E402
 
 AS_OF = "2024-01-31 00:00:00"              # fixed clock for TTL and current-season products
 UPSERT_OLD_BEFORE = "2024-01-21 00:00:00"  # first load: observations before this time
@@ -152,7 +154,6 @@ def q_double_json_decode(spark, sf):
     twice = F.substring(twice, F.lit(2), F.length(twice) - F.lit(2))
     both = (m.select("seq", F.lit("single").alias("encoding"), "value")
             .unionByName(m.select("seq", F.lit("double").alias("encoding"), twice.alias("value"))))
-    from obslake.schemas import MESSAGE
     return both.select("seq", "encoding", codecs.decode("value", MESSAGE).alias("m")).select(
         "seq", "encoding", "m.*")
 
@@ -367,8 +368,6 @@ ORACLE.update({
 
 # --- streaming (file streams stand in for the broker) -------------------------------------------
 
-from obslake.schemas import OBSERVATION  # noqa: E402
-from obslake.streaming import live  # noqa: E402
 
 STREAM_DELAY = "1 day"   # watermark delay; input arrives in one-day files, so nothing is late
 
@@ -380,14 +379,13 @@ def _stage_by_day(df: DataFrame, path: str, text_col: str | None = None) -> None
     day = F.to_date("ts")
     d = span["lo"].date()
     last = span["hi"].date()
-    import datetime as _dt
     while d <= last:
         part = df.filter(day == F.lit(d))
         if text_col:
             part.select(text_col).write.mode("append").text(path)
         else:
             part.write.mode("append").parquet(path)
-        d += _dt.timedelta(days=1)
+        d += datetime.timedelta(days=1)
 
 
 def _closed(df: DataFrame, obs: DataFrame) -> DataFrame:
@@ -435,7 +433,6 @@ ORACLE.update({
 
 # --- end-to-end batch jobs (V6-V9) -------------------------------------------------------------
 
-from obslake.plans import jobs  # noqa: E402
 
 
 def q_history_json_scan(spark, sf):

@@ -83,7 +83,9 @@ def test_hot_location_spread_over_buckets(spark):
     gives many partitions, not one."""
     obs = fixtures.observations(spark, SF_SMALL)
     one = obs.withColumn("location", F.lit("hot"))
-    nb = windows.pane_neighbours(windows.panes(one), 86400)
-    assert nb.select(F.floor(F.col("pane") / 86400)).distinct().count() > 20
+    bp = windows.bucketed_panes(windows.panes(one))
+    assert bp.select("ebucket").distinct().count() > 20
+    biggest = bp.groupBy("location", "ebucket").count().agg(F.max("count")).first()[0]
+    assert biggest <= 1440 + 360
     ref = windows.window_ends_panes(one, (3600,))
     assert windows.window_ends(one, (3600,)).exceptAll(ref).count() == 0
