@@ -110,8 +110,12 @@ def exact_mean(x: ColOrName, scale: int = 2) -> Column:
     inputs with up to 6 decimals), the long sum is exact and order-free (under ANSI an overflow
     fails instead of wrapping), and the single division per group is done in decimal. So the
     mean is the same on one thread and on a thousand executors, at near double-sum speed.
+    NaN inputs are ignored like nulls.
     """
-    units = F.rint(_c(x).cast("double") * F.lit(float(MICRO))).cast("long")
+    v = _c(x).cast("double")
+    # NaN readings are skipped (a long has no NaN); a value too large for micro-units still
+    # fails the cast under ANSI rather than vanishing
+    units = F.when(~F.isnan(v), F.rint(v * F.lit(float(MICRO)))).cast("long")
     mean_units = F.sum(units).cast("decimal(38,10)") / F.count(units).cast("decimal(20,0)")
     return F.round(mean_units, scale - 6).cast("double") / F.lit(float(MICRO))
 

@@ -97,6 +97,12 @@ class LiveTrends:
              .start())
         return q
 
+    def expire_results(self, spark: SparkSession, as_of, ttl_s: int = 86400) -> None:
+        """T9 on the result table: batch folders whose windows all ended more than ttl_s before
+        as_of are removed, mixed ones rewritten without the expired rows."""
+        tables.compact_expired(spark, self.results_path, as_of, ttl_s, written_at="window_end",
+                               partition_by="batch")
+
     def results(self, spark: SparkSession) -> DataFrame:
         """Latest computation per (location, interval, window end)."""
         res = spark.read.parquet(self.results_path)

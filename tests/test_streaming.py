@@ -41,3 +41,22 @@ def test_products_read_back_per_season(spark):
     rec = catalog.q_records_job(spark, SF_SMALL)
     assert set(r.season for r in rec.collect()) == {"summer", "winter"}
     assert rec.filter(F.col("season") == "summer").count() == 6
+
+
+def test_live_results_expiry(spark):
+    from obslake.session import work_path
+    from obslake.streaming import live
+
+    root = work_path(spark, "t_expiry")
+    obs = fixtures.observations(spark, SF_SMALL)
+    src = f"{root}/input"
+    catalog._stage_by_day(obs, src)
+    lt = live.LiveTrends(root, watermark=catalog.STREAM_DELAY)
+    lt.start(live.observation_stream(spark, src, catalog.OBSERVATION, max_files=10), trigger=None).awaitTermination()
+    before = lt.results(spark)
+    as_of = "2024-01-29 00:00:00"
+    want = sorted(tuple(r) for r in before.filter(
+        F.col("window_end") > F.lit("2024-01-28 00:00:00").cast("timestamp_ntz")).collect())
+    lt.expire_results(spark, as_of)
+    after = sorted(tuple(r) for r in lt.results(spark).collect())
+    assert after and after == want
