@@ -355,3 +355,8 @@ def q_stream_line_trends(delay: str) -> str:
     return f"""WITH {cte}
 {TREND_SELECT}
 WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL {delay}"""
+
+
+def q_season_year() -> str:
+    return f"""WITH {season_cte(split_summer=True)}
+SELECT unix_date, season, year AS season_year FROM h_cal"""
