@@ -56,7 +56,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Read from the session; only when unset (local tests) a private folder is created and
     registered, so that checkpoint() and staged tables work the same way everywhere.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # e.g. a Spark Connect session: no driver-side context, read the conf
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return d
     d = sc.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
