@@ -20,16 +20,17 @@ DEFAULTS = {
 
 
 def build_session(master: str | None = None, app: str = "obslake",
-                  shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, extra: dict | None = None,
+                  ui: bool = False) -> SparkSession:
     """Create (or reuse) a session with the library defaults.
 
-    On a cluster pass master=None and let spark-submit decide; tests pass local[N].
+    On a cluster pass master=None and let spark-submit decide; tests pass local[N]. The web UI
+    stays off unless asked for (ui=True): batch jobs report through event logs instead.
     """
     b = SparkSession.builder.appName(app)
+    b = b.config("spark.ui.enabled", "true" if ui else "false").config("spark.ui.showConsoleProgress", "false")
     if master:
         b = b.master(master)
-        # local runs: no web UI, driver memory is the only memory knob
-        b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in DEFAULTS.items():
         b = b.config(k, v)
     if shuffle_partitions:
