@@ -57,8 +57,8 @@ def local_minute(epoch_s: ColOrName) -> Column:
 
 
 def to_epoch_long(x: ColOrName) -> Column:
-    """F16: float epoch -> whole seconds."""
-    return _c(x).try_cast("long")
+    """F16: float epoch (number or text) -> whole seconds, truncating like int(); junk -> null."""
+    return _c(x).try_cast("double").cast("long")
 
 
 def now() -> Column:

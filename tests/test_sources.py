@@ -103,3 +103,14 @@ def test_compaction_keeps_only_live_rows(spark):
     tables.compact_expired(spark, path, "2024-01-30 12:00:00")
     left = sorted(r.written_at for r in spark.read.parquet(path).collect())
     assert left == [dt.datetime(2024, 1, 29, 23), dt.datetime(2024, 1, 30, 1), dt.datetime(2024, 1, 30, 23)]
+
+
+def test_small_column_helpers(spark):
+    from obslake.functions.columns import (epoch_to_date, local_hour, local_minute, midnight_epoch,
+                                           now, strip_outer, to_epoch_long)
+    df = spark.createDataFrame([("('a', 1)", "1601044162.73", 1601044162)], "line string, f string, e long")
+    r = df.select(strip_outer("line").alias("s"), to_epoch_long("f").alias("l"),
+                  local_hour("e").alias("h"), local_minute("e").alias("m"),
+                  midnight_epoch("e").alias("mid"), epoch_to_date("e").alias("d"),
+                  now().isNotNull().alias("t")).first()
+    assert (r.s, r.l, r.h, r.m, r.mid, r.d, r.t) == ("'a', 1", 1601044162, 14, 29, 1600992000, dt.date(2020, 9, 25), True)
