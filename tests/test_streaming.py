@@ -60,3 +60,56 @@ def test_live_results_expiry(spark):
     lt.expire_results(spark, as_of)
     after = sorted(tuple(r) for r in lt.results(spark).collect())
     assert after and after == want
+
+
+def test_late_rows_are_merged_not_lost(spark):
+    import datetime as dt
+
+    from obslake.schemas import OBSERVATION
+    from obslake.session import work_path
+    from obslake.streaming import live
+
+    root = work_path(spark, "t_late")
+    t0 = dt.datetime(2024, 1, 2, 12, 0, 0)
+    on_time = [("A", t0 + dt.timedelta(minutes=i), i, 1.0 + i, 1.0, 1.0, "x") for i in range(30)]
+    late = [("A", t0 - dt.timedelta(hours=2), 100, 99.0, 1.0, 1.0, "late")]
+    spark.createDataFrame(on_time, OBSERVATION).coalesce(1).write.parquet(f"{root}/in")
+    spark.createDataFrame(late, OBSERVATION).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    lt = live.LiveTrends(root, intervals=(60, 300), watermark="10 minutes")
+    q = lt.start(live.observation_stream(spark, f"{root}/in", OBSERVATION, max_files=1), trigger=None)
+    q.awaitTermination()
+    assert live.late_rows(q) == 0  # behind the current watermark only: accepted
+    # the late row is merged, not lost: closed windows equal a batch run over all delivered rows
+    allrows = spark.createDataFrame(on_time + late, OBSERVATION)
+    want = windows.interval_trends(windows.window_ends(allrows, (60, 300)))
+    wm = F.lit(t0 + dt.timedelta(minutes=29) - dt.timedelta(minutes=10)).cast("timestamp_ntz")
+    got = lt.results(spark).filter(F.col("window_end") <= wm)
+    assert got.filter(F.col("weather") == "late").count() > 0
+    assert _same(got, want.filter(F.col("window_end") <= wm))
+
+
+def test_row_behind_previous_watermark_is_dropped_and_counted(spark):
+    """A row for a minute that was closed by an earlier batch is dropped and counted."""
+    import datetime as dt
+
+    from obslake.schemas import OBSERVATION
+    from obslake.session import work_path
+    from obslake.streaming import live
+
+    root = work_path(spark, "t_late2")
+    t0 = dt.datetime(2024, 1, 2, 12, 0, 0)
+    # file 1 and 2 close the 12:02 pane (stored by batch 1); file 3 brings a late row for it
+    first = [("A", t0 + dt.timedelta(minutes=i, seconds=30), i, 10.0 + i, 1.0, 1.0, "x") for i in range(60)]
+    late = [("A", t0 + dt.timedelta(minutes=2, seconds=1), 100, -5.0, 0.0, 1.0, "late")]
+    spark.createDataFrame(first[:30], OBSERVATION).coalesce(1).write.parquet(f"{root}/in")
+    spark.createDataFrame(first[30:], OBSERVATION).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    spark.createDataFrame(late, OBSERVATION).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    lt = live.LiveTrends(root, intervals=(60, 300), watermark="10 minutes")
+    q = lt.start(live.observation_stream(spark, f"{root}/in", OBSERVATION, max_files=1), trigger=None)
+    q.awaitTermination()
+    assert live.late_rows(q) == 1
+    accepted = spark.createDataFrame(first, OBSERVATION)
+    want = windows.interval_trends(windows.window_ends(accepted, (60, 300)))
+    wm = F.lit(t0 + dt.timedelta(minutes=59, seconds=30) - dt.timedelta(minutes=10)).cast("timestamp_ntz")
+    got = lt.results(spark).filter(F.col("window_end") <= wm)
+    assert got.count() > 0 and _same(got, want.filter(F.col("window_end") <= wm))
