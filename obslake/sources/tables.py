@@ -17,9 +17,25 @@ from obslake.schemas import DAY_S, LONG_MEASURES, LONG_TRENDS, OBS_NESTED
 
 # --- scans ----------------------------------------------------------------------------------
 
-def read_history_json(spark: SparkSession, path: str, schema: T.StructType = OBS_NESTED) -> DataFrame:
-    """Nested JSON history with a declared schema (no inference pass over the data)."""
-    return spark.read.schema(schema).json(path)
+def read_history_json(spark: SparkSession, path: str, schema: T.StructType = OBS_NESTED,
+                      multiline: bool = False) -> DataFrame:
+    """Nested JSON history with a declared schema (no inference pass over the data).
+    JSON lines (or one array per line) split across tasks; multiline=True reads pretty-printed
+    documents, at one task per file, so large histories should be stored as JSON lines."""
+    r = spark.read.schema(schema)
+    if multiline:
+        r = r.option("multiLine", True)
+    return r.json(path)
+
+
+def _committed(spark: SparkSession, path: str) -> bool:
+    """True when a completed write left its _SUCCESS marker at path."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    except Exception:
+        return False
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -44,9 +60,16 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def create_table(df: DataFrame, path: str, key: str = "unix_date", partition_by: str | None = "year",
                  initial_partitions: int = 5) -> None:
-    """Create and load a keyed table; fails if it exists. Rows are range-partitioned on the
-    key (the pre-split of the original store), files split by `partition_by`."""
-    w = df.repartitionByRange(initial_partitions, key).write.mode("errorifexists")
+    """Create and load a keyed table; fails if a complete table exists. A folder left by a
+    failed attempt (no _SUCCESS marker) is overwritten, so the job can simply be re-run. Rows are
+    range-partitioned on the key (the pre-split of the original store), files split by
+    `partition_by`."""
+    spark = df.sparkSession
+    if _committed(spark, path):
+        raise FileExistsError(f"table already exists: {path}")
+    # a whole-table write: static overwrite (replaces leftovers, leaves _SUCCESS at the root)
+    w = (df.repartitionByRange(initial_partitions, key).write.mode("overwrite")
+         .option("partitionOverwriteMode", "static"))
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)

@@ -114,3 +114,17 @@ def test_small_column_helpers(spark):
                   midnight_epoch("e").alias("mid"), epoch_to_date("e").alias("d"),
                   now().isNotNull().alias("t")).first()
     assert (r.s, r.l, r.h, r.m, r.mid, r.d, r.t) == ("'a', 1", 1601044162, 14, 29, 1600992000, dt.date(2020, 9, 25), True)
+
+
+def test_create_table_rerun_after_failed_attempt(spark):
+    import os
+
+    import pytest
+
+    path = work_path(spark, "t_create")
+    os.makedirs(path)  # leftovers of a failed attempt: a folder without _SUCCESS
+    df = spark.createDataFrame([(1, 2020, 1.0), (2, 2021, 2.0)], "unix_date long, year int, v double")
+    tables.create_table(df, path)
+    assert spark.read.parquet(path).count() == 2
+    with pytest.raises(FileExistsError):
+        tables.create_table(df, path)
