@@ -53,9 +53,11 @@ def panes(obs: DataFrame, slide_s: int = SLIDE_S, fields: tuple[str, ...] = REC_
             .agg(F.min(rec).alias("first_rec"), F.max(rec).alias("last_rec")))
 
 
-def _bucket_for(intervals) -> int:
-    longest = max(intervals)
-    return max(DAY_S, ((longest + SLIDE_S - 1) // SLIDE_S) * SLIDE_S)
+def _bucket_for(intervals, slide_s: int = SLIDE_S) -> int:
+    """End-bucket length: at least a day and the longest window, a multiple of the slide so
+    bucket edges sit on the grid of window ends."""
+    b = max(DAY_S, max(intervals))
+    return ((b + slide_s - 1) // slide_s) * slide_s
 
 
 def _finish(df: DataFrame) -> DataFrame:
@@ -72,7 +74,7 @@ def bucketed_panes(pn: DataFrame, intervals=INTERVALS, slide_s: int = SLIDE_S) -
     or two end buckets (extra volume W/B, 25 % for 6 h windows in day buckets) and gets its
     previous / next pane inside the end bucket. Everything an end needs is then in its own
     (location, end bucket) partition, however hot the location."""
-    B = _bucket_for(intervals)
+    B = _bucket_for(intervals, slide_s)
     wmax = max(intervals)
     b0 = F.floor(F.col("pane") / F.lit(B)).cast("long")
     copies = F.when(F.col("pane") >= (b0 + 1) * B - wmax, F.array(b0, b0 + 1)).otherwise(F.array(b0))
@@ -85,7 +87,7 @@ def bucketed_panes(pn: DataFrame, intervals=INTERVALS, slide_s: int = SLIDE_S) -
 def _emissions(pn: DataFrame, intervals, slide_s: int) -> DataFrame:
     """Both emissions of every pane for every interval, tagged is_last, in (location, end bucket)
     partitions: (location, ebucket, interval_s, end_s, is_last, first_rec, last_rec)."""
-    B = _bucket_for(intervals)
+    B = _bucket_for(intervals, slide_s)
     bp = bucketed_panes(pn, intervals, slide_s)
     base = bp.withColumn("interval_s", F.explode(F.array(*[F.lit(int(w)) for w in intervals])))
     p, w = F.col("pane"), F.col("interval_s").cast("long")
@@ -138,7 +140,7 @@ def window_ends_join(obs: DataFrame, intervals=INTERVALS, slide_s: int = SLIDE_S
 
 
 def window_ends_panes(obs: DataFrame, intervals=INTERVALS, slide_s: int = SLIDE_S) -> DataFrame:
-    """Section 4.3 form: panes, then each pane joins the W/slide windows that contain it.
+    """Section 4.3 form: panes, then each pane is copied into the W/slide windows that contain it.
     Same rows; volume grows with panes x W/slide. This is what a streaming aggregation runs."""
     pn = panes(obs, slide_s).withColumn(
         "interval_s", F.explode(F.array(*[F.lit(int(w)) for w in intervals])))
