@@ -124,6 +124,7 @@ def merge_upsert(spark: SparkSession, path: str, new: DataFrame, keys: list[str]
     # range partitioning on (partition, key): a hot partition is split over several writers
     # instead of landing in one task, and each writer still produces few, sorted files
     (merged.repartitionByRange(partition_by, *keys).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")   # only touched partitions, whatever the session says
      .partitionBy(partition_by).parquet(path))
 
 
@@ -149,7 +150,7 @@ def compact_expired(spark: SparkSession, path: str, as_of, ttl_s: int = DAY_S,
     dead = [r[0] for r in stats.filter(F.col("hi") <= cutoff).select(partition_by).collect()]
     mixed = stats.filter((F.col("lo") <= cutoff) & (F.col("hi") > cutoff)).select(partition_by)
     keep = expire(df.join(mixed, partition_by, "left_semi"), a, ttl_s, written_at).checkpoint(eager=True)
-    keep.write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    keep.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for v in dead:

@@ -74,7 +74,8 @@ class LiveTrends:
         # and a replayed batch overwrites exactly its own (day, batch) folders (dynamic overwrite)
         day = F.floor(F.col("pane") / F.lit(DAY_S)).cast("long")
         (batch.withColumn("day", day).withColumn("batch", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").partitionBy("day", "batch").parquet(self.panes_path))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("day", "batch").parquet(self.panes_path))
         schema = batch.schema.add("day", "long").add("batch", "long")
         mine = spark.read.schema(schema).parquet(self.panes_path).filter(F.col("batch") == batch_id)
         span = mine.agg(F.min("pane").alias("lo"), F.max("pane").alias("hi")).first()
@@ -93,8 +94,8 @@ class LiveTrends:
         ends = windows.window_ends(None, self.intervals, self.slide_s, pn=pn)
         end_s = F.unix_seconds(F.col("window_end").cast("timestamp"))
         ends = ends.filter((end_s > lo) & (end_s <= hi + wmax))
-        res = windows.interval_trends(ends, self.signed).withColumn("batch", F.lit(batch_id).cast("long"))
-        res.drop("batch").write.mode("overwrite").parquet(f"{self.results_path}/batch={batch_id}")
+        res = windows.interval_trends(ends, self.signed)
+        res.write.mode("overwrite").parquet(f"{self.results_path}/batch={batch_id}")
 
     def start(self, obs_stream: DataFrame, trigger: str | None = "10 seconds", checkpoint: str | None = None):
         q = (stream_panes(obs_stream, self.watermark, self.slide_s).writeStream

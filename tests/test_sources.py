@@ -128,3 +128,20 @@ def test_create_table_rerun_after_failed_attempt(spark):
     assert spark.read.parquet(path).count() == 2
     with pytest.raises(FileExistsError):
         tables.create_table(df, path)
+
+
+def test_upsert_safe_under_static_overwrite_session(spark):
+    """Keyed writes must not wipe untouched partitions even if the session is in static mode."""
+    path = work_path(spark, "t_static")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        a = spark.createDataFrame([("A", 1, 1.0, 1, dt.date(2024, 1, 1)), ("B", 2, 2.0, 1, dt.date(2024, 1, 2))],
+                                  "location string, ts long, v double, batch int, day date")
+        b = spark.createDataFrame([("A", 1, 5.0, 2, dt.date(2024, 1, 1))],
+                                  "location string, ts long, v double, batch int, day date")
+        tables.merge_upsert(spark, path, a, ["location", "ts"], ["batch"], "day", exists=False)
+        tables.merge_upsert(spark, path, b, ["location", "ts"], ["batch"], "day")
+        got = sorted(tuple(r) for r in spark.read.parquet(path).select("location", "v").collect())
+        assert got == [("A", 5.0), ("B", 2.0)]
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
