@@ -190,3 +190,10 @@ def write_kafka_stream(df: DataFrame, servers: str, topic: str, checkpoint: str)
     """(key, value) rows -> topic."""
     return (df.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
             .option("topic", topic).option("checkpointLocation", checkpoint).start())
+
+
+def read_socket_lines(spark: SparkSession, host: str, port: int) -> DataFrame:
+    """S12 as in the original setup: a socket text stream, one line per row in `value`.
+    Demo only: a socket source keeps no offsets and cannot replay after a failure, so production
+    streams read a broker topic or a landing folder (`spark.readStream.text(path)`)."""
+    return spark.readStream.format("socket").option("host", host).option("port", port).load()
