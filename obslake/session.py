@@ -33,6 +33,8 @@ def build_session(master: str | None = None, app: str = "obslake",
         b = b.master(master)
     for k, v in DEFAULTS.items():
         b = b.config(k, v)
+    # reliable checkpoints taken by upserts are removed once their data is no longer referenced
+    b = b.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
