@@ -94,8 +94,8 @@ class LiveTrends:
         ends = windows.window_ends(None, self.intervals, self.slide_s, pn=pn)
         end_s = F.unix_seconds(F.col("window_end").cast("timestamp"))
         ends = ends.filter((end_s > lo) & (end_s <= hi + wmax))
-        res = windows.interval_trends(ends, self.signed)
-        res.write.mode("overwrite").parquet(f"{self.results_path}/batch={batch_id}")
+        res = windows.interval_trends(ends, self.signed).withColumn("batch", F.lit(batch_id).cast("long"))
+        res.write.mode("overwrite").parquet(f"{self.results_path}/part={batch_id}")
 
     def start(self, obs_stream: DataFrame, trigger: str | None = "10 seconds", checkpoint: str | None = None):
         q = (stream_panes(obs_stream, self.watermark, self.slide_s).writeStream
@@ -106,15 +106,38 @@ class LiveTrends:
              .start())
         return q
 
-    def expire_results(self, spark: SparkSession, as_of, ttl_s: int = 86400) -> None:
-        """T9 on the result table: batch folders whose windows all ended more than ttl_s before
-        as_of are removed, mixed ones rewritten without the expired rows."""
+    def expire_results(self, spark: SparkSession, as_of, ttl_s: int = DAY_S) -> None:
+        """T9 on the result table: result folders whose windows all ended more than ttl_s before
+        as_of are removed, mixed ones rewritten without the expired rows. Pane days too old for
+        any later recompute (older than the result lifetime plus the longest window) go too."""
         tables.compact_expired(spark, self.results_path, as_of, ttl_s, written_at="window_end",
-                               partition_by="batch")
+                               partition_by="part")
+        keep_from = spark.range(1).select(
+            F.floor((F.unix_seconds(F.lit(as_of).cast("timestamp")) - ttl_s - max(self.intervals))
+                    / F.lit(DAY_S)).cast("long") - 1).first()[0]
+        for name in _list_dirs(spark, self.panes_path):
+            if name.startswith("day=") and int(name[4:]) < keep_from:
+                _delete(spark, f"{self.panes_path}/{name}")
+
+    def compact_results(self, spark: SparkSession) -> None:
+        """Merge the per-batch result folders into one: latest row per key, written as a new
+        folder part=c<max batch>, then the merged folders are deleted. A crash at any point
+        leaves at most identical duplicate rows (readers keep the latest batch), never a loss."""
+        folders = [d for d in _list_dirs(spark, self.results_path) if d.startswith("part=")]
+        if len(folders) < 2:
+            return
+        res = spark.read.parquet(*[f"{self.results_path}/{d}" for d in folders])
+        top = res.agg(F.max("batch")).first()[0]
+        merged = tables.upsert_latest(res.drop("part"), ["location", "interval_s", "window_end"], ["batch"])
+        merged = merged.checkpoint(eager=True)
+        merged.write.mode("overwrite").parquet(f"{self.results_path}/part=c{top}")
+        for d in folders:
+            if d != f"part=c{top}":
+                _delete(spark, f"{self.results_path}/{d}")
 
     def results(self, spark: SparkSession) -> DataFrame:
         """Latest computation per (location, interval, window end)."""
-        res = spark.read.parquet(self.results_path)
+        res = spark.read.parquet(self.results_path).drop("part")
         return tables.upsert_latest(res, ["location", "interval_s", "window_end"], ["batch"]).drop("batch")
 
 
@@ -146,8 +169,8 @@ class LiveTrendsUpdate:
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         ends = batch.withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
-        res = windows.interval_trends(ends, self.signed)
-        res.write.mode("overwrite").parquet(f"{self.results_path}/batch={batch_id}")
+        res = windows.interval_trends(ends, self.signed).withColumn("batch", F.lit(batch_id).cast("long"))
+        res.write.mode("overwrite").parquet(f"{self.results_path}/part={batch_id}")
 
     def start(self, obs_stream: DataFrame, trigger: str | None = "10 seconds"):
         return (self.aggregate(obs_stream).writeStream.outputMode("update")
@@ -156,7 +179,7 @@ class LiveTrendsUpdate:
                 .trigger(**trigger_kwargs(trigger)).start())
 
     def results(self, spark: SparkSession) -> DataFrame:
-        res = spark.read.parquet(self.results_path)
+        res = spark.read.parquet(self.results_path).drop("part")
         return tables.upsert_latest(res, ["location", "interval_s", "window_end"], ["batch"]).drop("batch")
 
 
@@ -255,6 +278,25 @@ class LiveIngest:
         return spark.read.parquet(self.daily_path).drop("_b", "year")
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _list_dirs(spark: SparkSession, path: str) -> list[str]:
+    """Names of the sub-folders of path (metadata only)."""
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     """Does a Parquet table exist at path (Hadoop FS check; a schema probe without a JVM handle)."""
     try:

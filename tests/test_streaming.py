@@ -1,5 +1,7 @@
 """Streams equal batch (closed windows), replays are idempotent, jobs round-trip."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from obslake import fixtures
@@ -43,7 +45,7 @@ def test_products_read_back_per_season(spark):
     assert rec.filter(F.col("season") == "summer").count() == 6
 
 
-def test_live_results_expiry(spark):
+def test_live_results_compaction_and_expiry(spark):
     from obslake.session import work_path
     from obslake.streaming import live
 
@@ -53,13 +55,22 @@ def test_live_results_expiry(spark):
     catalog._stage_by_day(obs, src)
     lt = live.LiveTrends(root, watermark=catalog.STREAM_DELAY)
     lt.start(live.observation_stream(spark, src, catalog.OBSERVATION, max_files=10), trigger=None).awaitTermination()
-    before = lt.results(spark)
+    before = sorted(tuple(r) for r in lt.results(spark).collect())
+    assert len([d for d in live._list_dirs(spark, lt.results_path) if d.startswith("part=")]) > 1
+    # compaction: one folder, same rows
+    lt.compact_results(spark)
+    parts = [d for d in live._list_dirs(spark, lt.results_path) if d.startswith("part=")]
+    assert len(parts) == 1 and parts[0].startswith("part=c")
+    assert sorted(tuple(r) for r in lt.results(spark).collect()) == before
+    # expiry: windows ended more than a day before as_of are gone
     as_of = "2024-01-29 00:00:00"
-    want = sorted(tuple(r) for r in before.filter(
-        F.col("window_end") > F.lit("2024-01-28 00:00:00").cast("timestamp_ntz")).collect())
+    cut = dt.datetime(2024, 1, 28)
+    want = [r for r in before if r[2] > cut]
     lt.expire_results(spark, as_of)
-    after = sorted(tuple(r) for r in lt.results(spark).collect())
-    assert after and after == want
+    assert sorted(tuple(r) for r in lt.results(spark).collect()) == want
+    # pane days older than lifetime + longest window are gone, recent ones stay
+    days = sorted(int(d[4:]) for d in live._list_dirs(spark, lt.panes_path) if d.startswith("day="))
+    assert days and days[0] >= (dt.date(2024, 1, 27) - dt.date(1970, 1, 1)).days - 1
 
 
 def test_late_rows_are_merged_not_lost(spark):
