@@ -11,6 +11,7 @@ Jobs
   live-lines  --source PATH --root PATH        V11: tuple-line text stream -> location_data + trends
   ingest      --source PATH --root PATH        V10: (seq, value) message stream -> raw + daily tables
   expire      --table PATH --as-of TS [--partition day] [--written-at written_at]   T9 compaction
+  live-maintain --root PATH --as-of TS         compact live result folders, expire results and panes
 """
 
 from __future__ import annotations
@@ -60,6 +61,10 @@ def main(argv=None) -> None:
     elif a.job == "ingest":
         stream = spark.readStream.schema("seq long, value string").parquet(a.source)
         live.LiveIngest(a.root).start(stream, trigger=trig).awaitTermination()
+    elif a.job == "live-maintain":
+        lt = live.LiveTrends(a.root)
+        lt.compact_results(spark)
+        lt.expire_results(spark, a.as_of)
     elif a.job == "expire":
         tables.compact_expired(spark, a.table, a.as_of, written_at=a.written_at, partition_by=a.partition)
     else:

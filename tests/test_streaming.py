@@ -124,3 +124,23 @@ def test_row_behind_previous_watermark_is_dropped_and_counted(spark):
     wm = F.lit(t0 + dt.timedelta(minutes=59, seconds=30) - dt.timedelta(minutes=10)).cast("timestamp_ntz")
     got = lt.results(spark).filter(F.col("window_end") <= wm)
     assert got.count() > 0 and _same(got, want.filter(F.col("window_end") <= wm))
+
+
+def test_restart_from_checkpoint_equals_one_run(spark):
+    """Stop after part of the input, restart on the same checkpoint with more files."""
+    from obslake.session import work_path
+    from obslake.streaming import live
+
+    root = work_path(spark, "t_restart")
+    obs = fixtures.observations(spark, SF_SMALL)
+    src = f"{root}/input"
+    mid = F.lit("2024-01-15 00:00:00").cast("timestamp")
+    catalog._stage_by_day(obs.filter(F.col("ts") < mid), src)
+    lt = live.LiveTrends(root, watermark=catalog.STREAM_DELAY)
+    lt.start(live.observation_stream(spark, src, catalog.OBSERVATION, max_files=5), trigger=None).awaitTermination()
+    catalog._stage_by_day(obs.filter(F.col("ts") >= mid), src)
+    lt2 = live.LiveTrends(root, watermark=catalog.STREAM_DELAY)  # a new process: same folders
+    lt2.start(live.observation_stream(spark, src, catalog.OBSERVATION, max_files=5), trigger=None).awaitTermination()
+    got = catalog._closed(lt2.results(spark), obs)
+    want = catalog._closed(windows.interval_trends(windows.window_ends(obs)), obs)
+    assert _same(got, want)
