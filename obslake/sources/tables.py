@@ -94,6 +94,8 @@ def preview(df: DataFrame, n: int = 10) -> DataFrame:
 
 # --- keyed semantics (G7, S5, S6, S13, S14, T9) ----------------------------------------------
 
+MAX_TOUCHED_PARTITIONS = 10_000  # partition values fetched for static pruning (metadata-sized)
+
 def upsert_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Latest version per key by `order` (ascending = older). One groupBy with max_by over a
     struct: partial aggregation combines versions map-side, so a key with millions of versions
@@ -116,8 +118,17 @@ def merge_upsert(spark: SparkSession, path: str, new: DataFrame, keys: list[str]
     if exists:
         old = spark.read.parquet(path)
         touched = new.select(partition_by).distinct()
-        old = old.join(touched, partition_by, "left_semi").select(*new.columns)
-        merged = upsert_latest(old.unionByName(new), keys, order)
+        # The touched partition values (one per day / year a batch hits) are few, so they are
+        # fetched and applied as a static partition filter: only those folders are listed and
+        # read. Dynamic pruning through the semi-join would need a filtered, broadcast build side
+        # and does not fire for an unfiltered batch. Past the cap the semi-join still gives the
+        # right rows, with a full scan.
+        vals = [r[0] for r in touched.limit(MAX_TOUCHED_PARTITIONS + 1).collect()]
+        if len(vals) <= MAX_TOUCHED_PARTITIONS:
+            old = old.filter(F.col(partition_by).isin(vals))
+        else:
+            old = old.join(touched, partition_by, "left_semi")
+        merged = upsert_latest(old.select(*new.columns).unionByName(new), keys, order)
     else:
         merged = upsert_latest(new, keys, order)
     merged = merged.checkpoint(eager=True)
@@ -148,8 +159,11 @@ def compact_expired(spark: SparkSession, path: str, as_of, ttl_s: int = DAY_S,
     w = F.col(written_at).cast("timestamp")
     stats = df.groupBy(partition_by).agg(F.min(w).alias("lo"), F.max(w).alias("hi"))
     dead = [r[0] for r in stats.filter(F.col("hi") <= cutoff).select(partition_by).collect()]
-    mixed = stats.filter((F.col("lo") <= cutoff) & (F.col("hi") > cutoff)).select(partition_by)
-    keep = expire(df.join(mixed, partition_by, "left_semi"), a, ttl_s, written_at).checkpoint(eager=True)
+    mixed = [r[0] for r in stats.filter((F.col("lo") <= cutoff) & (F.col("hi") > cutoff))
+             .select(partition_by).collect()]
+    if not mixed and not dead:
+        return
+    keep = expire(df.filter(F.col(partition_by).isin(mixed)), a, ttl_s, written_at).checkpoint(eager=True)
     keep.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
