@@ -262,8 +262,8 @@ class LiveIngest:
         raw_exists = _exists(spark, self.raw_path)
         tables.merge_upsert(spark, self.raw_path, new, ["unix_date"], ["batch", "seq"], "day",
                             exists=raw_exists)
-        touched = new.select("day").distinct()
-        raw = spark.read.parquet(self.raw_path).join(touched, "day", "left_semi")
+        days = [r[0] for r in new.select("day").distinct().collect()]  # the few days this batch hit
+        raw = spark.read.parquet(self.raw_path).filter(F.col("day").isin(days))  # static pruning
         daily = (rollup.observations_daily(raw.drop("seq", "batch", "day"))
                  .withColumn("year", F.year(epoch_to_date("unix_date"))))
         tables.merge_upsert(spark, self.daily_path, daily.withColumn("_b", F.lit(batch_id)),
