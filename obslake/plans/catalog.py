@@ -241,8 +241,10 @@ def q_table_ddl_cycle(spark, sf):
     daily = rollup.with_calendar(_daily(spark, sf)).drop("date", "month", "season")
     tables.create_table(daily, path, key="unix_date", partition_by="year")
     cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in daily.schema.fields)
+    db_dir = work_path(spark, "warehouse")
     for _ in range(2):  # idempotent DDL: the second call is a no-op
-        tables.ensure_table(spark, "climate", "daily_climate", cols, path, partitioned_by="year")
+        tables.ensure_table(spark, "climate", "daily_climate", cols, path, partitioned_by="year",
+                            db_location=db_dir)
     spark.read.parquet(path).createOrReplaceTempView("daily_view")
     tables.preview(spark.table("daily_view"), 5).collect()
     for _ in range(2):  # dropping twice does not fail
