@@ -530,8 +530,8 @@ ORACLE.update({
 
 
 def q_stream_live_trends(spark, sf):
-    """T3-T6 live form: direct sliding windows in update mode with an upsert sink; equals the
-    batch result in every window, open ones included."""
+    """T3-T6 live form, direct: Spark's sliding windows in update mode with an upsert sink;
+    equals the batch result in every window, open ones included."""
     root = work_path(spark, "live_update")
     obs = fixtures.observations(spark, sf)
     src = f"{root}/input"
@@ -541,8 +541,22 @@ def q_stream_live_trends(spark, sf):
     return job.results(spark)
 
 
+def q_stream_live_trends_panes(spark, sf):
+    """T3-T6 live form from panes: pane aggregation in update mode, every trigger recomputes the
+    windows of the panes it changed; equals the batch result in every window."""
+    root = work_path(spark, "live_update_panes")
+    obs = fixtures.observations(spark, sf)
+    src = f"{root}/input"
+    _stage_by_day(obs, src)
+    lt = live.LiveTrends(root, watermark=STREAM_DELAY, mode="update")
+    lt.start(live.observation_stream(spark, src, OBSERVATION, max_files=3), trigger=None).awaitTermination()
+    return lt.results(spark)
+
+
 QUERIES["stream_live_trends"] = q_stream_live_trends
+QUERIES["stream_live_trends_panes"] = q_stream_live_trends_panes
 ORACLE["stream_live_trends"] = O.q_interval_trends()
+ORACLE["stream_live_trends_panes"] = O.q_interval_trends()
 
 
 def q_ttl_compaction(spark, sf):

@@ -56,7 +56,14 @@ class LiveTrends:
     """Multi-interval trends maintained from a stream of observations."""
 
     def __init__(self, root: str, intervals=INTERVALS, watermark: str = "10 minutes",
-                 slide_s: int = SLIDE_S, signed: bool = True):
+                 slide_s: int = SLIDE_S, signed: bool = True, mode: str = "append"):
+        """mode='append': only closed panes are emitted, results below the watermark are final.
+        mode='update': every trigger emits the panes it changed, open ones included, so results
+        are live (provisional until the watermark passes). Re-emitted panes only widen (min can
+        only fall, max only rise) and the read merges them by min/max, so both modes end equal."""
+        if mode not in ("append", "update"):
+            raise ValueError(f"mode must be 'append' or 'update', not {mode!r}")
+        self.mode = mode
         self.root = root
         self.panes_path = os.path.join(root, "panes")
         self.results_path = os.path.join(root, "results")
@@ -99,7 +106,7 @@ class LiveTrends:
 
     def start(self, obs_stream: DataFrame, trigger: str | None = "10 seconds", checkpoint: str | None = None):
         q = (stream_panes(obs_stream, self.watermark, self.slide_s).writeStream
-             .outputMode("append")
+             .outputMode(self.mode)
              .foreachBatch(self.process_batch)
              .option("checkpointLocation", checkpoint or self.checkpoint)
              .trigger(**trigger_kwargs(trigger))
@@ -142,11 +149,11 @@ class LiveTrends:
 
 
 class LiveTrendsUpdate:
-    """Low-latency form: every trigger re-emits the windows its rows touched, open ones included
-    (update mode), and the sink upserts them by (location, interval, window end). Each row joins
-    all its windows (W/slide per interval), so volume grows with rows x 466: right for live
-    dashboards at station rates, while `LiveTrends` (closed panes) is the form for bulk streams.
-    The watermark is on the window end, so state for ends older than it is dropped."""
+    """Direct low-latency form with Spark's own sliding windows: every trigger re-emits the
+    windows its rows touched (update mode) and the sink upserts them by (location, interval,
+    window end). Each row joins all its windows (W/slide per interval), so volume grows with
+    rows x 466; `LiveTrends(mode='update')` gives the same live results from panes and is the form
+    for bulk streams. The watermark is on the window end, so state for older ends is dropped."""
 
     def __init__(self, root: str, intervals=INTERVALS, watermark: str = "10 minutes",
                  slide_s: int = SLIDE_S, signed: bool = True):

@@ -144,3 +144,9 @@ def test_restart_from_checkpoint_equals_one_run(spark):
     got = catalog._closed(lt2.results(spark), obs)
     want = catalog._closed(windows.interval_trends(windows.window_ends(obs)), obs)
     assert _same(got, want)
+
+
+def test_live_update_mode_from_panes_equals_batch_everywhere(spark):
+    got = catalog.q_stream_live_trends_panes(spark, SF_SMALL)
+    want = windows.interval_trends(windows.window_ends(fixtures.observations(spark, SF_SMALL)))
+    assert _same(got, want)
