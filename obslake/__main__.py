@@ -7,7 +7,8 @@ Jobs
   records    --daily PATH --out PATH [--order reference]   V6: records CSV per season
   trends     --daily PATH --out PATH [--years 4]           V7: trends CSV per season
   live-trends --source PATH --root PATH [--trigger "10 seconds"] [--watermark "10 minutes"]
-                                               V11: Parquet observation stream -> live trends
+              [--mode append|update]           V11: Parquet observation stream -> live trends
+                                               (append: final windows; update: live, provisional)
   live-lines  --source PATH --root PATH        V11: tuple-line text stream -> location_data + trends
   ingest      --source PATH --root PATH        V10: (seq, value) message stream -> raw + daily tables
   expire      --table PATH --as-of TS [--partition day] [--written-at written_at]   T9 compaction
@@ -37,6 +38,7 @@ def main(argv=None) -> None:
     ap.add_argument("--watermark", default="10 minutes")
     ap.add_argument("--partition", default="day")
     ap.add_argument("--written-at", default="written_at")
+    ap.add_argument("--mode", default="append", choices=["append", "update"])
     a = ap.parse_args(argv)
     spark = build_session(app=f"obslake-{a.job}")
     trig = None if a.trigger == "available-now" else a.trigger
@@ -50,7 +52,7 @@ def main(argv=None) -> None:
     elif a.job == "trends":
         jobs.trends_job(spark, a.daily, a.out, n=a.years)
     elif a.job == "live-trends":
-        lt = live.LiveTrends(a.root, watermark=a.watermark)
+        lt = live.LiveTrends(a.root, watermark=a.watermark, mode=a.mode)
         lt.start(live.observation_stream(spark, a.source, OBSERVATION), trigger=trig).awaitTermination()
     elif a.job == "live-lines":
         lines = spark.readStream.text(a.source)
