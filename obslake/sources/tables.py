@@ -96,6 +96,7 @@ def preview(df: DataFrame, n: int = 10) -> DataFrame:
 
 MAX_TOUCHED_PARTITIONS = 10_000  # partition values fetched for static pruning (metadata-sized)
 
+
 def upsert_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Latest version per key by `order` (ascending = older). One groupBy with max_by over a
     struct: partial aggregation combines versions map-side, so a key with millions of versions
@@ -110,10 +111,9 @@ def merge_upsert(spark: SparkSession, path: str, new: DataFrame, keys: list[str]
                  partition_by: str, exists: bool = True) -> None:
     """Upsert `new` into the table at `path`, rewriting only touched partitions.
 
-    Old rows of touched partitions are found with a left-semi join on the partition column
-    (dynamic partition pruning keeps the scan to those partitions). The merged rows are
-    checkpointed to the shared checkpoint folder before the overwrite, so the write never reads
-    the files it replaces and a retry restarts from the checkpoint.
+    Only the partitions `new` touches are read (static partition filter) and rewritten (dynamic
+    overwrite). The merged rows are checkpointed to the shared checkpoint folder before the
+    overwrite, so the write never reads the files it replaces and a retry restarts from there.
     """
     if exists:
         old = spark.read.parquet(path)
@@ -163,8 +163,10 @@ def compact_expired(spark: SparkSession, path: str, as_of, ttl_s: int = DAY_S,
              .select(partition_by).collect()]
     if not mixed and not dead:
         return
-    keep = expire(df.filter(F.col(partition_by).isin(mixed)), a, ttl_s, written_at).checkpoint(eager=True)
-    keep.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)
+    if mixed:
+        keep = expire(df.filter(F.col(partition_by).isin(mixed)), a, ttl_s, written_at).checkpoint(eager=True)
+        (keep.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(partition_by).parquet(path))
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for v in dead:
