@@ -32,7 +32,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obslake.functions.columns import epoch_to_date, midnight_epoch
+from obslake.functions.columns import epoch_to_date
 from obslake.operators import rollup, windows
 from obslake.schemas import DAY_S, INTERVALS, SLIDE_S
 from obslake.sources import codecs, tables
@@ -319,5 +319,5 @@ def _exists(spark: SparkSession, path: str) -> bool:
             return False
 
 
-__all__ = ["LiveTrends", "LiveIngest", "observation_stream", "stream_panes", "trigger_kwargs",
-           "midnight_epoch"]
+__all__ = ["LiveTrends", "LiveTrendsUpdate", "LiveIngest", "LiveLocationData", "late_rows",
+           "observation_stream", "parse_observations", "stream_panes", "trigger_kwargs"]
