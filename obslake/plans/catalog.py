@@ -375,10 +375,10 @@ STREAM_DELAY = "1 day"   # watermark delay; input arrives in one-day files, so n
 def _stage_by_day(df: DataFrame, path: str, text_col: str | None = None) -> None:
     """Write a stream's input as files that arrive day after day (one job per day, in time order),
     the way a landing folder fills up. With text_col, plain text lines of that column."""
-    span = df.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
     day = F.to_date("ts")
-    d = span["lo"].date()
-    last = span["hi"].date()
+    # dates come back as plain dates (no conversion to the driver's local time zone)
+    span = df.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first()
+    d, last = span["lo"], span["hi"]
     while d <= last:
         part = df.filter(day == F.lit(d))
         if text_col:
