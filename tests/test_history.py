@@ -84,3 +84,13 @@ def test_latest_years_limit(spark):
     lat = history.latest_years(rollup.season_rollup(daily))
     per = lat.groupBy("season", "measure").count().collect()
     assert per and all(r["count"] <= 4 for r in per)
+
+
+def test_exact_mean_is_independent_of_partitioning(spark):
+    """The rounded daily means are bit-identical however rows are spread over tasks."""
+    h = fixtures.history_records(spark, SF_SMALL)
+    one = rollup.history_daily(h.repartition(1))
+    many = rollup.history_daily(h.repartition(64).sortWithinPartitions(F.col("dt").desc()))
+    a = sorted(tuple(r) for r in one.collect())
+    b = sorted(tuple(r) for r in many.collect())
+    assert a == b

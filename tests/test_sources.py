@@ -145,3 +145,14 @@ def test_upsert_safe_under_static_overwrite_session(spark):
         assert got == [("A", 5.0), ("B", 2.0)]
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+
+
+def test_line_parse_unicode_negative_and_junk(spark):
+    lines = ["('Zürich', 1601044162, 16, 29, -12.5, 3.0, 40, 'Snow')",
+             "('São Paulo', -5, 0, 0, 1e3, 2, 3, 'Rain')",
+             "('X', 1601044162, 16, 29, abc, 1.0, 2.0, 'Clear')"]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    out = [r.p for r in df.select(codecs.parse_line("value").alias("p")).collect()]
+    assert (out[0].location, out[0].temperature) == ("Zürich", -12.5)
+    assert (out[1].location, out[1].timestamp, out[1].temperature) == ("São Paulo", -5, 1000.0)
+    assert out[2].location == "X" and out[2].temperature is None and out[2].wind == 1.0
