@@ -2,10 +2,10 @@
 or `python -m obslake <job> ...` locally.
 
 Jobs
-  bootstrap  --json PATH --daily PATH          V8: nested JSON history -> new daily table
+  bootstrap  --json PATH --daily PATH [--multiline]       V8: nested JSON history -> new daily table
   daily      --raw PATH --daily PATH --batch N V9: raw observations -> daily table (upsert)
-  records    --daily PATH --out PATH [--order reference]   V6: records CSV per season
-  trends     --daily PATH --out PATH [--years 4]           V7: trends CSV per season
+  records    --daily PATH --out PATH [--order reference] [--split-summer]   V6: records CSV per season
+  trends     --daily PATH --out PATH [--years 4] [--split-summer]           V7: trends CSV per season
   live-trends --source PATH --root PATH [--trigger "10 seconds"] [--watermark "10 minutes"]
               [--mode append|update]           V11: Parquet observation stream -> live trends
                                                (append: final windows; update: live, provisional)
@@ -39,18 +39,20 @@ def main(argv=None) -> None:
     ap.add_argument("--partition", default="day")
     ap.add_argument("--written-at", default="written_at")
     ap.add_argument("--mode", default="append", choices=["append", "update"])
+    ap.add_argument("--multiline", action="store_true")
+    ap.add_argument("--split-summer", action="store_true")
     a = ap.parse_args(argv)
     spark = build_session(app=f"obslake-{a.job}")
     trig = None if a.trigger == "available-now" else a.trigger
 
     if a.job == "bootstrap":
-        jobs.history_bootstrap(spark, a.json, a.daily)
+        jobs.history_bootstrap(spark, a.json, a.daily, multiline=a.multiline)
     elif a.job == "daily":
         jobs.daily_incremental(spark, a.raw, a.daily, a.batch, daily_exists=live._exists(spark, a.daily))
     elif a.job == "records":
-        jobs.records_job(spark, a.daily, a.out, order=a.order)
+        jobs.records_job(spark, a.daily, a.out, order=a.order, split_summer=a.split_summer)
     elif a.job == "trends":
-        jobs.trends_job(spark, a.daily, a.out, n=a.years)
+        jobs.trends_job(spark, a.daily, a.out, n=a.years, split_summer=a.split_summer)
     elif a.job == "live-trends":
         lt = live.LiveTrends(a.root, watermark=a.watermark, mode=a.mode)
         lt.start(live.observation_stream(spark, a.source, OBSERVATION), trigger=trig).awaitTermination()

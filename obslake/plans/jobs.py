@@ -15,9 +15,10 @@ def _with_year(daily: DataFrame) -> DataFrame:
     return daily.withColumn("year", F.year(epoch_to_date("unix_date")))
 
 
-def history_bootstrap(spark: SparkSession, json_path: str, daily_path: str, partitions: int = 5) -> None:
+def history_bootstrap(spark: SparkSession, json_path: str, daily_path: str, partitions: int = 5,
+                      multiline: bool = False) -> None:
     """V8: nested JSON history (S1) -> daily rollup (F1-F3, P1, G1) -> new daily table."""
-    nested = tables.read_history_json(spark, json_path)
+    nested = tables.read_history_json(spark, json_path, multiline=multiline)
     tables.create_table(_with_year(rollup.history_daily(nested)), daily_path, "unix_date", "year", partitions)
 
 
@@ -38,17 +39,19 @@ def _season_table(spark: SparkSession, daily_path: str, split_summer: bool = Fal
     return spark.table("year_season")
 
 
-def records_job(spark: SparkSession, daily_path: str, out_path: str, order: str = "extreme") -> None:
+def records_job(spark: SparkSession, daily_path: str, out_path: str, order: str = "extreme",
+                split_summer: bool = False) -> None:
     """V6: daily table -> season rollup -> records per (season, measure) -> CSV, one file per
     season folder (F21: season=<name> instead of a file name per season)."""
-    rec = history.records(_season_table(spark, daily_path), order=order)
+    rec = history.records(_season_table(spark, daily_path, split_summer), order=order)
     (rec.coalesce(1).write.mode("overwrite").partitionBy("season")
      .option("header", True).csv(out_path))
 
 
-def trends_job(spark: SparkSession, daily_path: str, out_path: str, n: int = 4) -> None:
+def trends_job(spark: SparkSession, daily_path: str, out_path: str, n: int = 4,
+               split_summer: bool = False) -> None:
     """V7: daily table -> season rollup -> latest n years -> yearly trend -> CSV per season."""
-    tr = history.trends(_season_table(spark, daily_path), n=n).drop("has_prev")
+    tr = history.trends(_season_table(spark, daily_path, split_summer), n=n).drop("has_prev")
     (tr.coalesce(1).write.mode("overwrite").partitionBy("season")
      .option("header", True).csv(out_path))
 
