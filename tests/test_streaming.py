@@ -183,3 +183,16 @@ def test_trends_batch_replay_is_idempotent(spark):
     assert sorted(tuple(r) for r in lt.results(spark).collect()) == first
     want = windows.interval_trends(windows.window_ends(obs))
     assert _same(lt.results(spark), want)
+
+
+def test_location_data_batch_replay_is_idempotent(spark):
+    """A replayed batch of tuple lines leaves location_data unchanged."""
+    from obslake.session import work_path
+    from obslake.streaming import live
+
+    job = live.LiveLocationData(work_path(spark, "t_lines_replay"))
+    lines = catalog._lines(spark, SF_SMALL).select("value")
+    job.process_batch(lines, 0)
+    first = sorted(tuple(r) for r in job.table(spark).collect())
+    job.process_batch(lines, 0)
+    assert first and sorted(tuple(r) for r in job.table(spark).collect()) == first
