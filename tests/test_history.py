@@ -94,3 +94,14 @@ def test_exact_mean_is_independent_of_partitioning(spark):
     a = sorted(tuple(r) for r in one.collect())
     b = sorted(tuple(r) for r in many.collect())
     assert a == b
+
+
+def test_current_season_products(spark):
+    """the product shown is the one of the season the clock date falls in."""
+    from obslake.plans import serve
+
+    long = spark.createDataFrame([("summer", 2020, "Max Humidity", 1.0), ("winter", 2020, "Max Humidity", 2.0)],
+                                 "season string, year int, measure string, value double")
+    assert [r.season for r in serve.for_season(long, "2024-01-31").collect()] == ["summer"]
+    assert [r.season for r in serve.for_season(long, "2024-07-01").collect()] == ["winter"]
+    assert serve.for_season(long).count() == 1  # the real clock: exactly one season
