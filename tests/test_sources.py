@@ -156,3 +156,9 @@ def test_line_parse_unicode_negative_and_junk(spark):
     assert (out[0].location, out[0].temperature) == ("Zürich", -12.5)
     assert (out[1].location, out[1].timestamp, out[1].temperature) == ("São Paulo", -5, 1000.0)
     assert out[2].location == "X" and out[2].temperature is None and out[2].wind == 1.0
+
+
+def test_json_export_keeps_nulls(spark):
+    """Serving JSON keeps null fields (a zero-start trend is shown as null, not dropped)."""
+    df = spark.createDataFrame([("A", None, 1.5)], "location string, wind_trend double, actual_wind double")
+    assert tables.to_json_lines(df).first().json == '{"location":"A","wind_trend":null,"actual_wind":1.5}'
