@@ -1,0 +1,148 @@
+"""Secret scans over a ledger of blobs.
+
+A blob is a distinct text under its SHA-256; a path is a row that holds it, in any version. The
+ledger keeps one row for each (rule version, blob) ever scanned, with the spans found. A scan
+reads the ledger, matches only blobs that it lacks for the rules' version, appends them, and joins
+the ledger back to all paths.
+
+Main path: DataFrame functions only. Copies of a text merge before the shuffle by hash, so a text
+held by a third of all rows is scanned once; the join back lets a hot blob's paths be split.
+"""
+
+from __future__ import annotations
+
+import hashlib
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from obslake.llm.common import fresh_path
+
+
+class Rule(NamedTuple):
+    """Leftmost non-overlapping matches of `pattern` whose group `group` has `least` characters
+    or more. `probe` is a pattern found in every text that has such a match."""
+    kind: str
+    pattern: str
+    group: int
+    least: int
+    probe: str
+
+
+# fixed values: the three base rules, in their order
+BASE_RULES = (
+    Rule("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6,
+         r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]"""),
+    Rule("access", r"AKIA[A-Z0-9]+", 0, 20, r"AKIA[A-Z0-9]{16}"),
+    Rule("hex", r"[0-9a-f]+", 0, 24, r"[0-9a-f]{24}"),
+)
+# rules beyond the base: the head line of a PEM private key
+RULES = (*BASE_RULES, Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 27, "-----BEGIN [A-Z ]*PRIVATE KEY-----"))
+
+SPAN = "array<struct<start:int,rank:int,kind:string,end:int>>"
+LEDGER = f"blob string, spans {SPAN}, rule_version string"
+
+
+def rule_version(rules=RULES) -> str:
+    return hashlib.sha256(repr([tuple(r) for r in rules]).encode()).hexdigest()[:16]
+
+
+def blob_of(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+
+def _spans(text: Column, rule: Rule, rank: int) -> Column:
+    """Spans of one rule in code points: what lies between matches comes from split(), the matches
+    from regexp_extract_all(), both by the same expression; a running sum gives the places."""
+    gaps = F.transform(F.split(text, rule.pattern, -1), F.length)
+    found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
+    sizes = F.transform(found, F.length)
+    tested = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
+    placed = F.aggregate(
+        F.arrays_zip(F.slice(gaps, 1, F.size(sizes)).alias("gap"), sizes.alias("size"),
+                     F.transform(tested, F.length).alias("part")),
+        F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as {SPAN})").alias("out")),
+        lambda a, x: F.struct(
+            (a["at"] + x["gap"] + x["size"]).alias("at"),
+            F.when(x["part"] >= rule.least, F.array_append(a["out"], F.struct(
+                (a["at"] + x["gap"]).alias("start"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"),
+                (a["at"] + x["gap"] + x["size"]).alias("end")))).otherwise(a["out"]).alias("out")),
+        lambda a: a["out"])
+    return F.when(F.regexp_like(text, F.lit(rule.probe)), placed).otherwise(F.expr(f"cast(array() as {SPAN})"))
+
+
+def find_spans(text: Column, rules=RULES) -> Column:
+    """All spans of all rules by start, then rule."""
+    return F.array_sort(F.concat(*(_spans(text, r, k) for k, r in enumerate(rules))))
+
+
+def read_ledger(spark, ledger: str, version: str) -> DataFrame | None:
+    """Ledger rows of a rule version, one for each blob (an append may have run twice); None: no
+    ledger there yet."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(ledger)
+    if not fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs_path):
+        return None
+    rows = spark.read.schema(LEDGER).parquet(ledger).where(F.col("rule_version") == version)
+    return rows.select("blob", "spans").dropDuplicates(["blob"])
+
+
+def scan(docs: DataFrame, ledger: str, rules=RULES) -> DataFrame:
+    """Bring the ledger up to date with docs (column text); return its rows (blob, spans) for
+    these rules."""
+    spark, version = docs.sparkSession, rule_version(rules)
+    blobs = docs.select(blob_of(F.col("text")).alias("blob"), F.coalesce("text", F.lit("")).alias("body")) \
+        .groupBy("blob").agg(F.first("body").alias("body"))
+    seen = read_ledger(spark, ledger, version)
+    unseen = blobs if seen is None else blobs.join(seen, "blob", "left_anti")
+    unseen.select("blob", find_spans(F.col("body"), rules).alias("spans"), F.lit(version).alias("rule_version")) \
+        .write.mode("append").partitionBy("rule_version").parquet(ledger)
+    return read_ledger(spark, ledger, version)
+
+
+def find_secrets(docs: DataFrame, ledger: str | None = None, rules=RULES) -> DataFrame:
+    """One row per row of docs (doc_id, text): doc_id, blob, spans (all, by start, then rule).
+
+    Without a ledger path a new one is begun in the shared folder. A null text counts as empty
+    and has no span; repeated rows are paths of one blob; other columns of docs are ignored.
+    """
+    found = scan(docs, ledger or fresh_path(docs.sparkSession, "ledger"), rules)
+    return docs.select("doc_id", blob_of(F.col("text")).alias("blob")).join(found, "blob", "left").select(
+        "doc_id", "blob", F.coalesce("spans", F.expr(f"cast(array() as {SPAN})")).alias("spans"))
+
+
+def redact(docs: DataFrame, ledger: str | None = None, rules=RULES, mask: str = "[SECRET]") -> DataFrame:
+    """docs with each run of overlapping spans in `text` replaced by the mask; all columns stay.
+    n_chars, where there is one, follows the text."""
+    found = scan(docs, ledger or fresh_path(docs.sparkSession, "ledger"), rules).where(F.size("spans") > 0) \
+        .select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
+    d = docs.select(F.struct("*").alias("_doc"), blob_of(F.col("text")).alias("_blob")).join(found, "_blob", "left")
+    text = F.col("_doc.text")
+    cleaned = F.aggregate(
+        "_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+        lambda a, s: F.when(s["start"] < a["at"], F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out")))
+        .otherwise(F.struct(s["end"].alias("at"), F.concat(
+            a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.lit(mask)).alias("out"))),
+        lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+    new = F.when(F.col("_spans").isNull(), text).otherwise(cleaned)
+    d = d.select("_doc", new.alias("_text"))
+    put = {"text": F.col("_text")}
+    if "n_chars" in docs.columns:
+        put["n_chars"] = F.when(F.col("_text") == text, F.col("_doc.n_chars")) \
+            .otherwise(F.length("_text")).cast(docs.schema["n_chars"].dataType)
+    return d.select(*(put.get(c, F.col(f"_doc.`{c}`")).alias(c) for c in docs.columns))
+
+
+def listed(spans: Column) -> Column:
+    """kind:start:end of spans, joined by commas."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def digest(found: DataFrame) -> DataFrame:
+    """Counts of the base kinds, the hash of the base spans, and all spans as a string."""
+    base = [r.kind for r in BASE_RULES]
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *(count(k).alias(f"n_{k}") for k in base),
+        F.sha2(listed(F.filter("spans", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"))
