@@ -20,13 +20,21 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 
 
+# Arrays are walked by zip_with() and never named inside a lambda: should the optimizer put the
+# expression of an array in place of its name, it is computed a few times, not once for each element.
+
+
+def _after(ws: Column, k: int) -> Column:
+    """The words from the k-th on (from 0)."""
+    return F.slice(ws, k + 1, F.greatest(F.size(ws) - k, F.lit(0)))
+
+
 def _ngrams(ws: Column, buckets: int) -> Column:
     """Bucket of each word and of each word with its successor (the last one with none)."""
     def bucket(*c):
         return F.pmod(F.xxhash64(*c), F.lit(buckets)).cast("int")
-    return F.concat(
-        F.transform(ws, lambda w: bucket(w)),
-        F.transform(ws, lambda w, i: bucket(w, F.get(ws, i + 1), F.lit(2))))
+    return F.concat(F.transform(ws, lambda w: bucket(w)),
+                    F.zip_with(ws, _after(ws, 1), lambda w, x: bucket(w, x, F.lit(2))))
 
 
 def bucket_weights(docs: DataFrame, trusted_ids: DataFrame, buckets: int, smoothing: float) -> DataFrame:
@@ -50,33 +58,44 @@ def bucket_weights(docs: DataFrame, trusted_ids: DataFrame, buckets: int, smooth
 
 def _windows(ws: Column) -> Column:
     """The 3-word windows as (hash, place), sorted: equal ones are neighbours."""
-    return F.array_sort(F.transform(
-        F.filter(F.transform(ws, lambda w, i: i), lambda i: i < F.size(ws) - 2),
-        lambda i: F.struct(F.xxhash64(F.get(ws, i), F.get(ws, i + 1), F.get(ws, i + 2)).alias("h"), i.alias("i"))))
+    pairs = F.zip_with(ws, _after(ws, 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    hashes = F.zip_with(pairs, _after(ws, 2), lambda p, c: F.xxhash64(p["a"], p["b"], c))
+    return F.array_sort(F.transform(F.slice(hashes, 1, F.greatest(F.size(ws) - 2, F.lit(0))),
+                                    lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
 
 
 def base_stats(docs: DataFrame) -> DataFrame:
-    """doc_id, _w (words), n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
+    """_doc (the row), _w (words), n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    d = docs.select("doc_id", text.alias("_text")).select("doc_id", "_text", words(F.col("_text")).alias("_w"))
+    d = docs.select(F.struct("*").alias("_doc"), text.alias("_text")) \
+        .select("_doc", "_text", words(F.col("_text")).alias("_w"))
     bare = F.length(F.translate("_text", SPACES, "")).cast("long")
     lines = F.filter(F.split("_text", "\n"), lambda x: F.translate(x, SPACES, "") != "")
     d = d.select(
-        "doc_id", "_w", F.size("_w").cast("long").alias("n_words"), bare.alias("word_chars"),
+        "_doc", "_w", F.size("_w").cast("long").alias("n_words"), bare.alias("word_chars"),
         (F.length("_text") - F.length(F.translate("_text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         lines.alias("_lines"), _windows(F.col("_w")).alias("_win"))
-    same = F.filter(F.col("_win"), lambda x, k: (
-        (F.get(F.col("_win"), k + 1)["h"] == x["h"]) | ((k > 0) & (F.get(F.col("_win"), k - 1)["h"] == x["h"])))
-        )
-    d = d.select("doc_id", "_w", "n_words", "word_chars", "n_symbols",
+    # places of windows that equal a neighbour
+    same = F.flatten(F.filter(F.zip_with("_win", _after(F.col("_win"), 1), lambda x, y: F.when(
+        x["h"] == y["h"], F.array(x["i"], y["i"]))), lambda x: x.isNotNull()))
+    d = d.select("_doc", "_w", "n_words", "word_chars", "n_symbols",
                  (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
                  same.alias("_same"))
-    covered = F.array_distinct(F.flatten(F.transform("_same", lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2))))
+    covered = F.array_distinct(F.flatten(F.transform("_same", lambda i: F.array(i, i + 1, i + 2))))
     d = d.withColumn("n_repeat_words", F.size(covered).cast("long")).drop("_same")
     return d.withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                         | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
+def _scored(docs: DataFrame, trusted_ids: DataFrame, buckets: int, smoothing: float, threshold: float) -> DataFrame:
+    weights = bucket_weights(docs, trusted_ids, buckets, smoothing)
+    d = base_stats(docs).withColumn("_g", _ngrams(F.col("_w"), buckets)).withColumn("_k", F.lit(0))
+    d = d.join(F.broadcast(weights.withColumn("_k", F.lit(0))), "_k")  # one row of `buckets` doubles
+    total = F.aggregate("_g", F.lit(0.0), lambda a, b: a + F.get(F.col("weights"), b))
+    d = d.withColumn("score", F.when(F.size("_g") == 0, 0.0).otherwise(total / F.size("_g")))
+    return d.withColumn("kept", F.when(F.col("base_failed"), False).otherwise(F.col("score") >= threshold))
+
+
 def quality(docs: DataFrame, trusted_ids: DataFrame, buckets: int = 1 << 16, smoothing: float = 1.0,
             threshold: float = -0.1) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, n_words, word_chars, n_symbols, n_dup_lines,
@@ -86,11 +105,12 @@ def quality(docs: DataFrame, trusted_ids: DataFrame, buckets: int = 1 << 16, smo
     trusted text. A null text counts as empty; a null doc_id is never trusted but is scored;
     repeated rows are scored (and counted) each; other columns of docs are ignored.
     """
-    weights = bucket_weights(docs, trusted_ids, buckets, smoothing)
-    d = base_stats(docs).withColumn("_g", _ngrams(F.col("_w"), buckets)).withColumn("_k", F.lit(0))
-    d = d.join(F.broadcast(weights.withColumn("_k", F.lit(0))), "_k")  # one row of `buckets` doubles
-    total = F.aggregate("_g", F.lit(0.0), lambda a, b: a + F.get(F.col("weights"), b))
-    score = F.when(F.size("_g") == 0, 0.0).otherwise(total / F.size("_g"))
-    return d.withColumn("score", score).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        "score", (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"))
+    d = _scored(docs.select("doc_id", "text"), trusted_ids, buckets, smoothing, threshold)
+    return d.select("_doc.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                    "base_failed", "score", "kept")
+
+
+def kept_documents(docs: DataFrame, trusted_ids: DataFrame, buckets: int = 1 << 16, smoothing: float = 1.0,
+                   threshold: float = -0.1) -> DataFrame:
+    """The rows of docs that quality() keeps, all columns."""
+    return _scored(docs, trusted_ids, buckets, smoothing, threshold).where("kept").select("_doc.*")
