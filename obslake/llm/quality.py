@@ -1,9 +1,10 @@
 """Quality rules: hashed n-gram log-likelihood ratio of a trusted corpus against the raw one.
 
 Word unigrams and bigrams are hashed into a fixed number of buckets. Two multinomials over the
-buckets are counted with add-`smoothing`: one over every text of the corpus, one over its trusted
-texts. A document scores the mean of log(p_trusted / p_raw) over its n-grams, and is kept from
-`threshold` on, unless a base rule has failed it.
+buckets are counted: one over every text of the corpus, one over its trusted texts. A bucket's
+ratio p_trusted / p_raw is its trusted count to the count that its share of the corpus lets expect,
+each with `smoothing` more, so rare n-grams weigh little. A document scores the mean log of that ratio
+over its n-grams, and is kept from `threshold` on, unless a base rule has failed it.
 
 Main path: DataFrame functions only. One shuffle joins the trusted ids to the texts; counts are
 summed per task before they are shuffled; the weights (one double for each bucket) are one row.
@@ -38,7 +39,7 @@ def _ngrams(ws: Column, buckets: int) -> Column:
 
 
 def bucket_weights(docs: DataFrame, trusted_ids: DataFrame, buckets: int, smoothing: float) -> DataFrame:
-    """One row, column `weights`: log(p_trusted / p_raw) by bucket. Without trusted texts all are 0."""
+    """One row, column `weights`: the log ratio by bucket. Without trusted texts all are 0."""
     trusted = trusted_ids.select(F.col("doc_id").alias("_id")).where("_id is not null").distinct() \
         .withColumn("_t", F.lit(1))
     # the text, not its words, goes through the shuffle
@@ -50,10 +51,9 @@ def bucket_weights(docs: DataFrame, trusted_ids: DataFrame, buckets: int, smooth
     filled = every.join(counts, "b", "left").na.fill(0, ["raw", "trusted"])
     row = filled.agg(F.sort_array(F.collect_list(F.struct("b", "raw", "trusted"))).alias("c"),
                      F.sum("raw").alias("n_raw"), F.sum("trusted").alias("n_trusted"))
-    def log_p(count, total):
-        return F.log((count + smoothing) / (total + smoothing * buckets))
+    share = F.coalesce(F.col("n_trusted") / F.nullif("n_raw", F.lit(0)), F.lit(0.0))
     return row.select(F.transform("c", lambda x: F.when(F.col("n_trusted") == 0, 0.0).otherwise(
-        log_p(x["trusted"], F.col("n_trusted")) - log_p(x["raw"], F.col("n_raw")))).alias("weights"))
+        F.log((x["trusted"] + smoothing) / (x["raw"] * share + smoothing)))).alias("weights"))
 
 
 def _windows(ws: Column) -> Column:
@@ -96,8 +96,8 @@ def _scored(docs: DataFrame, trusted_ids: DataFrame, buckets: int, smoothing: fl
     return d.withColumn("kept", F.when(F.col("base_failed"), False).otherwise(F.col("score") >= threshold))
 
 
-def quality(docs: DataFrame, trusted_ids: DataFrame, buckets: int = 1 << 16, smoothing: float = 1.0,
-            threshold: float = -0.1) -> DataFrame:
+def quality(docs: DataFrame, trusted_ids: DataFrame, buckets: int = 1 << 16, smoothing: float = 20.0,
+            threshold: float = -0.075) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, score, kept.
 
@@ -110,7 +110,7 @@ def quality(docs: DataFrame, trusted_ids: DataFrame, buckets: int = 1 << 16, smo
                     "base_failed", "score", "kept")
 
 
-def kept_documents(docs: DataFrame, trusted_ids: DataFrame, buckets: int = 1 << 16, smoothing: float = 1.0,
-                   threshold: float = -0.1) -> DataFrame:
+def kept_documents(docs: DataFrame, trusted_ids: DataFrame, buckets: int = 1 << 16, smoothing: float = 20.0,
+                   threshold: float = -0.075) -> DataFrame:
     """The rows of docs that quality() keeps, all columns."""
     return _scored(docs, trusted_ids, buckets, smoothing, threshold).where("kept").select("_doc.*")
