@@ -30,12 +30,18 @@ def _after(ws: Column, k: int) -> Column:
     return F.slice(ws, k + 1, F.greatest(F.size(ws) - k, F.lit(0)))
 
 
-def _ngrams(ws: Column, buckets: int) -> Column:
-    """Bucket of each word and of each word with its successor (the last one with none)."""
-    def bucket(*c):
-        return F.pmod(F.xxhash64(*c), F.lit(buckets)).cast("int")
-    return F.concat(F.transform(ws, lambda w: bucket(w)),
-                    F.zip_with(ws, _after(ws, 1), lambda w, x: bucket(w, x, F.lit(2))))
+def _hashed(d: DataFrame, text: str) -> DataFrame:
+    """d with _w (words), and the hashes _h1 of each word, _h2 of each word with its successor (the
+    last one with none) and _h3 of each 3-word window."""
+    d = d.withColumn("_w", words(F.col(text)))
+    d = d.withColumn("_h1", F.transform("_w", lambda w: F.xxhash64(w)))
+    d = d.withColumn("_h2", F.zip_with("_h1", _after(F.col("_h1"), 1), lambda a, b: F.xxhash64(a, b)))
+    return d.withColumn("_h3", F.slice(F.zip_with("_h2", _after(F.col("_h1"), 2), lambda a, b: F.xxhash64(a, b)),
+                                       1, F.greatest(F.size("_h1") - 2, F.lit(0))))
+
+
+def _bucket(h: Column, buckets: int) -> Column:
+    return F.pmod(h, F.lit(buckets)).cast("int")
 
 
 def bucket_weights(docs: DataFrame, trusted_ids: DataFrame, buckets: int, smoothing: float) -> DataFrame:
@@ -44,9 +50,9 @@ def bucket_weights(docs: DataFrame, trusted_ids: DataFrame, buckets: int, smooth
         .withColumn("_t", F.lit(1))
     # the text, not its words, goes through the shuffle
     d = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text")) \
-        .join(trusted, "_id", "left").select("_t", words(F.col("_text")).alias("_w"))
-    grams = d.select("_t", F.explode(_ngrams(F.col("_w"), buckets)).alias("b"))
-    counts = grams.groupBy("b").agg(F.count("*").alias("raw"), F.count("_t").alias("trusted"))
+        .join(trusted.hint("merge"), "_id", "left").select("_t", "_text")
+    grams = _hashed(d, "_text").select("_t", F.explode(F.concat("_h1", "_h2")).alias("h"))
+    counts = grams.groupBy(_bucket(F.col("h"), buckets).alias("b")).agg(F.count("*").alias("raw"), F.count("_t").alias("trusted"))
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("b"))
     filled = every.join(counts, "b", "left").na.fill(0, ["raw", "trusted"])
     row = filled.agg(F.sort_array(F.collect_list(F.struct("b", "raw", "trusted"))).alias("c"),
@@ -56,43 +62,40 @@ def bucket_weights(docs: DataFrame, trusted_ids: DataFrame, buckets: int, smooth
         F.log((x["trusted"] + smoothing) / (x["raw"] * share + smoothing)))).alias("weights"))
 
 
-def _windows(ws: Column) -> Column:
-    """The 3-word windows as (hash, place), sorted: equal ones are neighbours."""
-    pairs = F.zip_with(ws, _after(ws, 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    hashes = F.zip_with(pairs, _after(ws, 2), lambda p, c: F.xxhash64(p["a"], p["b"], c))
-    return F.array_sort(F.transform(F.slice(hashes, 1, F.greatest(F.size(ws) - 2, F.lit(0))),
-                                    lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+def _repeated(hashes: Column) -> Column:
+    """How many words lie in a 3-word window found twice or more. Where windows repeat they are
+    sorted by hash, so equal ones are neighbours, and the places of those are spread to their words."""
+    placed = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    same = F.flatten(F.filter(F.zip_with(placed, _after(placed, 1), lambda x, y: F.when(
+        x["h"] == y["h"], F.array(x["i"], y["i"]))), lambda x: x.isNotNull()))
+    covered = F.array_distinct(F.flatten(F.transform(same, lambda i: F.array(i, i + 1, i + 2))))
+    return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), 0).otherwise(F.size(covered))
 
 
 def base_stats(docs: DataFrame) -> DataFrame:
-    """_doc (the row), _w (words), n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    d = docs.select(F.struct("*").alias("_doc"), text.alias("_text")) \
-        .select("_doc", "_text", words(F.col("_text")).alias("_w"))
-    bare = F.length(F.translate("_text", SPACES, "")).cast("long")
-    lines = F.filter(F.split("_text", "\n"), lambda x: F.translate(x, SPACES, "") != "")
-    d = d.select(
-        "_doc", "_w", F.size("_w").cast("long").alias("n_words"), bare.alias("word_chars"),
-        (F.length("_text") - F.length(F.translate("_text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        lines.alias("_lines"), _windows(F.col("_w")).alias("_win"))
-    # places of windows that equal a neighbour
-    same = F.flatten(F.filter(F.zip_with("_win", _after(F.col("_win"), 1), lambda x, y: F.when(
-        x["h"] == y["h"], F.array(x["i"], y["i"]))), lambda x: x.isNotNull()))
-    d = d.select("_doc", "_w", "n_words", "word_chars", "n_symbols",
-                 (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-                 same.alias("_same"))
-    covered = F.array_distinct(F.flatten(F.transform("_same", lambda i: F.array(i, i + 1, i + 2))))
-    d = d.withColumn("n_repeat_words", F.size(covered).cast("long")).drop("_same")
+    """_doc (the row), _h1 and _h2, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    base_failed."""
+    d = docs.select(F.struct("*").alias("_doc"), F.coalesce(F.col("text"), F.lit("")).alias("_text"))
+    lines = F.filter(F.split("_text", "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
+    d = _hashed(d, "_text").select(
+        "_doc", "_h1", "_h2", "_h3", lines.alias("_lines"), F.size("_w").cast("long").alias("n_words"),
+        F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
+        (F.length("_text") - F.length(F.regexp_replace("_text", f"[{SYMBOLS}]+", ""))).cast("long").alias("n_symbols"))
+    d = d.withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long")) \
+        .withColumn("n_repeat_words", _repeated(F.col("_h3")).cast("long")).drop("_lines", "_h3")
     return d.withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                         | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
 def _scored(docs: DataFrame, trusted_ids: DataFrame, buckets: int, smoothing: float, threshold: float) -> DataFrame:
     weights = bucket_weights(docs, trusted_ids, buckets, smoothing)
-    d = base_stats(docs).withColumn("_g", _ngrams(F.col("_w"), buckets)).withColumn("_k", F.lit(0))
+    d = base_stats(docs).withColumn("_k", F.lit(0))
     d = d.join(F.broadcast(weights.withColumn("_k", F.lit(0))), "_k")  # one row of `buckets` doubles
-    total = F.aggregate("_g", F.lit(0.0), lambda a, b: a + F.get(F.col("weights"), b))
-    d = d.withColumn("score", F.when(F.size("_g") == 0, 0.0).otherwise(total / F.size("_g")))
+
+    def total(hashes):
+        return F.aggregate(hashes, F.lit(0.0), lambda a, h: a + F.get(F.col("weights"), _bucket(h, buckets)))
+    d = d.withColumn("score", F.when(F.col("n_words") == 0, 0.0)
+                     .otherwise((total("_h1") + total("_h2")) / (2 * F.col("n_words"))))
     return d.withColumn("kept", F.when(F.col("base_failed"), False).otherwise(F.col("score") >= threshold))
 
 
