@@ -62,14 +62,19 @@ def bucket_weights(docs: DataFrame, trusted_ids: DataFrame, buckets: int, smooth
         F.log((x["trusted"] + smoothing) / (x["raw"] * share + smoothing)))).alias("weights"))
 
 
-def _repeated(hashes: Column) -> Column:
-    """How many words lie in a 3-word window found twice or more. Where windows repeat they are
-    sorted by hash, so equal ones are neighbours, and the places of those are spread to their words."""
-    placed = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+def _placed(hashes: Column) -> Column:
+    """Windows as (hash, place), sorted, so that equal ones are neighbours; none if no two are equal."""
+    placed = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), placed) \
+        .otherwise(F.expr("cast(array() as array<struct<h:bigint,i:int>>)"))
+
+
+def _repeated(placed: Column) -> Column:
+    """How many words lie in a 3-word window found twice or more: the places of windows that equal
+    a neighbour, spread to their words."""
     same = F.flatten(F.filter(F.zip_with(placed, _after(placed, 1), lambda x, y: F.when(
         x["h"] == y["h"], F.array(x["i"], y["i"]))), lambda x: x.isNotNull()))
-    covered = F.array_distinct(F.flatten(F.transform(same, lambda i: F.array(i, i + 1, i + 2))))
-    return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), 0).otherwise(F.size(covered))
+    return F.size(F.array_distinct(F.flatten(F.transform(same, lambda i: F.array(i, i + 1, i + 2)))))
 
 
 def base_stats(docs: DataFrame) -> DataFrame:
@@ -82,7 +87,8 @@ def base_stats(docs: DataFrame) -> DataFrame:
         F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
         (F.length("_text") - F.length(F.regexp_replace("_text", f"[{SYMBOLS}]+", ""))).cast("long").alias("n_symbols"))
     d = d.withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long")) \
-        .withColumn("n_repeat_words", _repeated(F.col("_h3")).cast("long")).drop("_lines", "_h3")
+        .withColumn("_p", _placed(F.col("_h3"))) \
+        .withColumn("n_repeat_words", _repeated(F.col("_p")).cast("long")).drop("_lines", "_h3", "_p")
     return d.withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                         | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 

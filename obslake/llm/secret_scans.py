@@ -73,7 +73,7 @@ def _spans(text: Column, rule: Rule, rank: int) -> Column:
 
 def find_spans(text: Column, rules=RULES) -> Column:
     """All spans of all rules by start, then rule."""
-    return F.array_sort(F.concat(*(_spans(text, r, k) for k, r in enumerate(rules))))
+    return F.sort_array(F.concat(*(_spans(text, r, k) for k, r in enumerate(rules))))
 
 
 def read_ledger(spark, ledger: str, version: str) -> DataFrame | None:
