@@ -45,6 +45,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+def small_batches(spark: SparkSession, rows: int = 200) -> None:
     """Rows handed to Python at once; long texts would else fill a worker's memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -9,7 +9,9 @@ each other but with the bucket's first node, its pivot:
    similar for one of two reasons, seen from what each shares with the pivot p. With c = |x & p|,
    U = x - p, |x & y| <= min(c_x, c_y) + |U_x & U_y|. So either min(c_x, c_y) alone suffices
    for the threshold, or U_x and U_y share at least T = needed - min(c_x, c_y) items, which a prefix
-   filter over the rarest items of U finds. The pairs that pass are verified.
+   filter over the rarest items of U finds. Sets that share an item are first checked against the
+   one of them closest to p, twice, which joins those with a common change; the pairs that pass
+   the filter and still lie in different components are then verified.
 
 Step 3 skips only pairs that the bound rules out, so no link between bucket mates is lost, and a
 group of near copies costs work in proportion to its members, not their square.
@@ -108,14 +110,22 @@ def similar_components(nodes: DataFrame, load_sets: Callable[[DataFrame], DataFr
     # buckets whose nodes besides the pivot lie in several components
     told = labelled(members.where("size > 2"), labels, "x")
     split = told.groupBy("band").agg(F.min("cx").alias("lo"), F.max("cx").alias("hi")).where("lo <> hi").select("band")
-    group = told.join(split, "band", "left_semi").select("x", "q", "cx").distinct()
+    group = told.join(split, "band", "left_semi").select("x", "q").distinct()
     rel = cut(_with_sets(group, sets).select(
-        "q", "x", "cx", F.size("sx").alias("n"), F.size("sq").alias("nq"),
+        "q", "x", F.size("sx").alias("n"), F.size("sq").alias("nq"),
         F.size(F.array_intersect("sx", "sq")).alias("c"), F.array_except("sx", "sq").alias("u")), "deltas")
     rel = rel.join(rel.groupBy("q").agg(F.min("n").alias("least")), "q")
-    pairs = _by_pivot(rel).unionByName(_by_delta(rel)).distinct()
-    last = cut(_verified(pairs, sets), "links")
-    return components(edges.unionByName(last))
+    for pairs_of in (_to_closest, _to_closest, _all_left):
+        now = labelled(rel, labels, "x")
+        open_ = now.groupBy("q").agg(F.min("cx").alias("lo"), F.max("cx").alias("hi")).where("lo <> hi").select("q")
+        pairs = pairs_of(cut(now.join(open_, "q", "left_semi"), "open"))
+        edges = edges.unionByName(cut(_verified(pairs, sets), "links"))
+        labels = components(edges)
+    return labels
+
+
+def _all_left(rel: DataFrame) -> DataFrame:
+    return _by_pivot(rel).unionByName(_by_delta(rel)).distinct()
 
 
 def _other(rel: DataFrame, *columns: str) -> DataFrame:
@@ -133,18 +143,38 @@ def _by_pivot(rel: DataFrame) -> DataFrame:
     return d.select(F.greatest("x", "y_x").alias("x"), F.least("x", "y_x").alias("q"))
 
 
-def _by_delta(rel: DataFrame) -> DataFrame:
-    """Pairs that share enough of what the pivot lacks, by a prefix filter. Items that only
-    one component holds cannot count."""
-    least = F.greatest(F.lit(1), F.ceil((3 * (F.col("n") + F.col("least")) - 7 * F.col("c")) / 7))
+def _prefixes(rel: DataFrame) -> DataFrame:
+    """Items s of U by which a set may meet another: (q, s, x, cx, n, c, left). Items that only one
+    component holds cannot count. `left` is how many of the set's items, s included, come no sooner
+    in the common order, rarest first; an item with fewer than the set must share is no prefix."""
+    most = F.greatest("least", F.ceil(3 * F.col("n") / 4))  # the smallest set that could be similar
+    least = F.greatest(F.lit(1), F.ceil((3 * (F.col("n") + most) - 7 * F.col("c")) / 7))
     items = rel.withColumn("t", least).where(F.size("u") >= F.col("t")) \
         .select("q", "x", "cx", "n", "c", "t", F.explode("u").alias("s"))
     useful = items.groupBy("q", "s").agg(F.count("*").alias("df"), F.min("cx").alias("lo"), F.max("cx").alias("hi")) \
         .where("lo <> hi").select("q", "s", "df")
-    items = items.join(useful, ["q", "s"])
     own = Window.partitionBy("q", "x")
-    prefix = items.withColumn("rank", F.row_number().over(own.orderBy("df", "s"))) \
-        .withColumn("held", F.count("*").over(own)).where("rank <= held - t + 1")
-    d = prefix.join(_other(prefix, "s"), ["q", "s"]).where("x > y_x and cx <> y_cx") \
-        .where(_could(F.col("n"), F.col("y_n")))
-    return d.select("x", F.col("y_x").alias("q")).distinct()
+    left = F.count("*").over(own) - F.row_number().over(own.orderBy("df", "s")) + 1
+    return items.join(useful, ["q", "s"]).withColumn("left", left).where("left >= t").drop("t", "df")
+
+
+def _meet(d: DataFrame) -> DataFrame:
+    """Pairs of x and y_x that may be similar, given that s is the first item of U that both hold:
+    they then share min(left, y_left) more than min(c, y_c) at most."""
+    needed = F.ceil((3 * (F.col("n") + F.col("y_n")) - 7 * F.least("c", "y_c")) / 7)
+    d = d.where("cx <> y_cx").where(_could(F.col("n"), F.col("y_n"))).where(F.least("left", "y_left") >= needed)
+    return d.select(F.greatest("x", "y_x").alias("x"), F.least("x", "y_x").alias("q")).distinct()
+
+
+def _to_closest(rel: DataFrame) -> DataFrame:
+    """Of the sets that share an item of U, each with the one closest to the pivot: one pair for
+    an item. Sets that share a change are mostly joined by that, however many they are."""
+    prefix = cut(_prefixes(rel), "prefixes")
+    closest = prefix.groupBy("q", "s").agg(F.max_by(F.struct("x", "cx", "n", "c", "left"), F.struct("c", "x")).alias("y"))
+    return _meet(prefix.join(closest.select("q", "s", *(F.col(f"y.{c}").alias(f"y_{c}") for c in ("x", "cx", "n", "c", "left"))), ["q", "s"]))
+
+
+def _by_delta(rel: DataFrame) -> DataFrame:
+    """All pairs that share enough of what the pivot lacks."""
+    prefix = cut(_prefixes(rel), "prefixes")
+    return _meet(prefix.join(_other(prefix, "s", F.col("left").alias("y_left")), ["q", "s"]).where("x > y_x"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from obslake.llm.common import cut, small_batches
 from obslake.llm.linking import similar_components
-from obslake.llm.sketch import band_keys, set_id, shingle_set
+from obslake.llm.sketch import Hashes, band_keys, set_id, shingle_set
 
 BANDS, ROWS = 40, 5
 
@@ -25,10 +25,11 @@ def longs(parts: list[np.ndarray]) -> pa.Array:
 
 def _sketches(bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = Hashes()
         for b in batches:
             n, cls, keys = [], [], []
             for text in b.column(1).to_pylist():
-                s = shingle_set(text)
+                s = shingle_set(text, hashes)
                 n.append(len(s))
                 cls.append(set_id(s) if len(s) else None)
                 keys.append(band_keys(s, bands, rows) if len(s) else np.empty(0, np.int64))
@@ -39,10 +40,11 @@ def _sketches(bands: int, rows: int):
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hashes = Hashes()
     for b in batches:
         node, items = [], []
         for v, cls, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
-            s = shingle_set(text)
+            s = shingle_set(text, hashes)
             if set_id(s) == cls:  # else another text under the same id
                 node.append(v)
                 items.append(s)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from obslake.llm.common import cut, small_batches
 from obslake.llm.linking import similar_components
 from obslake.llm.near_dedup import longs
-from obslake.llm.sketch import band_keys, set_id, shingle_set
+from obslake.llm.sketch import Hashes, band_keys, set_id, shingle_set
 
 # 3/4 similar paragraphs meet in a band with probability 1 - 1.6e-4
 BANDS, ROWS = 16, 3
@@ -21,6 +21,7 @@ MIN_WORDS = 40
 
 def _paragraphs(bands: int, rows: int, min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = Hashes()
         for b in batches:
             cols = [[] for _ in range(6)]
             keys = []
@@ -31,7 +32,7 @@ def _paragraphs(bands: int, rows: int, min_words: int):
                     if len(line) >= 2 * min_words - 1:
                         words = len(line.encode("utf-8", "surrogatepass").split())
                         if words >= min_words:
-                            s = shingle_set(line)
+                            s = shingle_set(line, hashes)
                             for c, v in zip(cols, (doc, k, at, at + len(line), len(s), set_id(s))):
                                 c.append(v)
                             keys.append(band_keys(s, bands, rows))
@@ -43,10 +44,11 @@ def _paragraphs(bands: int, rows: int, min_words: int):
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hashes = Hashes()
     for b in batches:
         node, items = [], []
         for v, cls, line in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
-            s = shingle_set(line)
+            s = shingle_set(line, hashes)
             if set_id(s) == cls:
                 node.append(v)
                 items.append(s)

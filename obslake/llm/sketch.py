@@ -10,10 +10,10 @@ _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-class _Hashes(dict):
-    """Word -> 64-bit hash; forgets all once it holds `most` words."""
+class Hashes(dict):
+    """Word -> 64-bit hash, kept for the task; forgets all once it holds `most` words."""
 
-    def __init__(self, most: int = 1 << 19):
+    def __init__(self, most: int = 1 << 17):
         super().__init__()
         self.most = most
 
@@ -26,9 +26,6 @@ class _Hashes(dict):
         return h
 
 
-_hashes = _Hashes()
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finalizer: a bijection that spreads every bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -36,13 +33,13 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_set(text: str | None, k: int = SHINGLE) -> np.ndarray:
+def shingle_set(text: str | None, hashes: dict[bytes, int], k: int = SHINGLE) -> np.ndarray:
     """Sorted distinct hashes of the k-word shingles of a text whose A-Z are lower-cased; with
-    fewer than k words the whole sequence is one; without words there is none."""
+    fewer than k words the whole sequence is one; without words there is none. hashes: a Hashes."""
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not found:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(_hashes.__getitem__, found), np.uint64, len(found))
+    h = np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found))
     size = min(k, len(h))
     out = np.full(len(h) - size + 1, np.uint64(size))
     for i in range(size):
