@@ -10,7 +10,7 @@ each other but with the bucket's first node, its pivot:
    U = x - p, |x & y| <= min(c_x, c_y) + |U_x & U_y|. So either min(c_x, c_y) alone suffices
    for the threshold, or U_x and U_y share at least T = needed - min(c_x, c_y) items, which a prefix
    filter over the rarest items of U finds. Sets that share an item are first checked against the
-   one of them closest to p, twice, which joins those with a common change; the pairs that pass
+   one of them closest to p, which joins those with a common change; the pairs that pass
    the filter and still lie in different components are then verified.
 
 Step 3 skips only pairs that the bound rules out, so no link between bucket mates is lost, and a
@@ -29,19 +29,17 @@ from obslake.llm.common import cut
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp) for every node of edges (a, b: long): comp is the smallest node reachable.
 
-    Each round maps a node to its smallest neighbour, shortens these paths, and contracts the
-    edges; every component at least halves, so rounds grow with the logarithm of its size.
+    Each round maps a node to its smallest neighbour, halves these paths, and contracts the edges;
+    every component at least halves, so rounds grow with the logarithm of its size.
     """
     e = cut(edges.select("a", "b").where("a <> b").distinct(), "edges")
     maps = []
     while not e.isEmpty():
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         up = both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("v"), F.least("a", "b").alias("up"))
-        for _ in range(2):
-            up = cut(up, "up")
-            next_up = up.select(F.col("v").alias("up"), F.col("up").alias("up2"))
-            up = up.join(next_up, "up").select("v", F.col("up2").alias("up"))
         up = cut(up, "up")
+        up = cut(up.join(up.select(F.col("v").alias("up"), F.col("up").alias("up2")), "up")
+                 .select("v", F.col("up2").alias("up")), "up")
         maps.append(up)
         e = e.join(up.select(F.col("v").alias("a"), F.col("up").alias("ua")), "a") \
             .join(up.select(F.col("v").alias("b"), F.col("up").alias("ub")), "b") \
@@ -53,7 +51,21 @@ def components(edges: DataFrame) -> DataFrame:
     for m in maps[1:]:
         m = m.select(F.col("v").alias("comp"), F.col("up").alias("_up"))
         labels = labels.join(m, "comp", "left").select("node", F.coalesce("_up", "comp").alias("comp"))
-    return cut(labels, "labels")
+    return labels
+
+
+def labelled(d: DataFrame, labels: DataFrame, *columns: str) -> DataFrame:
+    """d with the component c<column> of each of these columns of nodes."""
+    for c in columns:
+        d = d.join(labels.select(F.col("node").alias(c), F.col("comp").alias(f"c{c}")), c)
+    return d
+
+
+def joined(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """labels (node, comp) with the components of these edges (a, b) joined."""
+    between = labelled(edges, labels, "a", "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    merged = components(between).select(F.col("node").alias("comp"), F.col("comp").alias("_to"))
+    return cut(labels.join(merged, "comp", "left").select("node", F.coalesce("_to", "comp").alias("comp")), "labels")
 
 
 def _similar(common: Column, n: Column, m: Column) -> Column:
@@ -94,18 +106,9 @@ def similar_components(nodes: DataFrame, load_sets: Callable[[DataFrame], DataFr
     sets = cut(load_sets(seen), "sets")
 
     first = near.groupBy("x").agg(F.max_by("q", F.struct("size", -F.col("q"))).alias("q"))
-    edges = cut(_verified(first, sets), "links")
-
-    def labelled(d: DataFrame, labels: DataFrame, *columns: str) -> DataFrame:
-        for c in columns:
-            d = d.join(labels.select(F.col("node").alias(c), F.col("comp").alias("_c")), c, "left") \
-                .withColumn(f"c{c}", F.coalesce("_c", c)).drop("_c")
-        return d
-
-    labels = components(edges)
+    labels = joined(sets.select("node", F.col("node").alias("comp")), cut(_verified(first, sets), "links"))
     again = labelled(near.select("x", "q").distinct(), labels, "x", "q").where("cx <> cq").select("x", "q")
-    edges = edges.unionByName(cut(_verified(again, sets), "links"))
-    labels = components(edges)
+    labels = joined(labels, cut(_verified(again, sets), "links"))
 
     # buckets whose nodes besides the pivot lie in several components
     told = labelled(members.where("size > 2"), labels, "x")
@@ -115,12 +118,11 @@ def similar_components(nodes: DataFrame, load_sets: Callable[[DataFrame], DataFr
         "q", "x", F.size("sx").alias("n"), F.size("sq").alias("nq"),
         F.size(F.array_intersect("sx", "sq")).alias("c"), F.array_except("sx", "sq").alias("u")), "deltas")
     rel = rel.join(rel.groupBy("q").agg(F.min("n").alias("least")), "q")
-    for pairs_of in (_to_closest, _to_closest, _all_left):
+    for pairs_of in (_to_closest, _all_left):
         now = labelled(rel, labels, "x")
         open_ = now.groupBy("q").agg(F.min("cx").alias("lo"), F.max("cx").alias("hi")).where("lo <> hi").select("q")
         pairs = pairs_of(cut(now.join(open_, "q", "left_semi"), "open"))
-        edges = edges.unionByName(cut(_verified(pairs, sets), "links"))
-        labels = components(edges)
+        labels = joined(labels, cut(_verified(pairs, sets), "links"))
     return labels
 
 
