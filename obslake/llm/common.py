@@ -48,3 +48,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def small_batches(spark: SparkSession, rows: int = 200) -> None:
     """Rows handed to Python at once; long texts would else fill a worker's memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def read_file(spark: SparkSession, path: str) -> bytes:
+    """A small file, read by Spark, so its path may be in any store; a bare path is local."""
+    url = path if "://" in path else f"file://{path}"
+    return bytes(spark.read.format("binaryFile").load(url).select("content").first()[0])

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from obslake.llm.common import small_batches
+from obslake.llm.common import read_file, small_batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -28,11 +28,10 @@ class Pieces(NamedTuple):
 
 
 def load(spark: SparkSession, path: str = MODEL) -> Pieces:
-    """Read a model file (under a megabyte) through Spark, so its path may be in any store."""
+    """Read a model file, under a megabyte."""
     from sentencepiece import sentencepiece_model_pb2 as pb
-    url = path if "://" in path else f"file://{path}"
     m = pb.ModelProto()
-    m.ParseFromString(bytes(spark.read.format("binaryFile").load(url).select("content").first()[0]))
+    m.ParseFromString(read_file(spark, path))
     if m.normalizer_spec.name != "identity" or m.normalizer_spec.remove_extra_whitespaces:
         raise ValueError("only models that keep the text as it is can be decoded exactly")
     return Pieces([p.piece for p in m.pieces], [p.score for p in m.pieces], [p.type for p in m.pieces],
@@ -73,6 +72,13 @@ class Codec:
         its output links; each may improve the position's best score.
         """
         n = len(s)
+        if self.single.issuperset(s):  # every position is the end of some piece
+            score, back, piece = [0.0] + [-np.inf] * n, [0] * (n + 1), [0] * (n + 1)
+            for last, (size, i, value) in self.automaton.iter(s):
+                total = score[last + 1 - size] + value
+                if total > score[last + 1]:
+                    score[last + 1], back[last + 1], piece[last + 1] = total, last + 1 - size, i
+            return self._path(s, back, piece)
         score, back, piece = [None] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
         score[0], settled = 0.0, 0
 
@@ -93,7 +99,11 @@ class Codec:
             if score[end] is None or total > score[end]:
                 score[end], back[end], piece[end] = total, end - size, i
         settle(n)
-        out, at = [], n
+        return self._path(s, back, piece)
+
+    def _path(self, s: str, back: list[int], piece: list[int]) -> list[int]:
+        """Ids along the best path, from its end to its start and turned round."""
+        out, at = [], len(s)
         while at:
             if piece[at] < 0:
                 out.extend(reversed([self.bytes.get(x, self.unk) for x in s[back[at]:at].encode("utf-8", "surrogatepass")]))
