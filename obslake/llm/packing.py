@@ -7,17 +7,22 @@ the least room that suffices, which a segment tree over rooms finds in log(lengt
 
 from __future__ import annotations
 
+import base64
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from obslake.llm import pieces
-from obslake.llm.common import small_batches
+from obslake.llm.common import read_file, small_batches
 
 LENGTH = 2048
+RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+# fixed value: how a byte-level BPE of this kind parts a text before merging
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+END = 50256
 SHARD_CHARS = 8_000_000
 
 
@@ -116,8 +121,14 @@ def _packer(length: int, pad: int, dtype):
     return pack
 
 
-def packed(docs: DataFrame, length: int = LENGTH, shard_chars: int = SHARD_CHARS, model: str = pieces.MODEL,
-           pad: int = 0) -> DataFrame:
+def encoder(ranks: bytes) -> tiktoken.Encoding:
+    """Byte-level BPE from lines of a base64 token and its id."""
+    merges = {base64.b64decode(token): int(i) for token, i in map(bytes.split, ranks.splitlines())}
+    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=merges, special_tokens={})
+
+
+def packed(docs: DataFrame, length: int = LENGTH, shard_chars: int = SHARD_CHARS, ranks: str = RANKS,
+           pad: int = END) -> DataFrame:
     """Rows of `length` token ids packed from docs (doc_id long, text): shard, row, n_tokens, ids
     and positions (little-endian, 16 bits each, or 32 for a vocabulary or length over 65,535; past
     n_tokens the pad id and 0), cu_seqlens (0 and each segment's end), doc_ids and parts (of each segment).
@@ -131,14 +142,15 @@ def packed(docs: DataFrame, length: int = LENGTH, shard_chars: int = SHARD_CHARS
     small_batches(spark)
     chars = docs.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
     shards = int(chars // shard_chars) + 1
-    held = pieces.load(spark, model)
-    shared = spark.sparkContext.broadcast(tuple(held))  # a model file: some 32,000 pieces
-    dtype = np.dtype("<u2" if max(len(held.piece), length) <= 65_535 else "<u4")
+    held = read_file(spark, ranks)
+    shared = spark.sparkContext.broadcast(held)  # a vocabulary file: some 50,000 lines
+    dtype = np.dtype("<u2" if max(held.count(b"\n") + 1, pad, length) <= 65_535 else "<u4")
     cut_up = _segments(length, shards, dtype)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = pieces.Codec(pieces.Pieces(*shared.value))
-        yield from cut_up((b.column(0).to_pylist(), [codec.ids(t) for t in b.column(1).to_pylist()]) for b in batches)
+        encode = encoder(shared.value).encode_ordinary
+        yield from cut_up((b.column(0).to_pylist(), [np.array(encode(t or ""), np.int32).tobytes()
+                                                     for t in b.column(1).to_pylist()]) for b in batches)
 
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     segments = d.mapInArrow(run, "shard int, doc_id long, part int, n int, ids binary")
