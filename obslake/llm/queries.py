@@ -81,4 +81,18 @@ QUERIES = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_source_mixing, op3_quality_rules, op4_url_filters, op5_substring_dedup,
     op6_sentencepiece, op7_toxicity, op8_exact_top_k, op9_token_packing, op10_secret_scans, pipeline)}
 
-ORACLE: dict[str, str] = {}
+# The others are no SQL (sketches, hashed counts, draws, fitted weights, pieces, ledgers); tests
+# compare them with brute force.
+ORACLE: dict[str, str] = {
+    "op8_exact_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v
+            FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5""",
+}
