@@ -3,7 +3,7 @@ or `python -m obslake <job> ...` locally.
 
 Jobs
   bootstrap  --json PATH --daily PATH [--multiline]       V8: nested JSON history -> new daily table
-  daily      --raw PATH --daily PATH --batch N V9: raw observations -> daily table (upsert)
+  daily      --raw PATH --daily PATH           V9: raw observations -> daily table (upsert)
   records    --daily PATH --out PATH [--order reference] [--split-summer]   V6: records CSV per season
   trends     --daily PATH --out PATH [--years 4] [--split-summer]           V7: trends CSV per season
   live-trends --source PATH --root PATH [--trigger "10 seconds"] [--watermark "10 minutes"]
@@ -31,7 +31,6 @@ def main(argv=None) -> None:
     ap.add_argument("job")
     for opt in ("--json", "--daily", "--raw", "--out", "--source", "--root", "--table", "--as-of"):
         ap.add_argument(opt)
-    ap.add_argument("--batch", type=int, default=0)
     ap.add_argument("--order", default="extreme")
     ap.add_argument("--years", type=int, default=4)
     ap.add_argument("--trigger", default="10 seconds")
@@ -48,7 +47,7 @@ def main(argv=None) -> None:
     if a.job == "bootstrap":
         jobs.history_bootstrap(spark, a.json, a.daily, multiline=a.multiline)
     elif a.job == "daily":
-        jobs.daily_incremental(spark, a.raw, a.daily, a.batch, daily_exists=live._exists(spark, a.daily))
+        jobs.daily_incremental(spark, a.raw, a.daily)
     elif a.job == "records":
         jobs.records_job(spark, a.daily, a.out, order=a.order, split_summer=a.split_summer)
     elif a.job == "trends":

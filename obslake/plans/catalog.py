@@ -472,9 +472,9 @@ def q_daily_incremental(spark, sf):
            .withColumn("batch", F.lit(1).cast("long"))
            .withColumn("day", F.to_date(F.timestamp_seconds("unix_date"))))
     tables.merge_upsert(spark, f"{root}/raw", raw, ["unix_date"], ["batch", "seq"], "day", exists=False)
-    jobs.daily_incremental(spark, f"{root}/raw", f"{root}/daily", batch=1, daily_exists=False)
-    jobs.daily_incremental(spark, f"{root}/raw", f"{root}/daily", batch=2)  # re-run: unchanged
-    return spark.read.parquet(f"{root}/daily").drop("year", "_b")
+    jobs.daily_incremental(spark, f"{root}/raw", f"{root}/daily")
+    jobs.daily_incremental(spark, f"{root}/raw", f"{root}/daily")  # re-run: unchanged
+    return spark.read.parquet(f"{root}/daily").drop("year")
 
 
 QUERIES.update({

@@ -15,25 +15,24 @@ def _with_year(daily: DataFrame) -> DataFrame:
     return daily.withColumn("year", F.year(epoch_to_date("unix_date")))
 
 
-def history_bootstrap(spark: SparkSession, json_path: str, daily_path: str, partitions: int = 5,
+def history_bootstrap(spark: SparkSession, json_path: str, daily_path: str, partitions: int | None = None,
                       multiline: bool = False) -> None:
     """V8: nested JSON history (S1) -> daily rollup (F1-F3, P1, G1) -> new daily table."""
     nested = tables.read_history_json(spark, json_path, multiline=multiline)
     tables.create_table(_with_year(rollup.history_daily(nested)), daily_path, "unix_date", "year", partitions)
 
 
-def daily_incremental(spark: SparkSession, raw_path: str, daily_path: str, batch: int,
-                      daily_exists: bool = True) -> None:
+def daily_incremental(spark: SparkSession, raw_path: str, daily_path: str) -> None:
     """V9: raw-observation table (S3) -> midnight epoch (F5) -> daily rollup (G2) -> upsert into
-    the daily table (S5), rewriting only the years that received rows."""
+    the daily table (S5), rewriting only the years that received rows. The table may be one that the
+    history job created (V8); its days are replaced by those of the raw observations."""
     raw = tables.read_table(spark, raw_path).select(
         "unix_date", "clouds", "humidity", "pressure", "temp", "temp_min", "temp_max", "deg", "speed")
-    daily = _with_year(rollup.observations_daily(raw)).withColumn("_b", F.lit(batch))
-    tables.merge_upsert(spark, daily_path, daily, ["unix_date"], ["_b"], "year", exists=daily_exists)
+    tables.merge_upsert(spark, daily_path, _with_year(rollup.observations_daily(raw)), ["unix_date"], [], "year")
 
 
 def _season_table(spark: SparkSession, daily_path: str, split_summer: bool = False) -> DataFrame:
-    daily = tables.read_table(spark, daily_path).drop("year", "_b")
+    daily = tables.read_table(spark, daily_path).drop("year")
     seas = rollup.season_rollup(daily, split_summer)
     seas.createOrReplaceTempView("year_season")  # S19
     return spark.table("year_season")

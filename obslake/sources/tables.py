@@ -28,14 +28,12 @@ def read_history_json(spark: SparkSession, path: str, schema: T.StructType = OBS
     return r.json(path)
 
 
-def _committed(spark: SparkSession, path: str) -> bool:
-    """True when a completed write left its _SUCCESS marker at path."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
-    except Exception:
-        return False
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether path holds a table: any file or folder that is not one of a writer's own (a failed
+    first write leaves `_temporary` alone). Errors of the file system are raised, not taken for no."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p)) and any(st.getPath().getName()[0] not in "_." for st in fs.listStatus(p))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -59,16 +57,14 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 # --- sinks ----------------------------------------------------------------------------------
 
 def create_table(df: DataFrame, path: str, key: str = "unix_date", partition_by: str | None = "year",
-                 initial_partitions: int = 5) -> None:
-    """Create and load a keyed table; fails if a complete table exists. A folder left by a
-    failed attempt (no _SUCCESS marker) is overwritten, so the job can simply be re-run. Rows are
-    range-partitioned on the key (the pre-split of the original store), files split by
-    `partition_by`."""
-    spark = df.sparkSession
-    if _committed(spark, path):
+                 initial_partitions: int | None = None, overwrite: bool = False) -> None:
+    """Create and load a keyed table; fails if there is one, upserted or not, unless told to
+    overwrite it. Rows are range-partitioned on the key, files split by `partition_by`; without
+    initial_partitions (the pre-split of the original store) the size of the data decides."""
+    if not overwrite and table_exists(df.sparkSession, path):
         raise FileExistsError(f"table already exists: {path}")
-    # a whole-table write: static overwrite (replaces leftovers, leaves _SUCCESS at the root)
-    w = (df.repartitionByRange(initial_partitions, key).write.mode("overwrite")
+    parts = [initial_partitions] if initial_partitions else []
+    w = (df.repartitionByRange(*parts, F.col(key)).write.mode("overwrite")
          .option("partitionOverwriteMode", "static"))
     if partition_by:
         w = w.partitionBy(partition_by)
@@ -94,9 +90,6 @@ def preview(df: DataFrame, n: int = 10) -> DataFrame:
 
 # --- keyed semantics (G7, S5, S6, S13, S14, T9) ----------------------------------------------
 
-MAX_TOUCHED_PARTITIONS = 10_000  # partition values fetched for static pruning (metadata-sized)
-
-
 def upsert_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Latest version per key by `order` (ascending = older). One groupBy with max_by over a
     struct: partial aggregation combines versions map-side, so a key with millions of versions
@@ -108,30 +101,33 @@ def upsert_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
 
 
 def merge_upsert(spark: SparkSession, path: str, new: DataFrame, keys: list[str], order: list[str],
-                 partition_by: str, exists: bool = True) -> None:
+                 partition_by: str, exists: bool | None = None) -> None:
     """Upsert `new` into the table at `path`, rewriting only touched partitions.
 
-    Only the partitions `new` touches are read (static partition filter) and rewritten (dynamic
-    overwrite). The merged rows are checkpointed to the shared checkpoint folder before the
-    overwrite, so the write never reads the files it replaces and a retry restarts from there.
+    A delivered row replaces the stored one of its key, whatever their contents; `order` (ascending
+    = older) decides among rows of one delivery. Nothing of that order is stored. A null partition
+    value is a partition like any other. Columns that only one side has are null on the other. An
+    empty delivery changes nothing.
+
+    `new` is staged once. Its least and greatest partition value prune the folders that are read,
+    and a null-safe semi-join keeps those it touches. The merged rows are checkpointed to the shared
+    folder before they replace the partitions, so the write never reads the files it replaces. The
+    replacement is folder by folder: a driver lost in the middle of it leaves the table to be
+    restored from the checkpoint or by delivering the batch again with its table's history.
     """
-    if exists:
-        old = spark.read.parquet(path)
-        touched = new.select(partition_by).distinct()
-        # The touched partition values (one per day / year a batch hits) are few, so they are
-        # fetched and applied as a static partition filter: only those folders are listed and
-        # read. Dynamic pruning through the semi-join would need a filtered, broadcast build side
-        # and does not fire for an unfiltered batch. Past the cap the semi-join still gives the
-        # right rows, with a full scan.
-        vals = [r[0] for r in touched.limit(MAX_TOUCHED_PARTITIONS + 1).collect()]
-        if len(vals) <= MAX_TOUCHED_PARTITIONS:
-            old = old.filter(F.col(partition_by).isin(vals))
-        else:
-            old = old.join(touched, partition_by, "left_semi")
-        merged = upsert_latest(old.select(*new.columns).unionByName(new), keys, order)
-    else:
-        merged = upsert_latest(new, keys, order)
-    merged = merged.checkpoint(eager=True)
+    new = new.checkpoint(eager=True).withColumn("_new", F.lit(1))
+    if new.isEmpty():
+        return
+    merged = new
+    if table_exists(spark, path) if exists is None else exists:
+        lo, hi = new.agg(F.min(partition_by), F.max(partition_by)).first()
+        part = F.col(partition_by)
+        in_range = part.isNull() if lo is None else part.isNull() | part.between(F.lit(lo), F.lit(hi))
+        touched = new.select(part.alias("_part")).distinct()
+        old = spark.read.parquet(path).filter(in_range).withColumn("_new", F.lit(0))
+        old = old.join(touched, old[partition_by].eqNullSafe(touched["_part"]), "left_semi")
+        merged = old.unionByName(new, allowMissingColumns=True)
+    merged = upsert_latest(merged, keys, ["_new", *order]).drop("_new").checkpoint(eager=True)
     # range partitioning on (partition, key): a hot partition is split over several writers
     # instead of landing in one task, and each writer still produces few, sorted files
     (merged.repartitionByRange(partition_by, *keys).write.mode("overwrite")

@@ -220,8 +220,7 @@ class LiveLocationData:
                           "humidity", "weather", F.col("ts").alias("written_at"),
                           F.to_date("ts").alias("day"), F.lit(batch_id).cast("long").alias("batch"))
         tables.merge_upsert(spark, self.path, rows, ["location", "timestamp"],
-                            ["batch", "temperature", "wind", "humidity", "weather"], "day",
-                            exists=_exists(spark, self.path))
+                            ["batch", "temperature", "wind", "humidity", "weather"], "day")
 
     def start(self, line_stream: DataFrame, trigger: str | None = "10 seconds"):
         return (line_stream.writeStream.foreachBatch(self.process_batch)
@@ -266,15 +265,14 @@ class LiveIngest:
         new = (flat.filter(F.col("unix_date").isNotNull())
                .withColumn("batch", F.lit(batch_id).cast("long"))
                .withColumn("day", epoch_to_date("unix_date")))
-        raw_exists = _exists(spark, self.raw_path)
-        tables.merge_upsert(spark, self.raw_path, new, ["unix_date"], ["batch", "seq"], "day",
-                            exists=raw_exists)
+        tables.merge_upsert(spark, self.raw_path, new, ["unix_date"], ["seq"], "day")
         days = [r[0] for r in new.select("day").distinct().collect()]  # the few days this batch hit
+        if not days:
+            return
         raw = spark.read.parquet(self.raw_path).filter(F.col("day").isin(days))  # static pruning
         daily = (rollup.observations_daily(raw.drop("seq", "batch", "day"))
                  .withColumn("year", F.year(epoch_to_date("unix_date"))))
-        tables.merge_upsert(spark, self.daily_path, daily.withColumn("_b", F.lit(batch_id)),
-                            ["unix_date"], ["_b"], "year", exists=_exists(spark, self.daily_path))
+        tables.merge_upsert(spark, self.daily_path, daily, ["unix_date"], [], "year")
 
     def start(self, message_stream: DataFrame, trigger: str | None = "10 seconds"):
         return (message_stream.writeStream.foreachBatch(self.process_batch)
@@ -282,7 +280,7 @@ class LiveIngest:
                 .trigger(**trigger_kwargs(trigger)).start())
 
     def daily(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.daily_path).drop("_b", "year")
+        return spark.read.parquet(self.daily_path).drop("year")
 
 
 def _fs(spark: SparkSession, path: str):
@@ -304,20 +302,5 @@ def _delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Does a Parquet table exist at path (Hadoop FS check; a schema probe without a JVM handle)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(p))
-    except Exception:
-        try:
-            spark.read.parquet(path).schema
-            return True
-        except Exception:
-            return False
-
-
 __all__ = ["LiveTrends", "LiveTrendsUpdate", "LiveIngest", "LiveLocationData", "late_rows",
            "observation_stream", "parse_observations", "stream_panes", "trigger_kwargs"]

@@ -122,7 +122,7 @@ def test_create_table_rerun_after_failed_attempt(spark):
     import pytest
 
     path = work_path(spark, "t_create")
-    os.makedirs(path)  # leftovers of a failed attempt: a folder without _SUCCESS
+    os.makedirs(os.path.join(path, "_temporary"))  # leftovers of a failed attempt
     df = spark.createDataFrame([(1, 2020, 1.0), (2, 2021, 2.0)], "unix_date long, year int, v double")
     tables.create_table(df, path)
     assert spark.read.parquet(path).count() == 2
@@ -162,3 +162,52 @@ def test_json_export_keeps_nulls(spark):
     """Serving JSON keeps null fields (a zero-start trend is shown as null, not dropped)."""
     df = spark.createDataFrame([("A", None, 1.5)], "location string, wind_trend double, actual_wind double")
     assert tables.to_json_lines(df).first().json == '{"location":"A","wind_trend":null,"actual_wind":1.5}'
+
+
+def test_upsert_keeps_rows_of_the_null_partition(spark):
+    path = work_path(spark, "t_null")
+    old = spark.createDataFrame([("a", None, 1.0), ("b", None, 2.0), ("c", 2020, 3.0)], "k string, year int, v double")
+    tables.merge_upsert(spark, path, old, ["k"], [], "year")
+    tables.merge_upsert(spark, path, spark.createDataFrame([("b", None, 9.0), ("d", 2021, 4.0)], old.schema), ["k"], [], "year")
+    tables.merge_upsert(spark, path, old.limit(0), ["k"], [], "year")  # empty: no change
+    assert sorted((r.k, r.year, r.v) for r in spark.read.parquet(path).collect()) == [
+        ("a", None, 1.0), ("b", None, 9.0), ("c", 2020, 3.0), ("d", 2021, 4.0)]
+
+
+def test_create_table_refuses_an_upserted_table(spark):
+    import pytest
+
+    path = work_path(spark, "t_refuse")
+    df = spark.createDataFrame([(1, 2020, 1.0)], "unix_date long, year int, v double")
+    tables.merge_upsert(spark, path, df, ["unix_date"], [], "year")
+    with pytest.raises(FileExistsError):
+        tables.create_table(df, path)
+    tables.create_table(df.withColumn("v", F.lit(2.0)), path, overwrite=True)
+    assert [r.v for r in spark.read.parquet(path).collect()] == [2.0]
+
+
+def test_later_delivery_replaces_stored_row_whatever_its_order(spark):
+    path = work_path(spark, "t_later")
+    rows = lambda b, v: spark.createDataFrame([(1, b, v, 2020)], "k int, batch int, v double, year int")
+    tables.merge_upsert(spark, path, rows(7, 1.0), ["k"], ["batch"], "year")
+    tables.merge_upsert(spark, path, rows(0, 9.0), ["k"], ["batch"], "year")  # ids restarted
+    assert [r.v for r in spark.read.parquet(path).collect()] == [9.0]
+
+
+def test_daily_job_upserts_into_the_bootstrapped_table(spark):
+    """V8, then V9 into the same table: delivered days are replaced, all others stay."""
+    from obslake.plans import jobs
+    from obslake.operators import rollup
+
+    root = work_path(spark, "t_v8v9")
+    cols = ["clouds", "humidity", "pressure", "temp", "temp_min", "temp_max", "deg", "speed"]
+    obs = lambda days, v: spark.createDataFrame(
+        [(d * 86400 + h, *([v + h] * 8)) for d in days for h in (0, 3600)], "unix_date long, " + ", ".join(f"{c} double" for c in cols))
+    first, second = obs([100, 101, 400], 1.0), obs([101, 800], 50.0)
+    daily = f"{root}/daily"
+    tables.create_table(jobs._with_year(rollup.observations_daily(first)), daily)
+    second.write.parquet(f"{root}/raw")
+    jobs.daily_incremental(spark, f"{root}/raw", daily)
+    want = rollup.observations_daily(first).where("unix_date <> 101 * 86400").unionByName(rollup.observations_daily(second))
+    got = spark.read.parquet(daily).drop("year").select(*want.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
