@@ -174,13 +174,16 @@ def compact_expired(spark: SparkSession, path: str, as_of, ttl_s: int = DAY_S,
 
 def ensure_table(spark: SparkSession, db: str, table: str, ddl_columns: str, path: str,
                  partitioned_by: str | None = None, db_location: str | None = None) -> None:
-    """Idempotent namespace + table creation over a Parquet folder. Pass db_location (a
-    shared folder) unless the cluster's warehouse dir is configured."""
+    """Idempotent namespace + table creation over a Parquet folder; the partitions already in the
+    folder are registered. Pass db_location (a shared folder) unless the cluster's warehouse dir is
+    configured."""
     loc = f" LOCATION '{db_location}'" if db_location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{loc}")
     part = f" PARTITIONED BY ({partitioned_by})" if partitioned_by else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{table} ({ddl_columns}) USING parquet{part} "
               f"LOCATION '{path}'")
+    if partitioned_by:
+        spark.sql(f"ALTER TABLE {db}.{table} RECOVER PARTITIONS")
 
 
 def drop_table(spark: SparkSession, db: str, table: str) -> None:
