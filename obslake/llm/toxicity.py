@@ -77,7 +77,7 @@ def fit(rows: list[tuple[int, np.ndarray]], steps: int = 120, rate: float = 0.3,
     return (w * ratio / norm).astype(np.float32), float(bias)
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = 1000) -> tuple[np.ndarray, float]:
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = 600) -> tuple[np.ndarray, float]:
     """Fit on at most max_rows labelled rows of each class, those of least hash; rows whose
     crc32(doc_id as text) mod 5 is 0 are held out. max_rows bounds what the driver gets."""
     known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("_id")) \
@@ -96,7 +96,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 1000) -> tuple[np.
                       key=lambda r: (r[0], len(r[1]), r[1].tobytes())))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 1000) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 600) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, held_out (crc32 of the doc_id's text mod 5
     is 0), score (0 to 1), predicted (1 from a score of 0.5).
 
