@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obslake import fixtures
-from obslake.functions.columns import epoch_seconds, midnight_epoch, season_year
+from obslake.functions.columns import epoch_seconds, epoch_to_date, midnight_epoch, season_year
 from obslake.operators import history, rollup, windows
 from obslake.plans import jobs, serve
 from obslake.plans import oracle as O
@@ -432,6 +432,9 @@ ORACLE.update({
 })
 
 
+REDELIVERED_YEAR = 1996  # of H, whose days the daily job delivers a second time
+
+
 # --- end-to-end batch jobs (V6-V9) -------------------------------------------------------------
 
 
@@ -464,31 +467,52 @@ def q_trends_job(spark, sf):
     return jobs.read_products(spark, out, trends=True)
 
 
+def _raw_table(spark, sf, path: str) -> None:
+    raw = codecs.raw_observations(fixtures.nested_messages(spark, sf)).withColumn(
+        "day", epoch_to_date("unix_date"))
+    tables.merge_upsert(spark, path, raw, ["location", "unix_date"], ["seq"], "day", exists=False)
+
+
 def q_daily_incremental(spark, sf):
-    """Decoded messages upserted into the raw table by unix_date, then the daily
-    job rolls the raw table up and upserts the daily table."""
+    """Decoded messages upserted into the raw table by (location, unix_date), then
+    the daily job rolls the raw table up and upserts the daily table."""
     root = work_path(spark, "incremental")
-    rec = fixtures.nested_messages(spark, sf).select("seq", codecs.decode("value").alias("r"))
-    raw = (codecs.flatten_record(rec, "r", keep=("seq",))
-           .withColumn("batch", F.lit(1).cast("long"))
-           .withColumn("day", F.to_date(F.timestamp_seconds("unix_date"))))
-    tables.merge_upsert(spark, f"{root}/raw", raw, ["unix_date"], ["batch", "seq"], "day", exists=False)
+    _raw_table(spark, sf, f"{root}/raw")
     jobs.daily_incremental(spark, f"{root}/raw", f"{root}/daily")
     jobs.daily_incremental(spark, f"{root}/raw", f"{root}/daily")  # re-run: unchanged
     return spark.read.parquet(f"{root}/daily").drop("year")
 
 
+def q_bootstrap_then_daily(spark, sf):
+    """V8, then V9 into the same table: the history job creates the daily table from H, the daily
+    job delivers the days of E and, once more and changed, the days of H in one year."""
+    root = work_path(spark, "bootstrap_daily")
+    h = fixtures.history_records(spark, sf)
+    h.write.json(f"{root}/json")
+    jobs.history_bootstrap(spark, f"{root}/json", f"{root}/daily")
+    _raw_table(spark, sf, f"{root}/raw")
+    again = (rollup.flatten_observation(h.filter(F.year(F.timestamp_seconds("dt")) == REDELIVERED_YEAR))
+             .withColumn("temp_max", F.col("temp_max") + F.lit(1000.0))
+             .withColumn("day", epoch_to_date("unix_date")))
+    again.write.partitionBy("day").parquet(f"{root}/raw_again")
+    jobs.daily_incremental(spark, f"{root}/raw", f"{root}/daily")
+    jobs.daily_incremental(spark, f"{root}/raw_again", f"{root}/daily")
+    return spark.read.parquet(f"{root}/daily").drop("year")
+
+
 QUERIES.update({
     "history_json_scan": q_history_json_scan,
     "records_job": q_records_job,
     "trends_job": q_trends_job,
     "daily_incremental": q_daily_incremental,
+    "bootstrap_then_daily": q_bootstrap_then_daily,
 })
 ORACLE.update({
     "history_json_scan": O.q_daily_rollup(),
     "records_job": O.q_records("extreme"),
     "trends_job": O.q_yearly_trend(with_has_prev=False),
     "daily_incremental": O.q_stream_daily_rollup(),
+    "bootstrap_then_daily": O.q_bootstrap_then_daily(REDELIVERED_YEAR),
 })
 
 

@@ -182,7 +182,7 @@ def _q(x: str) -> str:
     return f"""(CASE WHEN instr({x}, {sq}) > 0 THEN '"' || {x} || '"' ELSE {sq} || {x} || {sq} END)"""
 
 
-NESTED_FLAT = f"""SELECT seq, temperature AS temp, temperature - 1.0 AS temp_min, temperature + 1.0 AS temp_max,
+NESTED_FLAT = f"""SELECT location, seq, temperature AS temp, temperature - 1.0 AS temp_min, temperature + 1.0 AS temp_max,
        CAST(1000 + seq % 50 AS DOUBLE) AS pressure, CAST(CAST(humidity AS BIGINT) AS DOUBLE) AS humidity,
        wind AS speed, CAST(seq % 360 AS DOUBLE) AS deg, CAST(seq % 101 AS DOUBLE) AS clouds,
        {EP} AS unix_date
@@ -190,7 +190,7 @@ FROM e"""
 
 
 def q_nested_flatten() -> str:
-    return f"WITH {E_OBS} {NESTED_FLAT}"
+    return f"WITH {E_OBS}, nf AS ({NESTED_FLAT}) SELECT * EXCLUDE (location) FROM nf"
 
 
 def q_first_weather() -> str:
@@ -326,11 +326,20 @@ WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL {delay}"""
 
 def q_stream_daily_rollup() -> str:
     return f"""WITH {E_OBS}, nf AS ({NESTED_FLAT}),
-dd AS (SELECT * FROM nf QUALIFY row_number() OVER (PARTITION BY unix_date ORDER BY seq DESC) = 1),
+dd AS (SELECT * FROM nf QUALIFY row_number() OVER (PARTITION BY location, unix_date ORDER BY seq DESC) = 1),
 nd AS (SELECT * REPLACE (unix_date - unix_date % 86400 AS unix_date) FROM dd)
 {daily_select('nd')}"""
 
 
+def q_bootstrap_then_daily(year: int) -> str:
+    """Daily rows of E replace those of H; those of the redelivered year have a raised maximum."""
+    return f"""WITH {H_DAILY}, e_daily AS (FROM ({q_stream_daily_rollup()})),
+h_new AS (SELECT * REPLACE (max_temp + CASE WHEN year(make_timestamp(unix_date * 1000000)) = {year}
+                            THEN 1000.0 ELSE 0.0 END AS max_temp) FROM h_daily)
+SELECT * FROM h_new WHERE unix_date NOT IN (SELECT unix_date FROM e_daily)
+UNION ALL BY NAME SELECT * FROM e_daily"""
+
+
 E_LINE = f"""
 e AS (
   SELECT 'station-' || CAST(user_id % 5 AS VARCHAR) AS location, make_timestamp(epoch_us(ts) // 1000000 * 1000000) AS ts,

@@ -71,6 +71,13 @@ def flatten_record(rec_df: DataFrame, rec: str = "r", keep: tuple[str, ...] = ()
                                for c in RAW_COLUMNS])
 
 
+def raw_observations(messages: DataFrame, seq: str = "seq") -> DataFrame:
+    """P2-P4, P14 for broker messages (seq, value): raw-observation rows with the station's name as
+    `location` and the arrival order `seq`. A message that is no record has a null unix_date."""
+    rec = messages.select(F.col(seq).alias("seq"), decode("value").alias("r"))
+    return flatten_record(rec.withColumn("location", F.col("r.name")), "r", keep=("location", "seq"))
+
+
 # --- text lines (P16, P17) -------------------------------------------------------------------
 
 # One line is the printed form of an 8-tuple:

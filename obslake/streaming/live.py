@@ -248,7 +248,7 @@ def observation_stream(spark: SparkSession, path: str, schema, max_files: int |
 
 
 class LiveIngest:
-    """V10 + V9: broker messages -> raw-observation table (upsert by unix_date) -> daily table
+    """V10 + V9: broker messages -> raw-observation table (upsert by location and unix_date) -> daily table
     (re-aggregated for the touched days only)."""
 
     def __init__(self, root: str):
@@ -260,17 +260,14 @@ class LiveIngest:
         spark = batch.sparkSession
         if batch.isEmpty():
             return
-        rec = batch.select("seq", codecs.decode("value").alias("r"))
-        flat = codecs.flatten_record(rec, "r", keep=("seq",))
-        new = (flat.filter(F.col("unix_date").isNotNull())
-               .withColumn("batch", F.lit(batch_id).cast("long"))
+        new = (codecs.raw_observations(batch).filter(F.col("unix_date").isNotNull())
                .withColumn("day", epoch_to_date("unix_date")))
-        tables.merge_upsert(spark, self.raw_path, new, ["unix_date"], ["seq"], "day")
+        tables.merge_upsert(spark, self.raw_path, new, ["location", "unix_date"], ["seq"], "day")
         days = [r[0] for r in new.select("day").distinct().collect()]  # the few days this batch hit
         if not days:
             return
         raw = spark.read.parquet(self.raw_path).filter(F.col("day").isin(days))  # static pruning
-        daily = (rollup.observations_daily(raw.drop("seq", "batch", "day"))
+        daily = (rollup.observations_daily(raw.drop("location", "seq", "day"))
                  .withColumn("year", F.year(epoch_to_date("unix_date"))))
         tables.merge_upsert(spark, self.daily_path, daily, ["unix_date"], [], "year")
 
