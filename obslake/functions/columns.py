@@ -99,25 +99,36 @@ def r2(x: ColOrName) -> Column:
     return F.round(_c(x), 2)
 
 
-MICRO = 1_000_000
+UNITS = 100_000_000   # units of a value that are summed exactly: 1e-8
+EXACT_BELOW = 1e7     # larger values have no exact 1e-8 units in a double
+LOW_BITS = 24
 
 
 def exact_mean(x: ColOrName, scale: int = 2) -> Column:
     """avg rounded HALF_UP to `scale` decimals, from an exact sum.
 
     A double sum depends on the order rows arrive in, i.e. on the partitioning; at a rounding
-    half that flips the last digit. Here every value is taken in micro-units as a long (exact for
-    inputs with up to 6 decimals), the long sum is exact and order-free (under ANSI an overflow
-    fails instead of wrapping), and the single division per group is done in decimal. So the
-    mean is the same on one thread and on a thousand executors, at near double-sum speed.
-    NaN inputs are ignored like nulls.
+    half that flips the last digit. Here every value below ten million is taken in units of 1e-8 as
+    a long (exact for inputs with up to 8 decimals), and the high and low bits are summed apart, so
+    that neither sum overflows below some 1e11 rows a group. The sum is order-free, and the
+    single division per group is done in decimal.
+
+    Larger values, NaN and the infinities are added as doubles, as avg() does: a group with a NaN
+    has a NaN mean (and a NaN max, the greatest double), one infinity makes the mean infinite, both
+    make it NaN. Nulls are ignored; a group of nulls has a null mean.
     """
     v = _c(x).cast("double")
-    # NaN readings are skipped (a long has no NaN); a value too large for micro-units still
-    # fails the cast under ANSI rather than vanishing
-    units = F.when(~F.isnan(v), F.rint(v * F.lit(float(MICRO)))).cast("long")
-    mean_units = F.sum(units).cast("decimal(38,10)") / F.count(units).cast("decimal(20,0)")
-    return F.round(mean_units, scale - 6).cast("double") / F.lit(float(MICRO))
+    exact = F.abs(v) < F.lit(EXACT_BELOW)  # false for NaN, which is greater than any number
+    units = F.when(exact, F.rint(v * F.lit(float(UNITS))).cast("long"))
+    high = F.sum(F.shiftright(units, LOW_BITS))
+    low = F.sum(units.bitwiseAND(F.lit((1 << LOW_BITS) - 1)))
+    rest = F.sum(F.when(~exact, v))
+    total = high.cast("decimal(28,0)") * F.lit(1 << LOW_BITS).cast("decimal(9,0)") + low.cast("decimal(20,0)")
+    n = F.count(v)
+    mean_units = total.cast("decimal(38,8)") / n.cast("decimal(20,0)")
+    mean = F.round(mean_units, scale - 8).cast("double") / F.lit(float(UNITS))
+    sum_all = F.coalesce(total.cast("double") / F.lit(float(UNITS)), F.lit(0.0)) + rest
+    return F.when(rest.isNull(), mean).otherwise(F.round(sum_all / n, scale))
 
 
 def pct_change(now_v: ColOrName, start_v: ColOrName, signed: bool = False) -> Column:

@@ -3,7 +3,7 @@ and its DuckDB oracle SQL. `__spark_entry__.py` exposes both."""
 
 from __future__ import annotations
 
-import datetime
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -370,23 +370,30 @@ ORACLE.update({
 # --- streaming (file streams stand in for the broker) -------------------------------------------
 
 
-STREAM_DELAY = "1 day"   # watermark delay; input arrives in one-day files, so nothing is late
+STREAM_DELAY = "10 minutes"   # watermark delay; input arrives in time order, so nothing is late
 
 
-def _stage_by_day(df: DataFrame, path: str, text_col: str | None = None) -> None:
-    """Write a stream's input as files that arrive day after day (one job per day, in time order),
-    the way a landing folder fills up. With text_col, plain text lines of that column."""
-    day = F.to_date("ts")
-    # dates come back as plain dates (no conversion to the driver's local time zone)
-    span = df.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first()
-    d, last = span["lo"], span["hi"]
-    while d <= last:
-        part = df.filter(day == F.lit(d))
-        if text_col:
-            part.select(text_col).write.mode("append").text(path)
-        else:
-            part.write.mode("append").parquet(path)
-        d += datetime.timedelta(days=1)
+def _stage_by_time(df: DataFrame, path: str, text_col: str | None = None, files: int = 30) -> None:
+    """Write a stream's input, in one job, as files that arrive in time order, the way a landing folder
+    fills up: rows ranged over the files by ts, the files' times set in that order. With text_col,
+    plain text lines of that column. More files can be added by a second call."""
+    known = {f.getName() for f in _data_files(df.sparkSession, path)}
+    ranged = df.repartitionByRange(files, "ts").sortWithinPartitions("ts")
+    if text_col:
+        ranged.select(text_col).write.mode("append").text(path)
+    else:
+        ranged.write.mode("append").parquet(path)
+    now = int(time.time() * 1000)
+    fresh = [f for f in _data_files(df.sparkSession, path) if f.getName() not in known]
+    for i, f in enumerate(sorted(fresh, key=lambda f: f.getName())):
+        f.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).setTimes(f, now + i, -1)
+
+
+def _data_files(spark: SparkSession, path: str) -> list:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [st.getPath() for st in fs.listStatus(p) if st.getPath().getName().startswith("part-")] \
+        if fs.exists(p) else []
 
 
 def _closed(df: DataFrame, obs: DataFrame) -> DataFrame:
@@ -401,9 +408,9 @@ def q_stream_interval_trends(spark, sf):
     root = work_path(spark, "live_trends")
     obs = fixtures.observations(spark, sf)
     src = f"{root}/input"
-    _stage_by_day(obs, src)
+    _stage_by_time(obs, src)
     lt = live.LiveTrends(root, watermark=STREAM_DELAY)
-    q = lt.start(live.observation_stream(spark, src, OBSERVATION, max_files=3), trigger=None)
+    q = lt.start(live.observation_stream(spark, src, OBSERVATION, max_files=8), trigger=None)
     q.awaitTermination()
     return _closed(lt.results(spark), obs)
 
@@ -413,10 +420,10 @@ def q_stream_daily_rollup(spark, sf):
     root = work_path(spark, "live_ingest")
     msgs = fixtures.nested_messages(spark, sf)
     src = f"{root}/input"
-    _stage_by_day(msgs, src)
+    _stage_by_time(msgs, src)
     ing = live.LiveIngest(root)
     stream = spark.readStream.schema("seq long, ts timestamp, value string").option(
-        "maxFilesPerTrigger", 3).parquet(src)
+        "maxFilesPerTrigger", 8).parquet(src)
     q = ing.start(stream.select("seq", "value"), trigger=None)
     q.awaitTermination()
     return ing.daily(spark)
@@ -521,8 +528,8 @@ def _staged_lines(spark, sf, root):
     obs = fixtures.observations(spark, sf)
     lines = obs.select("ts", codecs.format_line("location", epoch_seconds("ts"), "temperature", "wind",
                                                 "humidity", "weather").alias("value"))
-    _stage_by_day(lines, src, text_col="value")
-    return obs, spark.readStream.option("maxFilesPerTrigger", 3).text(src)
+    _stage_by_time(lines, src, text_col="value")
+    return obs, spark.readStream.option("maxFilesPerTrigger", 8).text(src)
 
 
 def q_stream_location_data(spark, sf):
@@ -560,9 +567,9 @@ def q_stream_live_trends(spark, sf):
     root = work_path(spark, "live_update")
     obs = fixtures.observations(spark, sf)
     src = f"{root}/input"
-    _stage_by_day(obs, src)
+    _stage_by_time(obs, src)
     job = live.LiveTrendsUpdate(root, watermark=STREAM_DELAY)
-    job.start(live.observation_stream(spark, src, OBSERVATION, max_files=3), trigger=None).awaitTermination()
+    job.start(live.observation_stream(spark, src, OBSERVATION, max_files=8), trigger=None).awaitTermination()
     return job.results(spark)
 
 
@@ -572,9 +579,9 @@ def q_stream_live_trends_panes(spark, sf):
     root = work_path(spark, "live_update_panes")
     obs = fixtures.observations(spark, sf)
     src = f"{root}/input"
-    _stage_by_day(obs, src)
+    _stage_by_time(obs, src)
     lt = live.LiveTrends(root, watermark=STREAM_DELAY, mode="update")
-    lt.start(live.observation_stream(spark, src, OBSERVATION, max_files=3), trigger=None).awaitTermination()
+    lt.start(live.observation_stream(spark, src, OBSERVATION, max_files=8), trigger=None).awaitTermination()
     return lt.results(spark)
 
 

@@ -211,3 +211,19 @@ def test_daily_job_upserts_into_the_bootstrapped_table(spark):
     want = rollup.observations_daily(first).where("unix_date <> 101 * 86400").unionByName(rollup.observations_daily(second))
     got = spark.read.parquet(daily).drop("year").select(*want.columns)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_exact_mean_of_infinities_nan_large_and_long_decimals(spark):
+    import math
+
+    from obslake.functions.columns import exact_mean
+
+    inf, nan = math.inf, math.nan
+    groups = {"plain": [0.01, 0.02], "eight": [0.00500001, 0.00499999], "long": [0.00499999] * 4,
+              "neg": [-7.125, -7.125], "big": [1e13, 3e13, 1.0], "inf": [1.0, inf], "both": [inf, -inf],
+              "nan": [1.0, nan, 2.0], "null": [None, None], "some": [None, 3.0], "wide": [9999999.25, -9999999.0]}
+    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "k string, v double")
+    got = {r.k: r.m for r in df.groupBy("k").agg(exact_mean("v").alias("m")).collect()}
+    assert (got["plain"], got["eight"], got["long"], got["neg"]) == (0.02, 0.01, 0.0, -7.13)
+    assert got["big"] == round((4e13 + 1.0) / 3, 2) and got["inf"] == inf and got["wide"] == 0.13
+    assert math.isnan(got["both"]) and math.isnan(got["nan"]) and got["null"] is None and got["some"] == 3.0

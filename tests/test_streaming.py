@@ -52,7 +52,7 @@ def test_live_results_compaction_and_expiry(spark):
     root = work_path(spark, "t_expiry")
     obs = fixtures.observations(spark, SF_SMALL)
     src = f"{root}/input"
-    catalog._stage_by_day(obs, src)
+    catalog._stage_by_time(obs, src)
     lt = live.LiveTrends(root, watermark=catalog.STREAM_DELAY)
     lt.start(live.observation_stream(spark, src, catalog.OBSERVATION, max_files=10), trigger=None).awaitTermination()
     before = sorted(tuple(r) for r in lt.results(spark).collect())
@@ -135,10 +135,10 @@ def test_restart_from_checkpoint_equals_one_run(spark):
     obs = fixtures.observations(spark, SF_SMALL)
     src = f"{root}/input"
     mid = F.lit("2024-01-15 00:00:00").cast("timestamp")
-    catalog._stage_by_day(obs.filter(F.col("ts") < mid), src)
+    catalog._stage_by_time(obs.filter(F.col("ts") < mid), src)
     lt = live.LiveTrends(root, watermark=catalog.STREAM_DELAY)
     lt.start(live.observation_stream(spark, src, catalog.OBSERVATION, max_files=5), trigger=None).awaitTermination()
-    catalog._stage_by_day(obs.filter(F.col("ts") >= mid), src)
+    catalog._stage_by_time(obs.filter(F.col("ts") >= mid), src)
     lt2 = live.LiveTrends(root, watermark=catalog.STREAM_DELAY)  # a new process: same folders
     lt2.start(live.observation_stream(spark, src, catalog.OBSERVATION, max_files=5), trigger=None).awaitTermination()
     got = catalog._closed(lt2.results(spark), obs)
