@@ -10,7 +10,10 @@ Jobs
               [--mode append|update]           V11: Parquet observation stream -> live trends
                                                (append: final windows; update: live, provisional)
   live-lines  --source PATH --root PATH        V11: tuple-line text stream -> location_data + trends
-  ingest      --source PATH --root PATH        V10: (seq, value) message stream -> raw + daily tables
+  live-messages --source PATH --root PATH      V11: MESSAGE JSON (value, offset) stream -> live trends
+  serve       --root PATH --as-of TS --out PATH [--records PATH] [--trends PATH]   V1-V5: JSON of the stored
+                                               trends view, observations and season products
+  ingest      --source PATH --root PATH        V10: (offset, value) message stream -> raw + daily tables
   expire      --table PATH --as-of TS [--partition day] [--written-at written_at]   T9 compaction
   live-maintain --root PATH --as-of TS         compact live result folders, expire results and panes
 """
@@ -19,8 +22,8 @@ from __future__ import annotations
 
 import argparse
 
-from obslake.plans import jobs
-from obslake.schemas import OBSERVATION
+from obslake.plans import jobs, serve
+from obslake.schemas import BROKER, OBSERVATION
 from obslake.session import build_session
 from obslake.sources import tables
 from obslake.streaming import live
@@ -29,7 +32,7 @@ from obslake.streaming import live
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="obslake")
     ap.add_argument("job")
-    for opt in ("--json", "--daily", "--raw", "--out", "--source", "--root", "--table", "--as-of"):
+    for opt in ("--json", "--daily", "--raw", "--out", "--source", "--root", "--table", "--as-of", "--records", "--trends"):
         ap.add_argument(opt)
     ap.add_argument("--order", default="extreme")
     ap.add_argument("--years", type=int, default=4)
@@ -61,8 +64,14 @@ def main(argv=None) -> None:
         q2 = live.LiveTrends(a.root, watermark=a.watermark).start(live.parse_observations(lines), trigger=trig)
         q1.awaitTermination()
         q2.awaitTermination()
+    elif a.job == "live-messages":
+        messages = spark.readStream.schema(BROKER).parquet(a.source)
+        lt = live.LiveTrends(a.root, watermark=a.watermark, mode=a.mode)
+        lt.start(live.parse_messages(messages), trigger=trig).awaitTermination()
+    elif a.job == "serve":
+        serve.serve_job(spark, a.root, a.as_of, a.out, a.records, a.trends)
     elif a.job == "ingest":
-        stream = spark.readStream.schema("seq long, value string").parquet(a.source)
+        stream = spark.readStream.schema(BROKER).parquet(a.source)
         live.LiveIngest(a.root).start(stream, trigger=trig).awaitTermination()
     elif a.job == "live-maintain":
         lt = live.LiveTrends(a.root)

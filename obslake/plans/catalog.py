@@ -14,7 +14,7 @@ from obslake.functions.columns import epoch_seconds, epoch_to_date, midnight_epo
 from obslake.operators import history, rollup, windows
 from obslake.plans import jobs, serve
 from obslake.plans import oracle as O
-from obslake.schemas import INTERVALS, MESSAGE, OBSERVATION, TREND_MEASURES
+from obslake.schemas import BROKER, INTERVALS, MESSAGE, OBSERVATION, TREND_MEASURES
 from obslake.session import work_path
 from obslake.sources import codecs, tables
 from obslake.streaming import live
@@ -370,19 +370,16 @@ ORACLE.update({
 # --- streaming (file streams stand in for the broker) -------------------------------------------
 
 
+AFTER_ALL = "2024-01-31 12:00:00"   # a clock by which every window of E has ended
 STREAM_DELAY = "10 minutes"   # watermark delay; input arrives in time order, so nothing is late
 
 
-def _stage_by_time(df: DataFrame, path: str, text_col: str | None = None, files: int = 30) -> None:
+def _stage_by_time(df: DataFrame, path: str, files: int = 30) -> None:
     """Write a stream's input, in one job, as files that arrive in time order, the way a landing folder
-    fills up: rows ranged over the files by ts, the files' times set in that order. With text_col,
-    plain text lines of that column. More files can be added by a second call."""
+    fills up: rows ranged over the files by ts, the files' times set in that order. More files can be
+    added by a second call."""
     known = {f.getName() for f in _data_files(df.sparkSession, path)}
-    ranged = df.repartitionByRange(files, "ts").sortWithinPartitions("ts")
-    if text_col:
-        ranged.select(text_col).write.mode("append").text(path)
-    else:
-        ranged.write.mode("append").parquet(path)
+    df.repartitionByRange(files, "ts").sortWithinPartitions("ts").write.mode("append").parquet(path)
     now = int(time.time() * 1000)
     fresh = [f for f in _data_files(df.sparkSession, path) if f.getName() not in known]
     for i, f in enumerate(sorted(fresh, key=lambda f: f.getName())):
@@ -523,41 +520,121 @@ ORACLE.update({
 })
 
 
-def _staged_lines(spark, sf, root):
-    src = f"{root}/lines"
-    obs = fixtures.observations(spark, sf)
-    lines = obs.select("ts", codecs.format_line("location", epoch_seconds("ts"), "temperature", "wind",
-                                                "humidity", "weather").alias("value"))
-    _stage_by_time(lines, src, text_col="value")
-    return obs, spark.readStream.option("maxFilesPerTrigger", 8).text(src)
+def _broker_stream(spark, rows: DataFrame, src: str) -> DataFrame:
+    """A stream with the columns of the broker source (S9, S10) from (ts, seq, location, value) rows:
+    files stand in for the topic, seq for the offset."""
+    _stage_by_time(rows.select("ts", F.col("location").alias("key"), "value", F.lit(0).alias("partition"),
+                               F.col("seq").alias("offset"), F.col("ts").alias("timestamp")), src)
+    return spark.readStream.schema(BROKER).option("maxFilesPerTrigger", 8).parquet(src)
+
+
+def _line_rows(spark, sf) -> DataFrame:
+    return fixtures.observations(spark, sf).select("ts", "seq", "location", codecs.format_line(
+        "location", epoch_seconds("ts"), "temperature", "wind", "humidity", "weather").alias("value"))
 
 
 def q_stream_location_data(spark, sf):
     """V11 raw path, S12, P16, T7, S13: tuple-line stream parsed and upserted into location_data
-    keyed by (location, timestamp)."""
+    keyed by (location, timestamp); the later arrival wins."""
     root = work_path(spark, "live_lines")
-    _, stream = _staged_lines(spark, sf, root)
     job = live.LiveLocationData(root)
-    job.start(stream, trigger=None).awaitTermination()
+    job.start(_broker_stream(spark, _line_rows(spark, sf), f"{root}/in"), trigger=None).awaitTermination()
     return job.table(spark)
 
 
+def q_stored_observations_json(spark, sf):
+    """What the raw path stored, as JSON, by column name."""
+    return serve.observations_json(q_stream_location_data(spark, sf))
+
+
 def q_stream_line_trends(spark, sf):
     """V11 trend path: tuple-line stream -> typed observations -> live interval trends."""
     root = work_path(spark, "line_trends")
-    obs, stream = _staged_lines(spark, sf, root)
     lt = live.LiveTrends(root, watermark=STREAM_DELAY)
+    stream = _broker_stream(spark, _line_rows(spark, sf), f"{root}/in")
     lt.start(live.parse_observations(stream), trigger=None).awaitTermination()
-    return _closed(lt.results(spark), obs)
+    return _closed(lt.results(spark), fixtures.observations(spark, sf))
+
+
+def q_stream_message_trends(spark, sf):
+    """MESSAGE JSON with the broker's columns -> live interval trends."""
+    root = work_path(spark, "message_trends")
+    e = fixtures.observations(spark, sf).select("ts", "seq", "location")
+    rows = fixtures.messages(spark, sf).join(e, "seq")
+    lt = live.LiveTrends(root, watermark=STREAM_DELAY)
+    lt.start(live.parse_messages(_broker_stream(spark, rows, f"{root}/in")), trigger=None).awaitTermination()
+    return _closed(lt.results(spark), fixtures.observations(spark, sf))
+
+
+def q_stream_rejects(spark, sf):
+    """P18, S23 live: lines and messages that cannot be read, kept with their text."""
+    root = work_path(spark, "live_rejects")
+    e = fixtures.observations(spark, sf).select("ts", "seq", "location", "weather")
+    bad = F.col("weather") == "error"
+
+    def stream(rows, junk, name):
+        mixed = rows.join(e.select("seq", "weather"), "seq").withColumn(
+            "value", F.when(bad, F.concat(F.lit(junk), F.col("seq").cast("string"))).otherwise(F.col("value")))
+        return _broker_stream(spark, mixed, f"{root}/{name}")
+
+    lines = live.LiveLocationData(root)
+    lines.start(stream(_line_rows(spark, sf), "junk ", "lines"), trigger=None).awaitTermination()
+    ingest = live.LiveIngest(root)
+    messages = fixtures.nested_messages(spark, sf).select("seq", "value").join(e.drop("weather"), "seq")
+    ingest.start(stream(messages, '{"dt": ', "messages"), trigger=None).awaitTermination()
+    return lines.rejects(spark).select(F.lit("lines").alias("source"), "value").unionByName(
+        ingest.rejects(spark).select(F.lit("messages").alias("source"), "value"))
+
+
+def _stored_view(spark, sf) -> DataFrame:
+    root = work_path(spark, "stored_view")
+    _stage_by_time(fixtures.observations(spark, sf), f"{root}/in")
+    lt = live.LiveTrends(root, watermark=STREAM_DELAY, mode="update")
+    lt.start(live.observation_stream(spark, f"{root}/in", OBSERVATION, max_files=8), trigger=None).awaitTermination()
+    return serve.stored_trends_view(lt.trends_view(spark), AFTER_ALL)
+
+
+def q_stream_trends_view(spark, sf):
+    """The trends page from the table that the live job upserts by (location, interval)."""
+    return _stored_view(spark, sf)
+
+
+def q_stream_trends_view_json(spark, sf):
+    """V2: the stored trends view as JSON."""
+    return serve.trends_view_json(_stored_view(spark, sf).drop("window_end"))
+
+
+def q_season_products(spark, sf):
+    """Records and trends of the season a fixed date falls in, from the stored products;
+    the season picks the folder that is read."""
+    daily, root = _bootstrapped_daily(spark, sf), work_path(spark, "products")
+    jobs.records_job(spark, daily, f"{root}/records")
+    jobs.trends_job(spark, daily, f"{root}/trends")
+    rec = serve.season_product(spark, f"{root}/records", trends=False, as_of=AS_OF)
+    tr = serve.season_product(spark, f"{root}/trends", trends=True, as_of=AS_OF)
+    return rec.select(F.lit("records").alias("product"), "*", F.lit(None).cast("double").alias("trend")) \
+        .unionByName(tr.select(F.lit("trends").alias("product"), "*"))
 
 
 QUERIES.update({
     "stream_location_data": q_stream_location_data,
     "stream_line_trends": q_stream_line_trends,
+    "stored_observations_json": q_stored_observations_json,
+    "stream_message_trends": q_stream_message_trends,
+    "stream_rejects": q_stream_rejects,
+    "stream_trends_view": q_stream_trends_view,
+    "stream_trends_view_json": q_stream_trends_view_json,
+    "season_products": q_season_products,
 })
 ORACLE.update({
     "stream_location_data": O.q_stream_location_data(),
     "stream_line_trends": O.q_stream_line_trends(STREAM_DELAY),
+    "stored_observations_json": O.q_stored_observations_json(),
+    "stream_message_trends": O.q_stream_line_trends(STREAM_DELAY),
+    "stream_rejects": O.q_stream_rejects(),
+    "stream_trends_view": O.q_latest_trends_view(AFTER_ALL),
+    "stream_trends_view_json": O.q_trends_view_json(AFTER_ALL),
+    "season_products": O.q_season_products("summer"),
 })
 
 

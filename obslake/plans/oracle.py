@@ -343,29 +343,38 @@ UNION ALL BY NAME SELECT * FROM e_daily"""
 E_LINE = f"""
 e AS (
   SELECT 'station-' || CAST(user_id % 5 AS VARCHAR) AS location, make_timestamp(epoch_us(ts) // 1000000 * 1000000) AS ts,
-         CAST(0 AS BIGINT) AS seq, value AS temperature, CAST(user_id % 20 AS DOUBLE) AS wind,
+         event_id AS seq, value AS temperature, CAST(user_id % 20 AS DOUBLE) AS wind,
          TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS humidity, event_type AS weather
   FROM events)"""
 
 
 def q_stream_location_data() -> str:
-    return f"""WITH {E_LINE},
-r AS (SELECT location, {EP} AS timestamp, temperature, wind, humidity, weather,
-             row_number() OVER (PARTITION BY location, {EP}
-                                ORDER BY temperature DESC, wind DESC, humidity DESC, weather DESC) AS rn
-      FROM e)
-SELECT location, timestamp, temperature, wind, humidity, weather FROM r WHERE rn = 1"""
+    return f"""WITH {E_LINE}
+SELECT location, {EP} AS timestamp, temperature, wind, humidity, weather FROM e
+QUALIFY row_number() OVER (PARTITION BY location, {EP} ORDER BY seq DESC) = 1"""
+
+
+def q_stored_observations_json() -> str:
+    return f"""SELECT CAST(to_json({{'location': location, 'time': timestamp, 'temperature': temperature, 'wind': wind,
+        'humidity': humidity, 'weather': weather}}) AS VARCHAR) AS json FROM ({q_stream_location_data()})"""
 
 
 def q_stream_line_trends(delay: str) -> str:
-    cte = ends_cte().replace(E_OBS, E_LINE).replace(
-        "(ts, seq)) AS f", "(ts, seq, temperature, wind, humidity, weather)) AS f").replace(
-        "(ts, seq)) AS l", "(ts, seq, temperature, wind, humidity, weather)) AS l")
-    return f"""WITH {cte}
+    return f"""WITH {ends_cte().replace(E_OBS, E_LINE)}
 {TREND_SELECT}
 WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL {delay}"""
 
 
+def q_stream_rejects() -> str:
+    return """SELECT 'lines' AS source, 'junk ' || event_id AS value FROM events WHERE event_type = 'error'
+UNION ALL SELECT 'messages', '{"dt": ' || event_id FROM events WHERE event_type = 'error'"""
+
+
+def q_season_products(season: str) -> str:
+    return f"""SELECT 'records' AS product, *, CAST(NULL AS DOUBLE) AS trend FROM ({q_records('extreme', season)})
+UNION ALL BY NAME SELECT 'trends' AS product, * FROM ({q_yearly_trend(season=season, with_has_prev=False)})"""
+
+
 def q_season_year() -> str:
     return f"""WITH {season_cte(split_summer=True)}
 SELECT unix_date, season, year AS season_year FROM h_cal"""

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obslake.functions.columns import clean_location, current_season, interval_label, r2
 from obslake.operators import windows
+from obslake.plans.jobs import read_products
 from obslake.schemas import DAY_S, INTERVALS
 from obslake.sources.tables import expire, to_json_lines, upsert_latest
+from obslake.streaming.live import LiveLocationData, LiveTrends
 
 
 def _ts(x) -> Column:
@@ -47,6 +49,12 @@ def latest_trends_view(results: DataFrame) -> DataFrame:
         .orderBy("location", "interval_s"))
 
 
+def stored_trends_view(trends_view: DataFrame, as_of, ttl_s: int = DAY_S) -> DataFrame:
+    """V1 from the stored table (S16): one row per (location, interval), as the live job upserted it,
+    without those that expired by `as_of`."""
+    return latest_trends_view(expire(trends_view, _ts(as_of), ttl_s, written_at="window_end"))
+
+
 def trends_view_json(view: DataFrame) -> DataFrame:
     """V2: the view as JSON objects."""
     return to_json_lines(view)
@@ -61,3 +69,22 @@ def observations_json(location_data: DataFrame) -> DataFrame:
 def for_season(long: DataFrame, as_of=None) -> DataFrame:
     """V4/V5 + F20/F21: rows of the season the clock (or a fixed date) is in."""
     return long.filter(F.col("season") == current_season(None if as_of is None else F.lit(as_of)))
+
+
+def season_product(spark: SparkSession, path: str, trends: bool, as_of=None) -> DataFrame:
+    """V4/V5 from the stored products: the folder of the season the clock (or a fixed date) is in."""
+    season = spark.range(1).select(current_season(None if as_of is None else F.lit(as_of))).first()[0]
+    return read_products(spark, path, trends, season)
+
+
+def serve_job(spark: SparkSession, root: str, as_of, out: str, records: str | None = None,
+              trends: str | None = None) -> None:
+    """V1-V5 as JSON-line folders below `out`, each from what a job stored: the trends view and the
+    observations still alive at `as_of` below a live root, the products of its season."""
+    view = LiveTrends(root).trends_view(spark)
+    trends_view_json(stored_trends_view(view, as_of)).write.mode("overwrite").text(f"{out}/trends_view")
+    stored = LiveLocationData(root).stored(spark)
+    observations_json(expire(stored, as_of)).write.mode("overwrite").text(f"{out}/observations")
+    for name, path in (("records", records), ("trends", trends)):
+        if path:
+            to_json_lines(season_product(spark, path, name == "trends", as_of)).write.mode("overwrite").text(f"{out}/{name}")

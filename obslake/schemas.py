@@ -112,6 +112,9 @@ MESSAGE = T.StructType([
     T.StructField("weather", T.StringType()),
 ])
 
+# The columns of a broker source.
+BROKER = "key string, value string, partition int, offset long, timestamp timestamp"
+
 # Typed observation used by every speed-layer operator.
 OBSERVATION = T.StructType([
     T.StructField("location", T.StringType()),

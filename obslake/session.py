@@ -56,8 +56,8 @@ def apply_defaults(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by the cluster in spark.checkpoint.dir.
 
-    Read from the session; only when unset (local tests) a private folder is created and
-    registered, so that checkpoint() and staged tables work the same way everywhere.
+    Read from the session. Only where it is unset and the master is local (tests) is a private
+    folder created and registered; on a cluster a missing setting is an error.
     """
     try:
         sc = spark.sparkContext
@@ -69,6 +69,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     d = sc.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
         if not d:
             d = tempfile.mkdtemp(prefix="obslake-ckpt-")
         sc.setCheckpointDir(d)
@@ -78,7 +80,4 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for staged tables and stream state."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "obslake", f"{name}-{uuid.uuid4().hex[:12]}")
+    return os.path.join(checkpoint_dir(spark), "obslake", f"{name}-{uuid.uuid4().hex[:12]}")

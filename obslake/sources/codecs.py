@@ -71,11 +71,30 @@ def flatten_record(rec_df: DataFrame, rec: str = "r", keep: tuple[str, ...] = ()
                                for c in RAW_COLUMNS])
 
 
-def raw_observations(messages: DataFrame, seq: str = "seq") -> DataFrame:
+def raw_observations(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """P2-P4, P14 for broker messages (seq, value): raw-observation rows with the station's name as
-    `location` and the arrival order `seq`. A message that is no record has a null unix_date."""
-    rec = messages.select(F.col(seq).alias("seq"), decode("value").alias("r"))
-    return flatten_record(rec.withColumn("location", F.col("r.name")), "r", keep=("location", "seq"))
+    `location` and the arrival order `seq`; `keep` columns pass through. A message that is no record
+    has a null unix_date."""
+    rec = messages.select("seq", *keep, decode("value").alias("r"))
+    return flatten_record(rec.withColumn("location", F.col("r.name")), "r", keep=("location", "seq", *keep))
+
+
+def arrival(df: DataFrame) -> Column:
+    """Q19: the order in which the rows of one delivery arrived: the broker's `offset` (one station
+    writes to one topic partition), else a `seq` column, else the place in the delivery."""
+    for c in ("offset", "seq"):
+        if c in df.columns:
+            return F.col(c).cast("long")
+    return F.monotonically_increasing_id()
+
+
+# 0001-01-01 and 9999-12-31T23:59:59, the epochs that are dates
+MIN_EPOCH, MAX_EPOCH = -62135596800, 253402300799
+
+
+def is_epoch(epoch_s) -> Column:
+    """Whether whole seconds are a date that can be stored; false for null."""
+    return F.coalesce(_c(epoch_s).between(MIN_EPOCH, MAX_EPOCH), F.lit(False))
 
 
 # --- text lines (P16, P17) -------------------------------------------------------------------
@@ -127,6 +146,6 @@ def format_line(location, epoch, temperature, wind, humidity, weather) -> Column
 
 def to_payload(df: DataFrame, key: str | None = None) -> DataFrame:
     """Rows -> (key, value) JSON text, the shape a Kafka or file sink takes."""
-    value = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
+    value = F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"})
     k = F.col(key).cast("string") if key else F.lit(None).cast("string")
     return df.select(k.alias("key"), value.alias("value"))

@@ -100,34 +100,57 @@ def upsert_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in payload])
 
 
+def touched_rows(spark: SparkSession, path: str, new: DataFrame, partition_by: str) -> DataFrame:
+    """The stored rows of the partitions that `new` has rows in, null ones included. The least and
+    greatest value prune the folders, a null-safe semi-join keeps those touched."""
+    lo, hi = new.agg(F.min(partition_by), F.max(partition_by)).first()
+    part = F.col(partition_by)
+    in_range = part.isNull() if lo is None else part.isNull() | part.between(F.lit(lo), F.lit(hi))
+    touched = new.select(part.alias("_part")).distinct()
+    old = spark.read.parquet(path).filter(in_range)
+    return old.join(touched, old[partition_by].eqNullSafe(touched["_part"]), "left_semi")
+
+
+def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The Parquet table at path, its declared columns alone; no rows before its first write."""
+    empty = spark.createDataFrame([], schema)
+    if table_exists(spark, path):
+        return spark.read.schema(empty.schema).parquet(path).select(*empty.columns)
+    return empty
+
+
+def write_rejects(rejects: DataFrame, path: str, batch_id: int) -> None:
+    """The raw text of a micro-batch's unreadable rows, in a folder of its own; a replay writes
+    the same folder again. Nothing is written where there are none."""
+    if not rejects.isEmpty():
+        rejects.select(F.col("value").cast("string").alias("value")).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static").parquet(f"{path}/batch={batch_id}")
+
+
 def merge_upsert(spark: SparkSession, path: str, new: DataFrame, keys: list[str], order: list[str],
-                 partition_by: str, exists: bool | None = None) -> None:
+                 partition_by: str, exists: bool | None = None, staged: bool = False,
+                 newest_by: tuple[str, ...] = ()) -> None:
     """Upsert `new` into the table at `path`, rewriting only touched partitions.
 
     A delivered row replaces the stored one of its key, whatever their contents; `order` (ascending
-    = older) decides among rows of one delivery. Nothing of that order is stored. A null partition
-    value is a partition like any other. Columns that only one side has are null on the other. An
+    = older) decides among rows of one delivery. Nothing of that order is stored. With newest_by, a
+    stored row whose values there are greater stays instead. A null partition value is a partition like any other. Columns that only one side has are null on the other. An
     empty delivery changes nothing.
 
-    `new` is staged once. Its least and greatest partition value prune the folders that are read,
+    `new` is staged once, unless the caller did so (staged). Its least and greatest partition value prune the folders that are read,
     and a null-safe semi-join keeps those it touches. The merged rows are checkpointed to the shared
     folder before they replace the partitions, so the write never reads the files it replaces. The
     replacement is folder by folder: a driver lost in the middle of it leaves the table to be
     restored from the checkpoint or by delivering the batch again with its table's history.
     """
-    new = new.checkpoint(eager=True).withColumn("_new", F.lit(1))
+    new = (new if staged else new.checkpoint(eager=True)).withColumn("_new", F.lit(1))
     if new.isEmpty():
         return
     merged = new
     if table_exists(spark, path) if exists is None else exists:
-        lo, hi = new.agg(F.min(partition_by), F.max(partition_by)).first()
-        part = F.col(partition_by)
-        in_range = part.isNull() if lo is None else part.isNull() | part.between(F.lit(lo), F.lit(hi))
-        touched = new.select(part.alias("_part")).distinct()
-        old = spark.read.parquet(path).filter(in_range).withColumn("_new", F.lit(0))
-        old = old.join(touched, old[partition_by].eqNullSafe(touched["_part"]), "left_semi")
+        old = touched_rows(spark, path, new, partition_by).withColumn("_new", F.lit(0))
         merged = old.unionByName(new, allowMissingColumns=True)
-    merged = upsert_latest(merged, keys, ["_new", *order]).drop("_new").checkpoint(eager=True)
+    merged = upsert_latest(merged, keys, [*newest_by, "_new", *order]).drop("_new").checkpoint(eager=True)
     # range partitioning on (partition, key): a hot partition is split over several writers
     # instead of landing in one task, and each writer still produces few, sorted files
     (merged.repartitionByRange(partition_by, *keys).write.mode("overwrite")
@@ -196,11 +219,12 @@ def drop_table(spark: SparkSession, db: str, table: str) -> None:
 # Everything downstream works on the `value` column and is tested with file streams.
 
 def read_kafka_stream(spark: SparkSession, servers: str, topic: str, starting: str = "earliest") -> DataFrame:
-    """Topic -> streaming DataFrame of (key, value) text; offsets live in the query's
+    """Topic -> streaming DataFrame of (key, value) text with the broker's partition, offset
+    and timestamp, the columns that the live jobs take; offsets live in the query's
     checkpoint, so a restart resumes where it stopped."""
     return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
             .option("subscribe", topic).option("startingOffsets", starting).load()
-            .select(F.col("key").cast("string"), F.col("value").cast("string")))
+            .select(F.col("key").cast("string"), F.col("value").cast("string"), "partition", "offset", "timestamp"))
 
 
 def write_kafka_stream(df: DataFrame, servers: str, topic: str, checkpoint: str):

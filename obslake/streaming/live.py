@@ -12,7 +12,11 @@ mode, so the state store only holds panes not yet closed by the watermark. Each
    that Parquet statistics prune) and recomputes the window ends in (lo, hi + W] with the batch
    operator `window_ends` -- the only ends whose windows contain a new pane;
 3. writes those trend rows under batch=<id> of the result table. Readers take the latest batch
-   per (location, interval, window end) (G7).
+   per (location, interval, window end) (G7);
+4. upserts the newest of them per (location, interval) into `trends_view`, which the serving
+   layer reads (S14, S16).
+
+Only locations with a new pane are read again and written, each over its own pane range.
 
 Everything a window needs is closed once its end is at or below the watermark, so those rows are
 final and equal the batch computation; later ends are provisional and get refreshed. T12: rows
@@ -20,6 +24,9 @@ behind the previous batch's watermark are dropped by Spark and counted (`late_ro
 the previous and the current watermark arrive as already-closed panes, are merged on read and the
 windows they touch are recomputed.
 
+Rows that cannot be read go, with their text, to a reject table per job (P18), and a delivery of
+nothing else changes no table. Of the rows of one key the later arrival wins (`codecs.arrival`).
+
 Live ingest (V10) decodes broker messages, flattens them and upserts the raw-observation table
 per micro-batch (S6), then re-aggregates only the days the batch touched into the daily table
 (V9 incremental).
@@ -32,11 +39,18 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obslake.functions.columns import epoch_to_date
+from obslake.functions.columns import epoch_to_date, now
 from obslake.operators import rollup, windows
-from obslake.schemas import DAY_S, INTERVALS, SLIDE_S
+from obslake.schemas import DAY_S, INTERVALS, MESSAGE, SLIDE_S
 from obslake.sources import codecs, tables
 
+# the rows of the live tables, as their jobs write them
+TREND_ROW = (
+    "location string, interval_s int, window_end timestamp_ntz, actual_temperature double, temperature_trend double, "
+    "actual_wind double, wind_trend double, actual_humidity double, humidity_delta double, weather string")
+LOCATION_DATA = (
+    "location string, timestamp long, temperature double, wind double, humidity double, weather string, written_at timestamp")
+
 
 def trigger_kwargs(trigger: str | None) -> dict:
     """T1: '10 seconds' -> processingTime trigger; None -> availableNow (drain and stop)."""
@@ -67,6 +81,7 @@ class LiveTrends:
         self.root = root
         self.panes_path = os.path.join(root, "panes")
         self.results_path = os.path.join(root, "results")
+        self.view_path = os.path.join(root, "trends_view")
         self.checkpoint = os.path.join(root, "_checkpoint")
         self.intervals = tuple(intervals)
         self.watermark = watermark
@@ -85,10 +100,13 @@ class LiveTrends:
          .partitionBy("day", "batch").parquet(self.panes_path))
         schema = batch.schema.add("day", "long").add("batch", "long")
         mine = spark.read.schema(schema).parquet(self.panes_path).filter(F.col("batch") == batch_id)
+        # the pane range of each location that the batch touched; other locations stay as they are
+        scope = mine.groupBy(F.col("location").alias("_loc")).agg(F.min("pane").alias("_lo"), F.max("pane").alias("_hi"))
         span = mine.agg(F.min("pane").alias("lo"), F.max("pane").alias("hi")).first()
         if span["lo"] is None:  # S23: nothing closed in this batch
             return
         lo, hi, wmax = int(span["lo"]), int(span["hi"]), max(self.intervals)
+        here = F.col("location").eqNullSafe(F.col("_loc"))
         # Spark drops rows behind the previous batch's watermark (see late_rows); rows
         # between that and the current watermark arrive as already closed panes. Panes are
         # re-merged per (location, minute) on read, so a second pane for a stored minute could
@@ -96,13 +114,20 @@ class LiveTrends:
         pn = (spark.read.schema(schema).parquet(self.panes_path)
               .filter((F.col("day") >= (lo - wmax) // DAY_S) & (F.col("day") <= (hi + wmax) // DAY_S))
               .filter((F.col("pane") >= lo - wmax) & (F.col("pane") < hi + wmax))
+              .join(scope, here & (F.col("pane") >= F.col("_lo") - wmax) & (F.col("pane") < F.col("_hi") + wmax))
               .groupBy("location", "pane")
               .agg(F.min("first_rec").alias("first_rec"), F.max("last_rec").alias("last_rec")))
-        ends = windows.window_ends(None, self.intervals, self.slide_s, pn=pn)
         end_s = F.unix_seconds(F.col("window_end").cast("timestamp"))
-        ends = ends.filter((end_s > lo) & (end_s <= hi + wmax))
+        ends = (windows.window_ends(None, self.intervals, self.slide_s, pn=pn)
+                .join(scope, here & (end_s > F.col("_lo")) & (end_s <= F.col("_hi") + F.col("interval_s")))
+                .drop("_loc", "_lo", "_hi"))
         res = windows.interval_trends(ends, self.signed).withColumn("batch", F.lit(batch_id).cast("long"))
-        res.write.mode("overwrite").parquet(f"{self.results_path}/part={batch_id}")
+        out = f"{self.results_path}/part={batch_id}"
+        res.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(out)
+        newest = tables.upsert_latest(spark.read.schema(res.schema).parquet(out).drop("batch"),
+                                      ["location", "interval_s"], ["window_end"])
+        tables.merge_upsert(spark, self.view_path, newest, ["location", "interval_s"], [], "interval_s",
+                            newest_by=("window_end",))
 
     def start(self, obs_stream: DataFrame, trigger: str | None = "10 seconds", checkpoint: str | None = None):
         q = (stream_panes(obs_stream, self.watermark, self.slide_s).writeStream
@@ -143,10 +168,14 @@ class LiveTrends:
                 _delete(spark, f"{self.results_path}/{d}")
 
     def results(self, spark: SparkSession) -> DataFrame:
-        """Latest computation per (location, interval, window end)."""
-        res = spark.read.parquet(self.results_path).drop("part")
+        """Latest computation per (location, interval, window end); no rows before the first."""
+        res = tables.read_or_empty(spark, self.results_path, f"{TREND_ROW}, batch long")
         return tables.upsert_latest(res, ["location", "interval_s", "window_end"], ["batch"]).drop("batch")
 
+    def trends_view(self, spark: SparkSession) -> DataFrame:
+        """The stored newest trend row per (location, interval)."""
+        return tables.read_or_empty(spark, self.view_path, TREND_ROW)
+
 
 class LiveTrendsUpdate:
     """Direct low-latency form with Spark's own sliding windows: every trigger re-emits the
@@ -191,45 +220,71 @@ class LiveTrendsUpdate:
 
 
 def parse_observations(lines: DataFrame) -> DataFrame:
-    """S12 + P16 + P11: tuple text lines -> typed observations. Lines carry no sequence number, so
-    seq is 0 and ties on the second are broken by the remaining fields; unparsable lines drop."""
-    p = lines.select(codecs.parse_line("value").alias("p")).filter(F.col("p").isNotNull())
-    return p.select(
+    """S12 + P16 + P11: tuple text lines -> typed observations. The broker's `offset` becomes seq, so the
+    later arrival of a second is its last; plain text lines carry none: their seq is 0 and ties are
+    broken by the remaining fields. Unreadable lines drop here; `LiveLocationData` keeps them."""
+    seq = F.col("offset") if "offset" in lines.columns else F.lit(0)
+    p = lines.select(codecs.parse_line("value").alias("p"), seq.cast("long").alias("seq"))
+    return p.filter(codecs.is_epoch("p.timestamp")).select(
         F.col("p.location").alias("location"),
         F.timestamp_seconds(F.col("p.timestamp")).alias("ts"),
-        F.lit(0).cast("long").alias("seq"),
+        "seq",
         F.col("p.temperature").alias("temperature"),
         F.col("p.wind").alias("wind"),
         F.col("p.humidity").alias("humidity"),
         F.col("p.weather").alias("weather"))
 
 
+def parse_messages(messages: DataFrame) -> DataFrame:
+    """S10 + P13: broker messages (value as MESSAGE JSON, offset) -> typed observations for
+    `LiveTrends`. Messages that are no JSON, or hold no time, drop."""
+    m = messages.select(codecs.decode("value", MESSAGE).alias("m"), F.col("offset").cast("long").alias("seq"))
+    return m.filter(codecs.is_epoch(F.col("m.datetime"))).select(
+        F.col("m.location").alias("location"),
+        F.timestamp_seconds(F.col("m.datetime")).alias("ts"),
+        "seq",
+        F.col("m.temp").alias("temperature"),
+        F.col("m.wind").alias("wind"),
+        F.col("m.humidity").alias("humidity"),
+        F.col("m.weather").alias("weather"))
+
+
 class LiveLocationData:
     """Raw pass-through persistence of parsed lines into location_data, upserted by
-    (location, timestamp) per micro-batch and partitioned by day; later batches win, ties in a
-    batch resolve on the values."""
+    (location, timestamp) per micro-batch and partitioned by day. The later arrival wins, within a
+    batch and across batches; written_at is the time of the write, from which the lifetime runs.
+    Lines that cannot be parsed go to the reject table."""
 
     def __init__(self, root: str):
         self.path = os.path.join(root, "location_data")
+        self.rejects_path = os.path.join(root, "rejected_lines")
         self.checkpoint = os.path.join(root, "_checkpoint_location_data")
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        obs = parse_observations(batch)
-        rows = obs.select("location", F.unix_seconds("ts").alias("timestamp"), "temperature", "wind",
-                          "humidity", "weather", F.col("ts").alias("written_at"),
-                          F.to_date("ts").alias("day"), F.lit(batch_id).cast("long").alias("batch"))
-        tables.merge_upsert(spark, self.path, rows, ["location", "timestamp"],
-                            ["batch", "temperature", "wind", "humidity", "weather"], "day")
+        staged = batch.select("value", codecs.parse_line("value").alias("p"), codecs.arrival(batch).alias("seq"),
+                              now().alias("written_at")).checkpoint(eager=True)  # the source is read once
+        good = codecs.is_epoch("p.timestamp")
+        tables.write_rejects(staged.filter(~good), self.rejects_path, batch_id)
+        ts = F.timestamp_seconds("p.timestamp")
+        rows = staged.filter(good).select(
+            "p.location", "p.timestamp", "p.temperature", "p.wind", "p.humidity", "p.weather", "written_at",
+            F.to_date(ts).alias("day"), "seq")
+        tables.merge_upsert(spark, self.path, rows, ["location", "timestamp"], ["seq"], "day", staged=True)
 
     def start(self, line_stream: DataFrame, trigger: str | None = "10 seconds"):
         return (line_stream.writeStream.foreachBatch(self.process_batch)
                 .option("checkpointLocation", self.checkpoint)
                 .trigger(**trigger_kwargs(trigger)).start())
 
+    def stored(self, spark: SparkSession) -> DataFrame:
+        return tables.read_or_empty(spark, self.path, LOCATION_DATA)
+
     def table(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path).select("location", "timestamp", "temperature", "wind",
-                                                    "humidity", "weather")
+        return self.stored(spark).drop("written_at")
+
+    def rejects(self, spark: SparkSession) -> DataFrame:
+        return tables.read_or_empty(spark, self.rejects_path, "value string")
 
 
 def late_rows(query) -> int:
@@ -254,21 +309,21 @@ class LiveIngest:
     def __init__(self, root: str):
         self.raw_path = os.path.join(root, "raw")
         self.daily_path = os.path.join(root, "daily")
+        self.rejects_path = os.path.join(root, "rejected_messages")
         self.checkpoint = os.path.join(root, "_checkpoint")
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if batch.isEmpty():
-            return
-        new = (codecs.raw_observations(batch).filter(F.col("unix_date").isNotNull())
-               .withColumn("day", epoch_to_date("unix_date")))
-        tables.merge_upsert(spark, self.raw_path, new, ["location", "unix_date"], ["seq"], "day")
-        days = [r[0] for r in new.select("day").distinct().collect()]  # the few days this batch hit
-        if not days:
+        messages = batch.select("value", codecs.arrival(batch).alias("seq"))
+        staged = codecs.raw_observations(messages, keep=("value",)).checkpoint(eager=True)  # read once
+        good = codecs.is_epoch("unix_date")
+        tables.write_rejects(staged.filter(~good), self.rejects_path, batch_id)
+        new = staged.filter(good).drop("value").withColumn("day", epoch_to_date("unix_date"))
+        if new.isEmpty():  # S23
             return
-        raw = spark.read.parquet(self.raw_path).filter(F.col("day").isin(days))  # static pruning
-        daily = (rollup.observations_daily(raw.drop("location", "seq", "day"))
-                 .withColumn("year", F.year(epoch_to_date("unix_date"))))
+        tables.merge_upsert(spark, self.raw_path, new, ["location", "unix_date"], ["seq"], "day", staged=True)
+        raw = tables.touched_rows(spark, self.raw_path, new, "day").drop("location", "seq", "day")
+        daily = rollup.observations_daily(raw).withColumn("year", F.year(epoch_to_date("unix_date")))
         tables.merge_upsert(spark, self.daily_path, daily, ["unix_date"], [], "year")
 
     def start(self, message_stream: DataFrame, trigger: str | None = "10 seconds"):
@@ -279,6 +334,9 @@ class LiveIngest:
     def daily(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.daily_path).drop("year")
 
+    def rejects(self, spark: SparkSession) -> DataFrame:
+        return tables.read_or_empty(spark, self.rejects_path, "value string")
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -300,4 +358,4 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 __all__ = ["LiveTrends", "LiveTrendsUpdate", "LiveIngest", "LiveLocationData", "late_rows",
-           "observation_stream", "parse_observations", "stream_panes", "trigger_kwargs"]
+           "observation_stream", "parse_messages", "parse_observations", "stream_panes", "trigger_kwargs"]

@@ -196,3 +196,64 @@ def test_location_data_batch_replay_is_idempotent(spark):
     first = sorted(tuple(r) for r in job.table(spark).collect())
     job.process_batch(lines, 0)
     assert first and sorted(tuple(r) for r in job.table(spark).collect()) == first
+
+
+def _lines(spark, *rows):
+    return spark.createDataFrame(list(rows), "value string, offset long")
+
+
+def test_unreadable_first_batches_change_no_table(spark):
+    """A first batch of junk is kept as rejects; later batches work; no table, no rows."""
+    from obslake.session import work_path
+    from obslake.streaming import live
+
+    root = work_path(spark, "t_junk")
+    job, ing, lt = live.LiveLocationData(root), live.LiveIngest(root), live.LiveTrends(root)
+    assert lt.results(spark).count() == lt.trends_view(spark).count() == job.table(spark).count() == 0
+    junk = _lines(spark, ("", 0), ("no tuple", 1), ("('A', 99999999999999, 0, 0, 1.0, 1.0, 1.0, 'x')", 2), (None, 3))
+    for _ in range(2):  # replayed: the same rejects
+        job.process_batch(junk, 0)
+        ing.process_batch(junk, 0)
+    assert job.rejects(spark).count() == ing.rejects(spark).count() == 4 and job.table(spark).count() == 0
+    job.process_batch(_lines(spark, ("('A', 60, 0, 1, 2.0, 1.0, 1.0, 'x')", 4)), 1)
+    ing.process_batch(_lines(spark, ('{"dt": 60, "name": "A", "main": {"temp": 2.0}}', 4)), 1)
+    assert [r.temperature for r in job.table(spark).collect()] == [2.0]
+    assert [r.avg_temp for r in spark.read.parquet(ing.daily_path).collect()] == [2.0]
+
+
+def test_location_data_does_not_depend_on_the_cut_of_batches(spark):
+    """Q19: of two lines of one second the later arrival wins, in one batch and in two."""
+    from obslake.session import work_path
+    from obslake.streaming import live
+
+    first = ("('A', 60, 0, 1, 9.0, 1.0, 1.0, 'x')", 1)
+    second = ("('A', 60, 0, 1, 1.0, 1.0, 1.0, 'x')", 2)
+    got = []
+    for name, batches in (("one", [(second, first)]), ("two", [(first,), (second,)])):
+        job = live.LiveLocationData(work_path(spark, f"t_cut_{name}"))
+        for i, rows in enumerate(batches):
+            job.process_batch(_lines(spark, *rows), i)
+        got.append([r.temperature for r in job.table(spark).collect()])
+    assert got == [[1.0], [1.0]]
+
+
+def test_new_pane_of_one_location_writes_no_other(spark):
+    """A batch rewrites the windows of the locations it touched; the stored view keeps the newest."""
+    from obslake.schemas import OBSERVATION
+    from obslake.session import work_path
+    from obslake.streaming import live
+
+    t0 = dt.datetime(2024, 1, 2, 12)
+    obs = lambda locs, m, v: spark.createDataFrame(
+        [(x, t0 + dt.timedelta(minutes=m), m, v, 1.0, 1.0, "x") for x in locs], OBSERVATION)
+    lt = live.LiveTrends(work_path(spark, "t_touched"), intervals=(60, 300))
+    a, b, late = obs("ABC", 0, 1.0), obs("A", 1, 2.0), obs("B", -60, 5.0)
+    for i, o in enumerate((a, b, late)):
+        lt.process_batch(windows.panes(o), i)
+    second = spark.read.parquet(f"{lt.results_path}/part=1")
+    assert {r.location for r in second.collect()} == {"A"} and second.count() == 6
+    every = a.unionByName(b).unionByName(late)
+    assert _same(lt.results(spark), windows.interval_trends(windows.window_ends(every, (60, 300))))
+    newest = {(r.location, r.interval_s): r.window_end for r in lt.trends_view(spark).collect()}
+    assert newest["B", 60] == t0 + dt.timedelta(minutes=1) and newest["A", 300] == t0 + dt.timedelta(minutes=6)
+    assert len(newest) == 6
