@@ -1,5 +1,6 @@
 """Substring deduplication: paragraphs (lines) that repeat across or within documents, exactly or
-nearly, found by MinHash banding and exact Jaccard verification, and clustered by components."""
+nearly, found by MinHash banding and exact Jaccard verification, and clustered by components; and
+spans of 50 words or more that repeat exactly, whatever lines they are in."""
 
 from __future__ import annotations
 
@@ -12,7 +13,8 @@ from pyspark.sql import DataFrame, functions as F
 from obslake.llm.common import cut, small_batches
 from obslake.llm.linking import similar_components
 from obslake.llm.near_dedup import longs
-from obslake.llm.sketch import Hashes, band_keys, set_id, shingle_set
+from obslake.llm.sketch import SHINGLE, Hashes, band_keys, set_id, shingle_set
+from obslake.llm.spans import repeated_spans
 
 # 3/4 similar paragraphs meet in a band with probability 1 - 1.6e-4
 BANDS, ROWS = 16, 3
@@ -91,9 +93,30 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, bands: int =
                       (F.struct("doc_id", "para") != F.col("head")).alias("removed")).distinct()
 
 
+def passages_and_spans(docs: DataFrame) -> DataFrame:
+    """Repeated paragraphs and repeated spans of docs, in the columns of repeated_passages(). A span's
+    row has no para and no component_para; its shingles are counted with repetition."""
+    spans = repeated_spans(docs).select(
+        "doc_id", F.lit(None).cast("int").alias("para"), "start", "end",
+        (F.col("n_words") - (SHINGLE - 1)).alias("n_shingles"), "component_id",
+        F.lit(None).cast("int").alias("component_para"), "removed")
+    return repeated_passages(docs).unionByName(spans)
+
+
 def without_passages(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """docs with the removed paragraphs cut from `text`; all columns stay."""
-    gone = found.where("removed").groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("para").alias("_gone"))
+    """docs with the removed paragraphs, line feeds included, and spans cut from `text`; all columns
+    stay."""
+    # a line's end is its line feed, which the last line gets too
+    stop = F.when(F.col("para").isNull(), F.col("end")).otherwise(F.col("end") + 1)
+    gone = found.where("removed").groupBy(F.col("doc_id").alias("_id")) \
+        .agg(F.sort_array(F.collect_set(F.struct("start", stop.alias("stop")))).alias("_gone"))
     d = docs.withColumn("_id", F.col("doc_id").cast("long")).join(gone, "_id", "left")
-    left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
+    text = F.concat("text", F.lit("\n"))
+    left = F.aggregate(
+        "_gone", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+        lambda a, s: F.struct(
+            F.greatest(a["at"], s["stop"]).alias("at"),
+            F.concat(a["out"], F.substring(text, a["at"] + 1, F.greatest(F.lit(0), s["start"] - a["at"]))).alias("out")),
+        lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+    left = F.regexp_replace(left, r"\n\z", "")
     return d.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left)).select(*docs.columns)

@@ -49,7 +49,7 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+    return passages.passages_and_spans(table(spark, sf_dir, "documents"))
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

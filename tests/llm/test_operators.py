@@ -97,6 +97,51 @@ def test_passages_hard(hard, none):
     assert left[7] == "" and left[6] == HARD[5][1] and left[1] is None
 
 
+def test_passages_any_lines(spark):
+    """Every word of a 50-word window found at two places, counted over whole texts, is in some row."""
+    docs = table(spark, SF_MORE, "documents")
+    places, at, texts = defaultdict(list), {}, {r.doc_id: r.text for r in docs.collect()}
+    for i, t in texts.items():
+        at[i] = list(WORD.finditer(t))
+        low = [m[0].encode().lower() for m in at[i]]
+        for p in range(len(low) - 49):
+            places[hash(tuple(low[p:p + 50]))].append((i, p))
+    want, copies = defaultdict(set), defaultdict(set)
+    for found in places.values():
+        first, last = min(found), max(found)
+        if first[0] != last[0] or last[1] - first[1] >= 50:
+            for i, p in found:
+                want[i].update(range(p, p + 50))
+                copies[i].update(range(p, p + 50) if i != first[0] or p - first[1] >= 50 else ())
+    got = queries.op5_substring_dedup(spark, SF_MORE).collect()
+    spans, cut, rows = defaultdict(set), defaultdict(set), defaultdict(set)
+    for r in got:
+        inside = {k for k, m in enumerate(at[r.doc_id]) if r.start <= m.start() and m.end() <= r.end}
+        rows[r.doc_id] |= inside
+        if r.para is None:
+            assert len(inside) == r.n_shingles + 4 >= 50
+            spans[r.doc_id] |= inside
+            cut[r.doc_id] |= inside if r.removed else set()
+    assert all(w <= rows[i] for i, w in want.items())
+    assert dict(spans) == dict(want) and {i: c for i, c in cut.items() if c} == {i: c for i, c in copies.items() if c}
+
+
+def test_spans_hard(spark, hard, none):
+    passage = [f"w{k}" for k in range(60)]
+    rows = [(1, "head " + " ".join(passage) + " tail"),
+            (2, "other\n" + "\n".join(" ".join(passage[k:k + 10]).upper() for k in range(0, 60, 10)) + "\nend"),
+            (3, " ".join(passage[:25]) + "\n" + " ".join(passage[25:49]) + " x"), (4, None), (None, " ".join(passage)), (5, "lorem " * 99), (6, "ipsum " * 100)]
+    d = spark.createDataFrame(rows + rows[:1], "doc_id long, text string")
+    found = passages.passages_and_spans(d)
+    got = sorted((r.doc_id, r.para, r.start, r.end, r.component_id, r.removed) for r in found.collect() if r.doc_id < 5)
+    n = len(" ".join(passage))
+    assert got == [(1, None, 5, 5 + n, 1, False), (2, None, 6, 6 + n, 1, True)]
+    left = {r.doc_id: r.text for r in passages.without_passages(d, found).collect()}
+    assert left[1] == rows[0][1] and left[2] == "other\n\nend" and left[3] == rows[2][1] and left[4] is None
+    assert left[5] == rows[5][1] and left[6].split() == ["ipsum"] * 50
+    assert {r.doc_id for r in passages.passages_and_spans(hard).collect()} == {5} and passages.passages_and_spans(none).count() == 0
+
+
 def test_mixing(docs, texts):
     got = queries.op2_source_mixing(docs.sparkSession, SF).collect()
     again = queries.op2_source_mixing(docs.sparkSession, SF).collect()
