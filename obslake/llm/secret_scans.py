@@ -36,8 +36,14 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20, r"AKIA[A-Z0-9]{16}"),
     Rule("hex", r"[0-9a-f]+", 0, 24, r"[0-9a-f]{24}"),
 )
-# rules beyond the base: the head line of a PEM private key
-RULES = (*BASE_RULES, Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 27, "-----BEGIN [A-Z ]*PRIVATE KEY-----"))
+# rules beyond the base: a PEM private key from its head line to its END line; without one, to the
+# last of the base64 lines that follow. Possessive loops keep the matcher off the stack.
+_HEAD = r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+_TO_END = r"(?:[^-]++|-(?!----))*+-----END [A-Z ]*PRIVATE KEY-----"
+_BODY = (r"""(?:\s*+(?:Proc-Type|DEK-Info):[^\r\n]*+"""
+         r"""|(?:[\s"',>#*|]|\\[nrt])*+(?:[A-Za-z0-9+/]{16,}+=*+|[A-Za-z0-9+/]++=++)"""
+         r"""|[\x20\t"',]*+(?:\r?\n|(?:\\r)?\\n)[\x20\t>#*|"']*+[A-Za-z0-9+/]++=*+(?=[\x20\t\r"',]*+(?:\n|\\|\z)))*+""")
+RULES = (*BASE_RULES, Rule("pem", f"{_HEAD}(?:{_TO_END}|{_BODY})", 0, 27, _HEAD))
 
 SPAN = "array<struct<start:int,rank:int,kind:string,end:int>>"
 LEDGER = f"blob string, spans {SPAN}, rule_version string"

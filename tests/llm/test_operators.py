@@ -254,6 +254,35 @@ def test_secrets(spark, hard, none, tmp_path):
     assert clean[8] == "[SECRET] token: abc\n[SECRET]'" and clean[1] is None and clean[5] == HARD[4][1]
 
 
+def test_redacted_keys(spark):
+    """No line of a private key's body is left, with or without its END line; the text around it is."""
+    import base64
+    body = [base64.b64encode(hashlib.sha384(bytes([k])).digest()).decode() for k in range(40)] + ["q83vEg=="]
+    long = body * 60
+
+    def key(lines, kind="", end="\n", closed=True):
+        tail = [f"-----END {kind}PRIVATE KEY-----"] if closed else []
+        return end.join([f"-----BEGIN {kind}PRIVATE KEY-----", *lines, *tail])
+    head = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0123456789ABCDEF", ""]
+    m = "[SECRET]"
+    cases = [(f"before\n{key(body)}\nafter the key", f"before\n{m}\nafter the key"),
+             (f"before\n{key(body, 'RSA ', closed=False)}\nafter the key", f"before\n{m}\nafter the key"),
+             (f"{key(body, 'EC ', chr(13) + chr(10))}\r\nafter", f"{m}\r\nafter"),
+             (f"x {key(head + body, 'RSA ')} y", f"x {m} y"),
+             (f"x {key(head + body, 'RSA ', closed=False)}\n\nso it ends", f"x {m}\n\nso it ends"),
+             (f"{key(body, closed=False)}\ncut off here\n{key(long)}\nend", f"{m}\ncut off here\n{m}\nend"),
+             ('{"k": "' + key(body, end="\\n") + '\\n"}', '{"k": "' + m + '\\n"}'),
+             (key(body, end=" ", closed=False), m), (key(["> " + x for x in body]) + "\nz", f"{m}\nz"),
+             (key(long, closed=False)[:-3] + "", m), ("-----BEGIN PRIVATE KEY-----", m),
+             ("-----BEGIN CERTIFICATE-----\nplain\n-----END CERTIFICATE-----",) * 2]
+    d = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(cases)], "doc_id long, text string")
+    left = {r.doc_id: r.text for r in secret_scans.redact(d).collect()}
+    assert left == {k: want for k, (_, want) in enumerate(cases)}
+    found = secret_scans.digest(secret_scans.find_secrets(d)).collect()  # base spans stay as they are
+    assert {r.doc_id: r.base_sha256 for r in found} == {
+        k: hashlib.sha256(secret_spans(t).encode()).hexdigest() for k, (t, _) in enumerate(cases)}
+
+
 def test_pieces(spark, hard, none):
     model = pieces.load(spark)
     codec = pieces.Codec(model)
