@@ -60,7 +60,7 @@ class Codec:
         whole = any(SPACE in p.lstrip(SPACE) for p, _ in usable)
         line = any("\n" in p for p, _ in usable)
         self.chunk = re.compile("(?s).+" if whole or line else f"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+")
-        self.text = [bytes([int(p[1:-1], 16)]) if k == BYTE else b"" if k in (CONTROL, UNKNOWN) else p.encode()
+        self.text = [bytes([int(p[1:-1], 16)]) if k == BYTE else b"" if k in (CONTROL, UNKNOWN) else p.replace(SPACE, " ").encode()
                      for p, k in zip(pieces.piece, pieces.kind)]
 
     def best(self, s: str) -> list[int]:
@@ -113,10 +113,18 @@ class Codec:
         return out[::-1]
 
     def ids(self, text: str | None) -> bytes:
-        """Ids of a text as 32-bit integers."""
+        """Ids of a text as 32-bit integers. A space mark in the text itself becomes the pieces of its
+        bytes, so that it is told from a space."""
         if not text:
             return b""
-        s = (SPACE + text if self.pieces.prefix else text).replace(" ", SPACE)
+        if SPACE in text:
+            mark = np.array([self.bytes.get(x, self.unk) for x in SPACE.encode()], np.int32).tobytes()
+            first, *rest = text.split(SPACE)
+            return mark.join([self._ids(SPACE + first if self.pieces.prefix else first), *map(self._ids, rest)])
+        return self._ids(SPACE + text if self.pieces.prefix else text)
+
+    def _ids(self, text: str) -> bytes:
+        s = text.replace(" ", SPACE)
         known, out = self.known, []
         for c in self.chunk.findall(s):
             got = known.get(c)
@@ -130,9 +138,9 @@ class Codec:
         return b"".join(out)
 
     def decode(self, ids) -> str:
-        """The text of ids; the exact text that was encoded, but for the space mark itself, which
-        becomes a space. Lone surrogates do not occur in Spark's strings."""
-        s = b"".join(map(self.text.__getitem__, ids)).decode("utf-8", "replace").replace(SPACE, " ")
+        """The text of ids; the exact text that was encoded. Lone surrogates do not occur in Spark's
+        strings."""
+        s = b"".join(map(self.text.__getitem__, ids)).decode("utf-8", "replace")
         return s[1:] if self.pieces.prefix and s.startswith(" ") else s
 
 
@@ -187,7 +195,7 @@ def encoded_and_checked(docs: DataFrame, model: str = MODEL) -> DataFrame:
         for b in batches:
             texts = b.column(1).to_pylist()
             ids = [codec.ids(t) for t in texts]
-            exact = [codec.decode(np.frombuffer(x, np.int32).tolist()) == (t or "").replace(SPACE, " ")
+            exact = [codec.decode(np.frombuffer(x, np.int32).tolist()) == (t or "")
                      for x, t in zip(ids, texts)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), _batch(ids), pa.array(exact)],
