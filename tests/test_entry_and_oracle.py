@@ -24,10 +24,12 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_oracle_or_reason():
+def test_every_query_has_oracle_sql():
     from __spark_entry__ import oracle_sql, queries
+    from obslake.plans.catalog import ORACLE, QUERIES
 
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
 @pytest.fixture(scope="module")
