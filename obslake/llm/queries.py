@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from obslake.llm import mixing, near_dedup, packing, passages, pieces, quality, secret_scans, toxicity, urls, vectors
+from obslake.llm import (alignment, mixing, near_dedup, packing, passages, pieces, prefix_trie, quality, secret_scans, sequence_packing,
+                         toxicity, urls, vectors)
 from obslake.llm.common import table
 
 
@@ -72,6 +73,23 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scans.digest(secret_scans.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations")).drop("node")
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the two tokenizers' tokens of every document."""
+    return alignment.scored(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op13_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 4,096 ids."""
+    return sequence_packing.packed_pieces(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -79,7 +97,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_source_mixing, op3_quality_rules, op4_url_filters, op5_substring_dedup,
-    op6_sentencepiece, op7_toxicity, op8_exact_top_k, op9_token_packing, op10_secret_scans, pipeline)}
+    op6_sentencepiece, op7_toxicity, op8_exact_top_k, op9_token_packing, op10_secret_scans,
+    op11_conversation_trie, op12_tokenizer_alignment, op13_sequence_packing, pipeline)}
 
 # The others are no SQL (sketches, hashed counts, draws, fitted weights, pieces, ledgers); tests
 # compare them with brute force.
