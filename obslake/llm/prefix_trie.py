@@ -2,7 +2,7 @@
 
 Digests of prefixes are chained turn by turn, so a node is one 16-byte digest. Distinct digests, with
 what their members add up to, come from one aggregate. Sums over subtrees are taken shard by shard: a
-shard is a whole subtree of a bounded number of rows, kept as a minimal-perfect-hash node table. Its
+shard holds whole subtrees, each of a bounded number of rows, in a minimal-perfect-hash node table. Its
 digests get slots, each verified against the digest stored there; counts are scattered into flat
 arrays by slot and accumulated through the array of parent slots, deepest nodes first. Nodes above all
 shards take the shards' totals and are accumulated in the same way.
@@ -245,8 +245,8 @@ def trie(conversations: DataFrame, shard_rows: int = SHARD_ROWS, table_rows: int
     conversation; without conversations there is no node. Other columns are ignored.
 
     A node of one member whose parent also has one is settled without a table: below it there is
-    one leaf and nothing is saved. The others are dealt to shards: the topmost subtrees whose members
-    have shard_rows turns at most below their top. What is above all shards is accumulated from below
+    one leaf and nothing is saved. The others are dealt to shards of about shard_rows nodes by the topmost
+    subtrees whose members have shard_rows turns at most below their top. What is above all shards is accumulated from below
     in bands of table_rows nodes.
     """
     turns, convs = rebuilt(conversations)
@@ -281,7 +281,9 @@ def trie(conversations: DataFrame, shard_rows: int = SHARD_ROWS, table_rows: int
     shard_of = rows.select("conv_id", "node").join(roots.withColumnRenamed("node", "shard"), F.col("node") == F.col("shard")) \
         .select("conv_id", "shard")
     columns = ["node", "parent", "conv_id", "depth", "parent_conv_id", "n_convs", "length", "n_children", "n_leaves", "saved_tokens"]
-    low = _sums(held.where(light).join(shard_of, "conv_id").drop("mass", "_mass"))
+    below = held.where(light)
+    shards = below.count() // shard_rows + 1
+    low = _sums(below.join(shard_of, "conv_id").withColumn("shard", F.pmod(F.xxhash64("shard"), F.lit(shards))).drop("mass", "_mass"))
     done = [cut(low.select(*columns), "shards")]
     open_ = cut(_added(held.where(~light).drop("mass", "_mass"), done[0].join(roots, "node", "left_semi")), "above")
     while (left := open_.count()):
