@@ -217,38 +217,31 @@ class Aligner:
         if len(self.known) > self.most:
             self._clear()
         parts = [PART.split(" " + t) if t else () for t in texts]
-        known, new, seen, size = self.known, [], set(), 0
-        for p in (p for ps in parts for p in ps):
-            if p in known or p in seen:
-                continue
+        known, new, size = self.known, [], 0
+        for p in set().union(*parts) - known.keys():
             if p[-1].isspace():  # white space at the end of a text is parted by what follows it
                 self._learn([p])
                 continue
-            seen.add(p)
             new.append(p)
             size += len(p)
             if size >= joined:
                 self._learn(new)
-                new, seen, size = [], set(), 0
+                new, size = [], 0
         if new:
             self._learn(new)
         self.figures, self.pairs, self.times = ([np.concatenate(c)] for c in (self.figures, self.pairs, self.times))
         figures, pairs, times = self.figures[0], self.pairs[0], self.times[0]
         start = np.cumsum(figures[:, 3]) - figures[:, 3]
 
-        n = [len(ps) for ps in parts]
-        doc = np.repeat(np.arange(len(texts)), n)
-        held = np.fromiter((known[p] for ps in parts for p in ps), np.int64, sum(n))
+        doc = np.repeat(np.arange(len(texts)), [len(ps) for ps in parts])
+        numbers = [list(map(known.__getitem__, ps)) for ps in parts]
+        held = np.array([k for ks in numbers for k in ks], np.int64)
         bad = np.zeros(len(texts), bool)
         np.logical_or.at(bad, doc, figures[held, 4] > 0)
         sums = np.stack([np.bincount(doc, figures[held, c], len(texts)).astype(np.int64) for c in range(3)], axis=1) \
             if len(held) else np.zeros((len(texts), 3), np.int64)
         sums[bad] = 0
-        said, at = [], 0
-        for k, ps in enumerate(parts):
-            said.append("" if bad[k] else ";".join([self.text[i] for i in held[at:at + len(ps)].tolist()]))
-            at += len(ps)
-
+        said = ["" if bad[k] else ";".join(map(self.text.__getitem__, ks)) for k, ks in enumerate(numbers)]
         keep = ~bad[doc]
         key, times_held = np.unique(doc[keep] * (len(known) + 1) + held[keep], return_counts=True)
         doc, held = key // (len(known) + 1), key % (len(known) + 1)

@@ -10,6 +10,7 @@ gaps of the others, and the one sequence left open is cut at powers of two, whic
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +23,8 @@ LENGTH = 4096
 TOKENIZER = "word_bpe_49k.json"  # of the folder of public tokenizers
 END = 2
 GROUP = 2048
+WORD = re.compile("[a-zß-öø-ÿ]+").fullmatch
+MARKS = re.compile(r"[.,][.,]|[^\w ][.,] |_[.,] ")  # a point or comma that joins another mark
 
 
 class RoomTournament:
@@ -103,22 +106,59 @@ def filled(places: list[list[int]], lengths: list[int], room: int) -> list[list[
 class Ids:
     """Token ids of texts. The tokenizer drops white space and merges nothing across it, so the ids
     of a text are those of its parts between spaces and line feeds, up to `most` of which are
-    remembered."""
+    remembered. Texts of Latin-1 characters are in normal form once in lower case, and a point or comma
+    that ends a word there is a part of its own. Parts of lower-case Latin letters are one word
+    each; these skip the normaliser and are encoded many at a time, each ending with an id that
+    ends words."""
 
-    def __init__(self, file: bytes, dtype, most: int = 1 << 18):
-        from tokenizers import Tokenizer
+    def __init__(self, file: bytes, dtype, most: int = 1 << 19):
+        from tokenizers import Tokenizer, pre_tokenizers
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer, self.dtype, self.most, self.known = Tokenizer.from_str(file.decode()), dtype, most, {}
+        self.whole, self.words = Tokenizer.from_str(file.decode()), Tokenizer.from_str(file.decode())
+        self.words.normalizer = None
+        self.words.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocab = self.whole.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for entry, i in vocab.items() if entry.endswith("</w>")]] = True
+        self.dtype, self.most, self.known = dtype, most, {}
+
+    def _learn(self, new: set[str]) -> None:
+        words = [p for p in new if WORD(p)]
+        ids = np.array(self.words.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, self.dtype)
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) == len(words):
+            raw, at, new = ids.tobytes(), 0, new.difference(words)
+            for w, stop in zip(words, (stops * self.dtype.itemsize).tolist()):
+                self.known[w] = raw[at:stop]
+                at = stop
+        rest = list(new)
+        for p, e in zip(rest, self.whole.encode_batch_fast(rest, add_special_tokens=False)):
+            self.known[p] = np.array(e.ids, self.dtype).tobytes()
+
+    @staticmethod
+    def _parts(text: str | None) -> list[str]:
+        if not text:
+            return []
+        text = text.replace("\n", " ")
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text.split(" ")
+        if "<|" in text:  # special tokens are found before case is dropped
+            return text.split(" ")
+        text = text.lower()
+        if not MARKS.search(text):
+            text = text.replace(". ", " . ").replace(", ", " , ")
+        return text.split(" ")
 
     def of(self, texts: list[str | None]) -> list[bytes]:
-        parts = [t.replace("\n", " ").split(" ") if t else () for t in texts]
-        known = self.known
-        if len(known) > self.most:
-            known.clear()
-        new = list({p for ps in parts for p in ps if p not in known})
-        for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[p] = np.array(e.ids, self.dtype).tobytes()
-        return [b"".join([known[p] for p in ps]) for ps in parts]
+        parts = list(map(self._parts, texts))
+        if len(self.known) > self.most:
+            self.known.clear()
+        if new := set().union(*parts) - self.known.keys():
+            self._learn(new)
+        return [b"".join(map(self.known.__getitem__, ps)) for ps in parts]
 
 
 def _rows(columns: dict[str, list], kinds: dict[str, pa.DataType]) -> pa.RecordBatch:

@@ -284,6 +284,16 @@ def test_sequences(spark):
         assert (s.doc_ids, s.starts) == ([p.doc_id for p in ps], [p.start for p in ps])
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(alphabet="aB.,' \n\t'sé_-1\"Σ́²\x1c\x85<|endotxfENDOFTEXT>", max_size=24), min_size=1, max_size=3))
+def test_ids_of_parts(texts):
+    """Texts cut into parts come out as whole texts do."""
+    if not hasattr(test_ids_of_parts, "ids"):
+        test_ids_of_parts.ids = sequence_packing.Ids(open(public_tokenizers.path(sequence_packing.TOKENIZER), "rb").read(), np.dtype("<u4"), most=20)
+    got = [np.frombuffer(x, "<u4").tolist() for x in test_ids_of_parts.ids.of(texts)]
+    assert got == [test_ids_of_parts.ids.whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(1, 64), max_size=60))
 def test_first_fit(lengths):
