@@ -9,8 +9,10 @@ gaps of the others, and the one sequence left open is cut at powers of two, whic
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +25,9 @@ LENGTH = 4096
 TOKENIZER = "word_bpe_49k.json"  # of the folder of public tokenizers
 END = 2
 GROUP = 2048
-WORD = re.compile("[a-zß-öø-ÿ]+").fullmatch
-MARKS = re.compile(r"[.,][.,]|[^\w ][.,] |_[.,] ")  # a point or comma that joins another mark
+WORD = re.compile(r"([a-zß-öø-ÿ]+)([!#$%&*+,./:;=?@^~-]*)").fullmatch
+# byte-level vocabularies write the bytes of these words that do not print as code points from 256 on
+LETTERS = {x: 256 + k for k, x in enumerate([*range(33), *range(127, 161), 173])}
 
 
 class RoomTournament:
@@ -103,62 +106,49 @@ def filled(places: list[list[int]], lengths: list[int], room: int) -> list[list[
     return held
 
 
-class Ids:
-    """Token ids of texts. The tokenizer drops white space and merges nothing across it, so the ids
-    of a text are those of its parts between spaces and line feeds, up to `most` of which are
-    remembered. Texts of Latin-1 characters are in normal form once in lower case, and a point or comma
-    that ends a word there is a part of its own. Parts of lower-case Latin letters are one word
-    each; these skip the normaliser and are encoded many at a time, each ending with an id that
-    ends words."""
+class Ids(dict):
+    """Token ids (as bytes) of texts, and of the parts met so far, up to `most` of them.
+
+    The tokenizer drops white space and merges nothing across it, so the ids of a text are those of
+    its parts between spaces and line feeds. Texts of Latin-1 characters are in normal form once in
+    lower case. There a part of letters is one word, as it is in the merges' vocabulary; one of
+    letters and ASCII marks behind them is a word and a run of marks. All others go through the whole
+    tokenizer.
+    """
 
     def __init__(self, file: bytes, dtype, most: int = 1 << 19):
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.whole, self.words = Tokenizer.from_str(file.decode()), Tokenizer.from_str(file.decode())
-        self.words.normalizer = None
-        self.words.pre_tokenizer = pre_tokenizers.Sequence(
-            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        vocab = self.whole.get_vocab()
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
-        self.ends[[i for entry, i in vocab.items() if entry.endswith("</w>")]] = True
-        self.dtype, self.most, self.known = dtype, most, {}
-
-    def _learn(self, new: set[str]) -> None:
-        words = [p for p in new if WORD(p)]
-        ids = np.array(self.words.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, self.dtype)
-        stops = np.flatnonzero(self.ends[ids]) + 1
-        if len(stops) == len(words):
-            raw, at, new = ids.tobytes(), 0, new.difference(words)
-            for w, stop in zip(words, (stops * self.dtype.itemsize).tolist()):
-                self.known[w] = raw[at:stop]
-                at = stop
-        rest = list(new)
-        for p, e in zip(rest, self.whole.encode_batch_fast(rest, add_special_tokens=False)):
-            self.known[p] = np.array(e.ids, self.dtype).tobytes()
-
-    @staticmethod
-    def _parts(text: str | None) -> list[str]:
+        super().__init__()
+        self.whole, self.dtype, self.most = Tokenizer.from_str(file.decode()), dtype, most
+        self.words = self.whole.model.tokenize
+        self.code = struct.Struct("<H" if dtype.itemsize == 2 else "<I").pack
+
+    def __missing__(self, part: str) -> bytes:
+        m = WORD(part)
+        if not m:
+            ids = np.array(self.whole.encode(part, add_special_tokens=False).ids, self.dtype).tobytes()
+        elif m[2]:
+            ids = self[m[1]] + self[m[2]]
+        else:
+            letters = part if part.isascii() else part.encode().decode("latin-1").translate(LETTERS)
+            ids = b"".join([self.code(t.id) for t in self.words(letters)])
+        self[part] = ids
+        return ids
+
+    def of(self, text: str | None) -> bytes:
         if not text:
-            return []
+            return b""
+        if len(self) > self.most:
+            self.clear()
         text = text.replace("\n", " ")
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return text.split(" ")
-        if "<|" in text:  # special tokens are found before case is dropped
-            return text.split(" ")
-        text = text.lower()
-        if not MARKS.search(text):
-            text = text.replace(". ", " . ").replace(", ", " , ")
-        return text.split(" ")
-
-    def of(self, texts: list[str | None]) -> list[bytes]:
-        parts = list(map(self._parts, texts))
-        if len(self.known) > self.most:
-            self.known.clear()
-        if new := set().union(*parts) - self.known.keys():
-            self._learn(new)
-        return [b"".join(map(self.known.__getitem__, ps)) for ps in parts]
+        if "<|" not in text:  # special tokens are found before case is dropped
+            try:
+                text.encode("latin-1")
+                text = text.lower()
+            except UnicodeEncodeError:
+                pass
+        return b"".join(map(self.__getitem__, text.split(" ")))
 
 
 def _rows(columns: dict[str, list], kinds: dict[str, pa.DataType]) -> pa.RecordBatch:
@@ -169,6 +159,18 @@ SLICES = {"doc_id": pa.int64(), "start": pa.int64(), "length": pa.int64(), "doc_
 PIECES = SLICES | {"sequence_id": pa.int64(), "offset": pa.int64()}
 
 
+def _wide(ids: bytes, dtype) -> bytes:
+    return np.frombuffer(ids, dtype).astype("<u4").tobytes()
+
+
+def _widened(dtype):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = b.schema.get_field_index("ids")
+            yield b.set_column(at, "ids", pa.array([_wide(x, dtype) for x in b.column(at).to_pylist()], pa.binary()))
+    return run
+
+
 def _group(room: int, dtype):
     def pack(t: pa.Table) -> pa.Table:
         t = t.sort_by("row")
@@ -181,7 +183,7 @@ def _group(room: int, dtype):
                 ids = rows["ids"][i][at * dtype.itemsize:(at + n) * dtype.itemsize]
                 # odd: sequences of groups; even: those that one document fills
                 for c, v in zip(out, (rows["doc_id"][i], rows["start"][i] + at, n, rows["doc_tokens"][i],
-                                      ids, (rows["grp"][i] << 24 | place) * 2 + 1, offset)):
+                                      _wide(ids, dtype), (rows["grp"][i] << 24 | place) * 2 + 1, offset)):
                     out[c].append(v)
                 offset += n
         return pa.Table.from_batches([_rows(out, PIECES)])
@@ -205,15 +207,17 @@ def packed_pieces(docs: DataFrame, tokenizer: str | None = None, length: int = L
     if tokenizer is None:
         import public_tokenizers
         tokenizer = public_tokenizers.path(TOKENIZER)
-    shared = spark.sparkContext.broadcast(read_file(spark, tokenizer))  # a vocabulary file: some 50,000 entries
-    dtype = np.dtype("<u4")
+    file = read_file(spark, tokenizer)
+    shared = spark.sparkContext.broadcast(file)  # a vocabulary file: some 50,000 entries
+    most = max(end, *json.loads(file)["model"]["vocab"].values(), *(t["id"] for t in json.loads(file)["added_tokens"]))
+    dtype = np.dtype("<u2" if most < 1 << 16 else "<u4")  # of ids on their way
 
     def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = Ids(shared.value, dtype)
         last = np.array([end], dtype).tobytes()
         for b in batches:
             out = {c: [] for c in SLICES}
-            for doc, raw in zip(b.column(0).to_pylist(), ids.of(b.column(1).to_pylist())):
+            for doc, raw in zip(b.column(0).to_pylist(), map(ids.of, b.column(1).to_pylist())):
                 raw += last
                 n = len(raw) // dtype.itemsize
                 for at in range(0, n, length):
@@ -225,12 +229,13 @@ def packed_pieces(docs: DataFrame, tokenizer: str | None = None, length: int = L
     kinds = "doc_id long, start long, length long, doc_tokens long, ids binary"
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     cuts = cut(d.mapInArrow(slices, kinds).withColumn("row", F.monotonically_increasing_id()), "slices")
-    whole = cuts.where(F.col("length") == length).select(*SLICES, (F.col("row") * 2).alias("sequence_id"),
-                                                         F.lit(0).cast("long").alias("offset"))
+    pieces = f"{kinds}, sequence_id long, offset long"
+    whole = cuts.where(F.col("length") == length).select(
+        *SLICES, (F.col("row") * 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset")).mapInArrow(_widened(dtype), pieces)
     rests = cuts.where(F.col("length") < length)
     groups = rests.count() // group + 1
     rests = rests.withColumn("grp", F.pmod(F.xxhash64("row"), F.lit(groups)))
-    packed = rests.groupBy("grp").applyInArrow(_group(length, dtype), f"{kinds}, sequence_id long, offset long")
+    packed = rests.groupBy("grp").applyInArrow(_group(length, dtype), pieces)
     return whole.unionByName(packed)
 
 

@@ -290,7 +290,7 @@ def test_ids_of_parts(texts):
     """Texts cut into parts come out as whole texts do."""
     if not hasattr(test_ids_of_parts, "ids"):
         test_ids_of_parts.ids = sequence_packing.Ids(open(public_tokenizers.path(sequence_packing.TOKENIZER), "rb").read(), np.dtype("<u4"), most=20)
-    got = [np.frombuffer(x, "<u4").tolist() for x in test_ids_of_parts.ids.of(texts)]
+    got = [np.frombuffer(test_ids_of_parts.ids.of(x), "<u4").tolist() for x in texts]
     assert got == [test_ids_of_parts.ids.whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
