@@ -18,8 +18,9 @@ from obslake.operators.rollup import (daily_rollup, history_daily, observations_
 from obslake.operators.windows import (interval_trends, panes, window_ends,  # noqa: E402
                                        window_ends_direct, window_ends_join, window_ends_panes)
 from obslake.session import build_session, checkpoint_dir  # noqa: E402
+from obslake.sources.keyed import KeyedTable  # noqa: E402
 from obslake.sources.tables import compact_expired, expire, merge_upsert, upsert_latest  # noqa: E402
-from obslake.streaming.live import LiveIngest, LiveLocationData, LiveTrends, LiveTrendsUpdate  # noqa: E402
+from obslake.streaming.live import LiveIngest, LiveLocationData, LiveStation, LiveTrends, LiveTrendsUpdate  # noqa: E402
 
 __all__ = [
     "build_session", "checkpoint_dir",
@@ -27,5 +28,6 @@ __all__ = [
     "records", "latest_years", "yearly_trend", "trends",
     "panes", "window_ends", "window_ends_join", "window_ends_panes", "window_ends_direct", "interval_trends",
     "upsert_latest", "merge_upsert", "expire", "compact_expired",
-    "LiveTrends", "LiveTrendsUpdate", "LiveIngest", "LiveLocationData",
+    "LiveTrends", "LiveTrendsUpdate", "LiveIngest", "LiveLocationData", "LiveStation",
+    "KeyedTable",
 ]

@@ -9,13 +9,14 @@ Jobs
   live-trends --source PATH --root PATH [--trigger "10 seconds"] [--watermark "10 minutes"]
               [--mode append|update]           V11: Parquet observation stream -> live trends
                                                (append: final windows; update: live, provisional)
-  live-lines  --source PATH --root PATH        V11: tuple-line text stream -> location_data + trends
+  live-lines  --source PATH --root PATH [--delay SECONDS]   V11: tuple-line text stream -> location_data,
+                                               rejects and trends, from one read
   live-messages --source PATH --root PATH      V11: MESSAGE JSON (value, offset) stream -> live trends
   serve       --root PATH --as-of TS --out PATH [--records PATH] [--trends PATH]   V1-V5: JSON of the stored
                                                trends view, observations and season products
   ingest      --source PATH --root PATH        V10: (offset, value) message stream -> raw + daily tables
-  expire      --table PATH --as-of TS [--partition day] [--written-at written_at]   T9 compaction
-  live-maintain --root PATH --as-of TS         compact live result folders, expire results and panes
+  expire      --table PATH --as-of TS [--written-at written_at]   T9 compaction of a keyed table
+  live-maintain --root PATH --as-of TS         compact the live tables, expire results and panes
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from obslake.plans import jobs, serve
 from obslake.schemas import BROKER, OBSERVATION
 from obslake.session import build_session
 from obslake.sources import tables
+from obslake.sources.codecs import line_stream
 from obslake.streaming import live
 
 
@@ -38,7 +40,7 @@ def main(argv=None) -> None:
     ap.add_argument("--years", type=int, default=4)
     ap.add_argument("--trigger", default="10 seconds")
     ap.add_argument("--watermark", default="10 minutes")
-    ap.add_argument("--partition", default="day")
+    ap.add_argument("--delay", type=int, default=600)
     ap.add_argument("--written-at", default="written_at")
     ap.add_argument("--mode", default="append", choices=["append", "update"])
     ap.add_argument("--multiline", action="store_true")
@@ -57,17 +59,17 @@ def main(argv=None) -> None:
         jobs.trends_job(spark, a.daily, a.out, n=a.years, split_summer=a.split_summer)
     elif a.job == "live-trends":
         lt = live.LiveTrends(a.root, watermark=a.watermark, mode=a.mode)
-        lt.start(live.observation_stream(spark, a.source, OBSERVATION), trigger=trig).awaitTermination()
+        q = lt.start(live.observation_stream(spark, a.source, OBSERVATION), trigger=trig)
+        q.awaitTermination()
+        lt.finish(spark, q)
     elif a.job == "live-lines":
-        lines = spark.readStream.text(a.source)
-        q1 = live.LiveLocationData(a.root).start(lines, trigger=trig)
-        q2 = live.LiveTrends(a.root, watermark=a.watermark).start(live.parse_observations(lines), trigger=trig)
-        q1.awaitTermination()
-        q2.awaitTermination()
+        live.LiveStation(a.root, delay_s=a.delay).start(line_stream(spark, a.source), trigger=trig).awaitTermination()
     elif a.job == "live-messages":
         messages = spark.readStream.schema(BROKER).parquet(a.source)
         lt = live.LiveTrends(a.root, watermark=a.watermark, mode=a.mode)
-        lt.start(live.parse_messages(messages), trigger=trig).awaitTermination()
+        q = lt.start(live.parse_messages(messages), trigger=trig)
+        q.awaitTermination()
+        lt.finish(spark, q)
     elif a.job == "serve":
         serve.serve_job(spark, a.root, a.as_of, a.out, a.records, a.trends)
     elif a.job == "ingest":
@@ -78,7 +80,7 @@ def main(argv=None) -> None:
         lt.compact_results(spark)
         lt.expire_results(spark, a.as_of)
     elif a.job == "expire":
-        tables.compact_expired(spark, a.table, a.as_of, written_at=a.written_at, partition_by=a.partition)
+        tables.compact_expired(spark, a.table, a.as_of, written_at=a.written_at)
     else:
         ap.error(f"unknown job {a.job!r}")
     spark.stop()  # Q21: actually stop the session

@@ -84,9 +84,10 @@ def bucketed_panes(pn: DataFrame, intervals=INTERVALS, slide_s: int = SLIDE_S) -
             .withColumn("next_pane", F.lead("pane").over(w)))
 
 
-def _emissions(pn: DataFrame, intervals, slide_s: int) -> DataFrame:
+def _emissions(pn: DataFrame, intervals, slide_s: int, ends: tuple[int, int] | None = None) -> DataFrame:
     """Both emissions of every pane for every interval, tagged is_last, in (location, end bucket)
-    partitions: (location, ebucket, interval_s, end_s, is_last, first_rec, last_rec)."""
+    partitions: (location, ebucket, interval_s, end_s, is_last, first_rec, last_rec). With ends, only
+    those of window ends in (ends[0], ends[1]]."""
     B = _bucket_for(intervals, slide_s)
     bp = bucketed_panes(pn, intervals, slide_s)
     base = bp.withColumn("interval_s", F.explode(F.array(*[F.lit(int(w)) for w in intervals])))
@@ -98,24 +99,26 @@ def _emissions(pn: DataFrame, intervals, slide_s: int) -> DataFrame:
     def seq(lo, hi):  # ends in (lo, hi], stepping by the slide; empty when lo >= hi
         return F.when(lo < hi, F.sequence(lo + step, hi, step)).otherwise(F.array().cast("array<long>"))
 
+    lo, hi = (F.lit(x).cast("long") for x in ends or (-(1 << 62), 1 << 62))
     last_hi = F.least(p + w, F.coalesce(F.col("next_pane"), p + w), b_hi)
     first_lo = F.greatest(F.coalesce(F.col("prev_pane") + w, p), p, b_lo)
     tagged = F.concat(
-        F.transform(seq(F.greatest(p, b_lo), last_hi),
+        F.transform(seq(F.greatest(p, b_lo, lo), F.least(last_hi, hi)),
                     lambda e: F.struct(e.alias("end_s"), F.lit(True).alias("is_last"))),
-        F.transform(seq(first_lo, F.least(p + w, b_hi)),
+        F.transform(seq(F.greatest(first_lo, lo), F.least(p + w, b_hi, hi)),
                     lambda e: F.struct(e.alias("end_s"), F.lit(False).alias("is_last"))))
     return base.select("location", "ebucket", "interval_s", F.inline(tagged), "first_rec", "last_rec")
 
 
 def window_ends(obs: DataFrame | None, intervals=INTERVALS, slide_s: int = SLIDE_S,
-                pn: DataFrame | None = None) -> DataFrame:
+                pn: DataFrame | None = None, ends: tuple[int, int] | None = None) -> DataFrame:
     """(location, interval_s, window_end, first_rec, last_rec) for every non-empty window;
     default form. Panes are shuffled once to their (location, end bucket); both emissions come
     out of one explode and are paired by an aggregate inside that same partitioning, so after
     the pane stage there is exactly one exchange and no result-sized shuffle.
-    Pass `pn` (location, pane, first_rec, last_rec) to start from stored panes."""
-    em = _emissions(panes(obs, slide_s) if pn is None else pn, intervals, slide_s)
+    Pass `pn` (location, pane, first_rec, last_rec) to start from stored panes, `ends` (epoch seconds
+    on the slide's grid) for the windows that end after the first and by the second alone."""
+    em = _emissions(panes(obs, slide_s) if pn is None else pn, intervals, slide_s, ends)
     paired = em.groupBy("location", "ebucket", "interval_s", "end_s").agg(
         F.min(F.when(~F.col("is_last"), F.col("first_rec"))).alias("first_rec"),
         F.max(F.when(F.col("is_last"), F.col("last_rec"))).alias("last_rec"))

@@ -3,6 +3,7 @@ and its DuckDB oracle SQL. `__spark_entry__.py` exposes both."""
 
 from __future__ import annotations
 
+import os
 import time
 from collections.abc import Callable
 
@@ -17,6 +18,7 @@ from obslake.plans import oracle as O
 from obslake.schemas import BROKER, INTERVALS, MESSAGE, OBSERVATION, TREND_MEASURES
 from obslake.session import work_path
 from obslake.sources import codecs, tables
+from obslake.sources.keyed import KeyedTable
 from obslake.streaming import live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -268,11 +270,11 @@ def _upsert(spark, sf, replay: int):
         .withColumn("temperature", F.col("temperature") + F.lit(1.0)).withColumn("batch", F.lit(2))
     path = work_path(spark, "location_data")
     keys, order = ["location", "timestamp"], ["batch", "seq"]
-    tables.merge_upsert(spark, path, old, keys, order, "day", exists=False)
+    tables.merge_upsert(spark, path, old, keys, order, "day")
     for _ in range(replay):
         tables.merge_upsert(spark, path, new, keys, order, "day")
-    return spark.read.parquet(path).select("location", "timestamp", "temperature", "wind", "humidity",
-                                           "weather", "seq", "batch")
+    return tables.read_table(spark, path).select("location", "timestamp", "temperature", "wind", "humidity",
+                                                 "weather", "seq", "batch")
 
 
 def q_upsert_latest(spark, sf):
@@ -409,6 +411,7 @@ def q_stream_interval_trends(spark, sf):
     lt = live.LiveTrends(root, watermark=STREAM_DELAY)
     q = lt.start(live.observation_stream(spark, src, OBSERVATION, max_files=8), trigger=None)
     q.awaitTermination()
+    lt.finish(spark, q)
     return _closed(lt.results(spark), obs)
 
 
@@ -448,7 +451,7 @@ def q_history_json_scan(spark, sf):
     root = work_path(spark, "history")
     fixtures.history_records(spark, sf).write.mode("errorifexists").json(f"{root}/json")
     jobs.history_bootstrap(spark, f"{root}/json", f"{root}/daily")
-    return spark.read.parquet(f"{root}/daily").drop("year")
+    return tables.read_table(spark, f"{root}/daily").drop("year")
 
 
 def _bootstrapped_daily(spark, sf) -> str:
@@ -474,7 +477,7 @@ def q_trends_job(spark, sf):
 def _raw_table(spark, sf, path: str) -> None:
     raw = codecs.raw_observations(fixtures.nested_messages(spark, sf)).withColumn(
         "day", epoch_to_date("unix_date"))
-    tables.merge_upsert(spark, path, raw, ["location", "unix_date"], ["seq"], "day", exists=False)
+    tables.merge_upsert(spark, path, raw, ["location", "unix_date"], ["seq"], "day")
 
 
 def q_daily_incremental(spark, sf):
@@ -484,7 +487,7 @@ def q_daily_incremental(spark, sf):
     _raw_table(spark, sf, f"{root}/raw")
     jobs.daily_incremental(spark, f"{root}/raw", f"{root}/daily")
     jobs.daily_incremental(spark, f"{root}/raw", f"{root}/daily")  # re-run: unchanged
-    return spark.read.parquet(f"{root}/daily").drop("year")
+    return tables.read_table(spark, f"{root}/daily").drop("year")
 
 
 def q_bootstrap_then_daily(spark, sf):
@@ -501,7 +504,7 @@ def q_bootstrap_then_daily(spark, sf):
     again.write.partitionBy("day").parquet(f"{root}/raw_again")
     jobs.daily_incremental(spark, f"{root}/raw", f"{root}/daily")
     jobs.daily_incremental(spark, f"{root}/raw_again", f"{root}/daily")
-    return spark.read.parquet(f"{root}/daily").drop("year")
+    return tables.read_table(spark, f"{root}/daily").drop("year")
 
 
 QUERIES.update({
@@ -552,7 +555,9 @@ def q_stream_line_trends(spark, sf):
     root = work_path(spark, "line_trends")
     lt = live.LiveTrends(root, watermark=STREAM_DELAY)
     stream = _broker_stream(spark, _line_rows(spark, sf), f"{root}/in")
-    lt.start(live.parse_observations(stream), trigger=None).awaitTermination()
+    q = lt.start(live.parse_observations(stream), trigger=None)
+    q.awaitTermination()
+    lt.finish(spark, q)
     return _closed(lt.results(spark), fixtures.observations(spark, sf))
 
 
@@ -562,7 +567,9 @@ def q_stream_message_trends(spark, sf):
     e = fixtures.observations(spark, sf).select("ts", "seq", "location")
     rows = fixtures.messages(spark, sf).join(e, "seq")
     lt = live.LiveTrends(root, watermark=STREAM_DELAY)
-    lt.start(live.parse_messages(_broker_stream(spark, rows, f"{root}/in")), trigger=None).awaitTermination()
+    q = lt.start(live.parse_messages(_broker_stream(spark, rows, f"{root}/in")), trigger=None)
+    q.awaitTermination()
+    lt.finish(spark, q)
     return _closed(lt.results(spark), fixtures.observations(spark, sf))
 
 
@@ -671,10 +678,10 @@ ORACLE["stream_live_trends_panes"] = O.q_interval_trends()
 def q_ttl_compaction(spark, sf):
     """T9 compaction: location_data partitioned by day, expired rows dropped physically."""
     path = work_path(spark, "location_data_ttl")
-    _location_data(spark, sf).write.partitionBy("day").parquet(path)
+    KeyedTable(spark, path, ["location", "timestamp", "seq"], "day").create(_location_data(spark, sf))
     tables.compact_expired(spark, path, AS_OF)
-    return spark.read.parquet(path).select("location", "timestamp", "temperature", "wind", "humidity",
-                                           "weather", "seq")
+    return tables.read_table(spark, path).select("location", "timestamp", "temperature", "wind", "humidity",
+                                                 "weather", "seq")
 
 
 QUERIES["ttl_compaction"] = q_ttl_compaction
@@ -702,3 +709,55 @@ QUERIES["season_year"] = q_season_year
 QUERIES["interval_trends_direct"] = q_interval_trends_direct
 ORACLE["season_year"] = O.q_season_year()
 ORACLE["interval_trends_direct"] = O.q_interval_trends()
+
+
+# --- one source for all sinks; tables that the catalog follows ---------------------------------
+
+
+def _station(spark, sf) -> live.LiveStation:
+    root = work_path(spark, "station")
+    job = live.LiveStation(root)
+    job.start(_broker_stream(spark, _line_rows(spark, sf), f"{root}/in"), trigger=None).awaitTermination()
+    return job
+
+
+def q_station_trends(spark, sf):
+    """Trends of the job that feeds all sinks from one read; each window is written once."""
+    return _closed(_station(spark, sf).trends.results(spark), fixtures.observations(spark, sf))
+
+
+def q_station_location_data(spark, sf):
+    """location_data of the same job."""
+    return _station(spark, sf).raw.table(spark)
+
+
+def q_registered_after_upsert(spark, sf):
+    """A catalog table over the daily table shows what the daily job has upserted since
+    it was registered, and no expired year."""
+    root = work_path(spark, "registered_daily")
+    h = fixtures.history_records(spark, sf)
+    h.write.json(f"{root}/json")
+    jobs.history_bootstrap(spark, f"{root}/json", f"{root}/daily")
+    daily = tables.read_table(spark, f"{root}/daily")
+    cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in daily.schema.fields)
+    name = f"daily_{os.path.basename(root).replace('-', '_')}"
+    tables.ensure_table(spark, "climate_live", name, cols, f"{root}/daily", "year", work_path(spark, "warehouse"))
+    _raw_table(spark, sf, f"{root}/raw")
+    jobs.daily_incremental(spark, f"{root}/raw", f"{root}/daily")
+    KeyedTable(spark, f"{root}/daily").drop({f"year={REDELIVERED_YEAR}"})
+    out = f"{root}/seen"
+    spark.table(f"climate_live.{name}").drop("year").write.parquet(out)
+    tables.drop_table(spark, "climate_live", name)
+    return spark.read.parquet(out)
+
+
+QUERIES.update({
+    "station_trends": q_station_trends,
+    "station_location_data": q_station_location_data,
+    "registered_after_upsert": q_registered_after_upsert,
+})
+ORACLE.update({
+    "station_trends": O.q_stream_line_trends(STREAM_DELAY),
+    "station_location_data": O.q_stream_location_data(),
+    "registered_after_upsert": O.q_registered_after_upsert(REDELIVERED_YEAR),
+})

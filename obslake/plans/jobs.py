@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from obslake.functions.columns import epoch_to_date
 from obslake.operators import history, rollup
 from obslake.sources import tables
+from obslake.sources.keyed import KeyedTable
 
 
 def _with_year(daily: DataFrame) -> DataFrame:
@@ -22,13 +23,32 @@ def history_bootstrap(spark: SparkSession, json_path: str, daily_path: str, part
     tables.create_table(_with_year(rollup.history_daily(nested)), daily_path, "unix_date", "year", partitions)
 
 
+ROLLED_UP = "rolled up"  # of a daily table: the newest write per day of each raw table that it holds
+
+
 def daily_incremental(spark: SparkSession, raw_path: str, daily_path: str) -> None:
     """V9: raw-observation table (S3) -> midnight epoch (F5) -> daily rollup (G2) -> upsert into
-    the daily table (S5), rewriting only the years that received rows. The table may be one that the
-    history job created (V8); its days are replaced by those of the raw observations."""
-    raw = tables.read_table(spark, raw_path).select(
-        "unix_date", "clouds", "humidity", "pressure", "temp", "temp_min", "temp_max", "deg", "speed")
-    tables.merge_upsert(spark, daily_path, _with_year(rollup.observations_daily(raw)), ["unix_date"], [], "year")
+    the daily table (S5). The table may be one that the history job created (V8); its days are
+    replaced by those of the raw observations.
+
+    Of a keyed raw table by day only the days written since the last run are read and rolled up; with
+    none the job ends there. What was rolled up is committed together with the rows."""
+    raw, daily = KeyedTable(spark, raw_path), KeyedTable(spark, daily_path, ["unix_date"], "year")
+    facts = None
+    if raw.exists() and raw.manifest().partition_by == "day":
+        m = raw.manifest()
+        now: dict[str, int] = {}
+        for e in m.entries:
+            now[e.part] = max(e.seq, now.get(e.part, -1))
+        done = daily.manifest().facts.get(ROLLED_UP, {})
+        changed = {p for p, seq in now.items() if done.get(raw_path, {}).get(p) != seq}
+        if not changed:
+            return
+        rows, facts = raw.read(m.version, changed), {ROLLED_UP: done | {raw_path: now}}
+    else:
+        rows = tables.read_table(spark, raw_path)
+    rows = rows.select("unix_date", "clouds", "humidity", "pressure", "temp", "temp_min", "temp_max", "deg", "speed")
+    daily.upsert(_with_year(rollup.observations_daily(rows)), facts=facts)
 
 
 def _season_table(spark: SparkSession, daily_path: str, split_summer: bool = False) -> DataFrame:

@@ -340,6 +340,13 @@ SELECT * FROM h_new WHERE unix_date NOT IN (SELECT unix_date FROM e_daily)
 UNION ALL BY NAME SELECT * FROM e_daily"""
 
 
+def q_registered_after_upsert(dropped_year: int) -> str:
+    """Daily rows of E replace those of H; one year is gone."""
+    return f"""WITH {H_DAILY}, e_daily AS (FROM ({q_stream_daily_rollup()}))
+SELECT * FROM (SELECT * FROM h_daily WHERE unix_date NOT IN (SELECT unix_date FROM e_daily)
+UNION ALL BY NAME SELECT * FROM e_daily) WHERE year(make_timestamp(unix_date * 1000000)) <> {dropped_year}"""
+
+
 E_LINE = f"""
 e AS (
   SELECT 'station-' || CAST(user_id % 5 AS VARCHAR) AS location, make_timestamp(epoch_us(ts) // 1000000 * 1000000) AS ts,

@@ -81,11 +81,24 @@ def raw_observations(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFra
 
 def arrival(df: DataFrame) -> Column:
     """Q19: the order in which the rows of one delivery arrived: the broker's `offset` (one station
-    writes to one topic partition), else a `seq` column, else the place in the delivery."""
+    writes to one topic partition), else a `seq` column, else the file that brought them (`landed`, see
+    `line_stream`) and the place in it, else the place in the delivery."""
     for c in ("offset", "seq"):
         if c in df.columns:
             return F.col(c).cast("long")
-    return F.monotonically_increasing_id()
+    place = F.monotonically_increasing_id()
+    return F.struct("landed", place.alias("place")) if "landed" in df.columns else place
+
+
+def line_stream(spark, path: str, max_files: int | None = None) -> DataFrame:
+    """A landing folder of text files as a stream of lines (`value`), each with the time, path and
+    block of its file (`landed`), by which lines without offsets are put in the order of arrival."""
+    r = spark.readStream.format("text")
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    m = F.col("_metadata")
+    return r.load(path).select("value", F.struct(
+        m["file_modification_time"].alias("time"), m["file_path"].alias("path"), m["file_block_start"].alias("block")).alias("landed"))
 
 
 # 0001-01-01 and 9999-12-31T23:59:59, the epochs that are dates
@@ -109,22 +122,23 @@ LINE_PATTERN = (r"^\(\s*" + _Q.format(n=1) + r"\s*,\s*(-?\d+)\s*,\s*(-?\d+)\s*,\
 
 def parse_line(value="value") -> Column:
     """P16 + F14: typed struct from a tuple line. Names keep inner blanks and commas (Q20);
-    quote marks are dropped; numbers that do not parse become null."""
-    v = _c(value)
+    quote marks are dropped; numbers that do not parse become null.
 
-    def g(i):
-        return F.regexp_extract(v, LINE_PATTERN, i)
-
-    ok = v.rlike(LINE_PATTERN)
-    return F.when(ok, F.struct(
-        g(2).alias("location"),
-        g(3).try_cast("long").alias("timestamp"),
-        g(4).try_cast("int").alias("hour"),
-        g(5).try_cast("int").alias("minute"),
-        to_double(g(6)).alias("temperature"),
-        to_double(g(7)).alias("wind"),
-        to_double(g(8)).alias("humidity"),
-        g(10).alias("weather"),
+    The line is matched once: the six numbers, which hold no comma, are put before the two texts, which
+    hold no line feed."""
+    v = _c(value)
+    r = F.regexp_replace(v, LINE_PATTERN, "$3,$4,$5,$6,$7,$8,$2\n$10")
+    p = F.split(r, ",", 7)
+    texts = F.get(p, 6)
+    return F.when(r != v, F.struct(  # a line that does not match is left as it is
+        F.substring_index(texts, "\n", 1).alias("location"),
+        F.get(p, 0).try_cast("long").alias("timestamp"),
+        F.get(p, 1).try_cast("int").alias("hour"),
+        F.get(p, 2).try_cast("int").alias("minute"),
+        to_double(F.get(p, 3)).alias("temperature"),
+        to_double(F.get(p, 4)).alias("wind"),
+        to_double(F.get(p, 5)).alias("humidity"),
+        F.substring_index(texts, "\n", -1).alias("weather"),
     ))
 
 

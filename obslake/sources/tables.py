@@ -1,9 +1,7 @@
 """Scans, sinks and keyed tables (S1-S23, G7, T9) on Parquet / CSV / JSON files.
 
-A keyed table is a Parquet folder partitioned by a coarse column (year, day). "Append" into a
-keyed store means upsert: the latest version per key wins. Writes touch only the partitions that
-receive rows (dynamic partition overwrite) and read the target only through a checkpoint, so a
-failed or repeated write can be re-run.
+"Append" into a keyed store means upsert: the latest version per key wins. `keyed` holds the tables
+themselves, with atomic commits.
 """
 
 from __future__ import annotations
@@ -13,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obslake.schemas import DAY_S, LONG_MEASURES, LONG_TRENDS, OBS_NESTED
+from obslake.sources.keyed import KeyedTable, list_names
 
 
 # --- scans ----------------------------------------------------------------------------------
@@ -28,17 +27,10 @@ def read_history_json(spark: SparkSession, path: str, schema: T.StructType = OBS
     return r.json(path)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether path holds a table: any file or folder that is not one of a writer's own (a failed
-    first write leaves `_temporary` alone). Errors of the file system are raised, not taken for no."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(p)) and any(st.getPath().getName()[0] not in "_." for st in fs.listStatus(p))
-
-
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A keyed Parquet table."""
-    return spark.read.parquet(path)
+    """A keyed table as of its newest commit, or a plain Parquet folder."""
+    t = KeyedTable(spark, path)
+    return t.read() if t.exists() else spark.read.parquet(path)
 
 
 def read_result_csv(spark: SparkSession, path: str, trends: bool = False,
@@ -58,17 +50,12 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def create_table(df: DataFrame, path: str, key: str = "unix_date", partition_by: str | None = "year",
                  initial_partitions: int | None = None, overwrite: bool = False) -> None:
-    """Create and load a keyed table; fails if there is one, upserted or not, unless told to
-    overwrite it. Rows are range-partitioned on the key, files split by `partition_by`; without
-    initial_partitions (the pre-split of the original store) the size of the data decides."""
-    if not overwrite and table_exists(df.sparkSession, path):
-        raise FileExistsError(f"table already exists: {path}")
-    parts = [initial_partitions] if initial_partitions else []
-    w = (df.repartitionByRange(*parts, F.col(key)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "static"))
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
+    """Create and load a keyed table; fails if there is one unless told to overwrite it. The
+    size of the data decides how many files a partition has; initial_partitions (the pre-split of the
+    original store) ranges the rows over that many first."""
+    if initial_partitions:
+        df = df.repartitionByRange(initial_partitions, F.col(key))
+    KeyedTable(df.sparkSession, path, [key], partition_by).create(df, overwrite)
 
 
 def write_csv_single(df: DataFrame, path: str) -> None:
@@ -83,11 +70,6 @@ def to_json_lines(df: DataFrame) -> DataFrame:
                                {"ignoreNullFields": "false"}).alias("json"))
 
 
-def preview(df: DataFrame, n: int = 10) -> DataFrame:
-    """The first n rows (a limit is the feature here)."""
-    return df.limit(n)
-
-
 # --- keyed semantics (G7, S5, S6, S13, S14, T9) ----------------------------------------------
 
 def upsert_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -100,62 +82,36 @@ def upsert_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in payload])
 
 
-def touched_rows(spark: SparkSession, path: str, new: DataFrame, partition_by: str) -> DataFrame:
-    """The stored rows of the partitions that `new` has rows in, null ones included. The least and
-    greatest value prune the folders, a null-safe semi-join keeps those touched."""
-    lo, hi = new.agg(F.min(partition_by), F.max(partition_by)).first()
-    part = F.col(partition_by)
-    in_range = part.isNull() if lo is None else part.isNull() | part.between(F.lit(lo), F.lit(hi))
-    touched = new.select(part.alias("_part")).distinct()
-    old = spark.read.parquet(path).filter(in_range)
-    return old.join(touched, old[partition_by].eqNullSafe(touched["_part"]), "left_semi")
-
-
 def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The Parquet table at path, its declared columns alone; no rows before its first write."""
+    """The Parquet folder or keyed table at path, its declared columns alone; no rows before its first write."""
     empty = spark.createDataFrame([], schema)
-    if table_exists(spark, path):
+    t = KeyedTable(spark, path)
+    if t.exists():
+        return t.read().select(*empty.columns) if t.manifest().entries else empty
+    if any(n[0] not in "._" for n in list_names(spark, path)):
         return spark.read.schema(empty.schema).parquet(path).select(*empty.columns)
     return empty
 
 
-def write_rejects(rejects: DataFrame, path: str, batch_id: int) -> None:
-    """The raw text of a micro-batch's unreadable rows, in a folder of its own; a replay writes
-    the same folder again. Nothing is written where there are none."""
+def write_rejects(rejects: DataFrame, path: str, run: str, batch_id: int) -> None:
+    """The raw text of a micro-batch's unreadable rows, in a folder of its run and batch; a replay
+    writes the same folder again. Nothing is written where there are none."""
     if not rejects.isEmpty():
         rejects.select(F.col("value").cast("string").alias("value")).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static").parquet(f"{path}/batch={batch_id}")
+            "partitionOverwriteMode", "static").parquet(f"{path}/run={run}/batch={batch_id}")
 
 
 def merge_upsert(spark: SparkSession, path: str, new: DataFrame, keys: list[str], order: list[str],
-                 partition_by: str, exists: bool | None = None, staged: bool = False,
-                 newest_by: tuple[str, ...] = ()) -> None:
-    """Upsert `new` into the table at `path`, rewriting only touched partitions.
+                 partition_by: str | None, newest_by: tuple[str, ...] = ()) -> None:
+    """Upsert `new` into the keyed table at `path`, in one commit that writes the
+    delivered rows alone (see `keyed`).
 
     A delivered row replaces the stored one of its key, whatever their contents; `order` (ascending
-    = older) decides among rows of one delivery. Nothing of that order is stored. With newest_by, a
-    stored row whose values there are greater stays instead. A null partition value is a partition like any other. Columns that only one side has are null on the other. An
-    empty delivery changes nothing.
-
-    `new` is staged once, unless the caller did so (staged). Its least and greatest partition value prune the folders that are read,
-    and a null-safe semi-join keeps those it touches. The merged rows are checkpointed to the shared
-    folder before they replace the partitions, so the write never reads the files it replaces. The
-    replacement is folder by folder: a driver lost in the middle of it leaves the table to be
-    restored from the checkpoint or by delivering the batch again with its table's history.
+    = older) decides among rows of one delivery. With newest_by, a stored row whose values there are
+    greater stays instead. A null partition value is a partition like any other. Columns that only
+    one side has are null on the other. An empty delivery changes nothing.
     """
-    new = (new if staged else new.checkpoint(eager=True)).withColumn("_new", F.lit(1))
-    if new.isEmpty():
-        return
-    merged = new
-    if table_exists(spark, path) if exists is None else exists:
-        old = touched_rows(spark, path, new, partition_by).withColumn("_new", F.lit(0))
-        merged = old.unionByName(new, allowMissingColumns=True)
-    merged = upsert_latest(merged, keys, [*newest_by, "_new", *order]).drop("_new").checkpoint(eager=True)
-    # range partitioning on (partition, key): a hot partition is split over several writers
-    # instead of landing in one task, and each writer still produces few, sorted files
-    (merged.repartitionByRange(partition_by, *keys).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")   # only touched partitions, whatever the session says
-     .partitionBy(partition_by).parquet(path))
+    KeyedTable(spark, path, keys, partition_by, newest_by).upsert(new, order)
 
 
 def expire(df: DataFrame, as_of, ttl_s: int = DAY_S, written_at: str = "written_at") -> DataFrame:
@@ -165,47 +121,30 @@ def expire(df: DataFrame, as_of, ttl_s: int = DAY_S, written_at: str = "written_
 
 
 def compact_expired(spark: SparkSession, path: str, as_of, ttl_s: int = DAY_S,
-                    written_at: str = "written_at", partition_by: str = "day") -> None:
-    """T9 compaction: physically drop expired rows of a table partitioned by `partition_by`.
-
-    Per-partition min/max of written_at (one row per partition) sorts partitions into untouched,
-    mixed and dead. Mixed partitions are rewritten with their surviving rows (dynamic overwrite,
-    from a checkpoint); dead partitions are removed as folders. Only partition values (one per
-    day) reach the driver."""
-    df = spark.read.parquet(path)
-    a = F.lit(as_of).cast("timestamp")
-    cutoff = a - F.make_dt_interval(secs=F.lit(ttl_s))
-    w = F.col(written_at).cast("timestamp")
-    stats = df.groupBy(partition_by).agg(F.min(w).alias("lo"), F.max(w).alias("hi"))
-    dead = [r[0] for r in stats.filter(F.col("hi") <= cutoff).select(partition_by).collect()]
-    mixed = [r[0] for r in stats.filter((F.col("lo") <= cutoff) & (F.col("hi") > cutoff))
-             .select(partition_by).collect()]
-    if not mixed and not dead:
-        return
-    if mixed:
-        keep = expire(df.filter(F.col(partition_by).isin(mixed)), a, ttl_s, written_at).checkpoint(eager=True)
-        (keep.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(partition_by).parquet(path))
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for v in dead:
-        p = jvm.org.apache.hadoop.fs.Path(f"{path}/{partition_by}={v}")
-        p.getFileSystem(conf).delete(p, True)
+                    written_at: str = "written_at") -> None:
+    """T9 compaction: drop the expired rows of a keyed table, whole partitions where none lives on, and
+    what no kept version of the table needs."""
+    t = KeyedTable(spark, path)
+    t.expire(as_of, ttl_s, written_at)
+    t.vacuum()
 
 
 # --- catalog DDL (S19-S21) --------------------------------------------------------------------
 
 def ensure_table(spark: SparkSession, db: str, table: str, ddl_columns: str, path: str,
                  partitioned_by: str | None = None, db_location: str | None = None) -> None:
-    """Idempotent namespace + table creation over a Parquet folder; the partitions already in the
-    folder are registered. Pass db_location (a shared folder) unless the cluster's warehouse dir is
-    configured."""
+    """Idempotent namespace + table creation. Over a partitioned keyed table the catalog table follows
+    its commits; over a plain Parquet folder the partitions already there are registered. Pass
+    db_location (a shared folder) unless the cluster's warehouse dir is configured."""
     loc = f" LOCATION '{db_location}'" if db_location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{loc}")
     part = f" PARTITIONED BY ({partitioned_by})" if partitioned_by else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{table} ({ddl_columns}) USING parquet{part} "
               f"LOCATION '{path}'")
-    if partitioned_by:
+    keyed = KeyedTable(spark, path)
+    if keyed.exists():
+        keyed.register(f"{db}.{table}")
+    elif partitioned_by:
         spark.sql(f"ALTER TABLE {db}.{table} RECOVER PARTITIONS")
 
 

@@ -67,11 +67,11 @@ def test_upsert_is_idempotent_and_latest_wins(spark):
     new = spark.createDataFrame([("A", 2, 20.0, 2, dt.date(2024, 1, 1)), ("C", 4, 4.0, 2, dt.date(2024, 1, 3))],
                                 "location string, ts long, v double, batch int, day date")
     keys, order = ["location", "ts"], ["batch"]
-    tables.merge_upsert(spark, path, old, keys, order, "day", exists=False)
+    tables.merge_upsert(spark, path, old, keys, order, "day")
     tables.merge_upsert(spark, path, new, keys, order, "day")
-    first = sorted(tuple(r) for r in spark.read.parquet(path).select("location", "ts", "v").collect())
+    first = sorted(tuple(r) for r in tables.read_table(spark, path).select("location", "ts", "v").collect())
     tables.merge_upsert(spark, path, new, keys, order, "day")
-    second = sorted(tuple(r) for r in spark.read.parquet(path).select("location", "ts", "v").collect())
+    second = sorted(tuple(r) for r in tables.read_table(spark, path).select("location", "ts", "v").collect())
     assert first == second == [("A", 1, 1.0), ("A", 2, 20.0), ("B", 3, 3.0), ("C", 4, 4.0)]
 
 
@@ -99,9 +99,9 @@ def test_to_celsius(spark):
 def test_compaction_keeps_only_live_rows(spark):
     path = work_path(spark, "t_compact")
     rows = [(dt.datetime(2024, 1, d, h), dt.date(2024, 1, d)) for d in (28, 29, 30) for h in (1, 23)]
-    spark.createDataFrame(rows, "written_at timestamp, day date").write.partitionBy("day").parquet(path)
+    tables.create_table(spark.createDataFrame(rows, "written_at timestamp, day date"), path, "written_at", "day")
     tables.compact_expired(spark, path, "2024-01-30 12:00:00")
-    left = sorted(r.written_at for r in spark.read.parquet(path).collect())
+    left = sorted(r.written_at for r in tables.read_table(spark, path).collect())
     assert left == [dt.datetime(2024, 1, 29, 23), dt.datetime(2024, 1, 30, 1), dt.datetime(2024, 1, 30, 23)]
 
 
@@ -125,7 +125,7 @@ def test_create_table_rerun_after_failed_attempt(spark):
     os.makedirs(os.path.join(path.removeprefix("file:"), "_temporary"))  # leftovers of a failed attempt
     df = spark.createDataFrame([(1, 2020, 1.0), (2, 2021, 2.0)], "unix_date long, year int, v double")
     tables.create_table(df, path)
-    assert spark.read.parquet(path).count() == 2
+    assert tables.read_table(spark, path).count() == 2
     with pytest.raises(FileExistsError):
         tables.create_table(df, path)
 
@@ -139,9 +139,9 @@ def test_upsert_safe_under_static_overwrite_session(spark):
                                   "location string, ts long, v double, batch int, day date")
         b = spark.createDataFrame([("A", 1, 5.0, 2, dt.date(2024, 1, 1))],
                                   "location string, ts long, v double, batch int, day date")
-        tables.merge_upsert(spark, path, a, ["location", "ts"], ["batch"], "day", exists=False)
+        tables.merge_upsert(spark, path, a, ["location", "ts"], ["batch"], "day")
         tables.merge_upsert(spark, path, b, ["location", "ts"], ["batch"], "day")
-        got = sorted(tuple(r) for r in spark.read.parquet(path).select("location", "v").collect())
+        got = sorted(tuple(r) for r in tables.read_table(spark, path).select("location", "v").collect())
         assert got == [("A", 5.0), ("B", 2.0)]
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
@@ -170,7 +170,7 @@ def test_upsert_keeps_rows_of_the_null_partition(spark):
     tables.merge_upsert(spark, path, old, ["k"], [], "year")
     tables.merge_upsert(spark, path, spark.createDataFrame([("b", None, 9.0), ("d", 2021, 4.0)], old.schema), ["k"], [], "year")
     tables.merge_upsert(spark, path, old.limit(0), ["k"], [], "year")  # empty: no change
-    assert sorted((r.k, r.year, r.v) for r in spark.read.parquet(path).collect()) == [
+    assert sorted((r.k, r.year, r.v) for r in tables.read_table(spark, path).collect()) == [
         ("a", None, 1.0), ("b", None, 9.0), ("c", 2020, 3.0), ("d", 2021, 4.0)]
 
 
@@ -183,7 +183,7 @@ def test_create_table_refuses_an_upserted_table(spark):
     with pytest.raises(FileExistsError):
         tables.create_table(df, path)
     tables.create_table(df.withColumn("v", F.lit(2.0)), path, overwrite=True)
-    assert [r.v for r in spark.read.parquet(path).collect()] == [2.0]
+    assert [r.v for r in tables.read_table(spark, path).collect()] == [2.0]
 
 
 def test_later_delivery_replaces_stored_row_whatever_its_order(spark):
@@ -191,7 +191,7 @@ def test_later_delivery_replaces_stored_row_whatever_its_order(spark):
     rows = lambda b, v: spark.createDataFrame([(1, b, v, 2020)], "k int, batch int, v double, year int")
     tables.merge_upsert(spark, path, rows(7, 1.0), ["k"], ["batch"], "year")
     tables.merge_upsert(spark, path, rows(0, 9.0), ["k"], ["batch"], "year")  # ids restarted
-    assert [r.v for r in spark.read.parquet(path).collect()] == [9.0]
+    assert [r.v for r in tables.read_table(spark, path).collect()] == [9.0]
 
 
 def test_daily_job_upserts_into_the_bootstrapped_table(spark):
@@ -209,7 +209,7 @@ def test_daily_job_upserts_into_the_bootstrapped_table(spark):
     second.write.parquet(f"{root}/raw")
     jobs.daily_incremental(spark, f"{root}/raw", daily)
     want = rollup.observations_daily(first).where("unix_date <> 101 * 86400").unionByName(rollup.observations_daily(second))
-    got = spark.read.parquet(daily).drop("year").select(*want.columns)
+    got = tables.read_table(spark, daily).drop("year").select(*want.columns)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 

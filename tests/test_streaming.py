@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from obslake import fixtures
 from obslake.operators import windows
 from obslake.plans import catalog
+from obslake.sources import tables
 from conftest import SF_SMALL
 
 
@@ -56,11 +57,11 @@ def test_live_results_compaction_and_expiry(spark):
     lt = live.LiveTrends(root, watermark=catalog.STREAM_DELAY)
     lt.start(live.observation_stream(spark, src, catalog.OBSERVATION, max_files=10), trigger=None).awaitTermination()
     before = sorted(tuple(r) for r in lt.results(spark).collect())
-    assert len([d for d in live._list_dirs(spark, lt.results_path) if d.startswith("part=")]) > 1
-    # compaction: one folder, same rows
+    folders = lambda t: [e.part for e in t(spark).manifest().entries]
+    assert len(folders(lt.results_table)) > len(set(folders(lt.results_table)))
+    # compaction: one folder a day, same rows
     lt.compact_results(spark)
-    parts = [d for d in live._list_dirs(spark, lt.results_path) if d.startswith("part=")]
-    assert len(parts) == 1 and parts[0].startswith("part=c")
+    assert len(folders(lt.results_table)) == len(set(folders(lt.results_table)))
     assert sorted(tuple(r) for r in lt.results(spark).collect()) == before
     # expiry: windows ended more than a day before as_of are gone
     as_of = "2024-01-29 00:00:00"
@@ -69,7 +70,7 @@ def test_live_results_compaction_and_expiry(spark):
     lt.expire_results(spark, as_of)
     assert sorted(tuple(r) for r in lt.results(spark).collect()) == want
     # pane days older than lifetime + longest window are gone, recent ones stay
-    days = sorted(int(d[4:]) for d in live._list_dirs(spark, lt.panes_path) if d.startswith("day="))
+    days = sorted(int(d[4:]) for d in folders(lt.panes_table))
     assert days and days[0] >= (dt.date(2024, 1, 27) - dt.date(1970, 1, 1)).days - 1
 
 
@@ -89,6 +90,7 @@ def test_late_rows_are_merged_not_lost(spark):
     lt = live.LiveTrends(root, intervals=(60, 300), watermark="10 minutes")
     q = lt.start(live.observation_stream(spark, f"{root}/in", OBSERVATION, max_files=1), trigger=None)
     q.awaitTermination()
+    lt.finish(spark, q)
     assert live.late_rows(q) == 0  # behind the current watermark only: accepted
     # the late row is merged, not lost: closed windows equal a batch run over all delivered rows
     allrows = spark.createDataFrame(on_time + late, OBSERVATION)
@@ -118,7 +120,8 @@ def test_row_behind_previous_watermark_is_dropped_and_counted(spark):
     lt = live.LiveTrends(root, intervals=(60, 300), watermark="10 minutes")
     q = lt.start(live.observation_stream(spark, f"{root}/in", OBSERVATION, max_files=1), trigger=None)
     q.awaitTermination()
-    assert live.late_rows(q) == 1
+    lt.finish(spark, q)
+    assert live.late_rows(q) == lt.late_rows(spark) == 1
     accepted = spark.createDataFrame(first, OBSERVATION)
     want = windows.interval_trends(windows.window_ends(accepted, (60, 300)))
     wm = F.lit(t0 + dt.timedelta(minutes=59, seconds=30) - dt.timedelta(minutes=10)).cast("timestamp_ntz")
@@ -140,7 +143,9 @@ def test_restart_from_checkpoint_equals_one_run(spark):
     lt.start(live.observation_stream(spark, src, catalog.OBSERVATION, max_files=5), trigger=None).awaitTermination()
     catalog._stage_by_time(obs.filter(F.col("ts") >= mid), src)
     lt2 = live.LiveTrends(root, watermark=catalog.STREAM_DELAY)  # a new process: same folders
-    lt2.start(live.observation_stream(spark, src, catalog.OBSERVATION, max_files=5), trigger=None).awaitTermination()
+    q = lt2.start(live.observation_stream(spark, src, catalog.OBSERVATION, max_files=5), trigger=None)
+    q.awaitTermination()
+    lt2.finish(spark, q)
     got = catalog._closed(lt2.results(spark), obs)
     want = catalog._closed(windows.interval_trends(windows.window_ends(obs)), obs)
     assert _same(got, want)
@@ -161,10 +166,10 @@ def test_ingest_batch_replay_is_idempotent(spark):
     msgs = fixtures.nested_messages(spark, SF_SMALL).select("seq", "value")
     ing = live.LiveIngest(root)
     ing.process_batch(msgs, 0)
-    raw1 = sorted(tuple(r) for r in spark.read.parquet(ing.raw_path).collect())
+    raw1 = sorted(tuple(r) for r in tables.read_table(spark, ing.raw_path).collect())
     daily1 = sorted(tuple(r) for r in ing.daily(spark).collect())
     ing.process_batch(msgs, 0)
-    assert sorted(tuple(r) for r in spark.read.parquet(ing.raw_path).collect()) == raw1
+    assert sorted(tuple(r) for r in tables.read_table(spark, ing.raw_path).collect()) == raw1
     assert sorted(tuple(r) for r in ing.daily(spark).collect()) == daily1
     assert daily1 == sorted(tuple(r) for r in catalog.q_stream_daily_rollup(spark, SF_SMALL).collect())
 
@@ -174,7 +179,7 @@ def test_trends_batch_replay_is_idempotent(spark):
     from obslake.session import work_path
     from obslake.streaming import live
 
-    lt = live.LiveTrends(work_path(spark, "t_trends_replay"))
+    lt = live.LiveTrends(work_path(spark, "t_trends_replay"), mode="update")
     obs = fixtures.observations(spark, SF_SMALL)
     pn = windows.panes(obs)
     lt.process_batch(pn, 0)
@@ -218,7 +223,7 @@ def test_unreadable_first_batches_change_no_table(spark):
     job.process_batch(_lines(spark, ("('A', 60, 0, 1, 2.0, 1.0, 1.0, 'x')", 4)), 1)
     ing.process_batch(_lines(spark, ('{"dt": 60, "name": "A", "main": {"temp": 2.0}}', 4)), 1)
     assert [r.temperature for r in job.table(spark).collect()] == [2.0]
-    assert [r.avg_temp for r in spark.read.parquet(ing.daily_path).collect()] == [2.0]
+    assert [r.avg_temp for r in tables.read_table(spark, ing.daily_path).collect()] == [2.0]
 
 
 def test_location_data_does_not_depend_on_the_cut_of_batches(spark):
@@ -246,11 +251,12 @@ def test_new_pane_of_one_location_writes_no_other(spark):
     t0 = dt.datetime(2024, 1, 2, 12)
     obs = lambda locs, m, v: spark.createDataFrame(
         [(x, t0 + dt.timedelta(minutes=m), m, v, 1.0, 1.0, "x") for x in locs], OBSERVATION)
-    lt = live.LiveTrends(work_path(spark, "t_touched"), intervals=(60, 300))
+    lt = live.LiveTrends(work_path(spark, "t_touched"), intervals=(60, 300), mode="update")
     a, b, late = obs("ABC", 0, 1.0), obs("A", 1, 2.0), obs("B", -60, 5.0)
     for i, o in enumerate((a, b, late)):
         lt.process_batch(windows.panes(o), i)
-    second = spark.read.parquet(f"{lt.results_path}/part=1")
+    written = sorted({e.seq for e in lt.results_table(spark).manifest().entries})
+    second = lt.results_table(spark).written(written[1])
     assert {r.location for r in second.collect()} == {"A"} and second.count() == 6
     every = a.unionByName(b).unionByName(late)
     assert _same(lt.results(spark), windows.interval_trends(windows.window_ends(every, (60, 300))))
