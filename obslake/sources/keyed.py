@@ -210,7 +210,7 @@ class KeyedTable:
     def _stage(self, rows: DataFrame, partition_by: str | None, keys: list[str]) -> str:
         """Write rows to a folder that no manifest names; files follow the partitions, a large one
         has several."""
-        out = f"{self.path}/data/_staged-{uuid.uuid4().hex}"
+        out = f"{self.path}/data/staged-{uuid.uuid4().hex}"
         w = (rows.hint("rebalance", partition_by) if partition_by else rows.hint("rebalance")).sortWithinPartitions(
             *([partition_by] if partition_by else []), *[k for k in keys if k != partition_by]).write
         (w.partitionBy(partition_by) if partition_by else w).parquet(out)
@@ -400,7 +400,7 @@ class KeyedTable:
         for v in known[:-keep]:
             delete(self.spark, f"{self.path}/_manifests/{v:012d}.json")
         for s in list_names(self.spark, f"{self.path}/data"):
-            if s.startswith("_staged-"):
+            if s.startswith("staged-"):
                 delete(self.spark, f"{self.path}/data/{s}")
                 continue
             for c in list_names(self.spark, f"{self.path}/data/{s}"):
