@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obslake import fixtures
-from obslake.functions.columns import epoch_seconds, epoch_to_date, midnight_epoch, season_year
+from obslake.functions.columns import (epoch_seconds, epoch_to_date, midnight_epoch, season_year, strip_outer, to_celsius,
+                                       to_epoch_long)
 from obslake.operators import history, rollup, windows
 from obslake.plans import jobs, serve
 from obslake.plans import oracle as O
@@ -761,3 +762,45 @@ ORACLE.update({
     "station_location_data": O.q_stream_location_data(),
     "registered_after_upsert": O.q_registered_after_upsert(REDELIVERED_YEAR),
 })
+
+
+# --- small column functions and the preview ----------------------------------------------------
+
+
+def q_table_preview(spark, sf):
+    """The first rows of the stored location_data, by its key."""
+    return tables.preview(_upsert(spark, sf, replay=1), 10, ("location", "timestamp"))
+
+
+def q_epoch_cast(spark, sf):
+    """F16: epochs with fractions, as text, to whole seconds."""
+    e = fixtures.observations(spark, sf)
+    text = F.concat(epoch_seconds("ts").cast("string"), F.lit("."), (F.col("seq") % 1000).cast("string"))
+    return e.select("seq", to_epoch_long(text).alias("epoch"))
+
+
+def q_line_split(spark, sf):
+    """tuple lines without their brackets and blanks, split on commas."""
+    fields = F.split(F.regexp_replace(strip_outer("value"), " ", ""), ",")
+    return _lines(spark, sf).select("seq", F.size(fields).alias("n_fields"), fields[0].alias("location"),
+                                    fields[1].alias("epoch"), fields[7].alias("weather"))
+
+
+def q_celsius(spark, sf):
+    """Q13: temperatures in Kelvin, Fahrenheit, Celsius and an unknown unit."""
+    unit = F.element_at(F.array(*map(F.lit, ("K", "f", "C", "X"))), (F.col("seq") % 4 + 1).cast("int"))
+    return fixtures.observations(spark, sf).select("seq", to_celsius("temperature", unit).alias("celsius"))
+
+
+QUERIES.update({
+    "table_preview": q_table_preview,
+    "epoch_cast": q_epoch_cast,
+    "line_split": q_line_split,
+    "celsius": q_celsius,
+})
+ORACLE.update({
+    "table_preview": f"{O.q_upsert(UPSERT_OLD_BEFORE, UPSERT_NEW_FROM)} ORDER BY location, timestamp LIMIT 10",
+    "epoch_cast": O.q_epoch_cast(),
+    "line_split": O.q_line_split(),
+    "celsius": O.q_celsius(),
+})

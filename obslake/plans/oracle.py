@@ -385,3 +385,20 @@ UNION ALL BY NAME SELECT 'trends' AS product, * FROM ({q_yearly_trend(season=sea
 def q_season_year() -> str:
     return f"""WITH {season_cte(split_summer=True)}
 SELECT unix_date, season, year AS season_year FROM h_cal"""
+
+
+def q_epoch_cast() -> str:
+    return f"WITH {E_LINE} SELECT seq, {EP} AS epoch FROM e"
+
+
+def q_line_split() -> str:
+    return f"""WITH {E_LINE}
+SELECT seq, CAST(8 AS INTEGER) AS n_fields, chr(39) || location || chr(39) AS location, CAST({EP} AS VARCHAR) AS epoch,
+       chr(39) || weather || chr(39) AS weather FROM e"""
+
+
+def q_celsius() -> str:
+    return f"""WITH {E_LINE}
+SELECT seq, CASE seq % 4 WHEN 0 THEN temperature - 273.15::DOUBLE
+                         WHEN 1 THEN (temperature - 32.0::DOUBLE) * 5.0::DOUBLE / 9.0::DOUBLE
+                         WHEN 2 THEN temperature END AS celsius FROM e"""

@@ -70,6 +70,11 @@ def to_json_lines(df: DataFrame) -> DataFrame:
                                {"ignoreNullFields": "false"}).alias("json"))
 
 
+def preview(df: DataFrame, n: int = 10, by: tuple[str, ...] = ()) -> DataFrame:
+    """The first n rows in the order of `by` (a limit is the feature here)."""
+    return (df.orderBy(*by) if by else df).limit(n)
+
+
 # --- keyed semantics (G7, S5, S6, S13, S14, T9) ----------------------------------------------
 
 def upsert_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
