@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,10 +16,13 @@ SPACE_RUN = "[\\x20\\x09-\\x0D]+"
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir, which driver and executors share.
 
-    A session without that setting (tests on one machine) gets a folder of its own.
+    A session without that setting gets a folder of its own where all runs on one machine (tests); on
+    a cluster it is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="llm-"))
         d = spark.sparkContext.getCheckpointDir()
     return d.rstrip("/")

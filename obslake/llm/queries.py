@@ -103,6 +103,53 @@ QUERIES = {f.__name__: f for f in (
 # The others are no SQL (sketches, hashed counts, draws, fitted weights, pieces, ledgers); tests
 # compare them with brute force.
 ORACLE: dict[str, str] = {
+    # DuckDB has no crc32, which dated_lists uses: steps and crcs compute it byte by byte
+    "op4_url_filters": r"""
+        WITH steps AS (
+            SELECT list(v ORDER BY i) AS t FROM (
+                SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+                FROM range(256) AS r(i))),
+        rest AS (
+            SELECT page_id, url, DATE '2024-01-01' + CAST((page_id * 7919 % 365 + 365) % 365 AS INTEGER) AS fetched,
+                regexp_replace(regexp_replace(trim(url), '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//', ''), '[?#].*\z', '') AS rest
+            FROM pages),
+        parts AS (
+            SELECT page_id, url, fetched,
+                regexp_replace(lower(regexp_extract(rest, '^(?:[^/@]*@)?([^/:]*)', 1)), '\.\z', '') AS host,
+                regexp_replace(regexp_extract(rest, '^[^/]*(/.*)?\z', 1), '/+\z', '') AS path FROM rest),
+        listed AS (
+            SELECT DISTINCT key FROM (
+                SELECT host AS key FROM parts
+                UNION ALL SELECT host || array_to_string(string_split(path, '/')[1:2], '/') FROM parts) WHERE key <> ''),
+        crcs AS (
+            SELECT key, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(octet_length(encode(key))),
+                lambda i: CAST('0x' || substr(hex(encode(key)), CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))),
+                lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM listed, steps),
+        entries AS (
+            SELECT CASE WHEN h % 2 = 0 THEN 'malware' ELSE 'adult' END AS list, key,
+                DATE '2024-01-01' + CAST(h % 90 + turn * (20 + h % 37) AS INTEGER) AS day, turn % 2 = 0 AS adds
+            FROM (SELECT key, h, unnest(range(h % 4 + 1)) AS turn FROM crcs WHERE h % 3 <> 0)),
+        days AS (SELECT list, key, day, bool_or(adds) AS held FROM entries GROUP BY ALL),
+        turns AS (
+            SELECT * FROM (SELECT *, coalesce(lag(held) OVER (PARTITION BY list, key ORDER BY day), false) AS before FROM days)
+            WHERE held <> before),
+        intervals AS (
+            SELECT list, key, day AS since, until FROM (
+                SELECT *, lead(day) OVER (PARTITION BY list, key ORDER BY day) AS until FROM turns) WHERE held),
+        asked AS (
+            SELECT DISTINCT url, fetched, host, string_split(host, '.') AS l, string_split(path, '/') AS s
+            FROM parts WHERE url IS NOT NULL AND fetched IS NOT NULL AND host <> ''),
+        named AS (
+            SELECT DISTINCT url, fetched, unnest(list_concat(
+                list_transform(range(1, len(l) + 1), lambda i: array_to_string(l[i:], '.')),
+                list_transform(range(2, len(s) + 1), lambda i: host || array_to_string(s[1:i], '/')))) AS key FROM asked),
+        hits AS (
+            SELECT url, fetched, list, n.key, since, row_number() OVER (
+                PARTITION BY url, fetched ORDER BY length(n.key) DESC, list, n.key, since) AS place
+            FROM named n JOIN intervals i ON n.key = i.key AND fetched >= since AND (until IS NULL OR fetched < until))
+        SELECT page_id, p.url, p.fetched, list IS NOT NULL AS blocked, list, key, since
+        FROM parts p LEFT JOIN (SELECT * FROM hits WHERE place = 1) h ON p.url = h.url AND p.fetched = h.fetched""",
     "op8_exact_top_k": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v
