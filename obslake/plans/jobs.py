@@ -48,7 +48,7 @@ def daily_incremental(spark: SparkSession, raw_path: str, daily_path: str) -> No
     else:
         rows = tables.read_table(spark, raw_path)
     rows = rows.select("unix_date", "clouds", "humidity", "pressure", "temp", "temp_min", "temp_max", "deg", "speed")
-    daily.upsert(_with_year(rollup.observations_daily(rows)), facts=facts)
+    daily.upsert(_with_year(rollup.observations_daily(rows)), facts=facts, unique=True)
 
 
 def _season_table(spark: SparkSession, daily_path: str, split_summer: bool = False) -> DataFrame:

@@ -277,9 +277,10 @@ class KeyedTable:
         return done
 
     def upsert(self, new: DataFrame, order: list[str] = (), writer: str | None = None, batch: int | None = None,
-               facts: dict | None = None, keep_order: bool = True) -> int | None:
+               facts: dict | None = None, keep_order: bool = True, unique: bool = False) -> int | None:
         """Deliver rows; each replaces the stored row of its key. `order` (ascending = older)
-        decides among rows of one delivery; without keep_order its columns are not stored. Returns the seq under which they were stored; None if
+        decides among rows of one delivery; without keep_order its columns are not stored. `unique` tells
+        that the rows have one per key, as aggregates by key do. Returns the seq under which they were stored; None if
         there were none.
 
         The rows are read once and written once; no stored row is read or moved. With writer and
@@ -294,7 +295,9 @@ class KeyedTable:
         by = [*([part] if part and part not in m.keys else []), *m.keys]
         cols = [c for c in new.columns if keep_order or c not in order]
         rest = [c for c in cols if c not in by]
-        if m.merge:
+        if unique:
+            latest = new
+        elif m.merge:
             latest = self._merged(m, new.withColumn("_seq", F.struct(*order) if order else F.lit(0)))
         else:
             ordered = F.struct(*m.newest_by, *order, F.lit(0).alias("_"))

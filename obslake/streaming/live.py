@@ -124,7 +124,7 @@ class LiveTrends:
         spark = self.spark or panes.sparkSession
         table = self.panes_table(spark)
         day = F.floor(F.col("pane") / F.lit(DAY_S)).cast("long")
-        seq = table.upsert(panes.withColumn("day", day), writer=run, batch=batch_id, facts=facts)
+        seq = table.upsert(panes.withColumn("day", day), writer=run, batch=batch_id, facts=facts, unique=True)
         mine = table.written(seq) if seq is not None and seq >= 0 else None
         span = mine.agg(F.min("pane").alias("lo"), F.max("pane").alias("hi")).first() if mine is not None else None
         if span is not None and span["lo"] is None:
@@ -192,7 +192,7 @@ class LiveTrends:
         spark = ends.sparkSession
         results = self.results_table(spark)
         rows = windows.interval_trends(ends, self.signed).withColumn("day", F.to_date("window_end"))
-        seq = results.upsert(rows, writer=run, batch=batch_id, facts=facts)
+        seq = results.upsert(rows, writer=run, batch=batch_id, facts=facts, unique=True)
         if seq is not None and seq >= 0:
             newest = results.written(seq).drop("day")
             self.view_table(spark).upsert(newest, writer=run, batch=batch_id)
