@@ -18,6 +18,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -72,6 +73,29 @@ def groups(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.concatenate([[0], i + 1]), np.concatenate([[0], j + 1])
 
 
+def _grown(a: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """a, its first `used` rows followed by more; room doubles when it runs out."""
+    if used + len(more) > len(a):
+        a = np.concatenate([a[:used], np.empty((max(used, len(more), 1024), *a.shape[1:]), a.dtype)])
+        if used + len(more) > len(a):
+            return _grown(a, used, more)
+    a[used:used + len(more)] = more
+    return a
+
+
+def _summed(owner: np.ndarray, pair: np.ndarray, times: np.ndarray):
+    """(owner, pair, times) with the times of equal (owner, pair) added up, sorted by both."""
+    if not len(pair):
+        return owner, pair, times
+    if int(owner.max()) < 1 << (63 - 2 * ID_BITS):
+        order = np.argsort(owner << 2 * ID_BITS | pair)
+    else:
+        order = np.lexsort((pair, owner))
+    owner, pair, times = owner[order], pair[order], times[order]
+    first = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (pair[1:] != pair[:-1])]))
+    return owner[first], pair[first], np.add.reduceat(times, first)
+
+
 def _spread(counts: np.ndarray) -> np.ndarray:
     """0 .. n-1 for each n of counts, in one array."""
     return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -140,7 +164,7 @@ class Pieces(_Side):
 class Aligner:
     """Alignments of parts of texts, remembered by part, up to `most` of them."""
 
-    def __init__(self, a: _Side, b: _Side, most: int = 1 << 18):
+    def __init__(self, a: _Side, b: _Side, most: int = 1 << 19):
         self.a, self.b, self.most = a, b, most
         self.names = [[str(i) for i in range(len(s.bytes))] for s in (a, b)]
         self._clear()
@@ -148,8 +172,8 @@ class Aligner:
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
         self.text: list[str] = []
-        self.figures = [np.empty((0, 5), np.int64)]  # n_a, n_b, n_groups, n_pairs (distinct), bad
-        self.pairs, self.times = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        self.figures = np.empty((0, 6), np.int64)  # n_a, n_b, n_groups, n_pairs (distinct), bad, first pair
+        self.pairs, self.times, self.held = np.empty(0, np.int64), np.empty(0, np.int64), 0
 
     def _pairs(self, ids_a, ids_b, x, y):
         """(group, pair, times) of the links in each group; ids repeated within a group of many
@@ -190,26 +214,23 @@ class Aligner:
         first = np.concatenate([[0], last[:-1]])
         g, pair, times = self._pairs(ids_a, ids_b, x, y)
         part = np.searchsorted(last, g, side="right")
-        key = np.lexsort((pair, part))
-        part, pair, times = part[key], pair[key], times[key]
-        new = np.concatenate([[True], (part[1:] != part[:-1]) | (pair[1:] != pair[:-1])]) if len(part) else np.empty(0, bool)
-        at = np.flatnonzero(new)
-        times = np.add.reduceat(times, at) if len(at) else times
-        part, pair = part[at], pair[at]
+        part, pair, times = _summed(part, pair, times)
         na, nb = self.names
         xs, ys, sa, sb = x.tolist(), y.tolist(), [na[i] for i in ids_a.tolist()], [nb[i] for i in ids_b.tolist()]
-        said = [",".join(sa[xs[k]:xs[k + 1]]) + "|" + ",".join(sb[ys[k]:ys[k + 1]]) for k in range(len(xs) - 1)]
+        said = [f"{sa[f]}|{sb[h]}" if t - f == u - h == 1 else ",".join(sa[f:t]) + "|" + ",".join(sb[h:u])
+                for f, t, h, u in zip(xs, xs[1:], ys, ys[1:])]
         figures = np.stack([x[last] - x[first], y[last] - y[first], last - first,
                             np.bincount(part, minlength=len(parts)), np.zeros(len(parts), np.int64)], axis=1)
         self._keep(parts, [";".join(said[f:t]) for f, t in zip(first.tolist(), last.tolist())], figures, pair, times)
 
     def _keep(self, parts, said, figures, pair, times) -> None:
-        for p in parts:
-            self.known[p] = len(self.known)
+        n = len(self.text)
+        self.known.update(zip(parts, range(n, n + len(parts))))
         self.text += said
-        self.figures.append(figures)
-        self.pairs.append(pair)
-        self.times.append(times)
+        first = self.held + np.cumsum(figures[:, 3]) - figures[:, 3]
+        self.figures = _grown(self.figures, n, np.column_stack([figures, first]))
+        self.pairs, self.times = _grown(self.pairs, self.held, pair), _grown(self.times, self.held, times)
+        self.held += len(pair)
 
     def of(self, texts: list[str | None], joined: int = 1 << 16):
         """For each text: (n_a, n_b, n_groups, n_links), its groups as text, and its distinct pairs
@@ -229,32 +250,23 @@ class Aligner:
                 new, size = [], 0
         if new:
             self._learn(new)
-        self.figures, self.pairs, self.times = ([np.concatenate(c)] for c in (self.figures, self.pairs, self.times))
-        figures, pairs, times = self.figures[0], self.pairs[0], self.times[0]
-        start = np.cumsum(figures[:, 3]) - figures[:, 3]
+        figures = self.figures
 
         doc = np.repeat(np.arange(len(texts)), [len(ps) for ps in parts])
         numbers = [list(map(known.__getitem__, ps)) for ps in parts]
-        held = np.array([k for ks in numbers for k in ks], np.int64)
-        bad = np.zeros(len(texts), bool)
-        np.logical_or.at(bad, doc, figures[held, 4] > 0)
-        sums = np.stack([np.bincount(doc, figures[held, c], len(texts)).astype(np.int64) for c in range(3)], axis=1) \
-            if len(held) else np.zeros((len(texts), 3), np.int64)
-        sums[bad] = 0
+        held = np.fromiter(chain.from_iterable(numbers), np.int64, len(doc))
+        per_text = figures[held, :5]
+        sums = np.stack([np.bincount(doc, per_text[:, c], len(texts)) for c in (0, 1, 2, 4)], axis=1).astype(np.int64)
+        bad = sums[:, 3] > 0
+        sums = np.where(bad[:, None], 0, sums[:, :3])
         said = ["" if bad[k] else ";".join(map(self.text.__getitem__, ks)) for k, ks in enumerate(numbers)]
         keep = ~bad[doc]
         key, times_held = np.unique(doc[keep] * (len(known) + 1) + held[keep], return_counts=True)
         doc, held = key // (len(known) + 1), key % (len(known) + 1)
         count = figures[held, 3]
-        place = np.repeat(start[held], count) + _spread(count)
-        doc, pair, weight = np.repeat(doc, count), pairs[place], times[place] * np.repeat(times_held, count)
-        order = np.lexsort((pair, doc))
-        doc, pair, weight = doc[order], pair[order], weight[order]
-        first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (pair[1:] != pair[:-1])])) if len(doc) else np.empty(0, np.int64)
-        weight = np.add.reduceat(weight, first) if len(first) else weight
-        doc, pair = doc[first], pair[first]
-        links = np.zeros(len(texts), np.int64)
-        np.add.at(links, doc, weight)
+        place = np.repeat(figures[held, 5], count) + _spread(count)
+        doc, pair, weight = _summed(np.repeat(doc, count), self.pairs[place], self.times[place] * np.repeat(times_held, count))
+        links = np.bincount(doc, weight, len(texts)).astype(np.int64)
         return np.concatenate([sums, links[:, None]], axis=1), said, (doc, pair, weight)
 
 
