@@ -6,6 +6,11 @@ line's end where documents repeat. A binary tree over the output shards splits t
 at each node the left half draws its blocks without replacement from the node's. A leaf thereby
 gets, for each source, a number of blocks and where they begin, so shards hold disjoint runs of the
 permuted blocks whose sizes add up to the quotas exactly. Within a shard documents are shuffled.
+
+The tree's colours are the sources. With more than COLOURS of them, sources that follow one another
+by name share a colour, their quotas laid end to end, so what the driver and each node of the tree
+hold stays bounded; targets and quotas are each source's own all the same. Large shards are written
+by several tasks, each with the run of the shuffled order that a document's place falls in.
 """
 
 from __future__ import annotations
@@ -19,10 +24,14 @@ from pyspark.sql import Column, DataFrame, functions as F, Window
 from obslake.llm.common import SPACE_RUN, SPACES, cut
 
 WEIGHTS = (3, 1, 2)
-SHARDS = 16
+SHARD_WORDS = 1 << 22
+MOST_SHARDS = 1024  # all copies look their shard up in a list of this length
+MOST_TASKS = 1 << 17
+COLOURS = 4096
 BLOCK_WORDS = 16
 BUCKET_DOCS = 1000
-MAX_SOURCES = 100_000
+FEW_SOURCES = 1 << 17  # rows of 100 bytes or so: broadcast up to here
+SALT = 32
 _MOST_BLOCKS = 1 << 28  # numpy draws from fewer than 1e9
 
 
@@ -76,46 +85,69 @@ def leaf(quotas: np.ndarray, shards: int, shard: int, seed: int) -> tuple[np.nda
     return start, held
 
 
-def plan(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: int = 2, shards: int = SHARDS,
-         block_words: int = BLOCK_WORDS, seed: int = 17, carry: bool = False) -> DataFrame:
-    """One row per row of docs (doc_id, text, source): doc_id, size (words), source, source_size,
-    target (of its source), copies (array of {shard, place}: where the mix takes the document; none,
-    one or `most` at most). With carry, `row` holds all columns of the document as well.
+def enough_shards(words: int) -> tuple[int, int]:
+    """Shards for a mix of so many words, and tasks that write one."""
+    wanted = max(1, -(-words // SHARD_WORDS))
+    shards = min(wanted, MOST_SHARDS)
+    return shards, min(-(-wanted // shards), MOST_TASKS // shards)
 
-    Documents are taken whole, where the middle of their words on the line falls in a block of the
-    quota, so a source's words miss its target by half a block and half a document at most. The order
-    on the line follows a hash of the row, so reruns agree. A null text has size 0; a null source
-    is a source of its own, last in order; repeated rows are taken each on its own; other columns
-    are ignored, or carried.
-    """
+
+def _lines(docs: DataFrame, sizes: DataFrame, weights, share: float, most: int, shards: int | None,
+           block_words: int, seed: int, colours: int) -> tuple[DataFrame, DataFrame, int, int, int, int]:
+    """The sources' lines (k, colour, _s, source_size, docs, target, quota, blocks, before: blocks of
+    its colour before its own), each colour's shard ends, and block, shards, tasks a shard, sources."""
     spark = docs.sparkSession
-    d = docs.select("doc_id", "source", F.xxhash64(F.lit(seed), "doc_id", "source", "text").alias("_h"),
-                    n_words(F.col("text")).alias("size"), *([F.struct("*").alias("row")] if carry else []))
-    per_source = d.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("docs"))
-    wanted = cut(targets(per_source, weights, share, most), "targets")
-    mix = wanted.orderBy(F.col("source").isNull(), "source").limit(MAX_SOURCES + 1).collect()
-    if len(mix) > MAX_SOURCES:
-        raise ValueError(f"a mix names {MAX_SOURCES} sources at most")
-    block = max(block_words, sum(int(r.target) for r in mix) // _MOST_BLOCKS + 1)
-    quotas = np.array([round(r.target / block) for r in mix], np.int64)
-    lengths = np.array([max(1, -(-r.source_size // block)) for r in mix], np.int64)
-
-    # the shards' ends on each source's sequence of blocks, one row for each source
+    by_name = Window.orderBy(F.col("source").isNull(), "source")
+    wanted = cut(targets(sizes, weights, share, most).withColumn("k", (F.row_number().over(by_name) - 1).cast("long")), "targets")
+    total = wanted.agg(F.count("*").alias("sources"), F.coalesce(F.sum(F.floor("target")), F.lit(0)).alias("words")).first()
+    n, total_words = int(total.sources), int(total.words)
+    enough, tasks = enough_shards(total_words)
+    shards, tasks = (enough, tasks) if shards is None else (shards, 1)
+    block = max(block_words, total_words // _MOST_BLOCKS + 1)
+    quota = F.bround(F.col("target") / block).cast("long")
+    lines = wanted.withColumn("quota", quota).withColumn("colour", F.expr(f"k div {-(-max(n, 1) // colours)}")) \
+        .withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("source_size") / block)).cast("long"))
+    before = Window.partitionBy("colour").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+    lines = cut(lines.withColumn("before", F.coalesce(F.sum("quota").over(before), F.lit(0)))
+                .withColumnRenamed("source", "_s"), "lines")
+    held = lines.groupBy("colour").agg(F.sum("quota").alias("quota")).orderBy("colour").collect()  # `colours` rows at most
+    quotas = np.array([r.quota for r in held], np.int64)
+
+    # the shards' ends on each colour's sequence of blocks, one row for each colour
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for shard in b["id"]:
-                start, held = leaf(quotas, shards, int(shard), seed)
-                yield pd.DataFrame({"k": np.arange(len(quotas)), "shard": shard, "stop": start + held})
-    ends = spark.range(shards).mapInPandas(walk, "k long, shard long, stop long").groupBy("k") \
+                start, took = leaf(quotas, shards, int(shard), seed)
+                yield pd.DataFrame({"colour": np.arange(len(quotas)), "shard": shard, "stop": start + took})
+    ends = spark.range(shards).mapInPandas(walk, "colour long, shard long, stop long").groupBy("colour") \
         .agg(F.transform(F.sort_array(F.collect_list(F.struct("shard", "stop"))), lambda x: x["stop"]).alias("ends"))
-    named = wanted.withColumn("k", F.row_number().over(Window.orderBy(F.col("source").isNull(), "source")) - 1) \
-        .select(F.col("k").cast("long").alias("k"), F.col("source").alias("_s"), "source_size", "docs", "target")
-    lines = named.join(ends, "k").withColumn("quota", F.element_at("ends", -1)) \
-        .withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("source_size") / block)).cast("long"))
-    lines = cut(lines, "lines")
+    return lines, cut(ends, "ends"), block, shards, tasks, n
+
+
+def _with_line(d: DataFrame, lines: DataFrame, sources: int) -> DataFrame:
+    """d with its source's line: broadcast where sources are few by their count, else joined, each
+    source spread over SALT keys."""
+    same = F.col("source").eqNullSafe(F.col("_s"))
+    if sources <= FEW_SOURCES:
+        return d.join(F.broadcast(lines), same)
+    d = d.withColumn("_salt", F.pmod("_h", F.lit(SALT)))
+    spread = lines.withColumn("_lsalt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))))
+    return d.join(spread, same & (F.col("_salt") == F.col("_lsalt"))).drop("_salt", "_lsalt")
+
+
+def _planned(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: int = 2, shards: int | None = None,
+             block_words: int = BLOCK_WORDS, seed: int = 17, colours: int = COLOURS,
+             carry: bool = False) -> tuple[DataFrame, int, int]:
+    """The rows of plan(), with carry all columns of the document as `row` besides; the number of
+    shards; and tasks a shard."""
+    d = docs.select("doc_id", "source", F.xxhash64(F.lit(seed), "doc_id", "source", "text").alias("_h"),
+                    n_words(F.col("text")).alias("size"), *([F.struct("*").alias("row")] if carry else []))
+    per_source = d.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("docs"))
+    lines, ends, block, shards, tasks, sources = _lines(docs, per_source, weights, share, most, shards, block_words,
+                                                        seed, colours)
 
     # places on the line: buckets of the hash in order, then documents in order within their bucket
-    d = d.join(F.broadcast(lines), F.col("source").eqNullSafe(F.col("_s")))  # MAX_SOURCES rows at most
+    d = _with_line(d, lines, sources)
     bucket = F.floor(F.shiftrightunsigned("_h", 11) / F.lit(2.0 ** 53) * F.ceil(F.col("docs") / BUCKET_DOCS)).cast("long")
     d = d.withColumn("bucket", bucket)
     offsets = d.groupBy("k", "bucket").agg(F.sum("size").alias("held")) \
@@ -127,17 +159,38 @@ def plan(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: int = 2, sh
     middle = F.col("ahead") + F.col("upto") - F.col("size") / 2
     at = F.least(F.floor(middle / block).cast("long"), F.col("blocks") - 1)
     turns = F.transform(F.array(*(F.lit(t) for t in range(most))), lambda t: at + t * F.col("blocks"))
-    taken = F.filter(turns, lambda b: b < F.col("quota"))
-    copies = F.transform(taken, lambda b: F.struct(
+    taken = F.transform(F.filter(turns, lambda b: b < F.col("quota")), lambda b: b + F.col("before"))
+    # a copy is dealt to the shard whose run holds its block; a block past the last run is in no mix
+    d = d.withColumn("taken", taken).join(F.broadcast(ends), "colour")  # colours x shards numbers at most
+    copies = F.filter(F.transform("taken", lambda b: F.struct(
         F.size(F.filter("ends", lambda e: e <= b)).alias("shard"),
-        F.xxhash64(F.col("_h"), b, F.lit(seed)).alias("place")))
-    return d.select("doc_id", "size", "source", "source_size", "target", copies.alias("copies"),
-                    *(["row"] if carry else []))
+        F.xxhash64(F.col("_h"), b, F.lit(seed)).alias("place"))), lambda c: c["shard"] < F.size("ends"))
+    p = d.select("doc_id", "size", "source", "source_size", "target", copies.alias("copies"), *(["row"] if carry else []))
+    return p, shards, tasks
+
+
+def plan(docs: DataFrame, **options) -> DataFrame:
+    """One row per row of docs (doc_id, text, source): doc_id, size (words), source, source_size,
+    target (of its source), copies (array of {shard, place}: where the mix takes the document; none,
+    one or `most` at most).
+
+    Options: weights, share and most (see targets()), shards (by default one for SHARD_WORDS words of
+    the mix, MOST_SHARDS at most), block_words, seed, colours. Documents are taken whole, where the
+    middle of their words on the line falls in a block of the quota, so a source's words miss its
+    target by half a block and half a document at most. The order on the line follows a hash of the
+    row, so reruns agree. A null text has size 0; a null source is a source of its own, last in order;
+    repeated rows are taken each on its own; other columns are ignored.
+    """
+    return _planned(docs, **options)[0]
 
 
-def mixed(docs: DataFrame, shards: int = SHARDS, **options) -> DataFrame:
-    """The mix itself: every row of docs once for each copy taken, all columns, dealt to the shards'
-    partitions and shuffled within them."""
-    p = plan(docs, shards=shards, carry=True, **options)
+def mixed(docs: DataFrame, shards: int | None = None, **options) -> DataFrame:
+    """The mix itself: every row of docs once for each copy taken, all columns, shard after shard and
+    shuffled within them. A shard has a partition of its own, or several that follow one another.
+    The options are those of plan()."""
+    p, shards, tasks = _planned(docs, shards=shards, carry=True, **options)
     rows = p.select("row", F.explode("copies").alias("copy"))
-    return rows.repartition(shards, F.col("copy.shard")).sortWithinPartitions("copy.shard", "copy.place").select("row.*")
+    run = F.floor(F.shiftrightunsigned("copy.place", 11) / F.lit(2.0 ** 53) * tasks)
+    order = F.shiftrightunsigned("copy.place", 1)  # as the runs are, by the place's unsigned value
+    return rows.repartitionById(shards * tasks, (F.col("copy.shard") * tasks + run).cast("int")) \
+        .sortWithinPartitions("copy.shard", order).select("row.*")

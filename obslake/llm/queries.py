@@ -21,7 +21,8 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = mixing.plan(table(spark, sf_dir, "documents"))
     return p.select("doc_id", "size", "source_size", "target",
-                    (F.size("copies") * F.col("size")).cast("long").alias("taken"))
+                    (F.size("copies") * F.col("size")).cast("long").alias("taken"),
+                    F.transform("copies", lambda c: c["shard"]).alias("shards"))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
