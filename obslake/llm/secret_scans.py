@@ -14,7 +14,7 @@ from __future__ import annotations
 import hashlib
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from obslake.llm.common import fresh_path
 
@@ -45,6 +45,7 @@ _BODY = (r"""(?:\s*+(?:Proc-Type|DEK-Info):[^\r\n]*+"""
          r"""|[\x20\t"',]*+(?:\r?\n|(?:\\r)?\\n)[\x20\t>#*|"']*+[A-Za-z0-9+/]++=*+(?=[\x20\t\r"',]*+(?:\n|\\|\z)))*+""")
 RULES = (*BASE_RULES, Rule("pem", f"{_HEAD}(?:{_TO_END}|{_BODY})", 0, 27, _HEAD))
 
+CHUNK = 256  # matches, or code points of a text, handled at once
 SPAN = "array<struct<start:int,rank:int,kind:string,end:int>>"
 LEDGER = f"blob string, spans {SPAN}, rule_version string"
 
@@ -64,16 +65,28 @@ def _spans(text: Column, rule: Rule, rank: int) -> Column:
     found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     sizes = F.transform(found, F.length)
     tested = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
-    placed = F.aggregate(
-        F.arrays_zip(F.slice(gaps, 1, F.size(sizes)).alias("gap"), sizes.alias("size"),
-                     F.transform(tested, F.length).alias("part")),
-        F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as {SPAN})").alias("out")),
-        lambda a, x: F.struct(
+    matches = F.arrays_zip(F.slice(gaps, 1, F.size(sizes)).alias("gap"), sizes.alias("size"),
+                           F.transform(tested, F.length).alias("part"))
+
+    def place(a, x):
+        return F.struct(
             (a["at"] + x["gap"] + x["size"]).alias("at"),
             F.when(x["part"] >= rule.least, F.array_append(a["out"], F.struct(
                 (a["at"] + x["gap"]).alias("start"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"),
-                (a["at"] + x["gap"] + x["size"]).alias("end")))).otherwise(a["out"]).alias("out")),
-        lambda a: a["out"])
+                (a["at"] + x["gap"] + x["size"]).alias("end")))).otherwise(a["out"]).alias("out"))
+
+    # an append copies its array, so matches are placed in chunks, each from where the last one ended
+    def chunked(m):
+        chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(m) - 1) / CHUNK).cast("int")),
+                             lambda k: F.slice(m, k * CHUNK + 1, CHUNK))
+        return F.aggregate(
+            chunks, F.expr(f"cast(array() as array<struct<at:int,out:{SPAN}>>)"),
+            lambda done, c: F.array_append(done, F.aggregate(
+                c, F.struct(F.coalesce(F.get(done, F.size(done) - 1)["at"], F.lit(0)).alias("at"),
+                            F.expr(f"cast(array() as {SPAN})").alias("out")), place)),
+            lambda done: F.flatten(F.transform(done, lambda d: d["out"])))
+    placed = F.get(F.transform(F.array(matches), lambda m: F.when(F.size(m) > 0, chunked(m))
+                               .otherwise(F.expr(f"cast(array() as {SPAN})"))), 0)
     return F.when(F.regexp_like(text, F.lit(rule.probe)), placed).otherwise(F.expr(f"cast(array() as {SPAN})"))
 
 
@@ -116,20 +129,36 @@ def find_secrets(docs: DataFrame, ledger: str | None = None, rules=RULES) -> Dat
         "doc_id", "blob", F.coalesce("spans", F.expr(f"cast(array() as {SPAN})")).alias("spans"))
 
 
+def _runs(found: DataFrame) -> DataFrame:
+    """(_blob, _runs): runs of overlapping spans of each blob, {start, stop} in order."""
+    order = Window.partitionBy("blob").orderBy("start", "end")
+    s = found.select("blob", F.inline("spans")) \
+        .withColumn("upto", F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    s = s.withColumn("run", F.sum(F.when(F.col("start") < F.col("upto"), 0).otherwise(1))
+                     .over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return s.groupBy("blob", "run").agg(F.min("start").alias("start"), F.max("end").alias("stop")) \
+        .groupBy(F.col("blob").alias("_blob")).agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("_runs"))
+
+
 def redact(docs: DataFrame, ledger: str | None = None, rules=RULES, mask: str = "[SECRET]") -> DataFrame:
     """docs with each run of overlapping spans in `text` replaced by the mask; all columns stay.
-    n_chars, where there is one, follows the text."""
-    found = scan(docs, ledger or fresh_path(docs.sparkSession, "ledger"), rules).where(F.size("spans") > 0) \
-        .select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
-    d = docs.select(F.struct("*").alias("_doc"), blob_of(F.col("text")).alias("_blob")).join(found, "_blob", "left")
+    n_chars, where there is one, follows the text. The work on a text grows with its length and its
+    spans, not with their product."""
+    found = scan(docs, ledger or fresh_path(docs.sparkSession, "ledger"), rules)
+    d = docs.select(F.struct("*").alias("_doc"), blob_of(F.col("text")).alias("_blob")).join(_runs(found), "_blob", "left")
     text = F.col("_doc.text")
-    cleaned = F.aggregate(
-        "_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda a, s: F.when(s["start"] < a["at"], F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out")))
-        .otherwise(F.struct(s["end"].alias("at"), F.concat(
-            a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.lit(mask)).alias("out"))),
-        lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
-    new = F.when(F.col("_spans").isNull(), text).otherwise(cleaned)
+    # places are code points, found by counting from a text's start; so only the blocks that a piece lies in are read
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    d = d.withColumn("_blocks", F.when(F.col("_runs").isNotNull(), blocks))
+
+    def piece(start: Column, stop: Column) -> Column:
+        first = F.floor(start / CHUNK).cast("int")
+        inside = F.slice("_blocks", first + 1, F.greatest(F.floor((stop - 1) / CHUNK).cast("int") - first + 1, F.lit(0)))
+        return F.substring(F.array_join(inside, ""), start - first * CHUNK + 1, stop - start)
+    before = F.transform("_runs", lambda r, k: F.concat(
+        piece(F.coalesce(F.get("_runs", k - 1)["stop"], F.lit(0)), r["start"]), F.lit(mask)))
+    cleaned = F.concat(F.array_join(before, ""), piece(F.get("_runs", F.size("_runs") - 1)["stop"], F.length(text)))
+    new = F.when(F.col("_runs").isNull(), text).otherwise(cleaned)
     d = d.select("_doc", new.alias("_text"))
     put = {"text": F.col("_text")}
     if "n_chars" in docs.columns:

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from obslake.llm import (mixing, near_dedup, packing, passages, pieces, quality, queries, secret_scans, toxicity, urls,
                          vectors)
@@ -171,6 +172,30 @@ def test_mixing_hard(hard, none):
     assert mixing.mixed(hard, shards=3).columns == hard.columns and mixing.plan(none).count() == 0
 
 
+def test_mixing_colours_and_shards(spark, docs, monkeypatch):
+    """Many sources share colours, are joined with salt, and large shards are dealt to several tasks: every
+    source still misses its target by half a block and half a document at most, and each copy is dealt once."""
+    monkeypatch.setattr(mixing, "FEW_SOURCES", 0)
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 2000)
+    monkeypatch.setattr(mixing, "MOST_SHARDS", 4)
+    many = docs.withColumn("source", F.concat("source", F.lit("-"), F.col("doc_id") % 3))
+    p = mixing.plan(many, colours=5).collect()
+    taken, target, longest = Counter(), {}, Counter()
+    for r in p:
+        taken[r.source] += r.size * len(r.copies)
+        target[r.source] = r.target
+        longest[r.source] = max(longest[r.source], r.size)
+        assert all(0 <= c.shard < 4 for c in r.copies)
+    assert len(target) > 15 and all(abs(taken[s] - w) <= 16 + longest[s] for s, w in target.items())
+    mix = mixing.mixed(many, colours=5)
+    parts = mix.select("doc_id", F.spark_partition_id().alias("part")).collect()
+    assert Counter(r.doc_id for r in parts) == Counter({r.doc_id: len(r.copies) for r in p if r.copies})
+    want = {(r.doc_id, c.shard) for r in p for c in r.copies}
+    tasks = mixing.enough_shards(int(sum(target.values())))[1]
+    assert tasks > 1 and mix.rdd.getNumPartitions() == 4 * tasks
+    assert {(r.doc_id, r.part // tasks) for r in parts} == want and len({r.part for r in parts}) > 2 * tasks
+
+
 def test_splitting_tree():
     quotas = np.array([50, 0, 7, 1000])
     parts = [mixing.leaf(quotas, 7, k, 3) for k in range(7)]
@@ -283,6 +308,26 @@ def test_redacted_keys(spark):
         k: hashlib.sha256(secret_spans(t).encode()).hexdigest() for k, (t, _) in enumerate(cases)}
 
 
+def test_redaction_of_many_spans(spark):
+    """Texts with tens of thousands of secrets, some overlapping, more than a block apart or side by side."""
+    import random
+    rng = random.Random(4)
+    parts = ["token=" + "a1" * 14 + " ", "é𝒳☃ " * 90, "AKIA" + "A" * 16, "x ", "0123456789abcdef" * 2 + ";", "password: short "]
+    cases = ["".join(rng.choices(parts, k=k)) for k in (1, 300, 20_000)] + ["token=abcdef" * 700, "token=" + "b" * 256, "", None]
+    d = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+
+    def plain(text):
+        out, at = [], 0
+        for _, start, end in (s.split(":") for s in filter(None, secret_spans(text or "").split(","))):
+            if int(start) >= at:
+                out.append(text[at:int(start)] + "[SECRET]")
+            at = max(at, int(end))
+        return "".join(out) + text[at:] if text is not None else None
+    assert {r.doc_id: r.text for r in secret_scans.redact(d).collect()} == {k: plain(t) for k, t in enumerate(cases)}
+    found = {r.doc_id: r.spans for r in secret_scans.digest(secret_scans.find_secrets(d)).collect()}
+    assert found == {k: secret_spans(t or "") for k, t in enumerate(cases)}
+
+
 def test_pieces(spark, hard, none):
     model = pieces.load(spark)
     codec = pieces.Codec(model)
