@@ -13,51 +13,95 @@ from pyspark.sql import DataFrame, functions as F
 from obslake.llm.common import cut, small_batches
 from obslake.llm.linking import similar_components
 from obslake.llm.near_dedup import longs
-from obslake.llm.sketch import SHINGLE, Hashes, band_keys, set_id, shingle_set
-from obslake.llm.spans import repeated_spans
+from obslake.llm.sketch import SHINGLE, Hashes, band_keys, band_keys_of, set_id, shingle_set, shingle_sets
+from obslake.llm.spans import WINDOWS, SpanSearch, Tools, windows_of
 
 # 3/4 similar paragraphs meet in a band with probability 1 - 1.6e-4
 BANDS, ROWS = 16, 3
 MIN_WORDS = 40
+CHUNK_WORDS = 1 << 17  # words sketched at once
+
+# rows read from texts: the set of a wanted line, or the windows of a marked seed
+READ = "node long, items array<long>, " + WINDOWS
 
 
 def _paragraphs(bands: int, rows: int, min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
+
+        def sketched(lines: list[tuple], found: list[list[bytes]]) -> pa.RecordBatch:
+            long = [k for k, words in enumerate(found) if len(words) >= SHINGLE]
+            sets = [shingle_set(b" ".join(words).decode("utf-8", "surrogatepass"), hashes) if len(words) < SHINGLE else None
+                    for words in found]
+            keys = [None if s is None else band_keys(s, bands, rows) for s in sets]
+            if long:
+                items, sizes = shingle_sets([found[k] for k in long], hashes)
+                ends = np.cumsum(sizes)
+                for k, a, e, key in zip(long, ends - sizes, ends, band_keys_of(items, sizes, bands, rows)):
+                    sets[k], keys[k] = items[a:e], key
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+            cols = zip(*lines) if lines else [[]] * 5
+            return pa.RecordBatch.from_arrays(
+                [*(pa.array(c, t) for c, t in zip(cols, kinds)), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([set_id(s) for s in sets], pa.binary()), longs(keys)],
+                ["doc_id", "body", "para", "start", "end", "n", "cls", "bands"])
+
         for b in batches:
-            cols = [[] for _ in range(6)]
-            keys = []
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            lines, found, size = [], [], 0
+            for doc, body, text in zip(*(c.to_pylist() for c in b.columns)):
                 at = 0
                 for k, line in enumerate((text or "").split("\n")):
-                    # as many words need as many characters; the exact count uses the words of the sets
+                    # as many words need as many characters
                     if len(line) >= 2 * min_words - 1:
-                        words = len(line.encode("utf-8", "surrogatepass").split())
-                        if words >= min_words:
-                            s = shingle_set(line, hashes)
-                            for c, v in zip(cols, (doc, k, at, at + len(line), len(s), set_id(s))):
-                                c.append(v)
-                            keys.append(band_keys(s, bands, rows))
+                        words = line.encode("utf-8", "surrogatepass").lower().split()
+                        if len(words) >= min_words:
+                            lines.append((doc, body, k, at, at + len(line)))
+                            found.append(words)
+                            size += len(words)
                     at += len(line) + 1
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(cols, kinds)), longs(keys)],
-                                             ["doc_id", "para", "start", "end", "n", "cls", "bands"])
+                    if size >= CHUNK_WORDS:
+                        yield sketched(lines, found)
+                        lines, found, size = [], [], 0
+            yield sketched(lines, found)
     return run
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = Hashes()
+def _from_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sets of the wanted lines of texts, and the windows of their marked seeds (READ)."""
+    hashes, tools = Hashes(), Tools()
+    names = [c.split()[0] for c in READ.split(", ")]
     for b in batches:
-        node, items = [], []
-        for v, cls, line in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
-            s = shingle_set(line, hashes)
-            if set_id(s) == cls:
-                node.append(v)
-                items.append(s)
-        yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), longs(items)], ["node", "items"])
-
-
-def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+        for doc, body, text, lines, marks in zip(*(c.to_pylist() for c in b.columns)):
+            split = text.split("\n") if lines else []
+            sets = [(w["node"], s) for w in lines or [] for s in [shingle_set(split[w["para"]], hashes)] if set_id(s) == w["cls"]]
+            if sets:
+                yield pa.RecordBatch.from_arrays([pa.array([v for v, _ in sets], pa.int64()), longs([s for _, s in sets])], names[:2])
+            rows = list(windows_of(tools, text, marks)) if marks else []
+            if rows:
+                seed, same, pos, lo, found, starts, ends = zip(*rows)
+                lists = [pa.array(v, pa.list_(t)) for v, t in ((found, pa.int64()), (starts, pa.int32()), (ends, pa.int32()))]
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(v, pa.int64()) for v in (seed, same, [doc] * len(rows), [body] * len(rows))),
+                     *(pa.array(v, pa.int32()) for v in (pos, lo)), *lists], names[2:])
+
+
+def _both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """_from_texts() with nulls for the columns that a row lacks."""
+    kinds = {"long": pa.int64(), "int": pa.int32(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32())}
+    columns = [(n, kinds[k]) for n, k in (c.split() for c in READ.split(", "))]
+    for b in _from_texts(batches):
+        have = set(b.schema.names)
+        yield pa.RecordBatch.from_arrays([b.column(n) if n in have else pa.nulls(b.num_rows, t) for n, t in columns],
+                                         [n for n, _ in columns])
+
+
+def _bodies(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("body"), "text") \
+        .where("doc_id is not null and text is not null")
+
+
+def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, bands: int = BANDS, rows: int = ROWS,
+                      search: SpanSearch | None = None) -> DataFrame:
     """One row per repeated paragraph of docs (doc_id long, text): doc_id, para (line number from 0),
     start, end (code points), n_shingles, component_id and component_para (the first paragraph of
     its cluster, by doc_id and line), removed (all but that one).
@@ -66,41 +110,53 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, bands: int =
     3/4 of their sets of 5-word shingles (A-Z lower-cased). Paragraphs linked to none are not
     returned. Null and short texts have no paragraphs; rows without a doc_id take no part; rows
     that repeat a doc_id and a text are one document. Other columns of docs are ignored.
+
+    With a search for spans its spans follow, in the same columns. A span's row has no para and no
+    component_para; its shingles are counted with repetition. Texts are read once for both.
     """
     small_batches(docs.sparkSession)
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
-    found = cut(d.mapInArrow(_paragraphs(bands, rows, min_words),
-                             "doc_id long, para int, start int, end int, n long, cls binary, bands array<long>"),
-                "paragraphs")
-    first = F.min(F.struct("doc_id", "para"))
-    nodes = found.groupBy("cls").agg(first.alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"),
+    d = _bodies(docs)
+    found = cut(d.mapInArrow(_paragraphs(bands, rows, min_words), "doc_id long, body long, para int, start int, end int, "
+                             "n long, cls binary, bands array<long>"), "paragraphs")
+    place = F.struct("doc_id", "para", "body")
+    nodes = found.groupBy("cls").agg(F.min(place).alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"),
                                      F.max(F.struct("doc_id", "para")).alias("last"))
     nodes = cut(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    windows = []
 
     def load_sets(seen: DataFrame) -> DataFrame:
-        wanted = nodes.join(seen, "node", "left_semi").select("node", "cls", F.col("rep.doc_id"), F.col("rep.para"))
-        lines = wanted.join(d, "doc_id").select("node", "cls", F.get(F.split("text", "\n"), F.col("para")).alias("line"))
-        return lines.mapInArrow(_sets, "node long, items array<long>").dropDuplicates(["node"])
+        lines = nodes.join(seen, "node", "left_semi").select("rep.doc_id", "rep.body", F.struct("node", "cls", "rep.para").alias("line")) \
+            .groupBy("doc_id", "body").agg(F.collect_list("line").alias("lines"))
+        if search:
+            wanted = lines.join(search.marks, ["doc_id", "body"], "full")
+        else:
+            wanted = lines.withColumn("marks", F.lit(None).cast("array<struct<seed:long,same:long,pos:int,lo:int,hi:int>>"))
+        read = d.join(wanted, ["doc_id", "body"]).select("doc_id", "body", "text", "lines", "marks")
+        read = cut(read.mapInArrow(_both, READ), "read")
+        windows.append(read.where("seed is not null").drop("node", "items"))
+        return read.where("node is not null").select("node", "items").dropDuplicates(["node"])
 
     labels = similar_components(nodes.select("node", "n", "bands"), load_sets)
-    labelled = nodes.select("node", "cls", "rep", "last").join(labels, "node", "left") \
+    labelled = nodes.select("node", "cls", F.struct("rep.doc_id", "rep.para").alias("rep"), "last").join(labels, "node", "left") \
         .withColumn("comp", F.coalesce("comp", "node"))
     least = labelled.groupBy("comp").agg(F.min("rep").alias("head"), F.max("last").alias("tail")).where("head <> tail")
     by_class = labelled.join(least, "comp").select("cls", "head")
     out = found.select("doc_id", "para", "start", "end", "n", "cls").join(by_class, "cls")
-    return out.select("doc_id", "para", "start", "end", F.col("n").alias("n_shingles"),
-                      F.col("head.doc_id").alias("component_id"), F.col("head.para").alias("component_para"),
-                      (F.struct("doc_id", "para") != F.col("head")).alias("removed")).distinct()
+    out = out.select("doc_id", "para", "start", "end", F.col("n").alias("n_shingles"),
+                     F.col("head.doc_id").alias("component_id"), F.col("head.para").alias("component_para"),
+                     (F.struct("doc_id", "para") != F.col("head")).alias("removed")).distinct()
+    if not search:
+        return out
+    none = F.lit(None).cast("int")
+    return out.unionByName(search.spans(windows[0]).select(
+        "doc_id", none.alias("para"), "start", "end", (F.col("n_words") - (SHINGLE - 1)).alias("n_shingles"), "component_id",
+        none.alias("component_para"), "removed"))
 
 
 def passages_and_spans(docs: DataFrame) -> DataFrame:
-    """Repeated paragraphs and repeated spans of docs, in the columns of repeated_passages(). A span's
-    row has no para and no component_para; its shingles are counted with repetition."""
-    spans = repeated_spans(docs).select(
-        "doc_id", F.lit(None).cast("int").alias("para"), "start", "end",
-        (F.col("n_words") - (SHINGLE - 1)).alias("n_shingles"), "component_id",
-        F.lit(None).cast("int").alias("component_para"), "removed")
-    return repeated_passages(docs).unionByName(spans)
+    """Repeated paragraphs and repeated spans of docs, in the columns of repeated_passages()."""
+    small_batches(docs.sparkSession)
+    return repeated_passages(docs, search=SpanSearch(_bodies(docs)))
 
 
 def without_passages(docs: DataFrame, found: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import xxhash
 
@@ -82,6 +84,45 @@ def band_keys(items: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def shingle_sets(found: list[list[bytes]], hashes: dict[bytes, int], k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """The shingle sets of some lists of k lower-cased words or more, one after another, and their sizes."""
+    counts = np.fromiter(map(len, found), np.int64, len(found))
+    h = np.fromiter(map(hashes.__getitem__, chain.from_iterable(found)), np.uint64, counts.sum())
+    out = np.full(len(h) - k + 1, np.uint64(k))
+    for i in range(k):
+        out = mixed(out * _GOLDEN + h[i:len(h) - k + 1 + i])
+    ends = np.cumsum(counts)
+    items = out[np.arange(len(out)) + k <= np.repeat(ends, counts)[:len(out)]]
+    starts = np.cumsum(counts - k + 1) - (counts - k + 1)
+    for a, n in zip(starts.tolist(), counts.tolist()):
+        items[a:a + n - k + 1].sort()
+    new = np.ones(len(items), bool)
+    new[1:] = items[1:] != items[:-1]
+    new[starts] = True
+    return items[new], np.add.reduceat(new, starts, dtype=np.int64)
+
+
+def band_keys_of(items: np.ndarray, sizes: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """band_keys() of some sets, given one after another, a row for each; rounds go on for the sets
+    whose bins are not yet full."""
+    t = bands * rows
+    out = np.full((len(sizes), t), _EMPTY)
+    owner, r = np.repeat(np.arange(len(sizes)), sizes), 0
+    while len(items):
+        x = mixed(items + np.uint64(((r + 1) * int(_GOLDEN)) & 0xFFFFFFFFFFFFFFFF))
+        bins = ((x & np.uint64(0xFFFFFFFF)) * np.uint64(t)) >> np.uint64(32) if r < t else np.uint64(r - t)
+        np.minimum.at(out.reshape(-1), owner * t + np.asarray(bins).astype(np.int64), np.uint64(r << 32) | (x >> np.uint64(32)))
+        r += 1
+        if r % 2 == 0:
+            left = (out == _EMPTY).any(axis=1)[owner]
+            items, owner = items[left], owner[left]
+    key = np.broadcast_to(mixed((np.arange(bands, dtype=np.uint64) + np.uint64(1)) * _GOLDEN), (len(sizes), bands))
+    coords = out.reshape(len(sizes), bands, rows)
+    for j in range(rows):
+        key = mixed(key * _GOLDEN + coords[:, :, j])
+    return key.view(np.int64)
+
+
 def set_id(items: np.ndarray) -> bytes:
     """128-bit identity of a set."""
     return xxhash.xxh3_128_digest(items.tobytes())

@@ -1,150 +1,220 @@
 """Repeated spans: runs of SPAN_WORDS words or more that occur at two or more places, however the text
 is broken into lines.
 
-Fingerprints pick the candidates: of every SEED consecutive runs of SEED words the one of least hash
-is kept, so any run of 2 * SEED - 1 words keeps one, the same one wherever it occurs. Windows of
-SPAN_WORDS words around fingerprints found at two places are then counted exactly, so none that
-repeats is lost, and the windows that repeat are merged to spans.
+Every run of SPAN_WORDS words is a paragraph of its own here, a window. Its band key is the MinHash of
+its runs of SEED words: the least of their hashes, its seed. Equal windows have the same seed at the
+same place, so they always meet; neighbours mostly share their seed, so one row holds all windows
+of one seed. Rows of a seed with the same words throughout are one class, which its first place
+stands for. Only where a seed has several classes, at the edges of repeated passages, are single
+windows compared. Windows are equal if two independent 64-bit hashes are.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
-from obslake.llm.common import cut, small_batches
+from obslake.llm.common import cut
 from obslake.llm.sketch import Hashes, mixed
 
 SPAN_WORDS = 50
-SEED = 25
-WORD = re.compile("[^\x20\x09-\x0D]+")
-_ODD = 0x9E3779B97F4A7C15
-_INVERSE = pow(_ODD, -1, 1 << 64)
+SEED = 12
+CHUNK = 1 << 20  # code points of texts worked on at once; a longer text is worked on alone
+
+SEEDS = "seed long, same long, doc_id long, body long, pos int, lo int, hi int, start int, end int"
+WINDOWS = "seed long, same long, doc_id long, body long, pos int, lo int, windows array<long>, starts array<int>, ends array<int>"
 
 
 class Runs:
-    """Hashes of all runs of n words: differences of running sums of word hashes times powers of an
-    odd number, brought to one power."""
+    """Hashes of all runs of some words: differences of running sums of word hashes times powers of
+    an odd number, brought to one power."""
 
-    def __init__(self):
-        self.words, self.up, self.down = Hashes(), np.ones(1, np.uint64), np.ones(1, np.uint64)
-
-    def sums(self, text: str | None) -> np.ndarray:
-        """Running sums over the words of a text whose A-Z are lower-cased."""
-        found = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        while len(self.up) <= len(found):
-            n = np.uint64(len(self.up))
-            for name, step in (("up", _ODD), ("down", _INVERSE)):
+    def __init__(self, odd: int):
+        self.odd, self.inverse = odd, pow(odd, -1, 1 << 64)
+        self.up, self.down = np.ones(1, np.uint64), np.ones(1, np.uint64)
+
+    def sums(self, h: np.ndarray) -> np.ndarray:
+        while len(self.up) <= len(h):
+            n = len(self.up)
+            for name, step in (("up", self.odd), ("down", self.inverse)):
                 p = getattr(self, name)
-                setattr(self, name, np.concatenate([p, p * np.uint64(pow(step, int(n), 1 << 64))]))
-        out = np.zeros(len(found) + 1, np.uint64)
-        h = np.fromiter(map(self.words.__getitem__, found), np.uint64, len(found))
-        np.cumsum(mixed(h) * self.up[:len(h)], out=out[1:])
+                setattr(self, name, np.concatenate([p, p * np.uint64(pow(step, n, 1 << 64))]))
+        out = np.zeros(len(h) + 1, np.uint64)
+        np.cumsum(h * self.up[:len(h)], out=out[1:])
         return out
 
-    def hashes(self, sums: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
-        return mixed((sums[at + n] - sums[at]) * self.down[at])
+    def hashes(self, sums: np.ndarray, at: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mixed((sums[ends] - sums[at]) * self.down[at])
 
 
-def _least(x: np.ndarray, n: int, of=np.minimum) -> np.ndarray:
-    """Least of every n consecutive values."""
-    size = 1
-    while 2 * size <= n:
-        x, size = of(x[:-size], x[size:]), 2 * size
-    return of(x[:len(x) - (n - size)], x[n - size:]) if n > size else x
+class Texts:
+    """The words of some texts (A-Z lower-cased), one after another, and where they are."""
+
+    def __init__(self, tools: Tools, texts: list[str]):
+        joined = "\n".join(texts)
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
+        space = (codes == 32) | ((codes >= 9) & (codes <= 13))
+        edges = np.flatnonzero(np.diff(space, prepend=True, append=True))
+        self.starts, self.ends = edges[0::2], edges[1::2]
+        found = joined.encode("utf-8", "surrogatepass").lower().split()
+        h = mixed(np.fromiter(map(tools.words.__getitem__, found), np.uint64, len(found)))
+        self.tools, self.n = tools, len(found)
+        self.seed_sums, self.same_sums = tools.seeds.sums(h), tools.same.sums(h)
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        self.offset = np.cumsum(sizes) - sizes  # the first code point of each text
+        self.first = np.searchsorted(self.starts, self.offset)  # the first word of each text
+        self.count = np.diff(self.first, append=self.n)
+
+    def equal(self, at: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return self.tools.same.hashes(self.same_sums, at, ends)
+
+
+class Tools:
+    """What a task keeps from text to text."""
+
+    def __init__(self):
+        self.words, self.seeds, self.same = Hashes(), Runs(0x9E3779B97F4A7C15), Runs(0xD1342543DE82EF95)
 
 
-def kept(h: np.ndarray, n: int) -> np.ndarray:
-    """Places of the values that are the least of some n consecutive ones."""
+def first_least(h: np.ndarray, n: int) -> np.ndarray:
+    """For every n consecutive values the place of the least one, of equal ones the first."""
     if len(h) < n:
         return np.empty(0, np.int64)
-    least = _least(h, n)
-    edge = np.zeros(n - 1, h.dtype)
-    return np.flatnonzero(_least(np.concatenate([edge, least, edge]), n, np.maximum) == h)
+    at, size = np.arange(len(h)), 1
 
+    def of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.where(h[b] < h[a], b, a)
 
-def _arrays(out: list[list[np.ndarray]], kinds: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate(c) if c else [], t) for c, t in zip(out, kinds)], names)
+    while 2 * size <= n:
+        at, size = of(at[:-size], at[size:]), 2 * size
+    return of(at[:len(at) - (n - size)], at[n - size:]) if n > size else at
+
+
+def _rows_of(t: Texts, span: int, seed: int):
+    """Word ranges of seeds and of the windows that each of them stands for: (text, seed's hash, its
+    word, first window, last window)."""
+    runs = np.arange(max(t.n - seed + 1, 0))
+    h = t.tools.seeds.hashes(t.seed_sums, runs, runs + seed)
+    own = first_least(h, span - seed + 1)
+    stop = np.repeat(t.first + t.count, t.count)
+    at = np.flatnonzero(np.arange(len(own)) + span <= stop[:len(own)])  # windows inside of a text
+    if not len(at):
+        return (np.empty(0, np.int64),) * 5
+    new = np.ones(len(at), bool)
+    new[1:] = (np.diff(at) != 1) | (np.diff(own[at]) != 0)
+    heads = np.flatnonzero(new)
+    lo, hi = at[heads], at[np.append(heads[1:], len(at)) - 1]
+    word = own[lo]
+    return np.searchsorted(t.first, lo, "right") - 1, h[word], word, lo, hi
+
+
+def _chunks(batch: pa.RecordBatch) -> Iterator[list[tuple]]:
+    some, size = [], 0
+    for row in zip(*(c.to_pylist() for c in batch.columns)):
+        if some and size + len(row[2]) > CHUNK:
+            yield some
+            some, size = [], 0
+        some.append(row)
+        size += len(row[2])
+    if some:
+        yield some
 
 
 def _seeds(span: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs = Runs()
-        for b in batches:
-            out = [[] for _ in range(4)]
-            for doc, body, text in zip(*(b.column(k).to_pylist() for k in range(3))):
-                sums = runs.sums(text)
-                if len(sums) > span:
-                    h = runs.hashes(sums, np.arange(len(sums) - seed), seed)
-                    at = kept(h, span - seed + 1)
-                    for c, v in zip(out, (h[at].view(np.int64), np.full(len(at), doc, np.int64),
-                                          np.full(len(at), body, np.int64), at.astype(np.int32))):
-                        c.append(v)
-            yield _arrays(out, [pa.int64(), pa.int64(), pa.int64(), pa.int32()], ["seed", "doc_id", "body", "pos"])
-    return run
-
-
-def _windows(span: int, seed: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs = Runs()
+        tools = Tools()
         for b in batches:
-            for doc, body, text, seeds in zip(*(b.column(k).to_pylist() for k in range(4))):
-                sums = runs.sums(text)
-                n = len(sums) - span  # windows of the text
-                near = np.zeros(n + span, np.int64)
-                seeds = np.unique(np.array(seeds, np.int64))
-                np.add.at(near, np.maximum(seeds + seed - span, 0), 1)
-                np.add.at(near, seeds + 1, -1)
-                at = np.flatnonzero(np.cumsum(near)[:n] > 0)  # windows that hold a seed
-                ends = np.array([m.span() for m in WORD.finditer(text)], np.int32)
-                yield _arrays([[runs.hashes(sums, at, span).view(np.int64)], [np.full(len(at), doc, np.int64)],
-                               [np.full(len(at), body, np.int64)], [at.astype(np.int32)], [ends[at, 0]],
-                               [ends[at + span - 1, 1]]],
-                              [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()],
-                              ["window", "doc_id", "body", "pos", "start", "end"])
+            for rows in _chunks(b):
+                doc, body, texts = zip(*rows)
+                t = Texts(tools, texts)
+                of, h, word, lo, hi = _rows_of(t, span, seed)
+                same = mixed(t.equal(lo, hi + span) + ((word - lo) * 64 + (hi - lo)).astype(np.uint64))
+                first, offset = t.first[of], t.offset[of]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h.astype(np.uint64).view(np.int64)), pa.array(same.view(np.int64)),
+                     pa.array(np.array(doc, np.int64)[of]), pa.array(np.array(body, np.int64)[of]),
+                     *(pa.array(v.astype(np.int32)) for v in (
+                         word - first, lo - first, hi - first, t.starts[lo] - offset, t.ends[hi + span - 1] - offset))],
+                    [c.split()[0] for c in SEEDS.split(", ")])
     return run
 
 
-def repeated_spans(docs: DataFrame, words: int = SPAN_WORDS, seed: int = SEED) -> DataFrame:
-    """One row per repeated span of docs (doc_id long, text): doc_id, start, end (code points),
-    n_words, component_id (the doc_id of the first place), removed (whether an earlier place has it).
-
-    A window is `words` consecutive words (A-Z lower-cased, any white space between them); it repeats
-    if it occurs in two documents, or twice in one without overlap. Its first place is the least by
-    doc_id, then by place. A span is a maximal run of windows whose first places follow one another
-    too, so spans of different origin may overlap; together they cover every window that repeats.
-    Where a place is cut, an earlier place has its words, so a copy of every word stays. Rows without
-    a doc_id take no part; rows that repeat a doc_id and a text are one document.
-    """
-    small_batches(docs.sparkSession)
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("body"), "text") \
-        .where("doc_id is not null")
-    place = F.xxhash64("doc_id", "body", "pos")
-    seeds = cut(d.mapInArrow(_seeds(words, seed), "seed long, doc_id long, body long, pos int"), "seeds")
-    shared = seeds.groupBy("seed").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("seed")
-    of_text = seeds.join(shared, "seed", "left_semi").groupBy("doc_id", "body").agg(F.collect_set("pos").alias("seeds"))
-    windows = d.join(of_text, ["doc_id", "body"]).select("doc_id", "body", "text", "seeds").mapInArrow(
-        _windows(words, seed), "window long, doc_id long, body long, pos int, start int, end int")
-    windows = cut(windows, "windows")
-
-    def apart(a: str, b: str) -> Column:
-        """Whether place a is no overlapping run of place b's text."""
-        return F.expr(f"{a}.doc_id <> {b}.doc_id or {a}.body <> {b}.body or {a}.pos - {b}.pos >= {words}")
-
-    at = F.struct("doc_id", "body", "pos")
-    heads = windows.groupBy("window").agg(F.min(at).alias("head"), F.max(at).alias("tail")) \
-        .where(apart("tail", "head")).select("window", "head")
-    found = windows.join(heads, "window").withColumn("at", at).withColumn("removed", apart("at", "head")).select(
-        "doc_id", "body", "pos", "start", "end", "removed", F.col("head.doc_id").alias("component_id"),
-        F.col("head.body").alias("first"), (F.col("pos") - F.col("head.pos")).alias("shift")).distinct()
-    line = ["doc_id", "body", "component_id", "first", "shift", "removed"]
-    run = F.col("pos") - F.row_number().over(Window.partitionBy(*line).orderBy("pos"))
-    return found.withColumn("run", run).groupBy(*line, "run").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"),
-        (F.max("pos") - F.min("pos") + words).cast("long").alias("n_words")) \
-        .select("doc_id", "start", "end", "n_words", "component_id", "removed")
+def windows_of(tools: Tools, text: str, marks: list[dict], span: int = SPAN_WORDS) -> Iterator[tuple]:
+    """For each of these seeds of a text: seed, same, pos, lo, and of its windows the hashes, starts and ends."""
+    t = Texts(tools, [text])
+    for m in marks:
+        at = np.arange(m["lo"], m["hi"] + 1)
+        yield (m["seed"], m["same"], m["pos"], m["lo"], t.equal(at, at + span).view(np.int64),
+               t.starts[at].astype(np.int32), t.ends[at + span - 1].astype(np.int32))
+
+
+def _apart(a: str, b: str, words: int) -> Column:
+    """Whether place a is no overlapping run of place b's text."""
+    return F.expr(f"{a}.doc_id <> {b}.doc_id or {a}.body <> {b}.body or {a}.pos - {b}.pos >= {words}")
+
+
+class SpanSearch:
+    """The search for repeated spans of d (doc_id long, body long: a hash of the text, text), in two
+    steps: `marks` (doc_id, body, marks) are the seeds whose windows must be compared, and spans()
+    takes these windows, which the caller reads from the texts by windows_of()."""
+
+    def __init__(self, d: DataFrame, words: int = SPAN_WORDS, seed: int = SEED):
+        self.words = words
+        seeds = cut(d.where("text is not null").mapInArrow(_seeds(words, seed), SEEDS), "seeds")
+        twice = seeds.groupBy("seed").count().where("count > 1").select("seed")
+        self.shared = cut(seeds.join(twice, "seed", "left_semi"), "shared-seeds")
+        at = F.struct("doc_id", "body", "pos")
+        classes = self.shared.groupBy("seed", "same").agg(F.min(at).alias("head"), F.max(at).alias("tail"))
+        self.classes = cut(classes, "seed-classes")
+        several = self.classes.groupBy("seed").count().where("count > 1").select("seed")
+        self.several = cut(several, "several-classes")
+        mark = F.struct("seed", "same", "pos", "lo", "hi")
+        self.marks = self.shared.join(self.several, "seed", "left_semi").groupBy("doc_id", "body") \
+            .agg(F.collect_set(mark).alias("marks"))
+
+    def spans(self, windows: DataFrame) -> DataFrame:
+        """One row per repeated span: doc_id, start, end (code points), n_words, component_id (the
+        doc_id of the first place), removed (whether an earlier place has it).
+
+        A window is `words` consecutive words (A-Z lower-cased, any white space between them); it
+        repeats if it occurs in two documents, or twice in one without overlap. Its first place is the
+        least by doc_id, then by place. A span is a maximal run of windows whose first places follow
+        one another too, so spans of different origin may overlap; together they cover every window
+        that repeats. Where a place is cut, an earlier place has its words, so a copy of every word
+        stays. Rows that repeat a doc_id and a text are one document.
+        """
+        n = self.words
+        at = F.struct("doc_id", "body", "pos")
+        # seeds of one class: all windows have the same places
+        whole = self.classes.join(self.several, "seed", "left_anti").where(_apart("tail", "head", n))
+        found = self.shared.join(whole.select("seed", "same", "head"), ["seed", "same"]) \
+            .select("doc_id", "body", "pos", "lo", "hi", "start", "end", "head")
+        # of several classes: windows of each class's first place, met by their words; k is the seed's place in them
+        first = windows.join(self.classes, ["seed", "same"]).where(at == F.col("head")).dropDuplicates(["seed", "same"])
+        single = cut(first.select("seed", "same", "head", "tail", (F.col("pos") - F.col("lo")).alias("k"),
+                                  F.posexplode("windows").alias("i", "window"))
+                     .withColumn("k", F.col("k") - F.col("i")).drop("i"), "windows")
+        key = ["seed", "k", "window"]
+        heads = single.groupBy(*key).agg(F.min("head").alias("head"), F.max("tail").alias("tail")) \
+            .where(_apart("tail", "head", n)).drop("tail")
+        met = single.drop("head", "tail").join(heads, key)
+        run = F.col("k") - F.row_number().over(Window.partitionBy("seed", "same", "head").orderBy("k"))
+        ranges = met.withColumn("run", run).groupBy("seed", "same", "head", "run") \
+            .agg(F.min("k").alias("least"), F.max("k").alias("most")).drop("run")
+        lo, hi = F.col("pos") - F.col("most"), F.col("pos") - F.col("least")
+        part = windows.join(ranges, ["seed", "same"]).select(
+            "doc_id", "body", "pos", lo.alias("_lo"), hi.alias("hi"), F.get("starts", lo - F.col("lo")).alias("start"),
+            F.get("ends", hi - F.col("lo")).alias("end"), "head").withColumnRenamed("_lo", "lo")
+        found = found.unionByName(part).withColumn("at", at).withColumn("removed", _apart("at", "head", n)).select(
+            "doc_id", "body", "lo", "hi", "start", "end", "removed", F.col("head.doc_id").alias("component_id"),
+            F.col("head.body").alias("first"), (F.col("pos") - F.col("head.pos")).alias("shift")).distinct()
+        line = ["doc_id", "body", "component_id", "first", "shift", "removed"]
+        order = Window.partitionBy(*line).orderBy("lo")
+        new = F.coalesce((F.col("lo") > F.lag("hi").over(order) + 1).cast("int"), F.lit(1))
+        return found.withColumn("new", new).withColumn("run", F.sum("new").over(order)).groupBy(*line, "run").agg(
+            F.min("start").alias("start"), F.max("end").alias("end"),
+            (F.max("hi") - F.min("lo") + n).cast("long").alias("n_words")) \
+            .select("doc_id", "start", "end", "n_words", "component_id", "removed")
