@@ -14,7 +14,7 @@ from obslake.llm.common import cut, small_batches
 from obslake.llm.linking import similar_components
 from obslake.llm.near_dedup import longs
 from obslake.llm.sketch import SHINGLE, Hashes, band_keys, band_keys_of, set_id, shingle_set, shingle_sets
-from obslake.llm.spans import WINDOWS, SpanSearch, Tools, windows_of
+from obslake.llm.spans import CHUNK, MARK, WINDOWS, SpanSearch, Tools, windows_of
 
 # 3/4 similar paragraphs meet in a band with probability 1 - 1.6e-4
 BANDS, ROWS = 16, 3
@@ -66,33 +66,41 @@ def _paragraphs(bands: int, rows: int, min_words: int):
     return run
 
 
-def _from_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The sets of the wanted lines of texts, and the windows of their marked seeds (READ)."""
     hashes, tools = Hashes(), Tools()
-    names = [c.split()[0] for c in READ.split(", ")]
-    for b in batches:
-        for doc, body, text, lines, marks in zip(*(c.to_pylist() for c in b.columns)):
-            split = text.split("\n") if lines else []
-            sets = [(w["node"], s) for w in lines or [] for s in [shingle_set(split[w["para"]], hashes)] if set_id(s) == w["cls"]]
-            if sets:
-                yield pa.RecordBatch.from_arrays([pa.array([v for v, _ in sets], pa.int64()), longs([s for _, s in sets])], names[:2])
-            rows = list(windows_of(tools, text, marks)) if marks else []
-            if rows:
-                seed, same, pos, lo, found, starts, ends = zip(*rows)
-                lists = [pa.array(v, pa.list_(t)) for v, t in ((found, pa.int64()), (starts, pa.int32()), (ends, pa.int32()))]
-                yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(v, pa.int64()) for v in (seed, same, [doc] * len(rows), [body] * len(rows))),
-                     *(pa.array(v, pa.int32()) for v in (pos, lo)), *lists], names[2:])
-
-
-def _both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """_from_texts() with nulls for the columns that a row lacks."""
     kinds = {"long": pa.int64(), "int": pa.int32(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32())}
     columns = [(n, kinds[k]) for n, k in (c.split() for c in READ.split(", "))]
-    for b in _from_texts(batches):
+
+    def filled(b: pa.RecordBatch) -> pa.RecordBatch:
         have = set(b.schema.names)
-        yield pa.RecordBatch.from_arrays([b.column(n) if n in have else pa.nulls(b.num_rows, t) for n, t in columns],
-                                         [n for n, _ in columns])
+        return pa.RecordBatch.from_arrays([b.column(n) if n in have else pa.nulls(b.num_rows, t) for n, t in columns],
+                                          [n for n, _ in columns])
+
+    for b in batches:
+        texts = b.column("text").to_pylist()
+        nodes, sets = [], []
+        for text, lines in zip(texts, b.column("lines").to_pylist()):
+            split = text.split("\n") if lines else []
+            for w in lines or []:
+                s = shingle_set(split[w["para"]], hashes)
+                if set_id(s) == w["cls"]:
+                    nodes.append(w["node"])
+                    sets.append(s)
+        if sets:
+            yield filled(pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), longs(sets)], ["node", "items"]))
+        marks = b.column("marks")
+        n = marks.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = marks.flatten()
+        fields = {c.split()[0]: flat.field(c.split()[0]).to_numpy(zero_copy_only=False) for c in MARK.split(", ")}
+        doc, body = b.column("doc_id").to_numpy(), b.column("body").to_numpy()
+        ends, size = np.cumsum(n), np.cumsum([len(t) for t in texts])
+        part = (size - 1) // CHUNK  # texts worked on together
+        for p in np.unique(part[n > 0]):
+            some = np.flatnonzero((part == p) & (n > 0))
+            of = np.repeat(np.arange(len(some)), n[some])
+            at = np.concatenate([np.arange(ends[k] - n[k], ends[k]) for k in some])
+            yield filled(windows_of(tools, doc[some], body[some], [texts[k] for k in some], of, {c: v[at] for c, v in fields.items()}))
 
 
 def _bodies(docs: DataFrame) -> DataFrame:
@@ -130,10 +138,10 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, bands: int =
         if search:
             wanted = lines.join(search.marks, ["doc_id", "body"], "full")
         else:
-            wanted = lines.withColumn("marks", F.lit(None).cast("array<struct<seed:long,same:long,pos:int,lo:int,hi:int>>"))
+            wanted = lines.withColumn("marks", F.lit(None).cast(f"array<struct<{MARK.replace(' ', ':').replace(',:', ', ')}>>"))
         read = d.join(wanted, ["doc_id", "body"]).select("doc_id", "body", "text", "lines", "marks")
-        read = cut(read.mapInArrow(_both, READ), "read")
-        windows.append(read.where("seed is not null").drop("node", "items"))
+        read = cut(read.mapInArrow(_read, READ), "read")
+        windows.append(read.where("cls is not null").drop("node", "items"))
         return read.where("node is not null").select("node", "items").dropDuplicates(["node"])
 
     labels = similar_components(nodes.select("node", "n", "bands"), load_sets)

@@ -24,8 +24,11 @@ SPAN_WORDS = 50
 SEED = 12
 CHUNK = 1 << 20  # code points of texts worked on at once; a longer text is worked on alone
 
-SEEDS = "seed long, same long, doc_id long, body long, pos int, lo int, hi int, start int, end int"
-WINDOWS = "seed long, same long, doc_id long, body long, pos int, lo int, windows array<long>, starts array<int>, ends array<int>"
+# a seed's row: its word's place, how many windows begin before and from there on, their first start and last end
+SEEDS = "seed long, same long, doc_id long, body long, pos int, before int, after int, start int, size int"
+# a marked seed: windows' hashes (of a class's first place only), starts and ends from the first window's on
+WINDOWS = "cls long, seed long, doc_id long, body long, pos int, before int, start int, end int, windows array<long>, starts array<int>, ends array<int>"
+MARK = "cls long, seed long, pos int, before int, after int, leads boolean"
 
 
 class Runs:
@@ -137,18 +140,36 @@ def _seeds(span: int, seed: int):
                     [pa.array(h.astype(np.uint64).view(np.int64)), pa.array(same.view(np.int64)),
                      pa.array(np.array(doc, np.int64)[of]), pa.array(np.array(body, np.int64)[of]),
                      *(pa.array(v.astype(np.int32)) for v in (
-                         word - first, lo - first, hi - first, t.starts[lo] - offset, t.ends[hi + span - 1] - offset))],
+                         word - first, word - lo, word - hi, t.starts[lo] - offset, t.ends[hi + span - 1] - t.starts[lo]))],
                     [c.split()[0] for c in SEEDS.split(", ")])
     return run
 
 
-def windows_of(tools: Tools, text: str, marks: list[dict], span: int = SPAN_WORDS) -> Iterator[tuple]:
-    """For each of these seeds of a text: seed, same, pos, lo, and of its windows the hashes, starts and ends."""
-    t = Texts(tools, [text])
-    for m in marks:
-        at = np.arange(m["lo"], m["hi"] + 1)
-        yield (m["seed"], m["same"], m["pos"], m["lo"], t.equal(at, at + span).view(np.int64),
-               t.starts[at].astype(np.int32), t.ends[at + span - 1].astype(np.int32))
+def windows_of(tools: Tools, doc: np.ndarray, body: np.ndarray, texts: list[str], of: np.ndarray,
+               marks: dict[str, np.ndarray], span: int = SPAN_WORDS) -> pa.RecordBatch:
+    """The windows (WINDOWS) of these seeds of some texts; `of` tells the text of each seed."""
+    t = Texts(tools, texts)
+    lo = t.first[of] + marks["pos"] - marks["before"]
+    sizes = marks["before"].astype(np.int64) - marks["after"] + 1
+
+    def flat(sizes: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+        ends = np.cumsum(sizes)
+        return np.repeat(lo - ends + sizes, sizes) + np.arange(sizes.sum()), pa.array(np.append(0, ends).astype(np.int32))
+
+    at, ends = flat(sizes)
+    led, led_ends = flat(np.where(marks["leads"], sizes, 0))
+    start, end = t.starts[lo], t.ends[lo + span - 1]
+
+    def ints(v: np.ndarray) -> pa.Array:
+        return pa.array(v.astype(np.int32))
+
+    return pa.RecordBatch.from_arrays(
+        [pa.array(marks["cls"]), pa.array(marks["seed"]), pa.array(doc[of]), pa.array(body[of]), ints(marks["pos"]),
+         ints(marks["before"]), ints(start - t.offset[of]), ints(end - t.offset[of]),
+         pa.ListArray.from_arrays(led_ends, pa.array(t.equal(led, led + span).view(np.int64))),
+         pa.ListArray.from_arrays(ends, ints(t.starts[at] - np.repeat(start, sizes))),
+         pa.ListArray.from_arrays(ends, ints(t.ends[at + span - 1] - np.repeat(end, sizes)))],
+        [c.split()[0] for c in WINDOWS.split(", ")])
 
 
 def _apart(a: str, b: str, words: int) -> Column:
@@ -169,11 +190,13 @@ class SpanSearch:
         at = F.struct("doc_id", "body", "pos")
         classes = self.shared.groupBy("seed", "same").agg(F.min(at).alias("head"), F.max(at).alias("tail"))
         self.classes = cut(classes, "seed-classes")
-        several = self.classes.groupBy("seed").count().where("count > 1").select("seed")
-        self.several = cut(several, "several-classes")
-        mark = F.struct("seed", "same", "pos", "lo", "hi")
-        self.marks = self.shared.join(self.several, "seed", "left_semi").groupBy("doc_id", "body") \
-            .agg(F.collect_set(mark).alias("marks"))
+        self.several = self.classes.groupBy("seed").count().where("count > 1").select("seed")
+        # numbers of classes grow with their first places
+        numbered = self.classes.join(self.several, "seed", "left_semi").orderBy("head")
+        self.numbered = cut(numbered.withColumn("cls", F.monotonically_increasing_id()), "numbered-classes")
+        mark = F.struct("cls", "seed", "pos", "before", "after", (at == F.col("head")).alias("leads"))
+        self.marks = self.shared.join(self.numbered.select("cls", "seed", "same", "head"), ["seed", "same"]) \
+            .groupBy("doc_id", "body").agg(F.collect_set(mark).alias("marks"))
 
     def spans(self, windows: DataFrame) -> DataFrame:
         """One row per repeated span: doc_id, start, end (code points), n_words, component_id (the
@@ -190,26 +213,34 @@ class SpanSearch:
         at = F.struct("doc_id", "body", "pos")
         # seeds of one class: all windows have the same places
         whole = self.classes.join(self.several, "seed", "left_anti").where(_apart("tail", "head", n))
-        found = self.shared.join(whole.select("seed", "same", "head"), ["seed", "same"]) \
-            .select("doc_id", "body", "pos", "lo", "hi", "start", "end", "head")
+        found = self.shared.join(whole.select("seed", "same", "head"), ["seed", "same"]).select(
+            "doc_id", "body", "pos", "before", "after", "start", (F.col("start") + F.col("size")).alias("end"), "head")
         # of several classes: windows of each class's first place, met by their words; k is the seed's place in them
-        first = windows.join(self.classes, ["seed", "same"]).where(at == F.col("head")).dropDuplicates(["seed", "same"])
-        single = cut(first.select("seed", "same", "head", "tail", (F.col("pos") - F.col("lo")).alias("k"),
-                                  F.posexplode("windows").alias("i", "window"))
-                     .withColumn("k", F.col("k") - F.col("i")).drop("i"), "windows")
-        key = ["seed", "k", "window"]
-        heads = single.groupBy(*key).agg(F.min("head").alias("head"), F.max("tail").alias("tail")) \
-            .where(_apart("tail", "head", n)).drop("tail")
-        met = single.drop("head", "tail").join(heads, key)
-        run = F.col("k") - F.row_number().over(Window.partitionBy("seed", "same", "head").orderBy("k"))
-        ranges = met.withColumn("run", run).groupBy("seed", "same", "head", "run") \
-            .agg(F.min("k").alias("least"), F.max("k").alias("most")).drop("run")
-        lo, hi = F.col("pos") - F.col("most"), F.col("pos") - F.col("least")
-        part = windows.join(ranges, ["seed", "same"]).select(
-            "doc_id", "body", "pos", lo.alias("_lo"), hi.alias("hi"), F.get("starts", lo - F.col("lo")).alias("start"),
-            F.get("ends", hi - F.col("lo")).alias("end"), "head").withColumnRenamed("_lo", "lo")
+        known = self.numbered.select("cls", "head", F.xxhash64("head.doc_id", "head.body").alias("of"),
+                                     F.col("head.pos").alias("least"), F.col("tail.pos").alias("most"),
+                                     _apart("tail", "head", n).alias("apart"))
+        led = windows.where("size(windows) > 0").select("cls", "seed", "before", "windows").dropDuplicates(["cls"])
+        single = led.join(known.drop("head"), "cls").select(
+            "cls", "seed", "of", "least", "most", "apart", "before", F.posexplode("windows").alias("i", "window")) \
+            .withColumn("k", F.col("before") - F.col("i")).withColumn("place", F.xxhash64("seed", "k"))
+        key = ["place", "window"]
+        heads = single.groupBy(*key).agg(
+            F.min("cls").alias("first"), F.min("of").alias("of"), F.max("of").alias("of2"), F.min("least").alias("least"),
+            F.max("most").alias("most"), F.max("apart").alias("apart")) \
+            .where(f"apart or of <> of2 or most - least >= {n}").select(*key, "first")
+        met = single.select("cls", "k", *key).join(heads, key)
+        run = F.col("k") - F.row_number().over(Window.partitionBy("cls", "first").orderBy("k"))
+        ranges = met.withColumn("run", run).groupBy("cls", "first", "run") \
+            .agg(F.min("k").alias("after"), F.max("k").alias("before"))
+        ranges = ranges.join(known.select(F.col("cls").alias("first"), "head"), "first") \
+            .select("cls", "head", F.col("before").alias("_before"), F.col("after").alias("_after"))
+        part = windows.join(ranges, "cls").select(
+            "doc_id", "body", "pos", F.col("_before").alias("before"), F.col("_after").alias("after"),
+            (F.col("start") + F.get("starts", F.col("before") - F.col("_before"))).alias("start"),
+            (F.col("end") + F.get("ends", F.col("before") - F.col("_after"))).alias("end"), "head")
         found = found.unionByName(part).withColumn("at", at).withColumn("removed", _apart("at", "head", n)).select(
-            "doc_id", "body", "lo", "hi", "start", "end", "removed", F.col("head.doc_id").alias("component_id"),
+            "doc_id", "body", (F.col("pos") - F.col("before")).alias("lo"), (F.col("pos") - F.col("after")).alias("hi"),
+            "start", "end", "removed", F.col("head.doc_id").alias("component_id"),
             F.col("head.body").alias("first"), (F.col("pos") - F.col("head.pos")).alias("shift")).distinct()
         line = ["doc_id", "body", "component_id", "first", "shift", "removed"]
         order = Window.partitionBy(*line).orderBy("lo")
