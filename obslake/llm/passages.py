@@ -140,7 +140,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, bands: int =
         else:
             wanted = lines.withColumn("marks", F.lit(None).cast(f"array<struct<{MARK.replace(' ', ':').replace(',:', ', ')}>>"))
         read = d.join(wanted, ["doc_id", "body"]).select("doc_id", "body", "text", "lines", "marks")
-        read = cut(read.mapInArrow(_read, READ), "read")
+        read = cut(read.mapInArrow(_read, READ), "read", "zstd")
         windows.append(read.where("cls is not null").drop("node", "items"))
         return read.where("node is not null").select("node", "items").dropDuplicates(["node"])
 

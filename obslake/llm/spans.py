@@ -184,7 +184,7 @@ class SpanSearch:
 
     def __init__(self, d: DataFrame, words: int = SPAN_WORDS, seed: int = SEED):
         self.words = words
-        seeds = cut(d.where("text is not null").mapInArrow(_seeds(words, seed), SEEDS), "seeds")
+        seeds = cut(d.where("text is not null").mapInArrow(_seeds(words, seed), SEEDS), "seeds", "zstd")
         twice = seeds.groupBy("seed").count().where("count > 1").select("seed")
         self.shared = cut(seeds.join(twice, "seed", "left_semi"), "shared-seeds")
         at = F.struct("doc_id", "body", "pos")
@@ -241,7 +241,8 @@ class SpanSearch:
         found = found.unionByName(part).withColumn("at", at).withColumn("removed", _apart("at", "head", n)).select(
             "doc_id", "body", (F.col("pos") - F.col("before")).alias("lo"), (F.col("pos") - F.col("after")).alias("hi"),
             "start", "end", "removed", F.col("head.doc_id").alias("component_id"),
-            F.col("head.body").alias("first"), (F.col("pos") - F.col("head.pos")).alias("shift")).distinct()
+            F.col("head.body").alias("first"), (F.col("pos") - F.col("head.pos")).alias("shift"))
+        # rows found twice, of texts given twice, fall into one run
         line = ["doc_id", "body", "component_id", "first", "shift", "removed"]
         order = Window.partitionBy(*line).orderBy("lo")
         new = F.coalesce((F.col("lo") > F.lag("hi").over(order) + 1).cast("int"), F.lit(1))
