@@ -20,14 +20,20 @@ input by 360 for the 6 h window (466 over all six). Instead:
    exchange.
 
 Work is proportional to the number of result rows, not rows x W/60, and only panes are shuffled.
-The pane-explode form (`window_ends_panes`) and the plain window() form (`window_ends_direct`)
+The pane-explode form (`window_ends_panes`) and the window() form (`window_ends_direct`)
 are kept: they give the same rows and are what a streaming aggregation can run.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from obslake.functions.columns import delta, pct_change
 from obslake.schemas import DAY_S, INTERVALS, SLIDE_S
@@ -66,6 +72,13 @@ def _finish(df: DataFrame) -> DataFrame:
                      "first_rec", "last_rec")
 
 
+def _to_buckets(pn: DataFrame, longest_s: int, bucket_s: int) -> DataFrame:
+    """Panes with each `ebucket` (end bucket) that windows of up to longest_s reach from them."""
+    b0 = F.floor(F.col("pane") / F.lit(bucket_s)).cast("long")
+    copies = F.when(F.col("pane") >= (b0 + 1) * bucket_s - longest_s, F.array(b0, b0 + 1)).otherwise(F.array(b0))
+    return pn.withColumn("ebucket", F.explode(copies))
+
+
 def bucketed_panes(pn: DataFrame, intervals=INTERVALS, slide_s: int = SLIDE_S) -> DataFrame:
     """Panes laid out by the bucket of the window ends they can reach.
 
@@ -74,11 +87,7 @@ def bucketed_panes(pn: DataFrame, intervals=INTERVALS, slide_s: int = SLIDE_S) -
     or two end buckets (extra volume W/B, 25 % for 6 h windows in day buckets) and gets its
     previous / next pane inside the end bucket. Everything an end needs is then in its own
     (location, end bucket) partition, however hot the location."""
-    B = _bucket_for(intervals, slide_s)
-    wmax = max(intervals)
-    b0 = F.floor(F.col("pane") / F.lit(B)).cast("long")
-    copies = F.when(F.col("pane") >= (b0 + 1) * B - wmax, F.array(b0, b0 + 1)).otherwise(F.array(b0))
-    x = pn.withColumn("ebucket", F.explode(copies))
+    x = _to_buckets(pn, max(intervals), _bucket_for(intervals, slide_s))
     w = Window.partitionBy("location", "ebucket").orderBy("pane")
     return (x.withColumn("prev_pane", F.lag("pane").over(w))
             .withColumn("next_pane", F.lead("pane").over(w)))
@@ -156,16 +165,124 @@ def window_ends_panes(obs: DataFrame, intervals=INTERVALS, slide_s: int = SLIDE_
     return _finish(paired)
 
 
+def _hop(n: int) -> int:
+    """The smallest divisor of n that is its square root or more."""
+    return next(d for d in range(max(1, math.isqrt(n - 1) + 1), n + 1) if n % d == 0)
+
+
 def window_ends_direct(obs: DataFrame, interval_s: int, slide_s: int = SLIDE_S,
                        fields: tuple[str, ...] = REC_FIELDS) -> DataFrame:
     """T3/T4 as Spark's window(): groupBy(location, window(ts, W, slide)). Works on streaming
-    DataFrames (with a watermark on ts) in update or append mode."""
+    DataFrames (with a watermark on ts) in update or append mode; there, and where the slide does not
+    divide W, every row joins all its windows.
+
+    In batch, panes stand for the rows, and window() is applied twice: to windows of a hop (a
+    divisor of W near W's square root in slides) every slide, then to windows of W every hop over the
+    ends of those, apart for each phase of an end within the hop. A 6 h window then takes 20 + 18 rows a
+    pane in place of 360 a row. Panes are copied to the end buckets they reach, so both aggregates
+    stay in the (location, end bucket) partitions of one exchange of panes."""
     rec = record(fields)
-    win = F.window("ts", f"{interval_s} seconds", f"{slide_s} seconds")
-    g = obs.groupBy("location", win.alias("w")).agg(F.min(rec).alias("first_rec"),
-                                                   F.max(rec).alias("last_rec"))
-    return g.select("location", F.lit(int(interval_s)).alias("interval_s"),
-                    F.col("w.end").cast("timestamp_ntz").alias("window_end"), "first_rec", "last_rec")
+    if obs.isStreaming or interval_s % slide_s:
+        win = F.window("ts", f"{interval_s} seconds", f"{slide_s} seconds")
+        g = obs.groupBy("location", win.alias("w")).agg(F.min(rec).alias("first_rec"),
+                                                       F.max(rec).alias("last_rec"))
+        return g.select("location", F.lit(int(interval_s)).alias("interval_s"),
+                        F.col("w.end").cast("timestamp_ntz").alias("window_end"), "first_rec", "last_rec")
+    hop = _hop(interval_s // slide_s) * slide_s
+    B = _bucket_for((interval_s,), slide_s)
+    place = ["location", "ebucket"]
+    first, last = F.min("first_rec").alias("first_rec"), F.max("last_rec").alias("last_rec")
+
+    def ends(d: DataFrame, at: str, by: list[str], length: int, slide: int) -> DataFrame:
+        """End (epoch seconds) of the windows of these rows, which begin at `at`."""
+        w = F.window(F.timestamp_seconds(at), f"{length} seconds", f"{slide} seconds")
+        g = d.groupBy(*place, *by, w.alias("w")).agg(first, last)
+        return g.select(*place, *by, F.unix_seconds("w.end").alias("end_s"), "first_rec", "last_rec")
+
+    pn = _to_buckets(panes(obs, slide_s, fields), interval_s, B).repartition(*place)
+    e = ends(pn, "pane", [], hop, slide_s)
+    if hop < interval_s:
+        # of one phase, windows of a hop begin on a grid of hops: the next windows' slide
+        phase = F.pmod("end_s", F.lit(hop))
+        e = ends(e.withColumn("phase", phase).withColumn("start_s", F.col("end_s") - F.col("phase") - hop),
+                 "start_s", ["phase"], interval_s, hop).withColumn("end_s", F.col("end_s") + F.col("phase"))
+    lo = F.col("ebucket") * B
+    e = e.where((F.col("end_s") > lo) & (F.col("end_s") <= lo + B))
+    return _finish(e.withColumn("interval_s", F.lit(int(interval_s))))
+
+
+def _bounds(t: pa.Table) -> tuple[np.ndarray, ...]:
+    """Rows of t (location, pane, us, seq) by location, pane and time: their order, which of them begin
+    a pane, and which have its least and its greatest (us, seq); a null seq is the least."""
+    loc = t.column("location").combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+    pane, us, seq = (t.column(c).combine_chunks().fill_null(-(1 << 63)).to_numpy() for c in ("pane", "us", "seq"))
+    order = np.lexsort((seq, us, pane, loc))
+    loc, pane, us, seq = loc[order], pane[order], us[order], seq[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(loc) != 0) | (np.diff(pane) != 0)
+    heads = np.flatnonzero(new)
+    sizes = np.diff(heads, append=len(order))
+    same = [(us == np.repeat(us[at], sizes)) & (seq == np.repeat(seq[at], sizes)) for at in (heads, heads + sizes - 1)]
+    return order, loc, pane, heads, sizes, *same
+
+
+def _pane_ends(most: int):
+    def reduced(t: pa.Table) -> pa.Table:
+        order, _, _, _, _, first, last = _bounds(t)
+        return t.take(order[first | last]).group_by(t.column_names).aggregate([]).select(t.column_names)
+
+    def out(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        order, loc, pane, heads, sizes, first, last = _bounds(t)
+        one = np.append(loc[heads][1:] == loc[heads][:-1], False)  # whether the next pane is of the same location
+        after = pa.array(np.repeat(np.append(pane[heads][1:], 0), sizes), mask=~np.repeat(one, sizes))
+        before = pa.array(np.repeat(np.append(0, pane[heads][:-1]), sizes), mask=~np.repeat(np.append(False, one[:-1]), sizes))
+        t = t.take(order)
+        for name, c in (("prev_pane", before), ("next_pane", after), ("is_first", pa.array(first)), ("is_last", pa.array(last))):
+            t = t.append_column(name, c)
+        yield from t.to_batches(1 << 14)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n, left = [], 0, 0
+        for b in batches:
+            held.append(b)
+            n += b.num_rows
+            if n >= 2 * left + most:
+                t = reduced(pa.Table.from_batches(held))
+                if t.num_rows >= most:
+                    yield from out(t)
+                    t = t.slice(0, 0)
+                held, n = t.to_batches(), t.num_rows
+                left = n
+        if n:
+            yield from out(reduced(pa.Table.from_batches(held)))
+    return run
+
+
+def partial_window_ends(obs: DataFrame, intervals=INTERVALS, slide_s: int = SLIDE_S, most: int = 1 << 17) -> DataFrame:
+    """(location, interval_s, end_s, first_rec, last_rec): what each input partition adds to the windows
+    that its rows lie in, for an aggregate by min(first_rec) and max(last_rec). Without state or order,
+    so a stream can run it before its own aggregate.
+
+    A task keeps the first and the last rows of the panes it has met, rows that tie on (ts, seq)
+    included, passes them on once there are `most`, and emits a window by its first pane and by its
+    last one (`_emissions`): two rows a window, however many rows it holds."""
+    d = obs.where("ts is not null").withColumn("pane", _epoch_s(F.col("ts")) - F.pmod(_epoch_s(F.col("ts")), F.lit(slide_s))) \
+        .withColumn("us", F.unix_micros(F.col("ts").cast("timestamp"))).select("location", *REC_FIELDS, "pane", "us")
+    more = [T.StructField(n, t) for n, t in (("prev_pane", T.LongType()), ("next_pane", T.LongType()),
+                                             ("is_first", T.BooleanType()), ("is_last", T.BooleanType()))]
+    x = d.mapInArrow(_pane_ends(most), T.StructType([*d.schema.fields, *more]))
+    x = x.withColumn("interval_s", F.explode(F.array(*[F.lit(int(w)) for w in intervals])))
+    p, w, step = F.col("pane"), F.col("interval_s").cast("long"), F.lit(slide_s).cast("long")
+
+    def seq(of, lo, hi, is_last):  # ends in (lo, hi]
+        some = F.when(F.col(of) & (lo < hi), F.sequence(lo + step, hi, step)).otherwise(F.array().cast("array<long>"))
+        return F.transform(some, lambda e: F.struct(e.alias("end_s"), F.lit(is_last).alias("ends")))
+
+    tagged = F.concat(seq("is_last", p, F.least(p + w, F.coalesce("next_pane", p + w)), True),
+                      seq("is_first", F.greatest(F.coalesce(F.col("prev_pane") + w, p), p), p + w, False))
+    ex = x.select("location", "interval_s", F.inline(tagged), record().alias("rec"))
+    return ex.select("location", "interval_s", "end_s", F.when(~F.col("ends"), F.col("rec")).alias("first_rec"),
+                     F.when(F.col("ends"), F.col("rec")).alias("last_rec"))
 
 
 def flat_ends(ends: DataFrame) -> DataFrame:

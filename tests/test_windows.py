@@ -89,3 +89,53 @@ def test_hot_location_spread_over_buckets(spark):
     assert biggest <= 1440 + 360
     ref = windows.window_ends_panes(one, (3600,))
     assert windows.window_ends(one, (3600,)).exceptAll(ref).count() == 0
+
+
+def _widest_expand(df):
+    found, todo = 0, [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "Expand":
+            found = max(found, node.projections().size())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_direct_windows_do_not_expand_rows_into_all_windows(spark):
+    """6 h windows: 20 and 18 rows a pane, not 360 a row; the same windows, at bucket edges, before
+    the epoch, with null locations, equal rows and slides that do not divide the window."""
+    secs = [*range(0, 900, 7), 86399, 86400, 86400 - 21600, 3 * 86400 + 59, -(1 << 33), 5, 5]
+    rows = [_row(loc, s, i % 40) for i, s in enumerate(secs) for loc in ("A", None)]
+    obs = _obs(spark, rows)
+    assert _widest_expand(windows.window_ends_direct(obs, 21600)) <= 20
+    got, want = windows.window_ends_direct(obs, 21600), windows.window_ends_panes(obs, (21600,))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    for w, slide in ((420, 60), (60, 60), (90, 60), (100, 50)):
+        win = F.window("ts", f"{w} seconds", f"{slide} seconds")
+        rec = windows.record()
+        want = obs.groupBy("location", win.alias("w")).agg(F.min(rec).alias("first_rec"), F.max(rec).alias("last_rec")) \
+            .select("location", F.lit(w).alias("interval_s"), F.col("w.end").cast("timestamp_ntz").alias("window_end"), "first_rec", "last_rec")
+        got = windows.window_ends_direct(obs, w, slide)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_partitions_add_two_rows_to_a_window(spark):
+    """Partial windows, kept rows passed on early or late, give the same windows; ties on (ts, seq), null
+    seq and location, NaN and null values included; rows of a window are not multiplied."""
+    import itertools
+
+    times = [*range(0, 600, 3), 3600, 3601, 90000]
+    rows = [(loc, T0 + dt.timedelta(seconds=s), seq, temp, None, float(s % 7), "x")
+            for s, (loc, seq, temp) in zip(times * 8, itertools.cycle(itertools.product(
+                ("A", "B", None), (1, 2, None), (1.0, None, float("nan")))))] + [("A", None, 1, 1.0, 1.0, 1.0, "x")]
+    obs = _obs(spark, rows).repartition(3)
+    want = windows.window_ends(obs.where("ts is not null"), (60, 21600)).withColumn("end_s", F.unix_seconds(F.col("window_end").cast("timestamp")))
+    cols = ["location", "interval_s", "end_s", "first_rec", "last_rec"]
+    for most in (1, 64, 1 << 17):
+        part = windows.partial_window_ends(obs, (60, 21600), most=most)
+        got = part.groupBy("location", "interval_s", "end_s").agg(F.min("first_rec").alias("first_rec"), F.max("last_rec").alias("last_rec"))
+        assert got.count() > 0 and got.select(cols).exceptAll(want.select(cols)).count() == 0
+        assert want.select(cols).exceptAll(got.select(cols)).count() == 0
+    dense = _obs(spark, [_row("A", s / 100, s) for s in range(0, 30000)]).coalesce(1)
+    part = windows.partial_window_ends(dense, (21600,))
+    assert part.count() == 2 * part.select("end_s").distinct().count()
