@@ -7,7 +7,7 @@ import os
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obslake import fixtures
@@ -377,12 +377,12 @@ AFTER_ALL = "2024-01-31 12:00:00"   # a clock by which every window of E has end
 STREAM_DELAY = "10 minutes"   # watermark delay; input arrives in time order, so nothing is late
 
 
-def _stage_by_time(df: DataFrame, path: str, files: int = 30) -> None:
+def _stage_by_time(df: DataFrame, path: str, files: int = 30, columns: tuple = ("*",)) -> None:
     """Write a stream's input, in one job, as files that arrive in time order, the way a landing folder
     fills up: rows ranged over the files by ts, the files' times set in that order. More files can be
-    added by a second call."""
+    added by a second call. `columns` are made of the rows in their files, after the ranges were sampled."""
     known = {f.getName() for f in _data_files(df.sparkSession, path)}
-    df.repartitionByRange(files, "ts").sortWithinPartitions("ts").write.mode("append").parquet(path)
+    df.repartitionByRange(files, "ts").sortWithinPartitions("ts").select(*columns).write.mode("append").parquet(path)
     now = int(time.time() * 1000)
     fresh = [f for f in _data_files(df.sparkSession, path) if f.getName() not in known]
     for i, f in enumerate(sorted(fresh, key=lambda f: f.getName())):
@@ -524,17 +524,25 @@ ORACLE.update({
 })
 
 
-def _broker_stream(spark, rows: DataFrame, src: str) -> DataFrame:
-    """A stream with the columns of the broker source (S9, S10) from (ts, seq, location, value) rows:
-    files stand in for the topic, seq for the offset."""
-    _stage_by_time(rows.select("ts", F.col("location").alias("key"), "value", F.lit(0).alias("partition"),
-                               F.col("seq").alias("offset"), F.col("ts").alias("timestamp")), src)
+def _broker_stream(spark, rows: DataFrame, src: str, value="value") -> DataFrame:
+    """A stream with the columns of the broker source (S9, S10) from (ts, seq, location) rows and their
+    value: files stand in for the topic, seq for the offset."""
+    value = F.col(value) if isinstance(value, str) else value
+    _stage_by_time(rows, src, columns=("ts", F.col("location").alias("key"), value.alias("value"), F.lit(0).alias("partition"),
+                                       F.col("seq").alias("offset"), F.col("ts").alias("timestamp")))
     return spark.readStream.schema(BROKER).option("maxFilesPerTrigger", 8).parquet(src)
 
 
+def _line() -> Column:
+    return codecs.format_line("location", epoch_seconds("ts"), "temperature", "wind", "humidity", "weather")
+
+
 def _line_rows(spark, sf) -> DataFrame:
-    return fixtures.observations(spark, sf).select("ts", "seq", "location", codecs.format_line(
-        "location", epoch_seconds("ts"), "temperature", "wind", "humidity", "weather").alias("value"))
+    return fixtures.observations(spark, sf).select("ts", "seq", "location", _line().alias("value"))
+
+
+def _line_stream(spark, sf, src: str) -> DataFrame:
+    return _broker_stream(spark, fixtures.observations(spark, sf), src, _line())
 
 
 def q_stream_location_data(spark, sf):
@@ -542,7 +550,7 @@ def q_stream_location_data(spark, sf):
     keyed by (location, timestamp); the later arrival wins."""
     root = work_path(spark, "live_lines")
     job = live.LiveLocationData(root)
-    job.start(_broker_stream(spark, _line_rows(spark, sf), f"{root}/in"), trigger=None).awaitTermination()
+    job.start(_line_stream(spark, sf, f"{root}/in"), trigger=None).awaitTermination()
     return job.table(spark)
 
 
@@ -555,7 +563,7 @@ def q_stream_line_trends(spark, sf):
     """V11 trend path: tuple-line stream -> typed observations -> live interval trends."""
     root = work_path(spark, "line_trends")
     lt = live.LiveTrends(root, watermark=STREAM_DELAY)
-    stream = _broker_stream(spark, _line_rows(spark, sf), f"{root}/in")
+    stream = _line_stream(spark, sf, f"{root}/in")
     q = lt.start(live.parse_observations(stream), trigger=None)
     q.awaitTermination()
     lt.finish(spark, q)
@@ -718,7 +726,7 @@ ORACLE["interval_trends_direct"] = O.q_interval_trends()
 def _station(spark, sf) -> live.LiveStation:
     root = work_path(spark, "station")
     job = live.LiveStation(root)
-    job.start(_broker_stream(spark, _line_rows(spark, sf), f"{root}/in"), trigger=None).awaitTermination()
+    job.start(_line_stream(spark, sf, f"{root}/in"), trigger=None).awaitTermination()
     return job
 
 

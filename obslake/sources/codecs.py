@@ -34,6 +34,12 @@ def decode(value, schema: T.StructType = OBS_NESTED, double_encoded: bool = True
     return F.from_json(v, schema)
 
 
+def once(x: Column) -> Column:
+    """A costly value as a row of its own: filters on it stay behind it, while in a plain select the
+    optimizer copies it into each of them."""
+    return F.explode(F.array(x))
+
+
 def decode_permissive(value, schema: T.StructType = MESSAGE) -> Column:
     """PERMISSIVE decode; malformed text lands in `_corrupt_record`, the rest is null."""
     with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
@@ -126,8 +132,17 @@ def parse_line(value="value") -> Column:
 
     The line is matched once: the six numbers, which hold no comma, are put before the two texts, which
     hold no line feed."""
-    v = _c(value)
-    r = F.regexp_replace(v, LINE_PATTERN, "$3,$4,$5,$6,$7,$8,$2\n$10")
+    return parse_matched(value, matched(value))
+
+
+def matched(value="value") -> Column:
+    """A tuple line put in the order that `parse_matched` takes; another line as it is."""
+    return F.regexp_replace(_c(value), LINE_PATTERN, "$3,$4,$5,$6,$7,$8,$2\n$10")
+
+
+def parse_matched(value, r) -> Column:
+    """`parse_line` of a line that was matched already (r)."""
+    v, r = _c(value), _c(r)
     p = F.split(r, ",", 7)
     texts = F.get(p, 6)
     return F.when(r != v, F.struct(  # a line that does not match is left as it is

@@ -282,7 +282,8 @@ def parse_observations(lines: DataFrame) -> DataFrame:
     later arrival of a second is its last; plain text lines carry none: their seq is 0 and ties are
     broken by the remaining fields. Unreadable lines drop here; `LiveLocationData` keeps them."""
     seq = F.col("offset") if "offset" in lines.columns else F.lit(0)
-    return observations_of(lines.select(codecs.parse_line("value").alias("p"), seq.cast("long").alias("seq")), "seq")
+    m = lines.select("value", codecs.once(codecs.matched("value")).alias("matched"), seq.cast("long").alias("seq"))
+    return observations_of(m.select(codecs.parse_matched("value", "matched").alias("p"), "seq"), "seq")
 
 
 def observations_of(parsed: DataFrame, seq: str) -> DataFrame:
@@ -300,7 +301,7 @@ def observations_of(parsed: DataFrame, seq: str) -> DataFrame:
 def parse_messages(messages: DataFrame) -> DataFrame:
     """S10 + P13: broker messages (value as MESSAGE JSON, offset) -> typed observations for
     `LiveTrends`. Messages that are no JSON, or hold no time, drop."""
-    m = messages.select(codecs.decode("value", MESSAGE).alias("m"), F.col("offset").cast("long").alias("seq"))
+    m = messages.select(codecs.once(codecs.decode("value", MESSAGE)).alias("m"), F.col("offset").cast("long").alias("seq"))
     return m.filter(codecs.is_epoch(F.col("m.datetime"))).select(
         F.col("m.location").alias("location"),
         F.timestamp_seconds(F.col("m.datetime")).alias("ts"),

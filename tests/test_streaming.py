@@ -263,3 +263,14 @@ def test_new_pane_of_one_location_writes_no_other(spark):
     newest = {(r.location, r.interval_s): r.window_end for r in lt.trends_view(spark).collect()}
     assert newest["B", 60] == t0 + dt.timedelta(minutes=1) and newest["A", 300] == t0 + dt.timedelta(minutes=6)
     assert len(newest) == 6
+
+
+def test_a_line_is_matched_and_a_message_decoded_once(spark):
+    """The filter on the time holds no second copy of the pattern or of the decoding."""
+    from obslake.streaming import live
+
+    d = spark.createDataFrame([("('A', 60, 0, 1, 2.0, 1.0, 1.0, 'x')", 4), ("junk", 5), (None, 6)], "value string, offset long").repartition(2)
+    j = spark.createDataFrame([('{"datetime": 60, "location": "A", "temp": 2.0}', 4), ("junk", 5), (None, 6)], "value string, offset long").repartition(2)
+    for got, word in ((live.parse_observations(d), "regexp_replace("), (live.parse_messages(j), "from_json(")):
+        assert got._jdf.queryExecution().optimizedPlan().toString().count(word) == 1
+        assert [(r.location, r.seq, r.temperature) for r in got.collect()] == [("A", 4, 2.0)]
