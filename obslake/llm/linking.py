@@ -97,10 +97,12 @@ def similar_components(nodes: DataFrame, load_sets: Callable[[DataFrame], DataFr
     load_sets gets the nodes (node) that share a bucket and returns (node, items: distinct longs).
     """
     rows = nodes.select(F.explode("bands").alias("band"), "node", "n")
-    buckets = rows.groupBy("band").agg(F.min("node").alias("q"), F.min_by("n", "node").alias("nq"),
-                                       F.count("*").alias("size")).where("size > 1")
-    members = cut(rows.join(buckets, "band").where("node <> q")
-                  .select("band", F.col("node").alias("x"), "n", "q", "nq", "size"), "members")
+    # all in one shuffle by band; nodes alone in their bucket, most of them, are gone before pivots are sought
+    bucket = Window.partitionBy("band")
+    mates = rows.withColumn("size", F.count("*").over(bucket)).where("size > 1")
+    members = cut(mates.withColumn("pivot", F.min(F.struct("node", "n")).over(bucket)).where("node <> pivot.node")
+                  .select("band", F.col("node").alias("x"), "n", F.col("pivot.node").alias("q"),
+                          F.col("pivot.n").alias("nq"), "size"), "members")
     near = members.where(_could(F.col("n"), F.col("nq")))
     seen = members.select(F.col("x").alias("node")).union(members.select("q")).distinct()
     sets = cut(load_sets(seen), "sets")

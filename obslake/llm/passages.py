@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame, functions as F
 from obslake.llm.common import cut, small_batches
 from obslake.llm.linking import similar_components
 from obslake.llm.near_dedup import longs
-from obslake.llm.sketch import SHINGLE, Hashes, band_keys, band_keys_of, set_id, shingle_set, shingle_sets
-from obslake.llm.spans import CHUNK, MARK, WINDOWS, SpanSearch, Tools, windows_of
+from obslake.llm.sketch import SHINGLE, Words, band_keys_of, set_id, shingle_sets
+from obslake.llm.spans import CHUNK, MARK, WINDOWS, SpanSearch, Tools, chunks, windows_of
 
 # 3/4 similar paragraphs meet in a band with probability 1 - 1.6e-4
 BANDS, ROWS = 16, 3
 MIN_WORDS = 40
-CHUNK_WORDS = 1 << 17  # words sketched at once
+SLOTS = 1 << 24  # bits that tell which texts are read again
 
 # rows read from texts: the set of a wanted line, or the windows of a marked seed
 READ = "node long, items array<long>, " + WINDOWS
@@ -27,48 +27,32 @@ READ = "node long, items array<long>, " + WINDOWS
 
 def _paragraphs(bands: int, rows: int, min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
-
-        def sketched(lines: list[tuple], found: list[list[bytes]]) -> pa.RecordBatch:
-            long = [k for k, words in enumerate(found) if len(words) >= SHINGLE]
-            sets = [shingle_set(b" ".join(words).decode("utf-8", "surrogatepass"), hashes) if len(words) < SHINGLE else None
-                    for words in found]
-            keys = [None if s is None else band_keys(s, bands, rows) for s in sets]
-            if long:
-                items, sizes = shingle_sets([found[k] for k in long], hashes)
-                ends = np.cumsum(sizes)
-                for k, a, e, key in zip(long, ends - sizes, ends, band_keys_of(items, sizes, bands, rows)):
-                    sets[k], keys[k] = items[a:e], key
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
-            cols = zip(*lines) if lines else [[]] * 5
-            return pa.RecordBatch.from_arrays(
-                [*(pa.array(c, t) for c, t in zip(cols, kinds)), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([set_id(s) for s in sets], pa.binary()), longs(keys)],
-                ["doc_id", "body", "para", "start", "end", "n", "cls", "bands"])
-
         for b in batches:
-            lines, found, size = [], [], 0
-            for doc, body, text in zip(*(c.to_pylist() for c in b.columns)):
-                at = 0
-                for k, line in enumerate((text or "").split("\n")):
-                    # as many words need as many characters
-                    if len(line) >= 2 * min_words - 1:
-                        words = line.encode("utf-8", "surrogatepass").lower().split()
-                        if len(words) >= min_words:
-                            lines.append((doc, body, k, at, at + len(line)))
-                            found.append(words)
-                            size += len(words)
-                    at += len(line) + 1
-                    if size >= CHUNK_WORDS:
-                        yield sketched(lines, found)
-                        lines, found, size = [], [], 0
-            yield sketched(lines, found)
+            for some in chunks(b):
+                doc, body, texts = zip(*some)
+                t = Words(texts)
+                long = np.flatnonzero(t.line_count >= min_words)
+                if not len(long):
+                    continue
+                of = np.searchsorted(t.offset, t.line_starts[long], "right") - 1
+                offset = t.offset[of]
+                counts = t.line_count[long]
+                ends = np.cumsum(counts)
+                h = t.hashes[np.arange(ends[-1]) + np.repeat(t.line_first[long] - ends + counts, counts)]
+                items, sizes = shingle_sets(h, counts)
+                sets = np.split(items, np.cumsum(sizes)[:-1])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.array(doc, np.int64)[of]), pa.array(np.array(body, np.int64)[of]),
+                     *(pa.array(v.astype(np.int32)) for v in (
+                         long - np.searchsorted(t.line_starts, offset), t.line_starts[long] - offset, t.line_ends[long] - offset)),
+                     pa.array(sizes), pa.array([set_id(s) for s in sets], pa.binary()), longs(list(band_keys_of(items, sizes, bands, rows)))],
+                    ["doc_id", "body", "para", "start", "end", "n", "cls", "bands"])
     return run
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The sets of the wanted lines of texts, and the windows of their marked seeds (READ)."""
-    hashes, tools = Hashes(), Tools()
+    tools = Tools()
     kinds = {"long": pa.int64(), "int": pa.int32(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32())}
     columns = [(n, kinds[k]) for n, k in (c.split() for c in READ.split(", "))]
 
@@ -79,16 +63,17 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for b in batches:
         texts = b.column("text").to_pylist()
-        nodes, sets = [], []
-        for text, lines in zip(texts, b.column("lines").to_pylist()):
-            split = text.split("\n") if lines else []
-            for w in lines or []:
-                s = shingle_set(split[w["para"]], hashes)
-                if set_id(s) == w["cls"]:
-                    nodes.append(w["node"])
-                    sets.append(s)
-        if sets:
-            yield filled(pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), longs(sets)], ["node", "items"]))
+        wanted, lines = [], []
+        for text, some in zip(texts, b.column("lines").to_pylist()):
+            split = text.split("\n") if some else []
+            for w in some or []:
+                wanted.append(w)
+                lines.append(split[w["para"]])
+        if wanted:
+            t = Words(lines)
+            items, sizes = shingle_sets(t.hashes, t.count)
+            sets = [(w["node"], s) for w, s in zip(wanted, np.split(items, np.cumsum(sizes)[:-1])) if set_id(s) == w["cls"]]
+            yield filled(pa.RecordBatch.from_arrays([pa.array([v for v, _ in sets], pa.int64()), longs([s for _, s in sets])], ["node", "items"]))
         marks = b.column("marks")
         n = marks.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
         flat = marks.flatten()
@@ -108,6 +93,17 @@ def _bodies(docs: DataFrame) -> DataFrame:
         .where("doc_id is not null and text is not null")
 
 
+def _likely(d: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of d that may be in wanted (doc_id, body), so that few other texts are shuffled to it. Each
+    wanted text sets one of SLOTS bits; texts are kept by their bit, so none that is wanted is lost. The
+    bits are broadcast as words of 64, at most SLOTS / 64 rows; with more texts they only keep more."""
+    slot = F.xxhash64("doc_id", "body").bitwiseAND(F.lit(SLOTS - 1))
+    word, bit = F.shiftright(slot, 6).alias("word"), slot.bitwiseAND(F.lit(63)).cast("int")
+    bits = wanted.select(word, bit.alias("bit")).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+    near = d.withColumns({"word": word, "bit": bit}).join(F.broadcast(bits), "word")
+    return near.where(F.getbit("bits", F.col("bit")) == 1).select(*d.columns)
+
+
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, bands: int = BANDS, rows: int = ROWS,
                       search: SpanSearch | None = None) -> DataFrame:
     """One row per repeated paragraph of docs (doc_id long, text): doc_id, para (line number from 0),
@@ -139,13 +135,15 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, bands: int =
             wanted = lines.join(search.marks, ["doc_id", "body"], "full")
         else:
             wanted = lines.withColumn("marks", F.lit(None).cast(f"array<struct<{MARK.replace(' ', ':').replace(',:', ', ')}>>"))
-        read = d.join(wanted, ["doc_id", "body"]).select("doc_id", "body", "text", "lines", "marks")
+        wanted = cut(wanted, "wanted", "zstd")
+        read = _likely(d, wanted).join(wanted, ["doc_id", "body"]).select("doc_id", "body", "text", "lines", "marks")
         read = cut(read.mapInArrow(_read, READ), "read", "zstd")
         windows.append(read.where("cls is not null").drop("node", "items"))
         return read.where("node is not null").select("node", "items").dropDuplicates(["node"])
 
     labels = similar_components(nodes.select("node", "n", "bands"), load_sets)
     labelled = nodes.select("node", "cls", F.struct("rep.doc_id", "rep.para").alias("rep"), "last").join(labels, "node", "left") \
+        .where((F.col("comp").isNotNull()) | (F.col("rep") != F.col("last"))) \
         .withColumn("comp", F.coalesce("comp", "node"))
     least = labelled.groupBy("comp").agg(F.min("rep").alias("head"), F.max("last").alias("tail")).where("head <> tail")
     by_class = labelled.join(least, "comp").select("cls", "head")

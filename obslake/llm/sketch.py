@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import chain
+from collections.abc import Sequence
 
 import numpy as np
 import xxhash
@@ -10,6 +10,9 @@ import xxhash
 SHINGLE = 5
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
+LONG = 64
+_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+_KEPT = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # the first n of 8 bytes
 
 
 class Hashes(dict):
@@ -84,18 +87,65 @@ def band_keys(items: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def shingle_sets(found: list[list[bytes]], hashes: dict[bytes, int], k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """The shingle sets of some lists of k lower-cased words or more, one after another, and their sizes."""
-    counts = np.fromiter(map(len, found), np.int64, len(found))
-    h = np.fromiter(map(hashes.__getitem__, chain.from_iterable(found)), np.uint64, counts.sum())
-    out = np.full(len(h) - k + 1, np.uint64(k))
+def word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of a text in bytes, and their 64-bit hashes, all words at once: a
+    round takes the next 8 bytes of each word that has some left. Words of LONG bytes or more, which
+    would make many rounds, are hashed one by one."""
+    space = _SPACE[np.frombuffer(text, np.uint8)]
+    edges = np.flatnonzero(np.diff(space, prepend=True, append=True))
+    starts, ends = edges[0::2], edges[1::2]
+    eights = np.ndarray(len(text) + 1, "<u8", text + bytes(8), strides=(1,))  # from every byte on
+    sizes = ends - starts
+    out = mixed(sizes.astype(np.uint64) * _GOLDEN)
+    some = np.flatnonzero(sizes < LONG)
+    at, left = starts[some], sizes[some]
+    while len(some):
+        out[some] = mixed(out[some] * _GOLDEN + (eights[at] & _KEPT[np.minimum(left, 8)]))
+        more = left > 8
+        some, at, left = some[more], at[more] + 8, left[more] - 8
+    for k in np.flatnonzero(sizes >= LONG):
+        out[k] = xxhash.xxh64_intdigest(text[starts[k]:ends[k]])
+    return starts, ends, out
+
+
+class Words:
+    """The words (A-Z lower-cased) of some texts, one text after another: their hashes, and where words,
+    lines and texts begin and end, in code points of all texts joined by line feeds."""
+
+    def __init__(self, texts: Sequence[str]):
+        joined = "\n".join(texts)
+        text = joined.encode("utf-8", "surrogatepass").lower()
+        raw = np.frombuffer(text, np.uint8)
+        starts, ends, self.hashes = word_hashes(text)
+        feeds = np.flatnonzero(raw == 10)
+        line_starts, line_ends = np.append(0, feeds + 1), np.append(feeds, len(raw))
+        self.n = len(starts)
+        self.line_first = np.searchsorted(starts, line_starts)  # the first word of each line
+        self.line_count = np.diff(self.line_first, append=self.n)
+        places = [starts, ends, line_starts, line_ends]
+        if len(text) > len(joined):  # bytes that begin a code point, before each byte
+            points = np.append(0, np.cumsum((raw & 0xC0) != 0x80))
+            places = [points[p] for p in places]
+        self.starts, self.ends, self.line_starts, self.line_ends = places
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        self.offset = np.cumsum(sizes) - sizes  # the first code point of each text
+        self.first = np.searchsorted(self.starts, self.offset)  # the first word of each text
+        self.count = np.diff(self.first, append=self.n)
+
+
+def shingle_sets(h: np.ndarray, counts: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """The shingle sets of some runs of words, given by their hashes one after another, and the sizes of
+    the sets; a run of fewer than k words is one shingle."""
+    long = np.minimum(counts, k)
+    many = counts - long + 1
+    starts = np.cumsum(many) - many
+    at = np.arange(many.sum()) + np.repeat(np.cumsum(counts) - counts - starts, many)
+    words = np.repeat(long, many)
+    items = words.astype(np.uint64)
     for i in range(k):
-        out = mixed(out * _GOLDEN + h[i:len(h) - k + 1 + i])
-    ends = np.cumsum(counts)
-    items = out[np.arange(len(out)) + k <= np.repeat(ends, counts)[:len(out)]]
-    starts = np.cumsum(counts - k + 1) - (counts - k + 1)
-    for a, n in zip(starts.tolist(), counts.tolist()):
-        items[a:a + n - k + 1].sort()
+        items = np.where(i < words, mixed(items * _GOLDEN + h[np.minimum(at + i, len(h) - 1)]), items)
+    for a, n in zip(starts.tolist(), many.tolist()):
+        items[a:a + n].sort()
     new = np.ones(len(items), bool)
     new[1:] = items[1:] != items[:-1]
     new[starts] = True

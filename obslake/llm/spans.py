@@ -11,14 +11,14 @@ windows compared. Windows are equal if two independent 64-bit hashes are.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from obslake.llm.common import cut
-from obslake.llm.sketch import Hashes, mixed
+from obslake.llm.sketch import Words, mixed
 
 SPAN_WORDS = 50
 SEED = 12
@@ -53,23 +53,13 @@ class Runs:
         return mixed((sums[ends] - sums[at]) * self.down[at])
 
 
-class Texts:
-    """The words of some texts (A-Z lower-cased), one after another, and where they are."""
-
-    def __init__(self, tools: Tools, texts: list[str]):
-        joined = "\n".join(texts)
-        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
-        space = (codes == 32) | ((codes >= 9) & (codes <= 13))
-        edges = np.flatnonzero(np.diff(space, prepend=True, append=True))
-        self.starts, self.ends = edges[0::2], edges[1::2]
-        found = joined.encode("utf-8", "surrogatepass").lower().split()
-        h = mixed(np.fromiter(map(tools.words.__getitem__, found), np.uint64, len(found)))
-        self.tools, self.n = tools, len(found)
-        self.seed_sums, self.same_sums = tools.seeds.sums(h), tools.same.sums(h)
-        sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-        self.offset = np.cumsum(sizes) - sizes  # the first code point of each text
-        self.first = np.searchsorted(self.starts, self.offset)  # the first word of each text
-        self.count = np.diff(self.first, append=self.n)
+class Texts(Words):
+    """The words of some texts, and sums for the hashes of their runs."""
+
+    def __init__(self, tools: Tools, texts: Sequence[str]):
+        super().__init__(texts)
+        self.tools = tools
+        self.seed_sums, self.same_sums = tools.seeds.sums(self.hashes), tools.same.sums(self.hashes)
 
     def equal(self, at: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return self.tools.same.hashes(self.same_sums, at, ends)
@@ -79,7 +69,7 @@ class Tools:
     """What a task keeps from text to text."""
 
     def __init__(self):
-        self.words, self.seeds, self.same = Hashes(), Runs(0x9E3779B97F4A7C15), Runs(0xD1342543DE82EF95)
+        self.seeds, self.same = Runs(0x9E3779B97F4A7C15), Runs(0xD1342543DE82EF95)
 
 
 def first_least(h: np.ndarray, n: int) -> np.ndarray:
@@ -114,7 +104,8 @@ def _rows_of(t: Texts, span: int, seed: int):
     return np.searchsorted(t.first, lo, "right") - 1, h[word], word, lo, hi
 
 
-def _chunks(batch: pa.RecordBatch) -> Iterator[list[tuple]]:
+def chunks(batch: pa.RecordBatch) -> Iterator[list[tuple]]:
+    """The rows (doc_id, body, text) of a batch, as many at once as CHUNK allows."""
     some, size = [], 0
     for row in zip(*(c.to_pylist() for c in batch.columns)):
         if some and size + len(row[2]) > CHUNK:
@@ -130,7 +121,7 @@ def _seeds(span: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tools = Tools()
         for b in batches:
-            for rows in _chunks(b):
+            for rows in chunks(b):
                 doc, body, texts = zip(*rows)
                 t = Texts(tools, texts)
                 of, h, word, lo, hi = _rows_of(t, span, seed)
@@ -184,18 +175,18 @@ class SpanSearch:
 
     def __init__(self, d: DataFrame, words: int = SPAN_WORDS, seed: int = SEED):
         self.words = words
-        seeds = cut(d.where("text is not null").mapInArrow(_seeds(words, seed), SEEDS), "seeds", "zstd")
-        twice = seeds.groupBy("seed").count().where("count > 1").select("seed")
-        self.shared = cut(seeds.join(twice, "seed", "left_semi"), "shared-seeds")
+        seeds = d.where("text is not null").mapInArrow(_seeds(words, seed), SEEDS)
         at = F.struct("doc_id", "body", "pos")
-        classes = self.shared.groupBy("seed", "same").agg(F.min(at).alias("head"), F.max(at).alias("tail"))
-        self.classes = cut(classes, "seed-classes")
-        self.several = self.classes.groupBy("seed").count().where("count > 1").select("seed")
+        # all in one shuffle by seed; seeds found once are gone before places are compared
+        of_seed, of_class = Window.partitionBy("seed"), Window.partitionBy("seed", "same")
+        shared = seeds.withColumns({"n": F.count("*").over(of_seed), "several": F.min("same").over(of_seed) != F.max("same").over(of_seed)}) \
+            .where("n > 1").drop("n").withColumns({"head": F.min(at).over(of_class), "tail": F.max(at).over(of_class)})
+        self.shared = cut(shared, "shared-seeds", "zstd")
         # numbers of classes grow with their first places
-        numbered = self.classes.join(self.several, "seed", "left_semi").orderBy("head")
+        numbered = self.shared.where(F.col("several") & (at == F.col("head"))).select("seed", "same", "head", "tail").distinct().orderBy("head")
         self.numbered = cut(numbered.withColumn("cls", F.monotonically_increasing_id()), "numbered-classes")
         mark = F.struct("cls", "seed", "pos", "before", "after", (at == F.col("head")).alias("leads"))
-        self.marks = self.shared.join(self.numbered.select("cls", "seed", "same", "head"), ["seed", "same"]) \
+        self.marks = self.shared.where("several").join(self.numbered.select("cls", "seed", "same"), ["seed", "same"]) \
             .groupBy("doc_id", "body").agg(F.collect_set(mark).alias("marks"))
 
     def spans(self, windows: DataFrame) -> DataFrame:
@@ -212,8 +203,7 @@ class SpanSearch:
         n = self.words
         at = F.struct("doc_id", "body", "pos")
         # seeds of one class: all windows have the same places
-        whole = self.classes.join(self.several, "seed", "left_anti").where(_apart("tail", "head", n))
-        found = self.shared.join(whole.select("seed", "same", "head"), ["seed", "same"]).select(
+        found = self.shared.where("not several").where(_apart("tail", "head", n)).select(
             "doc_id", "body", "pos", "before", "after", "start", (F.col("start") + F.col("size")).alias("end"), "head")
         # of several classes: windows of each class's first place, met by their words; k is the seed's place in them
         known = self.numbered.select("cls", "head", F.xxhash64("head.doc_id", "head.body").alias("of"),
@@ -223,12 +213,11 @@ class SpanSearch:
         single = led.join(known.drop("head"), "cls").select(
             "cls", "seed", "of", "least", "most", "apart", "before", F.posexplode("windows").alias("i", "window")) \
             .withColumn("k", F.col("before") - F.col("i")).withColumn("place", F.xxhash64("seed", "k"))
-        key = ["place", "window"]
-        heads = single.groupBy(*key).agg(
-            F.min("cls").alias("first"), F.min("of").alias("of"), F.max("of").alias("of2"), F.min("least").alias("least"),
-            F.max("most").alias("most"), F.max("apart").alias("apart")) \
-            .where(f"apart or of <> of2 or most - least >= {n}").select(*key, "first")
-        met = single.select("cls", "k", *key).join(heads, key)
+        equal = Window.partitionBy("place", "window")
+        met = single.withColumn("size", F.count("*").over(equal)).where("size > 1 or apart").select(
+            "cls", "k", F.min("cls").over(equal).alias("first"), F.min("of").over(equal).alias("of"), F.max("of").over(equal).alias("of2"),
+            F.min("least").over(equal).alias("least"), F.max("most").over(equal).alias("most"), F.max("apart").over(equal).alias("apart")) \
+            .where(f"apart or of <> of2 or most - least >= {n}").select("cls", "k", "first")
         run = F.col("k") - F.row_number().over(Window.partitionBy("cls", "first").orderBy("k"))
         ranges = met.withColumn("run", run).groupBy("cls", "first", "run") \
             .agg(F.min("k").alias("after"), F.max("k").alias("before"))

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from obslake.llm import (mixing, near_dedup, packing, passages, pieces, quality, queries, secret_scans, toxicity, urls,
+from obslake.llm import (linking, mixing, near_dedup, packing, passages, pieces, quality, queries, secret_scans, sketch, spans, toxicity, urls,
                          vectors)
 from obslake.llm.common import table
 
@@ -127,6 +127,40 @@ def test_passages_any_lines(spark):
     assert dict(spans) == dict(want) and {i: c for i, c in cut.items() if c} == {i: c for i, c in copies.items() if c}
 
 
+def test_passages_moved_once(docs, monkeypatch):
+    """Seeds and band keys are shuffled once, not to count them and again to join them."""
+    plans, write = {}, linking.cut
+
+    def cut(df, name, *how):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name, *how)
+    for module in (passages, spans, linking):
+        monkeypatch.setattr(module, "cut", cut)
+    passages.passages_and_spans(docs)
+    assert [plans[n].count("Exchange hashpartitioning") for n in ("shared-seeds", "members")] == [1, 1]
+
+
+def test_texts_likely_wanted(docs):
+    d = passages._bodies(docs)
+    wanted = {r.doc_id for r in d.collect()[::7]}
+    kept = [r.doc_id for r in passages._likely(d, d.where(F.col("doc_id").isin(wanted)).select("doc_id", "body")).collect()]
+    assert wanted <= set(kept) and len(kept) <= len(wanted) + 2
+
+
+def test_words():
+    """Equal words, and only these, have equal hashes; places as a regular expression finds them."""
+    parts = ["a" * n for n in range(1, 140)] + ["A" * 9, "x\0", "x\0\0", "x", "\u00e9t\u00e9", "\u00c9t\u00e9", "\U0001f600!", "\ud800z", "\u00a0", "\u2003y"]
+    texts = ["", " \t\n", "\n".join(parts), "\r\n".join(parts[::-1]) + "\n", "", "x"]
+    t, joined = sketch.Words(texts), "\n".join(texts)
+    found = list(WORD.finditer(joined))
+    assert [m.span() for m in found] == list(zip(t.starts.tolist(), t.ends.tolist()))
+    low = [m[0].encode("utf-8", "surrogatepass").lower() for m in found]
+    assert len(set(low)) == len(set(t.hashes.tolist())) == len(set(zip(low, t.hashes.tolist())))
+    lines = [joined[a:e] for a, e in zip(t.line_starts, t.line_ends)]
+    assert lines == joined.split("\n") and t.line_count.tolist() == [len(WORD.findall(x)) for x in lines]
+    assert t.count.tolist() == [len(WORD.findall(x)) for x in texts]
+
+
 def test_spans_hard(spark, hard, none):
     passage = [f"w{k}" for k in range(60)]
     rows = [(1, "head " + " ".join(passage) + " tail"),
