@@ -5,16 +5,19 @@ each other but with the bucket's first node, its pivot:
 
 1. each node is checked against the pivot of its largest bucket, and linked nodes are joined;
 2. in buckets that still hold several components, every node is checked against the pivot;
-3. where non-pivot nodes x, y of one bucket still lie in different components, they can only be
-   similar for one of two reasons, seen from what each shares with the pivot p. With c = |x & p|,
-   U = x - p, |x & y| <= min(c_x, c_y) + |U_x & U_y|. So either min(c_x, c_y) alone suffices
-   for the threshold, or U_x and U_y share at least T = needed - min(c_x, c_y) items, which a prefix
-   filter over the rarest items of U finds. Sets that share an item are first checked against the
-   one of them closest to p, which joins those with a common change; the pairs that pass
-   the filter and still lie in different components are then verified.
-
-Step 3 skips only pairs that the bound rules out, so no link between bucket mates is lost, and a
-group of near copies costs work in proportion to its members, not their square.
+3. where non-pivot nodes of one pivot's buckets still lie in different components, they are compared by
+   what they change in P, the items that most of them hold. With D = x xor P and
+   w = 6 |x| + 7 |P| - 14 |x & P|, x and y are similar if and only if 14 |D_x & D_y| >= w_x + w_y, for
+   any P. So pairs whose w add to 0 or less need not be sought: both are similar to the one of least w.
+   Others share (w_x + w_y) / 14 changes, which a prefix filter over the rarest changes finds.
+   Sets that share a change are first checked against the one of them of least w, which joins
+   those with a common change; the pairs that pass the filter and still lie in different components are
+   then verified.
+
+Step 3 skips only pairs that are not similar, so no link between bucket mates is lost. Beyond work in
+proportion to a group's members only pairs that stay apart, though they share one of their rarest
+changes, are compared. P may be any set, as a poor one only leaves more of these; so it is told from a few
+of the nodes.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from obslake.llm.common import cut
 
+TELLING = 9  # sets of a pivot that tell what most of them hold
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp) for every node of edges (a, b: long): comp is the smallest node reachable.
@@ -116,10 +120,7 @@ def similar_components(nodes: DataFrame, load_sets: Callable[[DataFrame], DataFr
     told = labelled(members.where("size > 2"), labels, "x")
     split = told.groupBy("band").agg(F.min("cx").alias("lo"), F.max("cx").alias("hi")).where("lo <> hi").select("band")
     group = told.join(split, "band", "left_semi").select("x", "q").distinct()
-    rel = cut(_with_sets(group, sets).select(
-        "q", "x", F.size("sx").alias("n"), F.size("sq").alias("nq"),
-        F.size(F.array_intersect("sx", "sq")).alias("c"), F.array_except("sx", "sq").alias("u")), "deltas")
-    rel = rel.join(rel.groupBy("q").agg(F.min("n").alias("least")), "q")
+    rel = cut(_changes(group, sets), "changes")
     for pairs_of in (_to_closest, _all_left):
         now = labelled(rel, labels, "x")
         open_ = now.groupBy("q").agg(F.min("cx").alias("lo"), F.max("cx").alias("hi")).where("lo <> hi").select("q")
@@ -128,57 +129,65 @@ def similar_components(nodes: DataFrame, load_sets: Callable[[DataFrame], DataFr
     return labels
 
 
-def _all_left(rel: DataFrame) -> DataFrame:
-    return _by_pivot(rel).unionByName(_by_delta(rel)).distinct()
-
-
-def _other(rel: DataFrame, *columns: str) -> DataFrame:
-    return rel.select("q", *(F.col(c).alias(f"y_{c}") for c in ("x", "cx", "n", "c")), *columns)
-
-
-def _by_pivot(rel: DataFrame) -> DataFrame:
-    """Pairs that what they share with the pivot alone could make similar. One of them is not
-    similar to the pivot, and the other is then small."""
-    most = F.floor(7 * F.col("c") / 3) - F.col("n")
-    far = rel.where(~_similar(F.col("c"), F.col("n"), F.col("nq"))).withColumn("most", most).where("most >= least")
-    d = far.join(_other(rel), "q") \
-        .where("y_cx <> cx and y_n <= most").where(_could(F.col("n"), F.col("y_n"))) \
-        .where(_similar(F.least("c", "y_c"), F.col("n"), F.col("y_n")))
-    return d.select(F.greatest("x", "y_x").alias("x"), F.least("x", "y_x").alias("q"))
+def _changes(group: DataFrame, sets: DataFrame) -> DataFrame:
+    """(q, x, n, w, d) for the sets x of pivot q: their sizes, weights and changes of what most have."""
+    few = group.withColumn("k", F.row_number().over(Window.partitionBy("q").orderBy(F.xxhash64("x"), "x"))) \
+        .where(F.col("k") <= TELLING)
+    items = sets.select(F.col("node").alias("x"), "items")
+    most = few.join(items, "x").select("q", F.explode("items").alias("s")).groupBy("q", "s").agg(F.count("*").alias("df")) \
+        .join(few.groupBy("q").agg(F.count("*").alias("many")), "q").where("2 * df > many").groupBy("q").agg(F.collect_list("s").alias("p"))
+    d = group.join(items, "x").join(most, "q", "left").withColumn("p", F.coalesce("p", F.expr("array()").cast("array<long>")))
+    d = d.select("q", "x", F.size("items").alias("n"), F.size("p").alias("np"),
+                 F.array_except("items", "p").alias("more"), F.array_except("p", "items").alias("less"))
+    common = F.col("n") - F.size("more")
+    return d.select("q", "x", "n", (6 * F.col("n") + 7 * F.col("np") - 14 * common).alias("w"), F.concat("more", "less").alias("d"))
 
 
 def _prefixes(rel: DataFrame) -> DataFrame:
-    """Items s of U by which a set may meet another: (q, s, x, cx, n, c, left). Items that only one
-    component holds cannot count. `left` is how many of the set's items, s included, come no sooner
-    in the common order, rarest first; an item with fewer than the set must share is no prefix."""
-    most = F.greatest("least", F.ceil(3 * F.col("n") / 4))  # the smallest set that could be similar
-    least = F.greatest(F.lit(1), F.ceil((3 * (F.col("n") + most) - 7 * F.col("c")) / 7))
-    items = rel.withColumn("t", least).where(F.size("u") >= F.col("t")) \
-        .select("q", "x", "cx", "n", "c", "t", F.explode("u").alias("s"))
-    useful = items.groupBy("q", "s").agg(F.count("*").alias("df"), F.min("cx").alias("lo"), F.max("cx").alias("hi")) \
-        .where("lo <> hi").select("q", "s", "df")
+    """Changes s by which a set may meet another: (q, s, x, cx, n, w, left). Changes that only one
+    component has cannot count. `left` is how many of the set's changes, s included, come no sooner
+    in the common order, rarest first; a change with fewer than the set must share is no prefix."""
+    # the least weight of another component: the second least one for the component that has the least
+    by_weight = Window.partitionBy("q").orderBy("least", "cx")
+    least = rel.groupBy("q", "cx").agg(F.min("w").alias("least")) \
+        .withColumn("next", F.lead("least").over(by_weight)).withColumn("k", F.row_number().over(by_weight)).where("k = 1") \
+        .select("q", F.col("cx").alias("first"), "least", "next")
+    other = F.when(F.col("cx") == F.col("first"), F.col("next")).otherwise(F.col("least"))
+    items = rel.join(least, "q").withColumn("t", F.greatest(F.lit(1), F.ceil((F.col("w") + other) / 14))) \
+        .where(F.size("d") >= F.col("t")).select("q", "x", "cx", "n", "w", "t", F.explode("d").alias("s"))
+    of_change = Window.partitionBy("q", "s")
+    useful = items.withColumns({"df": F.count("*").over(of_change), "several": F.min("cx").over(of_change) != F.max("cx").over(of_change)}) \
+        .where("several")
     own = Window.partitionBy("q", "x")
     left = F.count("*").over(own) - F.row_number().over(own.orderBy("df", "s")) + 1
-    return items.join(useful, ["q", "s"]).withColumn("left", left).where("left >= t").drop("t", "df")
+    return useful.withColumn("left", left).where("left >= t").drop("t", "df", "several")
 
 
 def _meet(d: DataFrame) -> DataFrame:
-    """Pairs of x and y_x that may be similar, given that s is the first item of U that both hold:
-    they then share min(left, y_left) more than min(c, y_c) at most."""
-    needed = F.ceil((3 * (F.col("n") + F.col("y_n")) - 7 * F.least("c", "y_c")) / 7)
-    d = d.where("cx <> y_cx").where(_could(F.col("n"), F.col("y_n"))).where(F.least("left", "y_left") >= needed)
+    """Pairs of x and y_x that may be similar, given that s is the first change that both have:
+    they then share min(left, y_left) changes at most."""
+    d = d.where("cx <> y_cx").where(_could(F.col("n"), F.col("y_n"))).where(14 * F.least("left", "y_left") >= F.col("w") + F.col("y_w"))
     return d.select(F.greatest("x", "y_x").alias("x"), F.least("x", "y_x").alias("q")).distinct()
 
 
+def _with_least(d: DataFrame, *by: str) -> DataFrame:
+    """d with the set of least weight, y_x and its columns, of those that agree in these columns."""
+    columns = [c for c in ("w", "x", "cx", "n", "left") if c in d.columns]
+    least = d.groupBy(*by).agg(F.min(F.struct(*columns)).alias("y"))
+    return d.join(least.select(*by, *(F.col(f"y.{c}").alias(f"y_{c}") for c in columns)), [*by])
+
+
 def _to_closest(rel: DataFrame) -> DataFrame:
-    """Of the sets that share an item of U, each with the one closest to the pivot: one pair for
-    an item. Sets that share a change are mostly joined by that, however many they are."""
-    prefix = cut(_prefixes(rel), "prefixes")
-    closest = prefix.groupBy("q", "s").agg(F.max_by(F.struct("x", "cx", "n", "c", "left"), F.struct("c", "x")).alias("y"))
-    return _meet(prefix.join(closest.select("q", "s", *(F.col(f"y.{c}").alias(f"y_{c}") for c in ("x", "cx", "n", "c", "left"))), ["q", "s"]))
+    """Sets that are similar to the one of least weight by weight alone; and of the sets that share a
+    change, each with the one of least weight: one pair for a change. Sets that share a change are
+    mostly joined by that, however many they are."""
+    by_weight = _with_least(rel, "q").where("cx <> y_cx and w + y_w <= 0").select("x", F.col("y_x").alias("q"))
+    return by_weight.unionByName(_meet(_with_least(cut(_prefixes(rel), "prefixes"), "q", "s"))).distinct()
 
 
-def _by_delta(rel: DataFrame) -> DataFrame:
-    """All pairs that share enough of what the pivot lacks."""
+def _all_left(rel: DataFrame) -> DataFrame:
+    """All pairs that share enough changes, of the one of more weight with the other. They share 2 w / 14
+    for the lesser weight, so the other one needs fewer of its rows."""
     prefix = cut(_prefixes(rel), "prefixes")
-    return _meet(prefix.join(_other(prefix, "s", F.col("left").alias("y_left")), ["q", "s"]).where("x > y_x"))
+    other = prefix.where("7 * left >= w").select("q", "s", *(F.col(c).alias(f"y_{c}") for c in ("x", "cx", "n", "w", "left")))
+    return _meet(prefix.join(other, ["q", "s"]).where("w > y_w or w = y_w and x > y_x"))

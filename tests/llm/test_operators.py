@@ -140,6 +140,25 @@ def test_passages_moved_once(docs, monkeypatch):
     assert [plans[n].count("Exchange hashpartitioning") for n in ("shared-seeds", "members")] == [1, 1]
 
 
+def test_many_near_copies(spark, monkeypatch):
+    """Components of a large group of near copies, many of them linked to none, are those of all pairs; what
+    is compared grows with the group, not with its square."""
+    pairs, meet = [], linking._meet
+
+    def met(d):
+        pairs.append(d.count())
+        return meet(d)
+    monkeypatch.setattr(linking, "_meet", met)
+    draw = np.random.default_rng(3)
+    lines = {k: [f"w{j}" if draw.random() >= 0.02 + 0.08 * (k % 2) else f"x{k}-{j}" for j in range(80)] for k in range(400)}
+    d = spark.createDataFrame([(k, " ".join(l)) for k, l in lines.items()], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in passages.repeated_passages(d).collect()}
+    want = linked({k: shingles(" ".join(l)) for k, l in lines.items()})
+    often = Counter(want.values())
+    assert len(often) > 50 and got == {k: c for k, c in want.items() if often[c] > 1}
+    assert len(pairs) == 2 and sum(pairs) < 100 * len(lines)
+
+
 def test_texts_likely_wanted(docs):
     d = passages._bodies(docs)
     wanted = {r.doc_id for r in d.collect()[::7]}
